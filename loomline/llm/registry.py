@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .bpe import op8_transducer_bpe
 from .sharding import op5_jump_hash_sharding
 
 QUERIES = {
     "op5_jump_hash_sharding": op5_jump_hash_sharding,
+    "op8_transducer_bpe": op8_transducer_bpe,
 }
 ORACLE_SQL: dict[str, str] = {}
