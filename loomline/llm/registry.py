@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from .bpe import op8_transducer_bpe
 from .sharding import op5_jump_hash_sharding
+from .warc import OP1_SQL, op1_external_index_merge
 
 QUERIES = {
+    "op1_external_index_merge": op1_external_index_merge,
     "op5_jump_hash_sharding": op5_jump_hash_sharding,
     "op8_transducer_bpe": op8_transducer_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_external_index_merge": OP1_SQL,
+}
