@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op8_transducer_bpe
+from .resample import op10_importance_resampling
 from .sharding import op5_jump_hash_sharding
 from .warc import OP1_SQL, op1_external_index_merge
 
@@ -10,6 +11,7 @@ QUERIES = {
     "op1_external_index_merge": op1_external_index_merge,
     "op5_jump_hash_sharding": op5_jump_hash_sharding,
     "op8_transducer_bpe": op8_transducer_bpe,
+    "op10_importance_resampling": op10_importance_resampling,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_external_index_merge": OP1_SQL,
