@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from .bpe import op8_transducer_bpe
+from .quality import op3_ngram_logistic_quality
 from .resample import op10_importance_resampling
 from .sharding import op5_jump_hash_sharding
 from .warc import OP1_SQL, op1_external_index_merge
 
 QUERIES = {
     "op1_external_index_merge": op1_external_index_merge,
+    "op3_ngram_logistic_quality": op3_ngram_logistic_quality,
     "op5_jump_hash_sharding": op5_jump_hash_sharding,
     "op8_transducer_bpe": op8_transducer_bpe,
     "op10_importance_resampling": op10_importance_resampling,
