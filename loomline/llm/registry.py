@@ -6,15 +6,18 @@ from .bpe import op8_transducer_bpe
 from .quality import op3_ngram_logistic_quality
 from .resample import op10_importance_resampling
 from .sharding import op5_jump_hash_sharding
+from .substring import OP7_SQL, op7_rabin_karp_repeats
 from .warc import OP1_SQL, op1_external_index_merge
 
 QUERIES = {
     "op1_external_index_merge": op1_external_index_merge,
     "op3_ngram_logistic_quality": op3_ngram_logistic_quality,
     "op5_jump_hash_sharding": op5_jump_hash_sharding,
+    "op7_rabin_karp_repeats": op7_rabin_karp_repeats,
     "op8_transducer_bpe": op8_transducer_bpe,
     "op10_importance_resampling": op10_importance_resampling,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_external_index_merge": OP1_SQL,
+    "op7_rabin_karp_repeats": OP7_SQL,
 }
