@@ -21,27 +21,37 @@ empty result; of the input only the id and text columns are used.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import os
 import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import table
+from .resample import kth_largest
+from .shared import staged, table
 from .textkernel import flat, gather, slices, strings
 
 #: Words that the lexicon holds at most; its size is then bounded by their bytes.
-LEXICON_WORDS = 50_000
+LEXICON_WORDS = 150_000
 #: Longer pre-tokens, in characters or bytes, are merged anew each time and not put in the lexicon.
 LONGEST_WORD = 64
+#: Merged words that a worker remembers; then it forgets all and starts anew.
+REMEMBERED = 300_000
+SLICE_BYTES = 4 << 20
+NEVER = 1 << 60
+#: Pieces that are one pre-token: a space and letters that every Unicode version has.
+ONE_TOKEN = r"^ ?[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]+$"
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
@@ -73,10 +83,12 @@ class ByteBpe:
         for text, i in self.special.items():
             self.token_bytes[i] = text.encode()
         self.byte_id = [vocab[c] for c in alphabet]
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []  # the token that each merge makes
         for r, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.rank[vocab[a], vocab[b]] = (r, vocab[a + b])
+            self.rank[vocab[a], vocab[b]] = r
+            self.made.append(vocab[a + b])
         parts = sorted(self.special, key=len, reverse=True)
         self.split = regex.compile("|".join(map(regex.escape, parts))) if parts else None
         self.byte_len = np.array([len(b) for b in self.token_bytes], np.int64)
@@ -92,29 +104,34 @@ class ByteBpe:
         if n < 2:
             return ids
         if n <= LONGEST_WORD:
-            while len(ids) > 1:
-                best = min((rank.get(p, (1 << 60, 0)) + (i,) for i, p in enumerate(zip(ids, ids[1:], strict=False))), key=lambda x: (x[0], x[2]))
-                if best[0] == 1 << 60:
+            ranks = [rank.get(p, NEVER) for p in zip(ids, ids[1:], strict=False)]
+            while (best := min(ranks)) < NEVER:
+                i = ranks.index(best)
+                ids[i : i + 2] = [self.made[best]]
+                del ranks[i]
+                if not ranks:
                     break
-                ids[best[2] : best[2] + 2] = [best[1]]
+                if i:
+                    ranks[i - 1] = rank.get((ids[i - 1], ids[i]), NEVER)
+                if i < len(ranks):
+                    ranks[i] = rank.get((ids[i], ids[i + 1]), NEVER)
             return ids
-        import heapq
-
         left, right, alive = [*range(-1, n - 1)], [*range(1, n + 1)], [True] * n
-        heap = [(r[0], i, ids[i], ids[i + 1], r[1]) for i in range(n - 1) if (r := rank.get((ids[i], ids[i + 1])))]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank.get((ids[i], ids[i + 1]))) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            r, i, a, b = heapq.heappop(heap)
+            new = self.made[r]
             j = right[i] if alive[i] else n
             if j >= n or ids[i] != a or ids[j] != b:
                 continue
             ids[i], alive[j], right[i] = new, False, right[j]
             if right[i] < n:
                 left[right[i]] = i
-                if r := rank.get((new, ids[right[i]])):
-                    heapq.heappush(heap, (r[0], i, new, ids[right[i]], r[1]))
-            if left[i] >= 0 and (r := rank.get((ids[left[i]], new))):
-                heapq.heappush(heap, (r[0], left[i], ids[left[i]], new, r[1]))
+                if (r := rank.get((new, ids[right[i]]))) is not None:
+                    heapq.heappush(heap, (r, i, new, ids[right[i]]))
+            if left[i] >= 0 and (r := rank.get((ids[left[i]], new))) is not None:
+                heapq.heappush(heap, (r, left[i], ids[left[i]], new))
         return [x for x, keep in zip(ids, alive, strict=True) if keep]
 
     def pretokens(self, text: str) -> list[tuple[str, int]]:
@@ -205,7 +222,7 @@ class Lexicon:
             live, state, total = live[~done], state[~done], total[~done]
             if not len(live):
                 break
-            want = state << 8 | data[offsets[live] + depth].astype(np.int64)
+            want = (state << 8 | data[offsets[live] + depth]).astype(keys.dtype)
             at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
             ok = keys[at] == want
             live, state, total = live[ok], targets[at[ok]], total[ok] + outputs[at[ok]]
@@ -234,23 +251,33 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Encoder:
     """Encodes Arrow text columns; keeps a bounded memory of words that it merged."""
 
-    def __init__(self, bpe: ByteBpe, lexicon: Lexicon, remember: int = 1 << 16):
+    def __init__(self, bpe: ByteBpe, lexicon: Lexicon):
         self.bpe, self.lexicon = bpe, lexicon
-        self.merged = lru_cache(remember)(lambda w: tuple(bpe.merge(w)))
+        self.merged: dict[bytes, list[int]] = {}
 
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct pre-tokens: flat ids, first index and count of each."""
-        offsets = np.zeros(len(words) + 1, np.int64)
-        raw = [w.encode() for w in words]
-        np.cumsum([len(w) for w in raw], out=offsets[1:])
-        rank = self.lexicon.ranks(np.frombuffer(b"".join(raw), np.uint8), offsets)
+        data, offsets = flat(column)
+        rank = self.lexicon.ranks(data, offsets)
         known, at = self.lexicon.a["ids"], self.lexicon.a["id_at"]
-        begin, count = at[rank], at[np.minimum(rank + 1, len(at) - 1)] - at[rank]
+        begin, count = at[rank].astype(np.int64), (at[np.minimum(rank + 1, len(at) - 1)] - at[rank]).astype(np.int64)
         new: list[int] = []
-        for i in np.flatnonzero(rank < 0):
-            ids = self.merged(raw[i]) if len(raw[i]) <= LONGEST_WORD else self.bpe.merge(raw[i])
-            begin[i], count[i] = len(known) + len(new), len(ids)
+        unseen, raw = np.flatnonzero(rank < 0), data.tobytes()
+        counts, merged = [], self.merged
+        for a, b in zip(offsets[unseen].tolist(), offsets[unseen + 1].tolist(), strict=True):
+            word = raw[a:b]
+            ids = merged.get(word)
+            if ids is None:
+                ids = self.bpe.merge(word)
+                if b - a <= LONGEST_WORD:
+                    if len(merged) >= REMEMBERED:
+                        merged.clear()
+                    merged[word] = ids
+            counts.append(len(ids))
             new += ids
+        if len(unseen):
+            count[unseen] = counts
+            begin[unseen] = len(known) + np.concatenate(([0], np.cumsum(counts)[:-1]))
         return np.concatenate((known, np.array(new, np.uint32))), begin, count
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -259,31 +286,39 @@ class Encoder:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         column = strings(data, np.append(starts, len(data)), pa.large_string()).dictionary_encode()
-        distinct, which = column.dictionary.to_pylist(), column.indices.to_numpy()
+        distinct, which = column.dictionary, column.indices.to_numpy()
+        single = pc.match_substring_regex(distinct, ONE_TOKEN)
         number: dict[str, int] = {}
-        flat_words, per_piece, special = [], np.zeros(len(distinct) + 1, np.int64), {}
-        for i, piece in enumerate(distinct):
-            tokens = self.bpe.pretokens(piece)
-            for word, sid in tokens:
+        first = pc.sum(single).as_py() or 0
+        tokens, special, lengths = [], {}, []
+        for piece in distinct.filter(pc.invert(single)).to_pylist():
+            found = self.bpe.pretokens(piece)
+            for word, sid in found:
                 k = number.setdefault(word if sid < 0 else f"\0special{sid}", len(number))
                 if sid >= 0:
-                    special[k] = sid
-                flat_words.append(k)
-            per_piece[i + 1] = len(tokens)
-        np.cumsum(per_piece, out=per_piece)
-        ids, begin, count = self.words(list(number))
+                    special[first + k] = sid
+                tokens.append(first + k)
+            lengths.append(len(found))
+        ids, begin, count = self.words(pa.concat_arrays([distinct.filter(single), pa.array(list(number), pa.large_string())]))
         if special:
             ids = np.concatenate((ids, np.array([*special.values()], np.uint32)))
             for j, k in enumerate(special):
                 begin[k], count[k] = len(ids) - len(special) + j, 1
-        flat_words = np.array(flat_words, np.int64)
-        # ids of each distinct piece, then of each piece in place
-        piece_count = np.add.reduceat(np.append(count[flat_words], 0), per_piece[:-1])
-        piece_ids = gather(ids, begin[flat_words], count[flat_words])
-        piece_at = np.concatenate(([0], np.cumsum(piece_count)[:-1]))
+        # tokens of each distinct piece, ids of each distinct piece, then of each piece in place
+        single = single.to_numpy(zero_copy_only=False)
+        per_piece = np.ones(len(distinct), np.int64)
+        per_piece[~single] = lengths
+        of_single = np.repeat(single, per_piece)
+        words = np.empty(len(of_single), np.int64)
+        words[of_single] = np.arange(first)
+        words[~of_single] = tokens
+        sums = np.concatenate(([0], np.cumsum(count[words])))
+        piece_at = sums[np.concatenate(([0], np.cumsum(per_piece)))]
+        piece_count = np.diff(piece_at)
+        piece_ids = gather(ids, begin[words], count[words])
         out = gather(piece_ids, piece_at[which], piece_count[which])
-        sums = np.concatenate(([0], np.cumsum(piece_count[which])))
-        return out, sums[np.searchsorted(starts, offsets)]
+        ends = np.concatenate(([0], np.cumsum(piece_count[which])))
+        return out, ends[np.searchsorted(starts, offsets)]
 
 
 def decode(bpe: ByteBpe, ids: np.ndarray) -> bytes:
@@ -303,34 +338,39 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         data, offsets = flat(batch.column(0))
-        for a, b in slices(offsets):
+        for a, b in slices(offsets, SLICE_BYTES):
             part, offs = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
             starts = pieces(part, offs)
             if not len(starts):
                 continue
             counts = strings(part, np.append(starts, len(part)), pa.large_string()).value_counts()
-            for piece, n in zip(counts.field(0).to_pylist(), counts.field(1).to_pylist(), strict=True):
+            single = pc.match_substring_regex(counts.field(0), ONE_TOKEN)
+            for piece, n in zip(counts.field(0).filter(single).to_pylist(), counts.field(1).filter(single).to_pylist(), strict=True):
+                total[piece] += n
+            for piece, n in zip(counts.field(0).filter(pc.invert(single)).to_pylist(), counts.field(1).filter(pc.invert(single)).to_pylist(), strict=True):
                 for word in PRETOKEN.findall(piece):
                     total[word] += n
-            if len(total) > 200_000:  # memory stays bounded; Spark adds the parts up
+            if len(total) > 2 * REMEMBERED:  # memory stays bounded; Spark adds the parts up
                 yield out()
     yield out()
 
 
 def frequent_words(texts: DataFrame, words: int = LEXICON_WORDS) -> list[str]:
     """The most frequent pre-tokens over all texts, at most `words` of them."""
-    counts = texts.mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(words).select("word").collect()]
+    counts = staged(texts.mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    # a bound found by counting: what reaches the driver has fewer than `words` rows, from all tasks together
+    least = kth_largest(counts.select(F.col("n").cast("double").alias("n")), "n", words)
+    return [r.word for r in counts.where(F.col("n") > least).select("word").collect()]
 
 
 def publish_lexicon(spark: SparkSession, bpe: ByteBpe, words: Iterable[str]) -> str:
     """Compile, save, and hand to all executors; returns the file's name."""
     arrays = compile_lexicon((w, bpe.merge(w)) for w in sorted({w.encode() for w in words}))
     folder = tempfile.mkdtemp()
-    name = f"lexicon-{hashlib.sha256(b''.join(a.tobytes() for a in arrays.values())).hexdigest()[:16]}.npy"
-    # one flat int64 file, so that it can be mapped: a table of lengths, then the arrays
-    parts = [arrays[k].astype(np.int64) for k in sorted(arrays)]
-    np.save(os.path.join(folder, name), np.concatenate([np.array([len(parts), *map(len, parts)], np.int64), *parts]))
+    name = f"lexicon-{uuid.uuid4().hex}.npy"  # added files are known by name, for good
+    # one flat int32 file, so that it can be mapped: a table of lengths, then the arrays
+    parts = [arrays[k].astype(np.int32) for k in sorted(arrays)]
+    np.save(os.path.join(folder, name), np.concatenate([np.array([len(parts), *map(len, parts)], np.int32), *parts]))
     spark.sparkContext.addFile(os.path.join(folder, name))
     return name
 
@@ -338,9 +378,9 @@ def publish_lexicon(spark: SparkSession, bpe: ByteBpe, words: Iterable[str]) ->
 def map_lexicon(path: str) -> Lexicon:
     raw = np.load(path, mmap_mode="r")
     lengths = raw[1 : 1 + int(raw[0])]
-    ends = 1 + int(raw[0]) + np.cumsum(lengths)
+    ends = 1 + int(raw[0]) + np.cumsum(lengths, dtype=np.int64)
     arrays = {k: raw[e - n : e] for k, e, n in zip(sorted(["keys", "targets", "outputs", "final", "root", "id_at", "ids"]), ends, lengths, strict=True)}
-    return Lexicon(arrays | {"final": arrays["final"].astype(bool), "ids": arrays["ids"].astype(np.uint32)})
+    return Lexicon(arrays | {"final": arrays["final"].astype(bool), "ids": arrays["ids"].view(np.uint32)})
 
 
 @lru_cache(2)
@@ -361,7 +401,7 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
         coder = _encoder(vocabulary, lexicon)
         for batch in batches:
             data, offsets = flat(batch.column(1))
-            for a, b in slices(offsets, 1 << 20):
+            for a, b in slices(offsets, SLICE_BYTES):
                 part, offs = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 ids, at = coder(part, offs)
                 rows = [ids[at[i] : at[i + 1]] for i in range(b - a)]
