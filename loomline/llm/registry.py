@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op8_transducer_bpe
+from .partenum import op6_partenum_jaccard
 from .quality import op3_ngram_logistic_quality
 from .resample import op10_importance_resampling
 from .sharding import op5_jump_hash_sharding
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_external_index_merge": op1_external_index_merge,
     "op3_ngram_logistic_quality": op3_ngram_logistic_quality,
     "op5_jump_hash_sharding": op5_jump_hash_sharding,
+    "op6_partenum_jaccard": op6_partenum_jaccard,
     "op7_rabin_karp_repeats": op7_rabin_karp_repeats,
     "op8_transducer_bpe": op8_transducer_bpe,
     "op10_importance_resampling": op10_importance_resampling,
