@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op8_transducer_bpe
+from .decontaminate import OP4_SQL, op4_spaced_seed_decontamination
 from .partenum import op6_partenum_jaccard
 from .quality import op3_ngram_logistic_quality
 from .resample import op10_importance_resampling
@@ -13,6 +14,7 @@ from .warc import OP1_SQL, op1_external_index_merge
 QUERIES = {
     "op1_external_index_merge": op1_external_index_merge,
     "op3_ngram_logistic_quality": op3_ngram_logistic_quality,
+    "op4_spaced_seed_decontamination": op4_spaced_seed_decontamination,
     "op5_jump_hash_sharding": op5_jump_hash_sharding,
     "op6_partenum_jaccard": op6_partenum_jaccard,
     "op7_rabin_karp_repeats": op7_rabin_karp_repeats,
@@ -21,5 +23,6 @@ QUERIES = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_external_index_merge": OP1_SQL,
+    "op4_spaced_seed_decontamination": OP4_SQL,
     "op7_rabin_karp_repeats": OP7_SQL,
 }
