@@ -88,20 +88,43 @@ def pack(hashes: np.ndarray, owner: np.ndarray, place: np.ndarray, ranges: int)
             mine = slice(cut[i], cut[i + 1])
             by = np.argsort(s_o[mine], kind="stable")
             rows.append((i, s_h[mine][by].tobytes(), s_o[mine][by].tobytes(), s_p[mine][by].astype(np.int32).tobytes(), r_h[cut2[i] : cut2[i + 1]].tobytes(), b"", b""))
-    if hit.shape[1]:
-        rows.append((int(hit[0, 0] % ranges), b"", b"", b"", b"", hit[0].tobytes(), hit[1].astype(np.int32).tobytes()))
+    rows += [(i, b"", b"", b"", b"", o.tobytes(), p.tobytes()) for i, o, p in dealt(hit[0], hit[1].astype(np.int32), ranges)]
     if rows:
         columns = list(zip(*rows, strict=True))
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], [x.split()[0] for x in PACKED.split(", ")])
 
 
-def settle(group: pa.Table) -> pa.Table:
-    """Owners and places of the hashes of one range that are repeated."""
-    join = lambda name, kind: np.frombuffer(b"".join(x.as_py() for x in group.column(name)), kind)
-    hashes, owner, place, twice = join("hash", np.uint64), join("owner", np.int64), join("place", np.int32), join("twice", np.uint64)
-    _, inverse, counts = np.unique(np.concatenate((hashes, twice, twice)), return_inverse=True, return_counts=True)
-    found = counts[inverse[: len(hashes)]] > 1
-    owner, place = np.concatenate((owner[found], join("hit_owner", np.int64))), np.concatenate((place[found], join("hit_place", np.int32)))
+def dealt(owner: np.ndarray, place: np.ndarray, slots: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(slot, owners, places), dealt by owner."""
+    slot = owner % slots
+    order = np.argsort(slot, kind="stable")
+    cut = np.searchsorted(slot[order], np.arange(slots + 1))
+    for i in range(slots):
+        if cut[i] < cut[i + 1]:
+            mine = order[cut[i] : cut[i + 1]]
+            yield i, owner[mine], place[mine]
+
+
+def _joined(group: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in group.column(name)), kind)
+
+
+def _settle(slots: int) -> Callable[[pa.Table], pa.Table]:
+    def run(group: pa.Table) -> pa.Table:
+        """Owners and places of the hashes of one range that are repeated, packed by owner."""
+        hashes, owner, place, twice = _joined(group, "hash", np.uint64), _joined(group, "owner", np.int64), _joined(group, "place", np.int32), _joined(group, "twice", np.uint64)
+        _, inverse, counts = np.unique(np.concatenate((hashes, twice, twice)), return_inverse=True, return_counts=True)
+        found = counts[inverse[: len(hashes)]] > 1
+        owner, place = np.concatenate((owner[found], _joined(group, "hit_owner", np.int64))), np.concatenate((place[found], _joined(group, "hit_place", np.int32)))
+        rows = [(i, o.tobytes(), p.tobytes()) for i, o, p in dealt(owner, place, slots)]
+        columns = list(zip(*rows, strict=True)) if rows else ((), (), ())
+        return pa.Table.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], ["slot", "owner", "place"])
+
+    return run
+
+
+def _unpack(group: pa.Table) -> pa.Table:
+    owner, place = _joined(group, "owner", np.int64), _joined(group, "place", np.int32)
     order = np.argsort(owner, kind="stable")
     owner, place = owner[order], place[order]
     first = np.flatnonzero(np.concatenate((np.ones(min(1, len(owner)), bool), owner[1:] != owner[:-1])))
@@ -125,8 +148,8 @@ def repeated(rows: DataFrame, emit: Emit, ranges: int) -> DataFrame:
         if held:
             yield from pack(*(np.concatenate(x) for x in zip(*held, strict=True)), ranges)
 
-    found = rows.mapInArrow(run, PACKED).groupBy("range").applyInArrow(settle, FOUND)
-    return found.groupBy("owner").agg(F.flatten(F.collect_list("places")).alias("places"))
+    found = rows.mapInArrow(run, PACKED).groupBy("range").applyInArrow(_settle(ranges), "slot int, owner binary, place binary")
+    return found.groupBy("slot").applyInArrow(_unpack, FOUND)
 
 
 def _word_slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Words]]:
