@@ -9,6 +9,7 @@ from .quality import op3_ngram_logistic_quality
 from .resample import op10_importance_resampling
 from .sharding import op5_jump_hash_sharding
 from .substring import OP7_SQL, op7_rabin_karp_repeats
+from .surrogates import op9_pii_surrogates
 from .warc import OP1_SQL, op1_external_index_merge
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_partenum_jaccard": op6_partenum_jaccard,
     "op7_rabin_karp_repeats": op7_rabin_karp_repeats,
     "op8_transducer_bpe": op8_transducer_bpe,
+    "op9_pii_surrogates": op9_pii_surrogates,
     "op10_importance_resampling": op10_importance_resampling,
 }
 ORACLE_SQL: dict[str, str] = {
