@@ -10,10 +10,12 @@ from .resample import op10_importance_resampling
 from .sharding import op5_jump_hash_sharding
 from .substring import OP7_SQL, op7_rabin_karp_repeats
 from .surrogates import op9_pii_surrogates
+from .toolcalls import op2_tool_call_linking
 from .warc import OP1_SQL, op1_external_index_merge
 
 QUERIES = {
     "op1_external_index_merge": op1_external_index_merge,
+    "op2_tool_call_linking": op2_tool_call_linking,
     "op3_ngram_logistic_quality": op3_ngram_logistic_quality,
     "op4_spaced_seed_decontamination": op4_spaced_seed_decontamination,
     "op5_jump_hash_sharding": op5_jump_hash_sharding,
