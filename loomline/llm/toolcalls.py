@@ -204,7 +204,7 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
     first = calls.groupBy("conv", "id").agg(F.min_by(F.struct("conv_id", "turn", "idx", "name", "arguments", "depends", "verdict"), "_k").alias("c"), F.count(F.lit(1)).alias("n")).select("conv", "id", "c.*", "n")
     first = staged(first)
     answers = results.withColumn("conv", conv).groupBy("conv", F.col("result_id").alias("id")).agg(F.min_by(F.struct("conv_id", "turn", "content"), F.struct("turn", "content")).alias("r"), F.count(F.lit(1)).alias("n_results"))
-    both = first.join(answers, ["conv", "id"], "full").join(levels(first), ["conv", "id"], "left")
+    both = first.join(answers.hint("shuffle_hash"), ["conv", "id"], "full").join(levels(first), ["conv", "id"], "left")
     status = F.when(F.col("n").isNull(), "orphan").when(F.col("verdict") != "ok", F.col("verdict")).when(F.col("level").isNull(), "cyclic").when(F.col("r").isNull(), "unanswered").otherwise("linked")
     quoted = lambda c: F.regexp_replace(F.regexp_replace(F.to_json(F.array(c)), r"^\[", ""), r"\]$", "")
     shown = F.concat(
