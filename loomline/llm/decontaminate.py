@@ -87,9 +87,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the documents that overlap an item."""
     bad = staged(overlaps(docs, benchmark).select(F.col("_owner").alias("_bad")).distinct())
-    if bad.count() <= BROADCAST_ROWS:
-        bad = F.broadcast(bad)
-    return docs.join(bad, F.xxhash64(docs["doc_id"], docs["text"]) == F.col("_bad"), "left_anti")
+    side = F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad
+    return docs.join(side, F.xxhash64(docs["doc_id"], docs["text"]) == bad["_bad"], "left_anti")
 
 
 def op4_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

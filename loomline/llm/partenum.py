@@ -39,6 +39,8 @@ BROADCAST_ROWS = 200_000
 ENTRIES = 4_000_000
 #: Columns with at least so many sets are compared as bits, others by their pairs.
 DENSE = 32
+#: Sets of fewer elements keep all their signatures.
+SMALL = 64
 PACKED = "range int, signature binary, node binary, a binary, b binary"
 
 
@@ -85,8 +87,8 @@ def signatures(values: np.ndarray, offsets: np.ndarray, similarity: int, second:
     of some part; each part is dealt into `second` subparts and every choice of
     all subparts but one is a signature: one of them leaves the element out.
 
-    least: signatures of fewer elements are left out for sets of 16 times as
-    many or more; 0 keeps all, which alone guarantees that no pair is missed."""
+    least: signatures of fewer elements are left out for sets of SMALL elements
+    or more; 0 keeps all, which alone guarantees that no pair is missed."""
     sizes = np.diff(offsets)
     low, bound = bands(similarity)
     own = np.searchsorted(low, sizes, "right") - 1
@@ -119,7 +121,7 @@ def signatures(values: np.ndarray, offsets: np.ndarray, similarity: int, second:
             filled = np.bincount(at, minlength=base[-1])
             inside = np.repeat(np.add.reduceat(filled, sub_first), np.repeat(subs, parts)) if len(sub_first) else filled
             elements = np.where(np.repeat(subs, cells) > 1, inside - filled, filled) if len(filled) else filled
-            strong = (elements >= least) | (sizes[who] < 16 * least)
+            strong = (elements >= least) | (sizes[who] < SMALL)
             sig, who = sig[strong], who[strong]
         out_s.append(sig)
         out_r.append(who)
@@ -215,19 +217,19 @@ def candidate_ties(docs: DataFrame, k: int, similarity: int, second: int, least:
     return docs.select("text").mapInArrow(run, PACKED).groupBy("range").applyInArrow(_tie, "a long, b long")
 
 
-def common(sets: list[np.ndarray], left: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(i, shingles in common with every set) for each of the first `left` sets."""
+def common(sets: list[np.ndarray], first: np.ndarray, last: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, shingles in common with sets[first[i] : last[i]]) for every i whose range is not empty."""
     m = len(sets)
     row = np.repeat(np.arange(m), [len(s) for s in sets])
     _, column, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    order = np.argsort(column, kind="stable")
-    row, degree = row[order], df[column[order]]
+    row = row[np.argsort(column, kind="stable")]
+    column = np.sort(column)
     start = np.concatenate(([0], np.cumsum(df)[:-1]))
     dense = np.flatnonzero(df >= DENSE)
     bits = np.zeros((m, (len(dense) + 63) // 64), np.uint64)
     place = np.full(len(df), -1)
     place[dense] = np.arange(len(dense))
-    at = place[column[order]]
+    at = place[column]
     hit = at >= 0
     np.bitwise_or.at(bits, (row[hit], at[hit] // 64), np.uint64(1) << (at[hit] % 64).astype(np.uint64))
     pairs = []
@@ -237,16 +239,18 @@ def common(sets: list[np.ndarray], left: int) -> Iterator[tuple[int, np.ndarray]
             block = row[mine[:, None] + np.arange(d)]
             i, j = np.triu_indices(d, 1)
             pairs.append((block[:, i].ravel().astype(np.int64) * m + block[:, j].ravel()))
-    del degree
     keys, counts = np.unique(np.concatenate(pairs), return_counts=True) if pairs else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     low, high = keys // m, keys % m
     both = np.concatenate((low, high)), np.concatenate((high, low)), np.concatenate((counts, counts))
     order = np.argsort(both[0], kind="stable")
     cut = np.searchsorted(both[0][order], np.arange(m + 1))
     other, extra = both[1][order], both[2][order]
-    for i in range(left):
-        out = np.bitwise_count(bits & bits[i]).sum(axis=1).astype(np.int64)
-        out[other[cut[i] : cut[i + 1]]] += extra[cut[i] : cut[i + 1]]
+    for i in np.flatnonzero(first < last).tolist():
+        a, b = first[i], last[i]
+        out = np.bitwise_count(bits[a:b] & bits[i]).sum(axis=1).astype(np.int64)
+        near = other[cut[i] : cut[i + 1]]
+        inside = (near >= a) & (near < b)
+        out[near[inside] - a] += extra[cut[i] : cut[i + 1]][inside]
         yield i, out
 
 
@@ -260,11 +264,14 @@ def _verify(similarity: int):
         ends = np.flatnonzero(np.diff(np.append(cluster[order], cluster[order][-1] + 1 if len(order) else 0))) + 1
         for part in np.split(order, ends[:-1]) if len(order) else []:
             # a repeated row may bring a node twice
-            part = part[np.concatenate(([True], node[part][1:] != node[part][:-1]))]
+            part = part[np.concatenate(([True], node[part][1:] != node[part][:-1]))]  # equal nodes are on one side
             two = side[part].max() > 0
-            left = int((side[part] == 0).sum())
             sets = [np.frombuffer(blobs[i].as_py(), np.uint64) for i in part.tolist()]
-            size, name, copies = np.array([len(s) for s in sets]), node[part], weight[part]
+            size = np.array([len(s) for s in sets])
+            # by size, so that the sets that can be similar to one are a range; one side after the other
+            by_size = np.lexsort((size, side[part]))
+            part, sets, size = part[by_size], [sets[i] for i in by_size.tolist()], size[by_size]
+            name, copies, left = node[part], weight[part], int((side[part] == 0).sum())
             if len(part) < 2 or two and left in (0, len(part)):
                 continue
             parent = list(range(len(part)))
@@ -275,16 +282,18 @@ def _verify(similarity: int):
                     x = parent[x]
                 return x
 
+            most = size * 100 // similarity
+            if two:
+                least = -(-size * similarity // 100)
+                first, last = (left + np.searchsorted(size[left:], x, how) for x, how in ((least, "left"), (most, "right")))
+                last[left:] = 0
+            else:
+                first, last = np.arange(len(part)) + 1, np.searchsorted(size, most, "right")
             links = np.zeros(len(part), np.int64)
-            first = left if two else 0
-            for i, inter in common(sets, left if two else len(part)):
-                linked = 100 * inter >= similarity * (size[i] + size - inter)
-                linked[i] = False
-                linked[:first] = False
-                found = np.flatnonzero(linked)
+            for i, inter in common(sets, first, last):
+                found = first[i] + np.flatnonzero(100 * inter >= similarity * (size[i] + size[first[i] : last[i]] - inter))
                 links[i] += copies[found].sum()
-                if two:
-                    links[found] += copies[i]
+                links[found] += copies[i]
                 for j in found.tolist():
                     x, y = find(i), find(j)
                     if x != y:
@@ -345,3 +354,19 @@ def jaccard_classes(docs: DataFrame, k: int, similarity: int, second: int = 2, l
 
 def op6_partenum_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), k=3, similarity=90).drop("_owner")
+
+
+def one_of_each_class(docs: DataFrame, k: int, similarity: int, second: int = 2, least: int = 0) -> DataFrame:
+    """docs with one document of each class: that of the smallest doc_id (then of the smallest row hash)."""
+    rows = staged(jaccard_classes(docs, k, similarity, second, least).where("n_links > 0"))
+    winner = rows.groupBy("component_id").agg(F.min_by("_owner", F.struct(F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(True)), "doc_id", "_owner")).alias("_winner"))
+    losers = staged(rows.select("component_id", "_owner").distinct().join(winner, ["component_id"]).where("_owner <> _winner").select(F.col("_owner").alias("_loser")))
+    # rows that are equal as a whole cannot be told apart by their hash
+    repeated = staged(rows.groupBy("_owner").count().where("count > 1").select(F.col("_owner").alias("_twice")))
+    name = F.xxhash64(docs["doc_id"], docs["text"])
+    kept = docs.join(F.broadcast(losers) if losers.count() <= BROADCAST_ROWS else losers, name == losers["_loser"], "left_anti")
+    if not repeated.limit(1).count():
+        return kept
+    side = F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated
+    twice = kept.join(side, name == repeated["_twice"], "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(side, name == repeated["_twice"], "left_anti").union(twice)

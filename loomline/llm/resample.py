@@ -29,6 +29,7 @@ columns pass through, whatever their names.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -111,17 +112,17 @@ def gumbel(key: Column) -> Column:
     return -F.log(-F.log(uniform))
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """docs' columns, then _log_weight and _key."""
+def scored(docs: DataFrame, model: Model, weight_as: str, key_as: str) -> DataFrame:
+    """docs' columns, then the log weight and the key under these names."""
     columns = docs.columns
     place = columns.index("text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, weight in by_slice(lambda d, o: log_weight(model, d, o), place)(batches):
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(weight)], [*rows.schema.names, "_log_weight"])
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(weight)], [*rows.schema.names, weight_as])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("_log_weight", T.DoubleType())])
-    return docs.mapInArrow(score, schema).withColumn("_key", F.col("_log_weight") + gumbel(F.col("doc_id")))
+    schema = T.StructType([*docs.schema.fields, T.StructField(weight_as, T.DoubleType())])
+    return docs.mapInArrow(score, schema).withColumn(key_as, F.col(weight_as) + gumbel(F.col("doc_id")))
 
 
 def kth_largest(keys: DataFrame, name: str, k: int) -> float:
@@ -150,7 +151,7 @@ def kth_largest(keys: DataFrame, name: str, k: int) -> float:
 def selection(docs: DataFrame, labels: DataFrame, share: float | None = None) -> tuple[Model, float, DataFrame]:
     """The model, the least key that is selected, and (doc_id, log weight, key) of all rows."""
     model = fit(docs, labels)
-    keys = staged(scored(docs.select("doc_id", "text"), model).select("doc_id", F.col("_log_weight").alias("log_weight"), F.col("_key").alias("key")))
+    keys = staged(scored(docs.select("doc_id", "text"), model, "log_weight", "key").drop("text"))
     k = keys.where(F.col("log_weight") >= -SHARPNESS).count() if share is None else round(keys.count() * share)
     return model, kth_largest(keys, "key", k), keys
 
@@ -158,7 +159,9 @@ def selection(docs: DataFrame, labels: DataFrame, share: float | None = None) ->
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None) -> DataFrame:
     """Selected rows of docs with all their columns."""
     model, least, _ = selection(docs, labels, share)
-    return scored(docs, model).where((F.col("_key") >= least) & (F.col("_key") > float("-inf"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    weight, key = (f"_{name}_{uuid.uuid4().hex}" for name in ("weight", "key"))  # clash with no column
+    out = scored(docs, model, weight, key)
+    return out.where((out[key] >= least) & (out[key] > float("-inf"))).drop(weight, key)
 
 
 def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -191,10 +191,8 @@ def replace_entities(docs: DataFrame, key: str = KEY, counted: str | None = None
     if few:
         mine = found.join(F.broadcast(again) if few <= BROADCAST_ROWS else again, ["kind", "canon"]).groupBy("_text").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "canon"), "attempt"))).alias("_again"))
         mine = staged(mine)
-        if mine.count() <= BROADCAST_ROWS:
-            mine = F.broadcast(mine)
-        joined = docs.join(mine, F.xxhash64(docs["text"]) == F.col("_text"), "left")
-        attempt = lambda p: F.coalesce(F.try_element_at(F.col("_again"), F.concat_ws("\x1f", p["kind"], p["canon"])), F.lit(0))
+        joined = docs.join(F.broadcast(mine) if mine.count() <= BROADCAST_ROWS else mine, F.xxhash64(docs["text"]) == mine["_text"], "left")
+        attempt = lambda p: F.coalesce(F.try_element_at(mine["_again"], F.concat_ws("\x1f", p["kind"], p["canon"])), F.lit(0))
     else:
         joined, attempt = docs, lambda p: F.lit(0)
     text = docs["text"]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import loomline.llm.decontaminate as module
 from loomline.llm.decontaminate import FLANK, MASKS, SPAN, decontaminate, overlaps
 
-DOCS, ITEMS = "doc_id long, text string, h string, at int, seed long", "item_id long, text string, near string"
+DOCS, ITEMS = "doc_id long, text string, _bad string, at int, seed long", "item_id long, text string, near string"
 
 
 def brute(docs, items):

@@ -7,7 +7,7 @@ import pytest
 
 import loomline.llm.partenum as module
 from loomline.llm.components import components
-from loomline.llm.partenum import bands, common, jaccard_classes, signatures
+from loomline.llm.partenum import bands, common, jaccard_classes, one_of_each_class, signatures
 
 LOW = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -94,9 +94,22 @@ def test_similar_sets_share_a_signature(similarity):
 def test_common_counts():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 300, 60)).astype(np.uint64) for _ in range(90)]
-    for i, got in common(sets, 90):
-        want = [len(np.intersect1d(sets[i], s)) for s in sets]
-        assert np.delete(got, i).tolist() == np.delete(want, i).tolist()
+    first = rng.integers(0, 90, 90)
+    last = np.minimum(90, first + rng.integers(0, 60, 90))
+    for i, got in common(sets, first, last):
+        assert all(x == len(np.intersect1d(sets[i], s)) for j, (x, s) in enumerate(zip(got, sets[first[i] : last[i]]), first[i]) if j != i)
+
+
+def test_one_of_each_class(spark):
+    rows = corpus(21) + [(7, corpus(21)[7][1], "x", 0)] * 3
+    classes = {(r[0], i): r[2] for i, r in enumerate(brute(rows, 5, 80))}
+    kept = one_of_each_class(spark.createDataFrame(rows, "doc_id long, text string, _loser string, n int").repartition(3), 5, 80, 3, 2).collect()
+    assert kept[0].__fields__ == ["doc_id", "text", "_loser", "n"]
+    linked = {c for (_, i), c in classes.items() if c is not None}
+    ids = sorted(str(r.doc_id) for r in kept)
+    alone = [r for r in brute(rows, 5, 80) if r[3] == 0]
+    groups = {r[2] for r in brute(rows, 5, 80) if r[3]}
+    assert linked and ids == sorted([str(r[0]) for r in alone] + [str(g) for g in groups])
 
 
 def test_components(spark):

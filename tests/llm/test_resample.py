@@ -29,7 +29,9 @@ def corpus(n=400):
 
 def test_rejects_junk_and_toxic_and_keeps_clean(spark):
     docs, labels, kind = corpus()
-    got = {r.doc_id for r in resample(spark.createDataFrame(docs, "doc_id long, text string, _key string"), spark.createDataFrame(labels, LABELS)).collect()}
+    rows = resample(spark.createDataFrame(docs, "doc_id long, text string, key string"), spark.createDataFrame(labels, LABELS)).collect()
+    got = {r.doc_id for r in rows}
+    assert {r.key for r in rows} == {"x"}
     clean = [i for i, k in kind.items() if k == "clean"]
     assert len(got & set(clean)) >= 0.97 * len(clean)
     assert len(got) - len(got & set(clean)) <= 3
