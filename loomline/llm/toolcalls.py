@@ -8,7 +8,7 @@ identifiers.  Arguments are validated against the tool's schema (types,
 required and unknown members, enumerations, ranges).  Calls are ordered
 topologically by their dependencies, which are explicit identifiers or, by
 "$<id>" strings, implied in the arguments; levels are found by rounds of joins
-on (conversation, identifier) over what is still open, with no conversation
+on (conversation, identifier), with chains halved each round and no conversation
 gathered in one task.  Output is canonical JSON: members sorted by code point,
 no spaces, shortest numbers, UTF-8, so equal calls have equal digests.
 
@@ -28,7 +28,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -170,30 +170,34 @@ def parse(turns: DataFrame, schemas: dict) -> tuple[DataFrame, DataFrame]:
 def levels(calls: DataFrame) -> DataFrame:
     """(conv, id, level): 0 for calls that wait for none, else one more than the latest they wait for.
 
-    A round settles all calls whose dependencies are settled; calls that no
-    round settles lie on or behind a cycle and do not appear."""
+    Each round first shortens edges: an edge to a call that waits for just one
+    other is led on to that one, and the lengths add up, so a chain of n calls
+    takes log2 n rounds; then calls all of whose edges end at settled calls are
+    settled.  An edge longer than there are edges runs round a cycle and is cut
+    loose; calls on or behind cycles are never settled and do not appear."""
     edges = calls.select("conv", "id", F.explode("depends").alias("on"))
-    real = edges.join(calls.select("conv", F.col("id").alias("on")), ["conv", "on"]).distinct()
-    waiting = staged(real)
-    done = calls.join(waiting.select("conv", "id").distinct(), ["conv", "id"], "left_anti").select("conv", "id", F.lit(0).alias("level"))
-    level, open_rows = 0, waiting.count()
-    if not open_rows:
-        return done
-    done = staged(done)
-    latest, settled = done, [done]
-    while open_rows:
-        level += 1
-        left = staged(waiting.join(latest.select("conv", F.col("id").alias("on")), ["conv", "on"], "left_anti"))
-        now = left.count()
-        if now == open_rows:
+    real = edges.join(calls.select("conv", F.col("id").alias("on")), ["conv", "on"]).select("conv", "id", "on").distinct()
+    edges = staged(real.withColumn("w", F.lit(1).cast("long")))
+    total = edges.count()
+    new = calls.join(edges.select("conv", "id").distinct(), ["conv", "id"], "left_anti").select("conv", "id", F.lit(0).cast("long").alias("level"))
+    if not total:
+        return new
+    settled, state = [staged(new)], (total, total)
+    while state[0]:
+        ends = settled[-1].select("conv", F.col("id").alias("on"), F.col("level").alias("end"))
+        # an edge to a settled call ends there for good: on becomes "", and its length the level that it asks for
+        ended = edges.join(ends, ["conv", "on"], "left").select("conv", "id", F.when(F.col("end").isNotNull(), "").otherwise(F.col("on")).alias("on"), (F.col("w") + F.coalesce("end", F.lit(0))).alias("w"))
+        single = ended.groupBy("conv", "id").agg(F.count(F.lit(1)).alias("n"), F.first("on").alias("next"), F.first("w").alias("more")).where("n = 1").select("conv", F.col("id").alias("on"), "next", "more")
+        led = ended.join(single, ["conv", "on"], "left").select("conv", "id", F.coalesce("next", "on").alias("on"), (F.col("w") + F.coalesce("more", F.lit(0))).alias("w"))
+        loose = F.when(F.col("w") > total + 1, "\x1fcycle").otherwise(F.col("on"))
+        led = staged(led.select("conv", "id", loose.alias("on"), F.least("w", F.lit(total + 2)).alias("w")).groupBy("conv", "id", "on").agg(F.max("w").alias("w")))
+        new = staged(led.groupBy("conv", "id").agg(F.max("w").alias("level"), F.max(F.col("on") != "").alias("waits")).where("not waits").select("conv", "id", "level"))
+        edges = staged(led.join(new, ["conv", "id"], "left_anti"))
+        settled.append(new)
+        before, state = state, tuple(edges.select(F.count(F.lit(1)), F.coalesce(F.sum("w"), F.lit(0))).first())
+        if state == before and not new.limit(1).count():
             break
-        latest = staged(waiting.select("conv", "id").distinct().join(left.select("conv", "id").distinct(), ["conv", "id"], "left_anti").withColumn("level", F.lit(level)))
-        settled.append(latest)
-        waiting, open_rows = left, now
-    out = settled[0]
-    for part in settled[1:]:
-        out = out.union(part)
-    return out
+    return reduce(DataFrame.union, settled)
 
 
 def link(calls: DataFrame, results: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 import hashlib
 import json
+import random
 
-from loomline.llm.toolcalls import as_tool_turns, breaks, canonical, link_tool_calls, op2_tool_call_linking
+from loomline.llm.toolcalls import as_tool_turns, breaks, canonical, levels, link_tool_calls, op2_tool_call_linking
 
 SCHEMAS = {
     "add": {"type": "object", "required": ["a"], "additionalProperties": False, "properties": {"a": {"type": "integer", "minimum": 0}, "b": {"type": ["number", "string"]}, "c": {"enum": ["x", "y"]}}},
@@ -46,6 +47,27 @@ def test_links(spark):
     assert all(canonical(json.loads(r.linked_json)) == r.linked_json for r in got.values())
 
 
+def test_levels_of_long_chains_and_random_graphs(spark):
+    rng, rows, want = random.Random(8), [], {}
+    graphs = {"chain": {i: [i - 1] if i else [] for i in range(90)}, "ring": {i: [(i + 1) % 7] for i in range(7)} | {7: [3], 8: [7, 9], 9: []}}
+    for g in range(6):
+        graphs[f"dag{g}"] = {i: rng.sample(range(i), min(i, rng.randrange(4))) for i in range(30)}
+    for conv, graph in graphs.items():
+        def level(i, seen=(), graph=graph):
+            if i in seen:
+                return None
+            below = [level(j, (*seen, i)) for j in graph[i]]
+            return None if None in below else 1 + max(below) if below else 0
+
+        for i, on in graph.items():
+            rows.append((conv, str(i), [str(j) for j in on] + ["absent"]))
+            if conv != "chain" and (x := level(i)) is not None:
+                want[conv, str(i)] = x
+    want |= {("chain", str(i)): i for i in range(90)}
+    got = {(r.conv, r.id): r.level for r in levels(spark.createDataFrame(rows, "conv string, id string, depends array<string>")).collect()}
+    assert got == want
+
+
 def test_empty(spark):
     assert link_tool_calls(spark.createDataFrame([], TURNS), SCHEMAS).count() == 0
 
