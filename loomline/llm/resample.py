@@ -95,8 +95,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(every[keep]), pa.array(odd[keep])], ["every", "odd"])
 
     good = docs.select(F.col("doc_id"), F.col("text")).join(F.broadcast(sample.where("_good")), F.col("doc_id") == F.col("_id"), "left_semi").select("text")
-    low = good.mapInArrow(measure, "every double, odd double").select(F.percentile_approx("every", TAIL[0], 10_000), F.percentile_approx("odd", TAIL[1], 10_000)).first()
-    bounds = tuple(min(-0.01, x) if x is not None else -1.0 for x in low)
+    measured = staged(good.mapInArrow(measure, "every double, odd double"))
+    n = measured.count()
+    # exact order statistics, the same in every run
+    bounds = tuple(min(-0.01, kth_largest(measured, c, n - int(n * tail))) if n else -1.0 for c, tail in zip(("every", "odd"), TAIL, strict=True))
     return Model(ratio, bounds)
 
 
