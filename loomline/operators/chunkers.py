@@ -196,8 +196,11 @@ def _lexical_groups(parts: list[str], config: Config) -> Iterator[list[int]]:
         del free[leader]
         group, seen, size = [leader], set(words[leader]), len(parts[leader])
         for j in list(free):
-            union = len(seen | words[j])
-            if union and len(seen & words[j]) / union >= config.similarity:
+            low, high = sorted((len(seen), len(words[j])))
+            if low < config.similarity * high:
+                continue
+            both = len(seen & words[j])
+            if both >= config.similarity * (low + high - both):
                 del free[j]
                 group.append(j)
                 seen |= words[j]
