@@ -300,7 +300,7 @@ def cosine_neighbours(spark, sf_dir):
 @query()
 def lsh_search(spark, sf_dir):
     e = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    return retrieval.lsh_search(retrieval.lsh_index(e, bits=4), e.where("id % 100 = 0"), 10, bits=4)
+    return retrieval.lsh_search(retrieval.lsh_index(e, bits=4, tables=24), e.where("id % 100 = 0"), 10, bits=4, tables=24)
 
 
 @query()
