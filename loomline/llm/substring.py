@@ -169,7 +169,10 @@ def _marks(batch: pa.RecordBatch, a: int, b: int, words: Words) -> np.ndarray:
 
 
 def repeated_windows(docs: DataFrame, k: int = WINDOW) -> DataFrame:
-    """(owner, places): first words of the repeated k-word windows of each _owner of docs(_owner, text)."""
+    """(owner, places): first words of the repeated k-word windows of each _owner of docs(doc_id, text, _owner).
+
+    doc_id goes along unused, so that the shuffle of docs by _owner is the one
+    that remove_repeats needs as well, and Spark makes it once."""
     ranges = max(4, 2 * docs.rdd.getNumPartitions())
 
     def short_hashes(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -189,7 +192,7 @@ def repeated_windows(docs: DataFrame, k: int = WINDOW) -> DataFrame:
             yield window_hash(words.hash, starts, k), owner[a:b][row], starts - words.first[row]
 
     short = repeated(docs.select("_owner", "text"), short_hashes, ranges)
-    marked = docs.join(short, docs["_owner"] == short["owner"]).select("_owner", "text", "places")
+    marked = docs.join(short, docs["_owner"] == short["owner"]).select("_owner", "text", "places", "doc_id")
     return repeated(marked, window_hashes, ranges)
 
 
