@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.functions.vectors import cosine, literal
+from loomline.functions.vectors import cosine, cosine_to
 
 
 def _when(condition: Column) -> Column:
@@ -168,8 +168,8 @@ def vector_search(chunks: DataFrame, articles: DataFrame, query: list[float] | C
     Chunks without article are dropped by a semi join on ids; the k best are
     then taken (TakeOrderedAndProject keeps k rows a task) and only these are
     joined to article columns."""
-    vector = literal(query) if isinstance(query, list) else query
-    scored = chunks.where("embedding is not null").select(F.col("id").alias("chunk_id"), "article_id", F.col("content").alias("chunk_content"), cosine(F.col("embedding"), vector).alias("similarity_score"))
+    score = cosine_to(F.col("embedding"), query) if isinstance(query, list) else cosine(F.col("embedding"), query)
+    scored = chunks.where("embedding is not null").select(F.col("id").alias("chunk_id"), "article_id", F.col("content").alias("chunk_content"), score.alias("similarity_score")).where("similarity_score is not null")
     if threshold is not None:
         scored = scored.where(F.col("similarity_score") >= threshold)
     a = articles.select(F.col("id").alias("_id"), F.col("url").alias("article_url"), F.col("title").alias("article_title"))

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.functions.vectors import cosine, embed, hash_embed
+from loomline.functions.vectors import cosine, embed, hash_embed, matrix
 from loomline.operators.chunkers import Config, chunk_documents
 from loomline.operators.warehouse import rag_prompt, unprocessed_articles, vector_search
 
@@ -44,10 +44,12 @@ def lsh_index(chunks: DataFrame, bits: int = 12, tables: int = 8, dimensions: in
     One matrix product an Arrow batch gives the signs for all tables; every vector is indexed."""
     planes = np.random.default_rng(seed).normal(size=(dimensions, tables * bits)).astype(np.float32)
 
-    @F.pandas_udf("array<int>")
-    def buckets(vectors: pd.Series) -> pd.Series:
-        signs = (np.vstack(vectors.to_numpy()) @ planes >= 0).reshape(len(vectors), tables, bits)
-        return pd.Series(list((signs << np.arange(bits)).sum(axis=2).astype(np.int32)))
+    @F.arrow_udf("array<int>")
+    def buckets(lists: pa.Array) -> pa.Array:
+        _, vectors = matrix(lists, dimensions)
+        signs = (vectors @ planes >= 0).reshape(len(vectors), tables, bits)
+        found = (signs << np.arange(bits)).sum(axis=2).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(vectors) + 1) * tables, pa.int32()), pa.array(found.ravel()))
 
     whole = chunks.where(F.col("embedding").isNotNull() & (F.size("embedding") == dimensions)).select("id", "embedding")
     return whole.select(F.posexplode(buckets("embedding")).alias("table", "bucket"), "id", "embedding")

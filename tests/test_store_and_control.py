@@ -176,3 +176,13 @@ def test_integrity_of_empty_tables(spark):
     assert {r.status for r in W.data_integrity(empty["discovered_urls"], empty["articles"], empty["article_chunks"]).collect()} == {"OK"}
     progress = W.crawl_progress(empty["discovered_urls"], empty["articles"], empty["article_chunks"]).first()
     assert (progress.total_discovered, progress.avg_chunks_per_article, progress.progress_percentage) == (0, 0.0, 0.0)
+
+
+def test_cosine_forms_agree(spark):
+    from loomline.functions.vectors import cosine, cosine_to, literal
+
+    rows = [(1, [1.0, 2.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0]), (5, [-2.0, 1.0]), (6, [None, 1.0])]
+    df = spark.createDataFrame(rows, "id int, e array<float>")
+    got = {r.id: (r.a, r.b) for r in df.where("id < 6").select("id", cosine(F.col("e"), literal([2.0, 4.0])).alias("a"), cosine_to(F.col("e"), [2.0, 4.0]).alias("b")).collect()}
+    assert got[2] == (0.0, 0.0) and got[3] == (None, None) and got[4] == (None, None)
+    assert all(abs(got[i][0] - got[i][1]) < 1e-12 for i in (1, 5)) and abs(got[1][1] - 1) < 1e-12
