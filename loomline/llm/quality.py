@@ -7,8 +7,9 @@ four-grams (2^20 buckets a kind, averaged over the text, so length does not
 count), trained on labelled rows and calibrated by Platt's method on rows that
 training did not see.  Scoring runs in Arrow batches; the threshold is fixed.
 
-Training takes at most TRAIN_ROWS labelled ids (those of smallest hash), whose
-hashed features reach the driver; everything else covers all documents.
+Training takes at most TRAIN_ROWS labelled ids (those of smallest hash) and
+TRAIN_FEATURES features, which reach the driver; everything else covers all
+documents.
 
 Defined results: a null or empty text has no words and fails the rules; a null
 doc_id is kept as null; repeated rows are each scored; an id with several
@@ -34,6 +35,8 @@ from .textkernel import Words, mix64, window_hash, window_starts
 
 #: Labelled ids that the classifier is trained and calibrated on, at most.
 TRAIN_ROWS = 3000
+#: Distinct features of all training texts together, at most; texts are taken in hash order until it is reached.
+TRAIN_FEATURES = 16_000_000
 CHAR_GRAM = 4
 THRESHOLD = 0.5
 MIN_WORDS = 50
@@ -114,12 +117,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     # at most `rows` rows of two integers: safe to broadcast at any size of the corpus
     known = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("text", F.col("doc_id").cast("long").alias("id"), F.col("_label").cast("int").alias("label"))
     made = known.mapInArrow(extract, "id long, label int, name binary, value binary")
-    return made.groupBy("id").agg(F.min(F.struct("label", "name", "value")).alias("r")).select("id", "r.*").orderBy(F.xxhash64("id"))
+    return made.groupBy("id").agg(F.min(F.struct("label", "name", "value")).alias("r")).select("id", "r.*")
 
 
 def fit(docs: DataFrame, labels: DataFrame, epochs: int = 60) -> Model | None:
     """Full-batch logistic regression with Adam; a fifth of the sample calibrates it."""
-    found = training_rows(docs, labels).collect()
+    made = staged(training_rows(docs, labels))
+    # sizes first (TRAIN_ROWS pairs at most), so that what is fetched is bounded however long texts are
+    chosen, total = [], 0
+    for r in made.select("id", (F.octet_length("name") / 4).cast("long").alias("n")).orderBy(F.xxhash64("id")).collect():
+        if total + r.n <= TRAIN_FEATURES:
+            chosen.append(r.id)
+            total += r.n
+    found = made.where(F.col("id").isin(chosen)).orderBy(F.xxhash64("id")).collect()
     y = np.array([r.label for r in found], np.float32)
     held = np.arange(len(found)) % 5 == 4
     if not len(found) or any(len(set(y[m].tolist())) < 2 for m in (held, ~held)):
