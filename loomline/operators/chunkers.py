@@ -297,3 +297,15 @@ def sentence_windows(sentences: Column, size: int, overlap: int, separator: str
         return F.transform(starts, lambda i: F.struct(i.alias("sentence_start"), F.array_join(F.slice(s, i + 1, size), separator).alias("content")))
 
     return let(sentences, over)
+
+
+def chunk_report(docs: DataFrame, config: Config | None = None, key: str = "id", text: str = "content") -> DataFrame:
+    """What chunkers would find, without chunking: words, sentences, paragraphs, their ratio, windows of words."""
+    from loomline.functions.text import paragraphs, sentences, words
+
+    c = config or Config()
+    t = F.coalesce(F.col(text), F.lit(""))
+    counted = docs.select(F.col(key), F.length(t).alias("characters"), F.size(words(t)).alias("words"), F.size(sentences(t, c.language)).alias("sentences"), F.size(paragraphs(t)).alias("paragraphs"))
+    n = F.col("words")
+    windows = F.when(n == 0, 0).when(n <= c.window_size, 1).otherwise(F.floor((n - c.window_size) / c.step_size) + 1)
+    return counted.withColumns({"words_per_sentence": F.when(F.col("sentences") > 0, n / F.col("sentences")), "full_windows": windows.cast("int")})

@@ -359,6 +359,14 @@ def page_fields(spark, sf_dir):
     return _read(spark, sf_dir, "pages").select("page_id", X.title(F.col("html")).alias("title"), X.domain(F.col("url")).alias("domain"), X.url_path(F.col("url")).alias("path"))
 
 
+@query(
+    rf"""SELECT doc_id, characters, words, sentences, CASE WHEN sentences > 0 THEN round(words / sentences, 6) END AS words_per_sentence, CASE WHEN words = 0 THEN 0 WHEN words <= 100 THEN 1 ELSE (words - 100) // 50 + 1 END AS full_windows
+    FROM (SELECT doc_id, length(coalesce(text, '')) AS characters, len({_WORDS}) AS words, len({_SENTENCES}) AS sentences FROM documents)"""
+)
+def chunk_report(spark, sf_dir):
+    return _rounded(chunkers.chunk_report(_read(spark, sf_dir, "documents"), chunkers.Config(language="en"), "doc_id", "text").drop("paragraphs"), "words_per_sentence").withColumns({c: F.col(c).cast("long") for c in ("characters", "words", "sentences", "full_windows")})
+
+
 def _chunker(name: str, kind: str, config: chunkers.Config):
     @query(name=name)
     def run(spark, sf_dir):
