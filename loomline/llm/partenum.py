@@ -32,13 +32,13 @@ from .shared import staged, table
 from .textkernel import Words, flat, mix64, slices, window_hash, window_starts
 
 #: Shingles that a verifying task holds of each side.
-BLOCK = 1_500_000
+BLOCK = 200_000
 #: Nodes whose keys are broadcast to fetch their texts; with more, the join is shuffled.
 BROADCAST_ROWS = 200_000
 #: Signatures that a task holds before it packs and sends them.
-ENTRIES = 4_000_000
+ENTRIES = 1_500_000
 #: Columns with at least so many sets are compared as bits, others by their pairs.
-DENSE = 32
+DENSE = 8
 #: Sets of fewer elements keep all their signatures.
 SMALL = 64
 PACKED = "range int, signature binary, node binary, a binary, b binary"
@@ -274,14 +274,7 @@ def _verify(similarity: int):
             name, copies, left = node[part], weight[part], int((side[part] == 0).sum())
             if len(part) < 2 or two and left in (0, len(part)):
                 continue
-            parent = list(range(len(part)))
-
-            def find(x: int, parent: list[int] = parent) -> int:
-                while parent[x] != x:
-                    parent[x] = parent[parent[x]]
-                    x = parent[x]
-                return x
-
+            root = np.arange(len(part))  # of each set's component so far
             most = size * 100 // similarity
             if two:
                 least = -(-size * similarity // 100)
@@ -294,11 +287,10 @@ def _verify(similarity: int):
                 found = first[i] + np.flatnonzero(100 * inter >= similarity * (size[i] + size[first[i] : last[i]] - inter))
                 links[i] += copies[found].sum()
                 links[found] += copies[i]
-                for j in found.tolist():
-                    x, y = find(i), find(j)
-                    if x != y:
-                        parent[max(x, y)] = min(x, y)
-            out += [(int(name[i]), int(name[find(i)]), int(links[i])) for i in np.flatnonzero(links).tolist()]
+                for other in np.setdiff1d(root[found], root[i]).tolist():
+                    low, high = sorted((other, int(root[i])))
+                    root[root == high] = low
+            out += [(int(name[i]), int(name[root[i]]), int(links[i])) for i in np.flatnonzero(links).tolist()]
         columns = list(zip(*out, strict=True)) if out else ((), (), ())
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "links"])
 

@@ -11,13 +11,14 @@ for position by the inverse power, and then finalised by an avalanche mix.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one numpy pass holds; temporaries are about 60 times this.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -28,6 +29,22 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def return_memory() -> None:
+    """Have freed arrays go back to the system at once.
+
+    A worker lives on between tasks, and several share an executor's memory:
+    arrays of a megabyte or more are mapped one by one, and Arrow uses the same
+    allocator, so that what one task freed is not kept from the others."""
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD, which otherwise adapts upwards
+    except (OSError, AttributeError):
+        return  # another C library
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+return_memory()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser: a bijection of 64-bit words."""
     x = x.astype(np.uint64, copy=True)
