@@ -24,7 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
@@ -299,9 +299,11 @@ def _verify(similarity: int):
 
 def verified_links(keyed: DataFrame, nodes: DataFrame, clusters: DataFrame, k: int, similarity: int) -> DataFrame:
     """(a, b, links): a spanning forest of exact links, and each node's linked documents, block by block."""
-    total = F.sum("n_shingles").over(Window.partitionBy("root"))
     # small clusters share a task; a cluster of more than BLOCK shingles is cut, and every pair of its blocks is a task
-    placed = staged(clusters.join(nodes, "node").withColumn("blocks", F.ceil(total / BLOCK).cast("int")))
+    sized = staged(clusters.join(nodes, "node"))
+    large = staged(sized.groupBy("root").agg(F.sum("n_shingles").alias("total")).where(F.col("total") > BLOCK).select(F.col("root").alias("_root"), F.ceil(F.col("total") / BLOCK).cast("int").alias("_blocks")))
+    side = F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
+    placed = staged(sized.join(side, sized["root"] == large["_root"], "left").withColumn("blocks", F.coalesce("_blocks", F.lit(1))).drop("_root", "_blocks"))
     weight = placed.select(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count(F.lit(1))).first()
     tasks = max(1, int(weight[0] // BLOCK) + 1, keyed.sparkSession.sparkContext.defaultParallelism)
     wanted = placed.select(F.col("rep").alias("_rep"), "node", F.col("root").alias("cluster"), F.col("copies").alias("weight"), "blocks")
