@@ -34,9 +34,9 @@ from .shared import staged, table
 from .textkernel import Words, mix64, window_hash, window_starts
 
 #: Labelled ids that the classifier is trained and calibrated on, at most.
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 2000
 #: Distinct features of all training texts together, at most; texts are taken in hash order until it is reached.
-TRAIN_FEATURES = 16_000_000
+TRAIN_FEATURES = 4_000_000
 CHAR_GRAM = 4
 THRESHOLD = 0.5
 MIN_WORDS = 50
@@ -136,17 +136,18 @@ def fit(docs: DataFrame, labels: DataFrame, epochs: int = 60) -> Model | None:
         return None
     name = np.concatenate([np.frombuffer(r.name, np.uint32) for r in found])
     value = np.concatenate([np.frombuffer(r.value, np.float32) for r in found])
-    row = np.repeat(np.arange(len(found)), [len(r.name) // 4 for r in found])
+    row = np.repeat(np.arange(len(found), dtype=np.int32), [len(r.name) // 4 for r in found])
+    del found
     used, index = np.unique(name, return_inverse=True)
-    train = ~held[row]
-    t_row, t_index, t_value = row[train], index[train], value[train]
+    index = index.astype(np.int32)
+    del name
     share = np.where(y > 0, 0.5 / max(1, (y[~held] > 0).sum()), 0.5 / max(1, (y[~held] == 0).sum()))
     w, b = np.zeros(len(used)), 0.0
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     for step in range(1, epochs + 1):
-        z = np.bincount(t_row, w[t_index] * t_value, minlength=len(y)) + b
+        z = np.bincount(row, w[index] * value, minlength=len(y)) + b
         error = np.where(held, 0, share * (1 / (1 + np.exp(-z)) - y))
-        g, gb = np.bincount(t_index, error[t_row] * t_value, minlength=len(used)) + 1e-7 * w, error.sum()
+        g, gb = np.bincount(index, error[row] * value, minlength=len(used)) + 1e-7 * w, error.sum()
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         fix = np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
         w -= 0.5 * fix * m / (np.sqrt(v) + 1e-8)
