@@ -8,7 +8,11 @@ benchmark is cut into parts of that size, each joined in a pass of its own).
 Around each hit the aligned words of document and item are compared: FLANK
 words on both sides, as far as the item goes.  The overlap counts if at least
 AGREE percent of the item's words there are equal, so substitutions are
-tolerated at any position.
+tolerated at any position.  OP4_SQL ends there.  The query and the pipeline also
+count a passage out of an item (passages=True): an overlap of more than SPAN
+words that holds the seed, begins and ends with equal words and has AGREE percent
+of its own words equal, whatever the document has around it.  Pairs that the
+first rule finds keep its figures, so every row of OP4_SQL is a row of the query.
 
 Everything is DataFrame functions: words are hashed once a document; positions
 are exploded, hashed and probed inside one code-generated stage, in which the
@@ -23,6 +27,7 @@ an empty table on either side gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,38 +66,67 @@ def item_seeds(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _hits(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+def _hits(docs: DataFrame, seeds: DataFrame, passages: bool) -> DataFrame:
     words = docs.select("_owner", "doc_id", word_hashes(F.col("text")).alias("h"))
     met = positions(words).join(F.broadcast(seeds), "seed")
     # the document may begin or end inside the item's surroundings: what is missing does not agree
     left = F.least("left_words", "at")
     there = F.slice("h", F.col("at") - left + 1, left + F.size("near") - F.col("left_words"))
     hit = met.select("_owner", "doc_id", "item_id", "at", "left_words", left.alias("left"), F.size("near").alias("wanted"), there.alias("there"), "near")
-    equal = F.size(F.filter(F.zip_with("there", F.slice("near", F.col("left_words") - F.col("left") + 1, F.greatest(F.size("there"), F.lit(1))), lambda x, y: x == y), lambda same: same))
+    equal = F.zip_with("there", F.slice("near", F.col("left_words") - F.col("left") + 1, F.greatest(F.size("there"), F.lit(1))), lambda x, y: x == y)
     # generated, so that the comparison is not drawn into the join, which would leave generated code
-    return hit.withColumn("agreeing", F.explode(F.array(equal))).where(F.col("agreeing") * 100 >= F.lit(AGREE) * F.col("wanted")).select("_owner", "doc_id", "item_id", (F.col("at") - F.col("left")).alias("start"), (F.col("at") - F.col("left") + F.size("there")).alias("stop"), "agreeing")
+    compared = hit.withColumn("equal", F.explode(F.array(equal))).withColumn("agreeing", _count(F.col("equal")))
+    around = F.when(F.col("agreeing") * 100 >= F.lit(AGREE) * F.col("wanted"), F.struct((F.col("at") - F.col("left")).alias("start"), (F.col("at") - F.col("left") + F.size("there")).alias("stop"), F.col("agreeing"), F.lit(True).alias("around")))
+    judged = compared.withColumn("o", F.explode(F.array(F.coalesce(around, _passage(F.col("equal"), F.col("left"), F.col("at"))) if passages else around)))
+    return judged.where("o is not null").select("_owner", "doc_id", "item_id", "o.*")
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """_owner, doc_id, item_id, first and last + 1 word of the verified overlaps, best agreement in words."""
+def _count(equal: Column) -> Column:
+    return F.size(F.filter(equal, lambda same: same))
+
+
+def _passage(equal: Column, left: Column, at: Column) -> Column:
+    """The overlap of more than SPAN words around the seed, beginning and ending with equal words, that exceeds AGREE percent most; null if none reaches it."""
+    gain = lambda words: _count(words) * 100 - F.size(words) * AGREE
+
+    def best(room: Column, words: Callable[[Column], Column], end: Callable[[Column], Column]) -> Column:
+        return F.array_max(F.transform(F.when(room > 0, F.sequence(F.lit(1), room)), lambda n: F.when(end(n), F.struct(gain(words(n)).alias("gain"), n.alias("n")))))
+
+    stop = left + SPAN
+    before = best(left, lambda n: F.slice(equal, left - n + 1, n), lambda n: equal[left - n])
+    after = best(F.size(equal) - stop, lambda n: F.slice(equal, stop + 1, n), lambda n: equal[stop + n - 1])
+    none = F.struct(F.lit(0).alias("gain"), F.lit(0).alias("n"))
+    pair = lambda x, y: F.when(x.isNotNull() & y.isNotNull(), F.struct((x["gain"] + y["gain"]).alias("gain"), (x["n"] + y["n"]).alias("n"), x["n"].alias("before"), y["n"].alias("after")))
+    most = F.array_max(F.array(pair(before, after), pair(before, none), pair(none, after)))
+    first, last = left - most["before"], stop + most["after"]
+    found = F.struct((at - most["before"]).alias("start"), (at + SPAN + most["after"]).alias("stop"), _count(F.slice(equal, first + 1, last - first)).alias("agreeing"), F.lit(False).alias("around"))
+    return F.when(most["gain"] + gain(F.slice(equal, left + 1, F.lit(SPAN))) >= 0, found)
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, passages: bool = False) -> DataFrame:
+    """_owner, doc_id, item_id, first and last + 1 word of the verified overlaps, best agreement in words.
+
+    passages: also those that hold a part of the surroundings only; without, the rule of OP4_SQL."""
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("_owner"), "doc_id", "text")
     seeds = staged(item_seeds(benchmark))
     parts = max(1, -(-seeds.count() // BROADCAST_SEEDS))
-    passes = [_hits(keyed, seeds if parts == 1 else seeds.where(F.pmod(F.xxhash64("seed"), F.lit(parts)) == i)) for i in range(parts)]
+    passes = [_hits(keyed, seeds if parts == 1 else seeds.where(F.pmod(F.xxhash64("seed"), F.lit(parts)) == i), passages) for i in range(parts)]
+    # passages count only where nothing agrees over all of the surroundings
+    of = lambda how, name: F.coalesce(how(F.when(F.col("around"), F.col(name))), how(name)).cast("long")
     return reduce(DataFrame.union, passes).groupBy("_owner", "doc_id", "item_id").agg(
-        F.min("start").cast("long").alias("first_word"), F.max("stop").cast("long").alias("last_word"), F.max("agreeing").cast("long").alias("agreeing")
+        of(F.min, "start").alias("first_word"), of(F.max, "stop").alias("last_word"), of(F.max, "agreeing").alias("agreeing")
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, passages: bool = False) -> DataFrame:
     """docs without the documents that overlap an item."""
-    bad = staged(overlaps(docs, benchmark).select(F.col("_owner").alias("_bad")).distinct())
+    bad = staged(overlaps(docs, benchmark, passages).select(F.col("_owner").alias("_bad")).distinct())
     side = F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad
     return docs.join(side, F.xxhash64(docs["doc_id"], docs["text"]) == bad["_bad"], "left_anti")
 
 
 def op4_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_owner")
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), passages=True).drop("_owner")
 
 
 def _sql_seed(mask: str, words: str, at: str) -> str:

@@ -73,3 +73,45 @@ def test_empty(spark):
     docs, items = fixture()
     d, b = frames(spark, docs, items)
     assert overlaps(d.limit(0), b).count() == 0 and overlaps(d, b.limit(0)).count() == 0 and decontaminate(d, b.limit(0)).count() == len(docs)
+
+
+def brute_passages(docs, items):
+    out = brute(docs, items)
+    masks = [[i for i, b in enumerate(m) if b == "1"] for m in MASKS]
+    split = lambda t: "".join(c if c.isalnum() else " " for c in (t or "").lower()).split()
+    for doc_id, text, *_ in docs:
+        d = split(text)
+        for item_id, words, *_ in items:
+            b = split(words)
+            for p in range(len(d) - SPAN + 1):
+                for q in range(len(b) - SPAN + 1):
+                    if not any(all(d[p + i] == b[q + i] for i in m) for m in masks):
+                        continue
+                    for x in range(min(p, q, FLANK) + 1):
+                        for y in range(min(len(d) - p - SPAN, len(b) - q - SPAN, FLANK) + 1):
+                            same = [d[p + i] == b[q + i] for i in range(-x, SPAN + y)]
+                            if x + y and same[0] and same[-1] and sum(same) * 100 >= module.AGREE * len(same):
+                                out.add((doc_id, item_id))
+    return out
+
+
+def test_passages_out_of_an_item(spark):
+    words = [f"w{i}" for i in range(60)]
+    items = [(0, " ".join(words))]
+    docs = [(n * 100 + a, " ".join(["x"] * 20 + words[a : a + n] + ["y"] * 20)) for n in range(SPAN, 24) for a in range(0, 61 - n, 7)]
+    docs += [(9000, " ".join(words[20:33])), (9001, " ".join(words[45:] + ["y"] * 9)), (9002, " ".join(["x"] * 9 + words[:14]))]
+    d, b = frames(spark, docs, items)
+    found = {r.doc_id: (r.first_word, r.last_word, r.agreeing) for r in overlaps(d, b, passages=True).collect()}
+    assert set(found) == {i for i, t in docs if sum(w.startswith("w") for w in t.split()) > SPAN}
+    assert found[1321] == (20, 33, 13) and found[9000] == (0, 13, 13)
+    assert sorted(r.doc_id for r in decontaminate(d, b, passages=True).collect()) == [i for i, _ in docs if i // 100 == SPAN]
+
+
+def test_passages_equal_brute_force_and_keep_what_was_found(spark):
+    docs, items = fixture()
+    d, b = frames(spark, docs, items)
+    found = overlaps(d, b, passages=True)
+    assert "Python" not in found._jdf.queryExecution().toString() and "Arrow" not in found._jdf.queryExecution().toString()
+    rows = {tuple(r) for r in found.collect()}
+    assert {r[1:3] for r in rows} == brute_passages(docs, items) > brute(docs, items)
+    assert {tuple(r) for r in overlaps(d, b).collect()} <= rows
