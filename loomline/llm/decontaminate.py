@@ -19,8 +19,10 @@ are exploded, hashed and probed inside one code-generated stage, in which the
 document's words stay a reference, and nothing is shuffled but verified hits.
 
 Defined results: text is lower-cased and words are runs of letters and digits;
-null or empty texts, and texts under SPAN words, match nothing, and items under
-SPAN words are not searched for (such phrases are not evidence); repeated rows
+null or empty texts match nothing; an item under SPAN words (SQL: not searched
+for) is found where all its words stand in a row, however few they are; in a
+script without spaces a word is all that stands between other characters, and is
+found only as a whole; repeated rows
 are each reported once an item; a null doc_id or item_id is reported as null;
 an empty table on either side gives an empty result; other columns are ignored.
 """
@@ -103,14 +105,33 @@ def _passage(equal: Column, left: Column, at: Column) -> Column:
     return F.when(most["gain"] + gain(F.slice(equal, left + 1, F.lit(SPAN))) >= 0, found)
 
 
+def short_items(benchmark: DataFrame) -> DataFrame:
+    """seed, item_id, near and n of the items under SPAN words: all their words as one window."""
+    items = benchmark.where("text is not null").select("item_id", word_hashes(F.col("text")).alias("near")).distinct()
+    return items.withColumn("n", F.size("near")).where((F.col("n") > 0) & (F.col("n") < SPAN)).withColumn("seed", F.xxhash64("n", "near"))
+
+
+def _short_hits(docs: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    words = docs.select("_owner", "doc_id", word_hashes(F.col("text")).alias("h"))
+    at = words.withColumn("at", F.explode(F.when(F.size("h") >= n, F.sequence(F.lit(0), F.size("h") - n))))
+    window = F.array(*(F.col("h")[F.col("at") + i] for i in range(n)))
+    met = at.withColumn("seed", F.xxhash64(F.lit(n), window)).join(F.broadcast(items), "seed").where(window == F.col("near"))
+    return met.select("_owner", "doc_id", "item_id", F.col("at").alias("start"), (F.col("at") + n).alias("stop"), F.lit(n).alias("agreeing"), F.lit(True).alias("around"))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, passages: bool = False) -> DataFrame:
     """_owner, doc_id, item_id, first and last + 1 word of the verified overlaps, best agreement in words.
 
-    passages: also those that hold a part of the surroundings only; without, the rule of OP4_SQL."""
+    passages: also those that hold a part of the surroundings only, and items under SPAN words; without, the rule of OP4_SQL."""
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("_owner"), "doc_id", "text")
     seeds = staged(item_seeds(benchmark))
     parts = max(1, -(-seeds.count() // BROADCAST_SEEDS))
     passes = [_hits(keyed, seeds if parts == 1 else seeds.where(F.pmod(F.xxhash64("seed"), F.lit(parts)) == i), passages) for i in range(parts)]
+    if passages:
+        short = staged(short_items(benchmark))
+        for n, count in sorted((x["n"], x["count"]) for x in short.groupBy("n").count().collect()):  # SPAN - 1 rows at most
+            parts = -(-count // BROADCAST_SEEDS)
+            passes += [_short_hits(keyed, short.where((F.col("n") == n) & (F.pmod("seed", F.lit(parts)) == i)).drop("n"), n) for i in range(parts)]
     # passages count only where nothing agrees over all of the surroundings
     of = lambda how, name: F.coalesce(how(F.when(F.col("around"), F.col(name))), how(name)).cast("long")
     return reduce(DataFrame.union, passes).groupBy("_owner", "doc_id", "item_id").agg(

@@ -115,3 +115,13 @@ def test_passages_equal_brute_force_and_keep_what_was_found(spark):
     rows = {tuple(r) for r in found.collect()}
     assert {r[1:3] for r in rows} == brute_passages(docs, items) > brute(docs, items)
     assert {tuple(r) for r in overlaps(d, b).collect()} <= rows
+
+
+def test_short_items_are_found_whole(spark, monkeypatch):
+    items = [(0, "Two words"), (1, "one two three four five six seven eight nine ten eleven"), (2, "学而时习之"), (3, ""), (4, None), (5, "...")]
+    docs = [(0, "two, WORDS"), (1, "no two other words"), (2, "so: " + items[1][1]), (3, items[1][1].replace("six", "6")), (4, "曰：学而时习之。"), (5, ""), (6, None), (7, "x two words two words")]
+    d, b = frames(spark, docs, items)
+    for bound in (module.BROADCAST_SEEDS, 1):
+        monkeypatch.setattr(module, "BROADCAST_SEEDS", bound)
+        assert {tuple(r)[1:] for r in overlaps(d, b, passages=True).collect()} == {(0, 0, 0, 2, 2), (2, 1, 1, 12, 11), (4, 2, 1, 2, 1), (7, 0, 1, 5, 2)}
+    assert sorted(r.doc_id for r in decontaminate(d, b, passages=True).collect()) == [1, 3, 5, 6]
