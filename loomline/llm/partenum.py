@@ -258,14 +258,14 @@ def _verify(similarity: int):
     def run(group: pa.Table) -> pa.Table:
         cluster, side = group.column("cluster").to_numpy(), group.column("side").to_numpy()
         node, weight = group.column("node").to_numpy(), group.column("weight").to_numpy()
-        blobs = group.column("members")
+        blobs, between = group.column("members"), group.column("between").to_numpy(zero_copy_only=False)
         order = np.lexsort((node, side, cluster))
         out: list[tuple[int, int, int]] = []
         ends = np.flatnonzero(np.diff(np.append(cluster[order], cluster[order][-1] + 1 if len(order) else 0))) + 1
         for part in np.split(order, ends[:-1]) if len(order) else []:
             # a repeated row may bring a node twice
             part = part[np.concatenate(([True], node[part][1:] != node[part][:-1]))]  # equal nodes are on one side
-            two = side[part].max() > 0
+            two = bool(between[part[0]])  # told, not seen: a block may hold no set
             sets = [np.frombuffer(blobs[i].as_py(), np.uint64) for i in part.tolist()]
             size = np.array([len(s) for s in sets])
             # by size, so that the sets that can be similar to one are a range; one side after the other
@@ -323,7 +323,7 @@ def verified_links(keyed: DataFrame, nodes: DataFrame, clusters: DataFrame, k: i
         F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(mine, o).alias("i"), F.greatest(mine, o).alias("j"), F.when(mine <= o, 0).otherwise(1).alias("side")))
     )
     dealt = sets.withColumn("p", F.explode(pairs)).withColumn("task", F.when(F.col("blocks") <= 1, F.pmod(F.xxhash64("cluster"), F.lit(tasks))).otherwise(F.xxhash64("cluster", "p.i", "p.j")))
-    return dealt.select("task", F.when(F.col("blocks") <= 1, F.col("cluster")).otherwise(F.xxhash64("cluster", "p.i", "p.j")).alias("cluster"), "p.side", "node", "weight", "members").groupBy("task").applyInArrow(_verify(similarity), "a long, b long, links long")
+    return dealt.select("task", F.when(F.col("blocks") <= 1, F.col("cluster")).otherwise(F.xxhash64("cluster", "p.i", "p.j")).alias("cluster"), "p.side", (F.col("p.i") != F.col("p.j")).alias("between"), "node", "weight", "members").groupBy("task").applyInArrow(_verify(similarity), "a long, b long, links long")
 
 
 def jaccard_classes(docs: DataFrame, k: int, similarity: int, second: int = 2, least: int = 0, salts: int = 1) -> DataFrame:

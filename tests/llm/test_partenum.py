@@ -72,6 +72,13 @@ def test_large_clusters_are_cut_into_blocks(spark, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got), key=str) == brute(rows, 3, 90)
 
 
+def test_blocks_without_sets_count_no_links(spark, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK", 20)
+    rows = [(i, " ".join(f"w{i // 2}x{j}" for j in range(60 + i % 2))) for i in range(16)]
+    got = jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got), key=str) == brute(rows, 3, 90)
+
+
 def test_empty(spark):
     assert jaccard_classes(spark.createDataFrame([], "doc_id long, text string"), 3, 90).count() == 0
 
