@@ -327,7 +327,8 @@ def verified_links(keyed: DataFrame, nodes: DataFrame, clusters: DataFrame, k: i
 
 
 def jaccard_classes(docs: DataFrame, k: int, similarity: int, second: int = 2, least: int = 0, salts: int = 1) -> DataFrame:
-    """_owner, doc_id, n_shingles, component_id, n_links of every row of docs.
+    """_owner, doc_id, n_shingles, component_id, n_links of every row of docs, and
+    _class, a name of the row's class that is null only where it is alone.
 
     similarity in hundredths: sets link when 100 * common >= similarity * union."""
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_owner"))
@@ -340,21 +341,21 @@ def jaccard_classes(docs: DataFrame, k: int, similarity: int, second: int = 2, l
     # nodes that are one of several copies or linked; all others are alone
     known = nodes.join(classes, "node", "left").join(links.groupBy("a").agg(F.sum("links").alias("linked")).withColumnRenamed("a", "node"), "node", "left")
     lows = known.where("root is not null").groupBy("root").agg(F.min("low").alias("least"))
-    named = staged(known.where("copies > 1 or root is not null").join(lows, "root", "left").select(F.col("node").alias("_node"), F.coalesce("least", "low").alias("component"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("links")))
+    named = staged(known.where("copies > 1 or root is not null").join(lows, "root", "left").select(F.col("node").alias("_node"), F.coalesce("root", "node").alias("_class"), F.coalesce("least", "low").alias("component"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("links")))
     if named.count() <= BROADCAST_ROWS:
         named = F.broadcast(named)
-    return rows.join(named, rows["node"] == named["_node"], "left").select("_owner", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+    return rows.join(named, rows["node"] == named["_node"], "left").select("_owner", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), "_class")
 
 
 def op6_partenum_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_classes(table(spark, sf_dir, "documents"), k=3, similarity=90).drop("_owner")
+    return jaccard_classes(table(spark, sf_dir, "documents"), k=3, similarity=90).drop("_owner", "_class")
 
 
 def one_of_each_class(docs: DataFrame, k: int, similarity: int, second: int = 2, least: int = 0) -> DataFrame:
     """docs with one document of each class: that of the smallest doc_id (then of the smallest row hash)."""
     rows = staged(jaccard_classes(docs, k, similarity, second, least).where("n_links > 0"))
-    winner = rows.groupBy("component_id").agg(F.min_by("_owner", F.struct(F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(True)), "doc_id", "_owner")).alias("_winner"))
-    losers = staged(rows.select("component_id", "_owner").distinct().join(winner, ["component_id"]).where("_owner <> _winner").select(F.col("_owner").alias("_loser")))
+    winner = rows.groupBy("_class").agg(F.min_by("_owner", F.struct(F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(True)), "doc_id", "_owner")).alias("_winner"))
+    losers = staged(rows.select("_class", "_owner").distinct().join(winner, ["_class"]).where("_owner <> _winner").select(F.col("_owner").alias("_loser")))
     # rows that are equal as a whole cannot be told apart by their hash
     repeated = staged(rows.groupBy("_owner").count().where("count > 1").select(F.col("_owner").alias("_twice")))
     name = F.xxhash64(docs["doc_id"], docs["text"])

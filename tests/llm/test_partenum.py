@@ -119,6 +119,16 @@ def test_one_of_each_class(spark):
     assert linked and ids == sorted([str(r[0]) for r in alone] + [str(g) for g in groups])
 
 
+def test_one_of_each_class_without_ids(spark):
+    words = [" ".join(f"{c}{i}" for i in range(80)) for c in "abc"]
+    rows = [(None, words[0]), (None, words[0]), (None, words[0] + " more"), (None, words[1]), (None, words[1] + " more"), (None, words[2]), (5, words[2] + " more"), (None, None), (None, "")]
+    kept = one_of_each_class(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 3, 2).collect()
+    assert sorted(((r.text or "")[:1] for r in kept)) == ["", "", "a", "b", "c"] and [r.doc_id for r in kept if (r.text or "").startswith("c")] == [5]
+    # one doc_id in two classes names neither's rows duplicates of the other
+    both = one_of_each_class(spark.createDataFrame([(1, words[0]), (2, words[0]), (1, words[1]), (3, words[1])], "doc_id long, text string"), 5, 80, 3, 2).collect()
+    assert sorted((r.doc_id, r.text[:1]) for r in both) == [(1, "a"), (1, "b")]
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(100 + rng.randrange(50), 100 + rng.randrange(50)) for _ in range(40)] + [(-5, 300), (300, -5)]
