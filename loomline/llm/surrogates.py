@@ -33,6 +33,7 @@ from .shared import staged, table
 
 KEY = "surrogate-key-1"
 ROUNDS = 40
+LONG = 128
 BROADCAST_ROWS = 100_000
 
 #: Titles before names, by gender, and what names are made of, by script.
@@ -50,7 +51,7 @@ OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.){1,8}[A-Za-z]{2,24}\b",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
-    "secret": r"(?<=(?i:password|passwd|token|secret|api_key|apikey) {0,2}[=:] {0,2}[\"']?)[A-Za-z0-9+/_-]{8,128}",
+    "secret": r"(?<=(?i:password|passwd|token|secret|api_key|apikey) {0,2}[=:] {0,2}[\"']?)[A-Za-z0-9+/_-](?:\.?[A-Za-z0-9+/_-]){7,}+",
     "card": r"(?<![0-9.])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9])",
     "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
     "ip": rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
@@ -74,7 +75,15 @@ def _chars(text: Column, body: Callable[[Column, Column], Column]) -> Column:
 def digest(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """Keyed hex digits, four for each character of canon and 64 at least."""
     blocks = F.sequence(F.lit(0), F.floor(F.length(canon) / 16).cast("int"))
-    return F.array_join(F.transform(blocks, lambda b: F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string"), b.cast("string")), 256)), "")
+    # a long canon is hashed once, not once a block
+    name = F.when(F.length(canon) > LONG, F.sha2(canon, 256)).otherwise(canon)
+    return F.array_join(F.transform(blocks, lambda b: F.sha2(F.concat_ws("\x1f", F.lit(key), kind, name, attempt.cast("string"), b.cast("string")), 256)), "")
+
+
+def _pieces(text: Column, hexed: Column, body: Callable[[Column, Column], Column]) -> Column:
+    """body(text, hexed) of LONG characters at a time: characters of a long string are slow to reach."""
+    piece = lambda p: let(F.substring(text, p * LONG + 1, F.lit(LONG)), lambda t: let(F.substring(hexed, p * LONG * 4 + 1, F.lit(LONG * 4)), lambda h: body(t, h)))
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.floor((F.length(text) - 1) / LONG).cast("int")), piece), "")
 
 
 def _draw(hexed: Column, place: Column, below: int) -> Column:
@@ -109,7 +118,7 @@ def surrogate(kind: Column, canon: Column, hexed: Column) -> Column:
     domain_end = n - F.length(F.substring_index(canon, ".", -1))
     email = F.concat(_alike(F.substring(canon, F.lit(1), domain_end), hexed), F.substring_index(canon, ".", -1))
     key = F.concat(F.substring(canon, 1, 4), _alike(F.substring(canon, F.lit(5), n), hexed))
-    secret = F.when(canon.rlike("^[0-9a-f]+$"), _chars(canon, lambda c, i: _pick("0123456789abcdef", hexed, i))).otherwise(_alike(canon, hexed))
+    secret = F.when(canon.rlike("^[0-9a-f]+$"), _pieces(canon, hexed, lambda t, h: _chars(t, lambda c, i: _pick("0123456789abcdef", h, i)))).otherwise(_pieces(canon, hexed, _alike))
     card = let(
         F.concat(F.substring(canon, 1, 1), _alike(F.substring(canon, F.lit(2), n - 2), hexed)),
         lambda body: let((F.lit(10) - _luhn(body, 1) % 10) % 10, lambda d: F.concat(body, F.when(_luhn(canon, 0) % 10 == 0, d).otherwise((d + 1 + _draw(hexed, F.lit(16), 9)) % 10).cast("string"))),

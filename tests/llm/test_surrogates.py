@@ -85,3 +85,14 @@ def test_exhausted_space_is_an_error(spark, monkeypatch):
 
 def test_empty(spark):
     assert replace_entities(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_long_and_dotted_secrets_are_replaced_whole(spark):
+    secrets = ["aB3/" * 75, "0123456789abcdef" * 1250, "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dozjgNryP4J3jVmN", "abc.defgh", "a." * 9000 + "zz", "x" * 128, "y" * 129]
+    rows = [(i, f"token = {s}. Then") for i, s in enumerate(secrets)] + [(99, "password: short.x and token: 10.0.0.1")]
+    got = {r.doc_id: r for r in replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), counted="n").collect()}
+    for i, s in enumerate(secrets):
+        new = re.fullmatch(r"token = (.*)\. Then", got[i].text)[1]
+        assert got[i].n == 1 and len(new) == len(s) and [c == "." for c in new] == [c == "." for c in s]
+        assert not any(s[a : a + 12] == new[a : a + 12] for a in range(0, len(s) - 12, 12)) and new != s
+    assert got[99].n == 1 and got[99].text.startswith("password: short.x and token: ") and "10.0.0.1" not in got[99].text
