@@ -59,7 +59,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every text with an entity has; titles are only tried where one of their first letters stands.
-QUICK = rf"[0-9@=:]|(?=[{''.join(sorted({title[0] for title in f'{MALE}|{FEMALE}'.split('|')}))}])(?:{MALE}|{FEMALE})\.? \p{{Lu}}"
+QUICK = rf"[0-9@=:]|A(?:KIA|SIA)|(?=[{''.join(sorted({title[0] for title in f'{MALE}|{FEMALE}'.split('|')}))}])(?:{MALE}|{FEMALE})\.? \p{{Lu}}"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

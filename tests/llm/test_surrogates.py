@@ -96,3 +96,11 @@ def test_long_and_dotted_secrets_are_replaced_whole(spark):
         assert got[i].n == 1 and len(new) == len(s) and [c == "." for c in new] == [c == "." for c in s]
         assert not any(s[a : a + 12] == new[a : a + 12] for a in range(0, len(s) - 12, 12)) and new != s
     assert got[99].n == 1 and got[99].text.startswith("password: short.x and token: ") and "10.0.0.1" not in got[99].text
+
+
+def test_keys_of_letters_alone_are_replaced(spark):
+    rows = [(i, f"the key {k}ABCDEFGHIJKLMNOP is old") for i, k in enumerate(("AKIA", "ASIA"))] + [(2, "AKIA or ASIA is no key")]
+    got = {r.doc_id: r for r in replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), counted="n").collect()}
+    for i, text in rows[:2]:
+        assert got[i].n == 1 and got[i].text != text and re.fullmatch(f"the key {text[8:12]}[A-Z]{{16}} is old", got[i].text)
+    assert got[2].n == 0 and got[2].text == rows[2][1]
