@@ -231,15 +231,22 @@ def as_tool_turns(conversations: DataFrame) -> DataFrame:
     A user turn calls `reply` and waits for the user turn before it; the
     assistant turn after it is the result.  A system turn calls `configure`,
     which nothing answers.  Only neighbours are compared, by a join on the turn
-    number, not a window over a conversation."""
-    turn = conversations.select("conv_id", "turn", "role", "text").where("turn is not null")
+    number, not a window over a conversation.
+
+    A row without a turn number has no neighbours: it is named by its text's
+    digest, "t?<digest>", so a call of it waits for none and is answered by none
+    (`invalid` for a user turn, as `reply` requires a turn), a result is `orphan`;
+    equal rows of a conversation are duplicates."""
+    turn = conversations.select("conv_id", "turn", "role", "text")
     earlier = turn.where("role = 'user'").select(F.col("conv_id").alias("_conv"), (F.col("turn") + 2).alias("_turn"), F.lit(True).alias("_before")).distinct()
     joined = turn.join(earlier, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("turn") == F.col("_turn")), "left")
-    name = F.concat(F.lit("t"), F.col("turn").cast("string"))
+    # the role keeps a result from meeting the call of an equal text
+    unnumbered = F.concat(F.lit("t?"), F.sha2(F.concat_ws("\x1f", "role", F.coalesce("text", F.lit("\x1e"))), 256))
+    name = F.coalesce(F.concat(F.lit("t"), F.col("turn").cast("string")), unnumbered)
     before = F.when(F.col("_before"), F.concat(F.lit("$t"), (F.col("turn") - 2).cast("string")))
     call = F.to_json(F.struct(F.array(F.struct(name.alias("id"), F.lit("reply").alias("name"), F.struct(F.col("text").alias("prompt"), "turn", before.alias("after")).alias("arguments"))).alias("tool_calls")))
     setup = F.to_json(F.struct(F.array(F.struct(name.alias("id"), F.lit("configure").alias("name"), F.struct(F.col("text").alias("instructions")).alias("arguments"))).alias("tool_calls")))
-    result = F.to_json(F.struct(F.concat(F.lit("t"), (F.col("turn") - 1).cast("string")).alias("tool_call_id"), F.col("text").alias("content")))
+    result = F.to_json(F.struct(F.coalesce(F.concat(F.lit("t"), (F.col("turn") - 1).cast("string")), unnumbered).alias("tool_call_id"), F.col("text").alias("content")))
     return joined.select("conv_id", "turn", F.when(F.col("role") == "user", call).when(F.col("role") == "system", setup).when(F.col("role") == "assistant", result).alias("text"))
 
 

@@ -2,7 +2,7 @@ import hashlib
 import json
 import random
 
-from loomline.llm.toolcalls import as_tool_turns, breaks, canonical, levels, link_tool_calls, op2_tool_call_linking
+from loomline.llm.toolcalls import TURN_TOOLS, as_tool_turns, breaks, canonical, levels, link_tool_calls, op2_tool_call_linking
 
 SCHEMAS = {
     "add": {"type": "object", "required": ["a"], "additionalProperties": False, "properties": {"a": {"type": "integer", "minimum": 0}, "b": {"type": ["number", "string"]}, "c": {"enum": ["x", "y"]}}},
@@ -87,3 +87,11 @@ def test_query(spark):
                 depth += 1
             assert r.level == depth
     assert as_tool_turns(turns.limit(0)).count() == 0
+
+
+def test_turns_without_a_number_are_kept(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "ho"), (1, None, "user", "hi"), (1, None, "user", "hi"), (1, None, "user", "other"), (1, None, "assistant", "hi"), (1, None, "system", "be kind"), (None, None, "user", None)]
+    got = link_tool_calls(as_tool_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")), TURN_TOOLS).collect()
+    assert sorted((str(r.conv_id), str(r.name), r.status, r.call_turn is None, r.duplicates) for r in got) == [
+        ("1", "None", "orphan", True, 0), ("1", "configure", "unanswered", True, 0), ("1", "reply", "invalid", True, 0), ("1", "reply", "invalid", True, 1), ("1", "reply", "linked", False, 0), ("None", "reply", "invalid", True, 0),
+    ]
