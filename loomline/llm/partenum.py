@@ -3,8 +3,9 @@
 Documents with equal sets are one node.  Every node's signatures (see
 `signatures`) are packed by range, a signature once a task with its least node;
 a range's task ties the nodes of a signature to the least of them.  Connected
-components of these ties are clusters: any two similar nodes share a signature
-and so a cluster.  A cluster's sets are brought together, cut into blocks of
+components of these ties are clusters: with all signatures (least=0) any two
+similar nodes share one and so a cluster; where weak signatures are left out
+(least > 0, the pipeline's stage) a pair that shares only such can be missed.  A cluster's sets are brought together, cut into blocks of
 BLOCK shingles so that no task holds more than two blocks however large the
 cluster, and every pair in it is verified exactly inside the task by counting
 common shingles; only a spanning forest of the links and the number of links of
