@@ -23,7 +23,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of similar ones."""
-    return partenum.one_of_each_class(docs, SHINGLE, SIMILARITY, second=3, least=2)
+    return partenum.one_of_each_class(docs, SHINGLE, SIMILARITY)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
