@@ -1,15 +1,22 @@
 """Operator 6: exact Jaccard join of word-shingle sets by PartEnum signatures.
 
 Documents with equal sets are one node.  Every node's signatures (see
-`signatures`) are packed by range, a signature once a task with its least node;
-a range's task ties the nodes of a signature to the least of them.  Connected
-components of these ties are clusters: with all signatures (least=0) any two
-similar nodes share one and so a cluster; where weak signatures are left out
-(least > 0, the pipeline's stage) a pair that shares only such can be missed.  A cluster's sets are brought together, cut into blocks of
-BLOCK shingles so that no task holds more than two blocks however large the
-cluster, and every pair in it is verified exactly inside the task by counting
-common shingles; only a spanning forest of the links and the number of links of
-each node leave it.  Components of these are the classes.
+`signatures`) are packed by range; any two similar nodes share one.  The nodes
+of a signature are compared by parity sketches: a set's sketch has a bit for
+each of about four buckets an element, the parity of the elements that hash
+there, so two sketches differ in at most as many bits as their sets differ in
+elements, and the comparison never loses a similar pair.  It is made around
+leaders (`canopies`), which ties what can be similar, in a number of comparisons
+that follows the unlike members of a group, not the copies; leaders stand for
+what is near them when a task sends its entries on.  Signatures that are common
+in one task, and groups of more than GROUP members, are cut into blocks.
+
+Components of these ties are clusters of sets that are all but similar.  A
+cluster's sets are brought together, cut into blocks of BLOCK shingles so that
+no task holds more than two blocks however large the cluster, and every pair in
+it is verified exactly inside the task by counting common shingles; only a
+spanning forest of the links and the number of links of each node leave it.
+Components of these are the classes.
 
 Defined results: a document of fewer words than a shingle has its whole
 sequence as its one shingle; one without words has none and links with nothing
@@ -22,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +37,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
+from .packing import coarse, ranges_for, spread
 from .shared import staged, table
-from .textkernel import Words, flat, mix64, slices, window_hash, window_starts
+from .textkernel import Words, flat, gather, mix64, slices, window_hash, window_starts
 
 #: Shingles that a verifying task holds of each side.
 BLOCK = 200_000
@@ -40,9 +49,15 @@ BROADCAST_ROWS = 200_000
 ENTRIES = 1_500_000
 #: Columns with at least so many sets are compared as bits, others by their pairs.
 DENSE = 8
-#: Sets of fewer elements keep all their signatures.
+#: Sets of fewer elements are allowed two differences a part, for signatures of more elements.
 SMALL = 64
-PACKED = "range int, signature binary, node binary, a binary, b binary"
+#: Leaders of one signature in one task beyond which their entries do not travel together.
+HOT = 512
+#: Members, and shingles of members, of one group of nodes with a common signature that a task holds of each side; larger groups are cut.
+GROUP, GROUP_SHINGLES = 8_192, 20_000_000
+#: Shingles of the members of all small groups that one task compares; a shingle is half a byte of a sketch.
+GROUPS_SHINGLES = 60_000_000
+PACKED = "range int, signature binary, node binary, a binary, b binary, hot binary, hot_node binary"
 
 
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,56 +94,154 @@ def bands(similarity: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(low), np.array(k)
 
 
-def signatures(values: np.ndarray, offsets: np.ndarray, similarity: int, second: int, least: int = 0, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache
+def plan(similarity: int, small: bool) -> tuple[int, int, int]:
+    """(subparts of a part, differences that a part may have, one in how many parts is slack)."""
+    return (5, 2, 0) if small else ((2, 1, 16) if similarity >= 90 else (3, 1, 8))
+
+
+@lru_cache
+def choices(subs: int, differ: int) -> np.ndarray:
+    """Columns of 0 and 1: every choice of all subparts but `differ`."""
+    out = [[int(i not in left) for i in range(subs)] for left in combinations(range(subs), differ)]
+    return np.array(out, np.uint64).T
+
+
+def signatures(values: np.ndarray, offsets: np.ndarray, similarity: int) -> tuple[np.ndarray, np.ndarray]:
     """(signature, row) of every set, by PartEnum (Arasu, Ganti, Kaushik 2006).
 
     A set takes part in its own size band and, as the smaller of a pair, in the
-    next.  In a band with difference bound k the domain is dealt into
-    ceil((k + 1) / 2) parts, so that similar sets differ in at most one element
-    of some part; each part is dealt into `second` subparts and every choice of
-    all subparts but one is a signature: one of them leaves the element out.
-
-    least: signatures of fewer elements are left out for sets of SMALL elements
-    or more; 0 keeps all, which alone guarantees that no pair is missed."""
+    next.  In a band with difference bound k the domain is dealt into parts, each
+    part into subparts, and every choice of all subparts but d is a signature:
+    where similar sets differ in at most d elements of a part, they share one.
+    At most k // (d + 1) parts differ in more.
+
+    Slack: with k // (d + 1) + 1 + 2t parts, 2t + 1 or more parts agree so.  Each
+    set then leaves out the t parts whose signatures hold the fewest elements
+    (these would tie sets that share next to nothing): what the two leave out
+    are 2t parts at most, and one that agrees remains.  No pair is missed."""
+    low, _ = bands(similarity)
     sizes = np.diff(offsets)
-    low, bound = bands(similarity)
     own = np.searchsorted(low, sizes, "right") - 1
-    out_s, out_r = [], []
+    out_s, out_r = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for step in (0, 1):
-        have = np.flatnonzero(sizes > 0)
-        band = own[have] + step
-        k = bound[band]
-        parts = (k + 2) // 2
-        subs = np.where(k > 0, second, 1)
-        cells = parts * subs
-        base = np.concatenate(([0], np.cumsum(cells)))
-        set_of = np.repeat(np.arange(len(have)), sizes[have])
-        h = mix64(values + np.uint64(0x632BE59BD9B4E019) * (band[set_of] + (salt << 20)).astype(np.uint64))
-        cell = (h >> np.uint64(32)) % cells[set_of].astype(np.uint64)
-        at = base[set_of] + cell.astype(np.int64)
-        e = mix64(h)
-        lo = np.bincount(at, (e & np.uint64(0xFFFFFFFF)).astype(np.float64), minlength=base[-1]).astype(np.uint64)
-        hi = np.bincount(at, (e >> np.uint64(32)).astype(np.float64), minlength=base[-1]).astype(np.uint64)
-        total = lo + (hi << np.uint64(32))
-        sub_first = np.repeat(base[:-1], parts) + (np.arange(parts.sum()) - np.repeat(np.concatenate(([0], np.cumsum(parts)[:-1])), parts)) * np.repeat(subs, parts)
-        part_sum = np.add.reduceat(total, sub_first) if len(sub_first) else total
-        per = np.repeat(part_sum, np.repeat(subs, parts))
-        owner = np.repeat(np.arange(len(have)), cells)
-        rest = np.where(np.repeat(subs, cells) > 1, per - total, total) if len(total) else total
-        where = (np.arange(len(owner)) - base[owner]).astype(np.uint64)
-        sig = mix64(rest + mix64(where + ((band[owner] + (salt << 10)).astype(np.uint64) << np.uint64(40))))
-        who = have[owner]
-        if least:
-            filled = np.bincount(at, minlength=base[-1])
-            inside = np.repeat(np.add.reduceat(filled, sub_first), np.repeat(subs, parts)) if len(sub_first) else filled
-            elements = np.where(np.repeat(subs, cells) > 1, inside - filled, filled) if len(filled) else filled
-            strong = (elements >= least) | (sizes[who] < SMALL)
-            sig, who = sig[strong], who[strong]
-        out_s.append(sig)
-        out_r.append(who)
+        for small in (False, True):
+            # the band decides, so that both sets of a pair are dealt alike
+            have = np.flatnonzero((sizes > 0) & ((low[own + step] < SMALL) == small))
+            if len(have):
+                sig, row = _of_band(values, offsets, have, own[have] + step, similarity, *plan(similarity, small))
+                out_s.append(sig)
+                out_r.append(row)
     return np.concatenate(out_s), np.concatenate(out_r)
 
 
+def _of_band(values: np.ndarray, offsets: np.ndarray, have: np.ndarray, band: np.ndarray, similarity: int, subs: int, differ: int, slack: int) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.diff(offsets)[have]
+    least = bands(similarity)[1][band] // (differ + 1) + 1
+    left_out = least // slack if slack else np.zeros(len(least), np.int64)
+    parts = least + 2 * left_out
+    first = np.concatenate(([0], np.cumsum(parts)))
+    set_of = np.repeat(np.arange(len(have)), sizes)
+    mine = gather(values, offsets[have], sizes)
+    h = mix64(mine + np.uint64(0x632BE59BD9B4E019) * band[set_of].astype(np.uint64))
+    cell = (h >> np.uint64(32)) % (parts * subs)[set_of].astype(np.uint64)
+    at = first[set_of] * subs + cell.astype(np.int64)
+    e, cells = mix64(h), int(first[-1]) * subs
+    lo = np.bincount(at, (e & np.uint64(0xFFFFFFFF)).astype(np.float64), minlength=cells).astype(np.uint64)
+    hi = np.bincount(at, (e >> np.uint64(32)).astype(np.float64), minlength=cells).astype(np.uint64)
+    chosen = choices(subs, differ)
+    total = (lo + (hi << np.uint64(32))).reshape(-1, subs) @ chosen
+    owner = np.repeat(np.arange(len(have)), parts)
+    place = (np.arange(len(owner)) - first[owner]).astype(np.uint64)[:, None] * np.uint64(16) + np.arange(chosen.shape[1], dtype=np.uint64)
+    sig = mix64(total + mix64(place + (band[owner].astype(np.uint64) << np.uint64(44))[:, None]))
+    if left_out.any():
+        fewest = (np.bincount(at, minlength=cells).astype(np.uint64).reshape(-1, subs) @ chosen).min(axis=1)
+        rank = np.empty(len(owner), np.int64)
+        rank[np.lexsort((fewest, owner))] = np.arange(len(owner)) - first[owner]
+        keep = rank >= left_out[owner]
+        sig, owner = sig[keep], owner[keep]
+    return sig.ravel(), np.repeat(have[owner], chosen.shape[1])
+
+
+def sketches(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity sketches of the sets: (flat 64-bit words, n + 1 offsets); a power of two of words each."""
+    sizes = np.diff(offsets)
+    width = 1 << np.ceil(np.log2(np.maximum(1, sizes / 16))).astype(np.int64)
+    first = np.concatenate(([0], np.cumsum(width)))
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    bit = (mix64(values ^ np.uint64(0x5851F42D4C957F2D)) & (width[row] * 64 - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(first[row] * 64 + bit, minlength=int(first[-1]) * 64) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.uint64), first
+
+
+def folded(words: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sketches of these rows as a matrix, the longer ones folded to the shortest."""
+    width = first[rows + 1] - first[rows]
+    least = int(width.min())
+    out = np.zeros((len(rows), least), np.uint64)
+    for w in np.unique(width):
+        mine = np.flatnonzero(width == w)
+        full = words[first[rows[mine]][:, None] + np.arange(w)]
+        out[mine] = np.bitwise_xor.reduce(full.reshape(len(mine), -1, least), axis=1)
+    return out
+
+
+def canopies(bits: np.ndarray, most: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """(leader of each sketch or -1, ties as 2 x n indices).
+
+    most: bits by which similar sets differ; reach: by which members may differ
+    from what they stand for.  The first sketch that is left leads: what differs
+    by at most most // 3 is its own and leaves; what differs by as much more as a
+    similar pair of what the two stand for can, is tied to it and stays.  If two
+    similar sets are in the group, one of them leaves first, or both at once; by
+    the triangle inequality the other is then tied to the same leader."""
+    near = most // 3
+    far = near + most + 2 * reach
+    leader, ties = np.full(len(bits), -1), []
+    left = np.arange(len(bits))
+    while len(left) > 1:
+        apart = np.bitwise_count(bits[left] ^ bits[left[0]]).sum(axis=1, dtype=np.int64)
+        tied = left[1:][apart[1:] <= far]
+        ties.append(np.stack([np.full(len(tied), left[0]), tied]))
+        own = apart <= near
+        own[0] = False
+        leader[left[own]] = left[0]
+        left = left[1:][~own[1:]]
+    return leader, np.concatenate(ties, axis=1) if ties else np.zeros((2, 0), np.int64)
+
+
+def greatest_difference(size: np.ndarray | int, similarity: int) -> np.ndarray | int:
+    """The most elements in which two similar sets of at most `size` elements differ."""
+    return (100 - similarity) * 2 * size // (100 + similarity)
+
+
+def labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least of 0 .. n - 1 that each is connected to by ties (a, b)."""
+    label = np.arange(n)
+    while len(a):
+        np.minimum.at(label, a, label[b])
+        np.minimum.at(label, b, label[a])
+        while (label[label] != label).any():
+            label = label[label]
+        open_ = label[a] != label[b]
+        a, b = label[a[open_]], label[b[open_]]
+    return label
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Ties (a, b) that connect the same as these, fewer than there are nodes."""
+    nodes, index = np.unique(np.concatenate((a, b)), return_inverse=True)
+    label = labels(len(nodes), index[: len(a)], index[len(a) :])
+    tied = np.flatnonzero(label != np.arange(len(nodes)))
+    return np.stack([nodes[tied], nodes[label[tied]]])
+
+
+def groups_of(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start of each run of equal sig, its length, a name of its nodes whatever their sig); sorted by (sig, node)."""
+    start = np.flatnonzero(np.concatenate((np.ones(min(1, len(sig)), bool), sig[1:] != sig[:-1])))
+    return start, np.diff(np.append(start, len(sig))), np.add.reduceat(mix64(node.view(np.uint64)), start) if len(sig) else np.zeros(0, np.uint64)
+
+
 def set_node(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A 64-bit name of each set; 0 for the empty set."""
     sizes = np.diff(offsets)
@@ -147,75 +260,192 @@ def _sets(batch: pa.RecordBatch, column: int, k: int) -> Iterator[tuple[int, int
         yield a, b, *shingle_sets(Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], lower=True), k)
 
 
+def _binary(words: np.ndarray, first: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(first) - 1, [None, pa.py_buffer((first * 8).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(words))]).cast(pa.binary())
+
+
 def profile(keyed: DataFrame, k: int) -> DataFrame:
-    """_owner, doc_id, node, n_shingles of every row."""
+    """_owner, doc_id, node, n_shingles, sketch of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, values, offsets in _sets(batch, 2, k):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(set_node(values, offsets)), pa.array(np.diff(offsets))], ["_owner", "doc_id", "node", "n_shingles"])
-
-    return keyed.select("_owner", "doc_id", "text").mapInArrow(run, f"_owner long, doc_id {dict(keyed.dtypes)['doc_id']}, node long, n_shingles long")
-
-
-def _pack(held: list[tuple[np.ndarray, np.ndarray]], ranges: int) -> Iterator[pa.RecordBatch]:
-    sig, node = (np.concatenate(x) for x in zip(*held, strict=True))
+                made = [pa.array(set_node(values, offsets)), pa.array(np.diff(offsets)), _binary(*sketches(values, offsets))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), *made], ["_owner", "doc_id", "node", "n_shingles", "sketch"])
+
+    return keyed.select("_owner", "doc_id", "text").mapInArrow(run, f"_owner long, doc_id {dict(keyed.dtypes)['doc_id']}, node long, n_shingles long, sketch binary")
+
+
+class Chunk:
+    """Nodes of a task, their signatures and sketches, until they are packed and sent."""
+
+    def __init__(self, similarity: int):
+        self.similarity = similarity
+        self.clear()
+
+    def clear(self) -> None:
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.entries, self.nodes, self.seen = 0, 0, np.zeros(0, np.int64)
+
+    def add(self, values: np.ndarray, offsets: np.ndarray) -> None:
+        node = set_node(values, offsets)
+        fresh = np.zeros(len(node), bool)
+        fresh[np.unique(node, return_index=True)[1]] = True
+        fresh &= (node != 0) & ~np.isin(node, self.seen)
+        if not fresh.any():
+            return
+        sizes = np.diff(offsets)
+        values, offsets, node = values[np.repeat(fresh, sizes)], np.concatenate(([0], np.cumsum(sizes[fresh]))), node[fresh]
+        self.seen = np.concatenate((self.seen, node))
+        sig, row = signatures(values, offsets, self.similarity)
+        words, first = sketches(values, offsets)
+        self.held.append((sig, row + self.nodes, node, np.diff(offsets), words, np.diff(first)))
+        self.entries += len(sig)
+        self.nodes += len(node)
+
+    def pack(self, ranges: int) -> Iterator[pa.RecordBatch]:
+        """Ties among the nodes held, and the entries of leaders by range of signature."""
+        if not self.held:
+            return
+        sig, row, node, size, words, width = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        self.clear()
+        first = np.concatenate(([0], np.cumsum(width)))
+        order = np.lexsort((node[row], sig))
+        sig, row = sig[order], row[order]
+        start, length, name = groups_of(sig, node[row])
+        ties, lead = [], np.ones(len(sig), bool)
+        many = np.flatnonzero(length > 1)
+        _, one, same = np.unique(name[many], return_index=True, return_inverse=True)
+        masks = []
+        for g in many[one].tolist():
+            members = row[start[g] : start[g] + length[g]]
+            leader, tied = canopies(folded(words, first, members), int(greatest_difference(size[members].max(), self.similarity)), 0)
+            # the least and the greatest set go along, so that later comparisons know of all sizes
+            leader[[size[members].argmin(), size[members].argmax()]] = -1
+            masks.append(leader < 0)
+            ties.append(np.stack([node[members[tied[0]]], node[members[tied[1]]]]))
+        for g, m in zip(many.tolist(), same.tolist(), strict=True):
+            lead[start[g] : start[g] + length[g]] = masks[m]
+        sig, owner = sig[lead], node[row[lead]]
+        start, length, _ = groups_of(sig, owner)
+        common = np.repeat(length > HOT, length)
+        marks = sig[start[length > HOT]]
+        yield _rows(ranges, np.concatenate((sig[~common], marks)), np.concatenate((owner[~common], np.zeros(len(marks), np.int64))), ties, sig[common], owner[common])
+
+
+def _rows(ranges: int, sig: np.ndarray, node: np.ndarray, ties: list[np.ndarray], hot: np.ndarray, hot_node: np.ndarray) -> pa.RecordBatch:
+    """Entries by range of signature; ties and the entries of common signatures, which need no range, dealt evenly."""
     order = np.lexsort((node, sig))
     sig, node = sig[order], node[order]
-    first = np.concatenate((np.ones(min(1, len(sig)), bool), sig[1:] != sig[:-1]))
-    least = node[first][np.cumsum(first) - 1] if len(sig) else node
-    ties = np.unique(np.stack([node[node != least], least[node != least]]), axis=1)
-    sig, node = sig[first], node[first]
     cut = np.append(np.searchsorted(sig, np.array([(i << 64) // ranges for i in range(ranges)], np.uint64)), len(sig))
-    rows = [(i, sig[cut[i] : cut[i + 1]].tobytes(), node[cut[i] : cut[i + 1]].tobytes(), b"", b"") for i in range(ranges) if cut[i] < cut[i + 1]]
-    if ties.shape[1]:
-        rows.append((int(ties[0, 0] % ranges), b"", b"", ties[0].tobytes(), ties[1].tobytes()))
-    if rows:
-        columns = list(zip(*rows, strict=True))
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], [x.split()[0] for x in PACKED.split(", ")])
+    rows = [(i, sig[cut[i] : cut[i + 1]].tobytes(), node[cut[i] : cut[i + 1]].tobytes(), b"", b"", b"", b"") for i in range(ranges) if cut[i] < cut[i + 1]]
+    tied = forest(*np.concatenate(ties, axis=1)) if ties else np.zeros((2, 0), np.int64)
+    for x in np.array_split(np.arange(tied.shape[1]), -(-tied.shape[1] // HOT)) if tied.shape[1] else []:
+        rows.append((int(tied[0, x[0]] % ranges), b"", b"", tied[0, x].tobytes(), tied[1, x].tobytes(), b"", b""))
+    for x in np.array_split(np.arange(len(hot)), -(-len(hot) // HOT)) if len(hot) else []:
+        rows.append((int(hot_node[x[0]] % ranges), b"", b"", b"", b"", hot[x].tobytes(), hot_node[x].tobytes()))
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 7
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], [x.split()[0] for x in PACKED.split(", ")])
+
+
+MET = "tie boolean, a long, b long"
+
 
+def _joined(group: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in group.column(name)), kind)
 
-def _tie(group: pa.Table) -> pa.Table:
-    join = lambda name, kind: np.frombuffer(b"".join(x.as_py() for x in group.column(name)), kind)
-    sig, node = join("signature", np.uint64), join("node", np.int64)
+
+def _meet(group: pa.Table) -> pa.Table:
+    """Ties as they came, and (group, node) of the nodes that share a signature of this range."""
+    sig, node = _joined(group, "signature", np.uint64), _joined(group, "node", np.int64)
     order = np.lexsort((node, sig))
     sig, node = sig[order], node[order]
-    first = np.concatenate((np.ones(min(1, len(sig)), bool), sig[1:] != sig[:-1]))
-    least = node[first][np.cumsum(first) - 1] if len(sig) else node
-    differ = node != least
-    ties = np.stack([np.concatenate((node[differ], join("a", np.int64))), np.concatenate((least[differ], join("b", np.int64)))])
-    ties = np.unique(ties, axis=1) if ties.shape[1] else ties
-    return pa.Table.from_arrays([pa.array(ties[0]), pa.array(ties[1])], ["a", "b"])
+    new = np.ones(len(sig), bool)
+    new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
+    sig, node = sig[new], node[new]
+    start, length, name = groups_of(sig, node)
+    run = np.repeat(np.arange(len(start)), length)
+    marked = np.zeros(len(start), bool)
+    marked[run[node == 0]] = True  # common in some task, so its nodes are found all over
+    one = np.zeros(len(start), bool)  # of signatures with the same nodes, one
+    one[np.unique(name, return_index=True)[1]] = True
+    use = (((length > 1) & one & ~marked) | marked)[run] & (node != 0)
+    names = np.where(marked, sig[start], name)[run] if len(start) else sig
+    hot, hot_node = _joined(group, "hot", np.int64), _joined(group, "hot_node", np.int64)
+    a, b = _joined(group, "a", np.int64), _joined(group, "b", np.int64)
+    left, right = np.concatenate((a, names[use].view(np.int64), hot)), np.concatenate((b, node[use], hot_node))
+    return pa.Table.from_arrays([pa.array(np.arange(len(left)) < len(a)), pa.array(left), pa.array(right)], ["tie", "a", "b"])
+
+
+def _resplit(group: pa.Table, slots: int, ranges: int) -> pa.Table:
+    """Rows of a coarse range, cut into fine ones."""
+    sig, node = _joined(group, "signature", np.uint64), _joined(group, "node", np.int64)
+    ties = np.stack([_joined(group, "a", np.int64), _joined(group, "b", np.int64)])
+    return pa.Table.from_batches([_rows(ranges, sig, node, [ties], _joined(group, "hot", np.int64).view(np.uint64), _joined(group, "hot_node", np.int64))])
+
+
+def _compare(similarity: int):
+    def run(group: pa.Table) -> pa.Table:
+        part, node, size = (group.column(c).to_numpy() for c in ("part", "node", "n_shingles"))
+        order = np.lexsort((node, part))
+        part, node, size = part[order], node[order], size[order]
+        blobs = group.column("sketch").combine_chunks().take(pa.array(order))
+        data, offsets = flat(blobs)
+        words, first = np.frombuffer(data.tobytes(), np.uint64), offsets // 8
+        cut = np.append(np.flatnonzero(np.concatenate((np.ones(min(1, len(part)), bool), part[1:] != part[:-1]))), len(part))
+        names, index = np.unique(node, return_inverse=True)
+        label = np.arange(len(names))
+        for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            here = label[index[i:j]]
+            if (here == here[0]).all():  # connected by other groups of this task
+                continue
+            most = int(greatest_difference(size[i:j].max(), similarity))
+            _, ties = canopies(folded(words, first, np.arange(i, j)), most, most // 3)
+            if ties.shape[1]:
+                label = labels(len(names), label[index[i + ties[0]]], label[index[i + ties[1]]])[label]
+        tied = np.flatnonzero(label != np.arange(len(names)))
+        a, b = names[tied], names[label[tied]]
+        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
 
 
-def candidate_ties(docs: DataFrame, k: int, similarity: int, second: int, least: int = 0, salts: int = 1) -> DataFrame:
-    """(a, b): nodes tied to the least node that shares a signature with them."""
-    ranges = max(4, 2 * docs.rdd.getNumPartitions())
+def candidate_ties(docs: DataFrame, rows: DataFrame, nodes: DataFrame, k: int, similarity: int) -> DataFrame:
+    """(a, b): ties that connect all similar nodes.  rows: _owner, sketch; nodes: node, rep, n_shingles."""
+    spark = docs.sparkSession
+    ranges = ranges_for(docs)
+    slots = coarse(ranges)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, seen = [], 0, np.zeros(0, np.int64)
+        chunk = Chunk(similarity)
         for batch in batches:
             for _, _, values, offsets in _sets(batch, 0, k):
-                node = set_node(values, offsets)
-                fresh = np.zeros(len(node), bool)
-                fresh[np.unique(node, return_index=True)[1]] = True
-                fresh &= (node != 0) & ~np.isin(node, seen)
-                if not fresh.any():
-                    continue
-                seen = np.concatenate((seen, node[fresh]))
-                keep = np.repeat(fresh, np.diff(offsets))
-                values, offsets, node = values[keep], np.concatenate(([0], np.cumsum(np.diff(offsets)[fresh]))), node[fresh]
-                for salt in range(salts):
-                    sig, row = signatures(values, offsets, similarity, second, least, salt)
-                    held.append((sig, node[row]))
-                    size += len(sig)
-                if size >= ENTRIES:
-                    yield from _pack(held, ranges)
-                    held, size, seen = [], 0, np.zeros(0, np.int64)
-        if held:
-            yield from _pack(held, ranges)
-
-    return docs.select("text").mapInArrow(run, PACKED).groupBy("range").applyInArrow(_tie, "a long, b long")
+                chunk.add(values, offsets)
+                if chunk.entries >= ENTRIES:
+                    yield from chunk.pack(slots)
+        yield from chunk.pack(slots)
+
+    packed = spread(docs.select("text").mapInArrow(run, PACKED), PACKED, slots, ranges, _resplit)
+    met = staged(packed.groupBy("range").applyInArrow(_meet, MET))
+    shared = met.where("not tie").select(F.col("a").alias("g"), F.col("b").alias("node")).distinct()
+    entries = staged(shared.join(nodes.select("node", "rep", "n_shingles"), "node"))
+    counted = entries.groupBy("g").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(F.sum("n_shingles") / GROUP_SHINGLES)).cast("int").alias("_blocks"))
+    large = staged(counted.where("_blocks > 1").withColumnRenamed("g", "_g"))
+    side = F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
+    count, shingles = entries.select(F.count(F.lit(1)), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
+    tasks = int(max(shingles // GROUPS_SHINGLES + 1, spark.sparkContext.defaultParallelism))
+    # every pair of the blocks of a cut group is compared
+    whole, others = F.xxhash64("g"), F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: o != F.col("mine"))
+    parts = F.when(F.col("blocks") <= 1, F.array(whole)).otherwise(F.transform(others, lambda o: F.xxhash64("g", F.least("mine", o), F.greatest("mine", o))))
+    placed = entries.join(side, F.col("g") == F.col("_g"), "left").withColumn("blocks", F.coalesce("_blocks", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("node", "g"), F.col("blocks")).cast("int"))
+    dealt = placed.select("node", "n_shingles", "blocks", F.explode(parts).alias("part"))
+    wanted = entries.select(F.col("rep").alias("_rep"), F.col("node").alias("_node")).distinct()
+    found = rows.select("_owner", "sketch").join(F.broadcast(wanted) if count <= BROADCAST_ROWS else wanted, F.col("_owner") == F.col("_rep")).select("_node", "sketch")
+    # a repeated row has its copies' _owner
+    seen = dealt.join(found.dropDuplicates(["_node"]), F.col("node") == F.col("_node"))
+    task = F.when(F.col("blocks") <= 1, F.pmod("part", F.lit(tasks))).otherwise(F.col("part"))
+    compared = seen.select(task.alias("task"), "part", "node", "n_shingles", "sketch").groupBy("task").applyInArrow(_compare(similarity), "a long, b long")
+    return met.where("tie").select("a", "b").union(compared)
 
 
 def common(sets: list[np.ndarray], first: np.ndarray, last: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -327,7 +557,7 @@ def verified_links(keyed: DataFrame, nodes: DataFrame, clusters: DataFrame, k: i
     return dealt.select("task", F.when(F.col("blocks") <= 1, F.col("cluster")).otherwise(F.xxhash64("cluster", "p.i", "p.j")).alias("cluster"), "p.side", (F.col("p.i") != F.col("p.j")).alias("between"), "node", "weight", "members").groupBy("task").applyInArrow(_verify(similarity), "a long, b long, links long")
 
 
-def jaccard_classes(docs: DataFrame, k: int, similarity: int, second: int = 2, least: int = 0, salts: int = 1) -> DataFrame:
+def jaccard_classes(docs: DataFrame, k: int, similarity: int) -> DataFrame:
     """_owner, doc_id, n_shingles, component_id, n_links of every row of docs, and
     _class, a name of the row's class that is null only where it is alone.
 
@@ -335,8 +565,8 @@ def jaccard_classes(docs: DataFrame, k: int, similarity: int, second: int = 2, l
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_owner"))
     rows = staged(profile(keyed, k))
     filled = rows.where("node <> 0")
-    nodes = filled.groupBy("node").agg(F.min("_owner").alias("rep"), F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"))
-    clusters = components(candidate_ties(docs, k, similarity, second, least, salts))
+    nodes = staged(filled.groupBy("node").agg(F.min("_owner").alias("rep"), F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles")))
+    clusters = components(candidate_ties(docs, rows, nodes, k, similarity))
     links = staged(verified_links(keyed, nodes, clusters, k, similarity))
     classes = components(links.select("a", "b"))
     # nodes that are one of several copies or linked; all others are alone
@@ -352,9 +582,9 @@ def op6_partenum_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), k=3, similarity=90).drop("_owner", "_class")
 
 
-def one_of_each_class(docs: DataFrame, k: int, similarity: int, second: int = 2, least: int = 0) -> DataFrame:
+def one_of_each_class(docs: DataFrame, k: int, similarity: int) -> DataFrame:
     """docs with one document of each class: that of the smallest doc_id (then of the smallest row hash)."""
-    rows = staged(jaccard_classes(docs, k, similarity, second, least).where("n_links > 0"))
+    rows = staged(jaccard_classes(docs, k, similarity).where("n_links > 0"))
     winner = rows.groupBy("_class").agg(F.min_by("_owner", F.struct(F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(True)), "doc_id", "_owner")).alias("_winner"))
     losers = staged(rows.select("_class", "_owner").distinct().join(winner, ["_class"]).where("_owner <> _winner").select(F.col("_owner").alias("_loser")))
     # rows that are equal as a whole cannot be told apart by their hash
@@ -366,3 +596,19 @@ def one_of_each_class(docs: DataFrame, k: int, similarity: int, second: int = 2,
     side = F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated
     twice = kept.join(side, name == repeated["_twice"], "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.join(side, name == repeated["_twice"], "left_anti").union(twice)
+
+
+#: Shingles are lists of words, so that no separator can make two alike; equal sets are one node, as above.
+OP6_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT rid, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i : i + 2]) END)) AS v FROM d),
+n AS (SELECT v, min(rid) AS node, min(doc_id) AS low, count(*) AS copies, len(v) AS size FROM s WHERE len(v) > 0 GROUP BY v),
+x AS (SELECT node, size, unnest(v) AS g FROM n),
+p AS (SELECT a.node AS a, b.node AS b FROM x AS a JOIN x AS b ON a.g = b.g AND a.node <> b.node AND 100 * least(a.size, b.size) >= 90 * greatest(a.size, b.size)
+      GROUP BY a.node, b.node, a.size, b.size HAVING 100 * count(*) >= 90 * (a.size + b.size - count(*))),
+r(a, b) AS (SELECT node, node FROM n UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT r.a AS node, min(n.low) AS component FROM r JOIN n ON n.node = r.b GROUP BY r.a),
+l AS (SELECT p.a AS node, sum(n.copies) AS links FROM p JOIN n ON n.node = p.b GROUP BY p.a)
+SELECT s.doc_id, CAST(len(s.v) AS BIGINT) AS n_shingles, coalesce(c.component, s.doc_id) AS component_id, CAST(coalesce(l.links, 0) + coalesce(n.copies, 1) - 1 AS BIGINT) AS n_links
+FROM s LEFT JOIN n ON n.v = s.v LEFT JOIN c ON c.node = n.node LEFT JOIN l ON l.node = n.node
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .bpe import op8_transducer_bpe
 from .decontaminate import OP4_SQL, op4_spaced_seed_decontamination
-from .partenum import op6_partenum_jaccard
+from .partenum import OP6_SQL, op6_partenum_jaccard
 from .quality import op3_ngram_logistic_quality
 from .resample import op10_importance_resampling
 from .sharding import op5_jump_hash_sharding
@@ -28,5 +28,6 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op1_external_index_merge": OP1_SQL,
     "op4_spaced_seed_decontamination": OP4_SQL,
+    "op6_partenum_jaccard": OP6_SQL,
     "op7_rabin_karp_repeats": OP7_SQL,
 }
