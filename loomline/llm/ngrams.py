@@ -13,7 +13,8 @@ from .textkernel import Words, flat, mix64, slices
 
 #: log2 of the buckets of each feature table; tables have a fixed size whatever the corpus.
 BITS = 20
-#: Buckets of one row in which partial counts travel, and parts that one task adds up.
+#: Tables of counts, buckets of each in which partial counts travel (so that places fit 16 bits), and parts that one task adds up.
+TABLES = 4
 CHUNK = 1 << 14
 FAN_IN = 64
 
@@ -51,47 +52,53 @@ def labelled_sample(labels: DataFrame, rows: int) -> DataFrame:
 
 
 def count_tables(docs: DataFrame, flag: str, text: str = "text", bits: int = BITS) -> np.ndarray:
-    """Counts of hashed words and word pairs: row 0 over all rows, row 1 over rows whose flag is true.
+    """Counts of hashed n-grams over all rows (0, 2) and rows whose flag is true (1, 3): of words and
+    word pairs as often as they occur (0, 1), of words in as many rows as hold them (2, 3).
 
-    Each task counts into two fixed tables and sends their non-zero parts; these
+    Each task counts into fixed tables and sends their non-zero parts; these
     are added up in levels of FAN_IN, so that no task gets more than FAN_IN
     parts of CHUNK buckets however many tasks there are.  What reaches the
     driver has a fixed size."""
     n = 1 << bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, flagged = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        total = np.zeros((TABLES, n), np.int64)
         for batch in batches:
             data, offsets = flat(batch.column(0))
             mark = batch.column(1).fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
             for a, b in slices(offsets):
                 words = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 row, one, pair_row, two = word_grams(words, bits)
-                total += np.bincount(one, minlength=n)
-                total += np.bincount(two, minlength=n)
-                if mark[a:b].any():
-                    good = mark[a:b]
-                    flagged += np.bincount(one[good[row]], minlength=n)
-                    flagged += np.bincount(two[good[pair_row]], minlength=n)
-        yield from _rows(((c, np.stack([total[c * CHUNK : (c + 1) * CHUNK], flagged[c * CHUNK : (c + 1) * CHUNK]])) for c in range(max(1, n // CHUNK))))
+                held_row, held = distinct_grams(row, one, bits)
+                for at, rows, names in ((0, row, one), (0, pair_row, two), (2, held_row, held)):
+                    total[at] += np.bincount(names, minlength=n)
+                    if mark[a:b].any():
+                        total[at + 1] += np.bincount(names[mark[a:b][rows]], minlength=n)
+        yield from _rows((c, total[:, c * CHUNK : (c + 1) * CHUNK]) for c in range(max(1, n // CHUNK)))
 
     parts = docs.select(F.col(text), F.col(flag)).mapInArrow(count, "chunk int, part long, at binary, n binary")
     tasks = docs.rdd.getNumPartitions()
     while tasks > 1:
         tasks = -(-tasks // FAN_IN)
         parts = parts.withColumn("part", F.col("part") % F.lit(tasks)).groupBy("chunk", "part").applyInArrow(_add_up, "chunk int, part long, at binary, n binary")
-    out = np.zeros((2, n), np.int64)
+    out = np.zeros((TABLES, n), np.int64)
+    width = min(CHUNK, n)
     for r in parts.collect():
-        width = min(CHUNK, n)
         out[:, r.chunk * width : (r.chunk + 1) * width] += _dense(r.at, r.n, width)
     return out
 
 
+def distinct_grams(row: np.ndarray, names: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bucket), each pair once."""
+    key = np.unique(row.astype(np.int64) << bits | names)
+    return key >> bits, key & ((1 << bits) - 1)
+
+
 def _dense(at: bytes, counts: bytes, width: int) -> np.ndarray:
     where = np.frombuffer(at, np.uint16)
-    out = np.zeros(2 * width, np.int64)
+    out = np.zeros(TABLES * width, np.int64)
     out[where] = np.frombuffer(counts, np.int64 if len(counts) == 8 * len(where) else np.uint32)
-    return out.reshape(2, width)
+    return out.reshape(TABLES, width)
 
 
 def _rows(tables: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:

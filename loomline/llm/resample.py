@@ -1,24 +1,23 @@
 """Operator 10: data selection by importance resampling.
 
-Two hashed n-gram models, words and word pairs in 2^20 buckets, are counted:
-one over all raw documents, one over documents labelled good and not toxic.
-With c the target count of a bucket and e the count that the raw model leads
-to expect, its log ratio is log((c + PRIOR) / (e + PRIOR)): both models are smoothed by
-a few expected occurrences, so that a rare bucket says little either way.
-
-A document's log importance weight is that of a passage of fixed length, so
-that long documents are not judged by their length.  Two averages of the log
-ratio are taken: over all its n-grams (junk is unlikely throughout), and over
-the part of each word's ratio below -1 (a few words that good text never has).
-Each is divided by what the labelled good documents, judged without their own
-occurrences, hardly ever go below (their TAIL quantile); the smaller counts,
-times SHARPNESS.
-
-Documents are then sampled without replacement by Gumbel top-k: each weight
+Hashed n-gram models, in 2^20 buckets, are counted of the raw text (all
+documents) and of the target (documents labelled good and not toxic).  Each has
+two factors: how often words and word pairs occur, and how many documents hold
+a word, which a text that repeats one word cannot distort.  With c the target's
+count of a bucket and e the count that the raw model leads to expect, the log
+ratio of a bucket is log((c + 1) / (e + 1)), drawn towards 0 by its standard
+error: the raw model is the prior of the target model, and a bucket says only
+what its counts bear out.
+
+A document's log importance weight is the sum of the factors' log ratios: that
+of occurrences for a passage of PASSAGE words, so that long documents are not
+judged by their length, and that of documents over all words of the text.
+
+Documents are then sampled without replacement by Gumbel top-k: each log weight
 gets Gumbel noise, made from the document's id by hash, and the k largest sums
-win.  k is the number of documents whose weight is above the tail bound, or a
-given share of all.  The k-th largest key is found exactly by counting keys in
-ever narrower ranges, so nothing is sorted or gathered.
+win.  k is a share of the documents with words; unless given, the share of
+labelled ids that are good.  The k-th largest key is found exactly by counting
+keys in ever narrower ranges, so nothing is sorted or gathered.
 
 Defined results: a document without words is never selected; ties at the k-th
 key are all selected (a repeated row has its copies' key); a null id is hashed
@@ -46,66 +45,42 @@ from .textkernel import Words
 
 #: Labelled ids that the target model is fitted on, at most; also what is broadcast.
 LABELLED_ROWS = 100_000
-#: Shares of labelled good documents that the two averages may lose.
-TAIL = (0.002, 0.006)
-SHARPNESS = 10.0
-#: Occurrences by which both models are smoothed in each bucket.
-PRIOR = 1.0
-#: Words' log ratios above this are ordinary.
-ORDINARY = -1.0
-#: Words added to the length when the second average is taken: one odd word in a short text says little.
-SOFTEN = 100
+#: Words of the passage whose occurrences are weighed.
+PASSAGE = 200
 SEED = 20_24
 
 
 class Model(NamedTuple):
-    ratio: Broadcast  # of 2^20 float32
-    bounds: tuple[float, float]
+    ratios: Broadcast  # 2 x 2^20 float32: of occurrences, of documents
+    share: float  # to select
 
 
-def log_ratios(raw: np.ndarray, target: np.ndarray, own: int = 0) -> np.ndarray:
-    """own: occurrences to leave out, so that a target document is not judged by itself."""
-    expected = raw * (target.sum() / max(1, raw.sum()))
-    return (np.log(np.maximum(0, target - own) + PRIOR) - np.log(expected + PRIOR)).astype(np.float32) if target.sum() else np.zeros(len(raw), np.float32)
-
-
-def averages(ratio: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words of each row, its mean log ratio, its mean of what is below ORDINARY."""
-    words = Words(data, offsets)
-    n, row, one, pair_row, two = len(offsets) - 1, *word_grams(words)
-    single = ratio[one].astype(np.float64)
-    count = words.counts
-    every = np.bincount(row, single, minlength=n) + np.bincount(pair_row, ratio[two], minlength=n)
-    odd = np.bincount(row, np.minimum(0, single - ORDINARY), minlength=n)
-    return count, every / np.maximum(1, count), odd / (count + SOFTEN)
+def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log ratio of the models in each bucket, drawn towards 0 by one standard error."""
+    if not target.sum():
+        return np.zeros(len(raw), np.float32)
+    c, e = target + 1.0, raw * (target.sum() / raw.sum()) + 1.0
+    ratio = np.log(c) - np.log(e)
+    return (np.sign(ratio) * np.maximum(0, np.abs(ratio) - np.sqrt(1 / c + 1 / e))).astype(np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Count both models over all documents, and take the tail bounds."""
+    """Count both models over all documents."""
     spark = docs.sparkSession
     # at most LABELLED_ROWS rows of two columns: safe to broadcast at any size of the corpus
-    sample = staged(labelled_sample(labels, LABELLED_ROWS).select(F.col("doc_id").alias("_id"), (F.expr("quality = 1 and coalesce(toxic, 0) = 0")).alias("_good")))
+    sample = staged(labelled_sample(labels, LABELLED_ROWS).select(F.col("doc_id").alias("_id"), (F.expr("coalesce(quality = 1, false) and coalesce(toxic, 0) = 0")).alias("_good")))
     marked = docs.select(F.col("doc_id"), F.col("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("_id"), "left").select("text", F.coalesce("_good", F.lit(False)).alias("good"))
-    raw, target = count_tables(marked, "good")
-    ratio, others = (spark.sparkContext.broadcast(log_ratios(raw, target, own)) for own in (0, 1))
+    raw, target, raw_rows, target_rows = count_tables(marked, "good")
+    share = sample.agg(F.avg(F.col("_good").cast("int"))).first()[0] if target.sum() else 1.0
+    return Model(spark.sparkContext.broadcast(np.stack([log_ratios(raw, target), log_ratios(raw_rows, target_rows)])), share)
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (count, every, odd) in by_slice(lambda d, o: averages(others.value, d, o), 0)(batches):
-            keep = count > 0
-            yield pa.RecordBatch.from_arrays([pa.array(every[keep]), pa.array(odd[keep])], ["every", "odd"])
 
-    good = docs.select(F.col("doc_id"), F.col("text")).join(F.broadcast(sample.where("_good")), F.col("doc_id") == F.col("_id"), "left_semi").select("text")
-    measured = staged(good.mapInArrow(measure, "every double, odd double"))
-    n = measured.count()
-    # exact order statistics, the same in every run
-    bounds = tuple(min(-0.01, kth_largest(measured, c, n - int(n * tail))) if n else -1.0 for c, tail in zip(("every", "odd"), TAIL, strict=True))
-    return Model(ratio, bounds)
-
-
-def log_weight(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    count, every, odd = averages(model.ratio.value, data, offsets)
-    weight = SHARPNESS * np.minimum(every / -model.bounds[0], odd / -model.bounds[1])
-    return np.where(count > 0, weight, -np.inf)
+def log_weight(ratios: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Log importance weight of each row; -inf for a row without words."""
+    words = Words(data, offsets)
+    n, row, one, pair_row, two = len(offsets) - 1, *word_grams(words)
+    occurring = np.bincount(row, ratios[0][one], minlength=n) + np.bincount(pair_row, ratios[0][two], minlength=n)
+    return np.where(words.counts > 0, PASSAGE * occurring / np.maximum(1, words.counts) + np.bincount(row, ratios[1][one], minlength=n), -np.inf)
 
 
 def gumbel(key: Column) -> Column:
@@ -120,7 +95,7 @@ def scored(docs: DataFrame, model: Model, weight_as: str, key_as: str) -> DataFr
     place = columns.index("text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, weight in by_slice(lambda d, o: log_weight(model, d, o), place)(batches):
+        for rows, weight in by_slice(lambda d, o: log_weight(model.ratios.value, d, o), place)(batches):
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(weight)], [*rows.schema.names, weight_as])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(weight_as, T.DoubleType())])
@@ -154,7 +129,7 @@ def selection(docs: DataFrame, labels: DataFrame, share: float | None = None) ->
     """The model, the least key that is selected, and (doc_id, log weight, key) of all rows."""
     model = fit(docs, labels)
     keys = staged(scored(docs.select("doc_id", "text"), model, "log_weight", "key").drop("text"))
-    k = keys.where(F.col("log_weight") >= -SHARPNESS).count() if share is None else round(keys.count() * share)
+    k = round(keys.where(F.col("log_weight") > float("-inf")).count() * (model.share if share is None else share))
     return model, kth_largest(keys, "key", k), keys
 
 

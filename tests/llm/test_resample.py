@@ -1,5 +1,7 @@
 import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 
@@ -75,6 +77,62 @@ def test_counts_are_whole_over_many_parts(spark):
     one = count_tables(docs.coalesce(1), "good")
     many = count_tables(docs.repartition(130), "good")
     assert (one == many).all() and one[0].sum() == 300 * 5 and one[1].sum() == 150 * 5 and CHUNK
+    assert one[2].sum() == 300 * 3 and one[3].sum() == 150 * 3
+
+
+def plain_weights(docs, good):
+    """The log weights by dictionaries of words and pairs."""
+    def grams(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        return w, w + list(zip(w, w[1:]))
+
+    raw, target, raw_rows, target_rows = Counter(), Counter(), Counter(), Counter()
+    for i, text, _ in docs:
+        w, both = grams(text)
+        raw.update(both)
+        raw_rows.update(set(w))
+        if i in good:
+            target.update(both)
+            target_rows.update(set(w))
+
+    def ratio(t, r, g):
+        c, e = t[g] + 1, r[g] * t.total() / r.total() + 1
+        x = math.log(c / e)
+        return math.copysign(max(0, abs(x) - math.sqrt(1 / c + 1 / e)), x)
+
+    out = {}
+    for i, text, _ in docs:
+        w, both = grams(text)
+        if w:
+            out[i] = 200 * sum(ratio(target, raw, g) for g in both) / len(w) + sum(ratio(target_rows, raw_rows, g) for g in w)
+    return out
+
+
+def test_weights_and_selection_equal_a_plain_version(spark):
+    docs, labels, _ = corpus(150)
+    docs += [(1000, None, "x"), (1001, " ", "x"), (1002, "w1", "x"), (1003, "w2 " * 5000, "x")]
+    _, least, keys = selection(spark.createDataFrame(docs, "doc_id long, text string, x string").repartition(3), spark.createDataFrame(labels, LABELS))
+    want = plain_weights(docs, {i for i, q, t in labels if q == 1 and t == 0})
+    rows = {r.doc_id: r for r in keys.collect()}
+    assert {i for i, r in rows.items() if r.log_weight > -math.inf} == set(want)
+    # of about 8,000 n-grams in 2^20 buckets some 30 clash, which only texts that hold them see
+    assert sum(abs(rows[i].log_weight - w) > 1e-3 * (1 + abs(w)) for i, w in want.items()) <= 0.1 * len(want)
+    assert all(abs(rows[i].log_weight - w) < 0.05 * (10 + abs(w)) for i, w in want.items())
+    noisy = sorted((rows[i].log_weight + (rows[i].key - rows[i].log_weight) for i in want), reverse=True)
+    k = round(len(want) * sum(q == 1 and t == 0 for _, q, t in labels) / len(labels))
+    assert least == noisy[k - 1] and sum(r.key >= least for r in rows.values()) == k
+
+
+def test_ties_at_the_kth_key_are_all_selected(spark):
+    docs, labels, _ = corpus(60)
+    docs = spark.createDataFrame(docs + [(None, docs[1][1], "x")] * 5 + [docs[1]] * 7, "doc_id long, text string, x string")
+    for share in (0.02, 0.3, 0.9):
+        _, least, keys = selection(docs, spark.createDataFrame(labels, LABELS), share)
+        rows = [r.key for r in keys.collect()]
+        chosen = resample(docs, spark.createDataFrame(labels, LABELS), share)
+        assert chosen.count() == sum(k >= least for k in rows) >= round(72 * share) > sum(k > least for k in rows)
+        copies = {r.doc_id: r["count"] for r in chosen.groupBy("doc_id").count().collect()}
+        assert copies.get(1) in (None, 8) and copies.get(None) in (None, 5)
 
 
 def test_query(spark):
