@@ -3,27 +3,41 @@
 Entities are found by one alternation of patterns; each is replaced by a
 surrogate made from a keyed digest of its type and canonical form, so the same
 entity gets the same surrogate everywhere (in any spelling: case of an e-mail
-address, punctuation of a phone or card number, a surname with or without the
-given name) without any lookup.  Surrogates keep type and format: letters stay
-letters in their case, digits stay digits, punctuation, lengths, top-level
-domains, country codes, card issuers and valid Luhn digits are kept, hex stays
+address, punctuation of a phone or card number, a phone number with or without
+the country code 1, a surname with or without the given name) without any
+lookup.  Surrogates keep type and format: letters stay letters in their case and
+script, digits stay digits, punctuation, lengths, top-level domains, country
+codes, card issuers, valid Luhn digits and IBAN check digits are kept, hex stays
 hex; names are made of syllables of their script with an ending that fits the
-gender of the title before them.
+gender of the title before them, a part for each part of a double name.  Names
+are found after a title; where the same document mentions a part of such a name
+again, by itself, it gets the same surrogate (parts of three letters or more).
+Sixteen digits in a row are a card number if an issuer's digit leads and the
+Luhn digit is valid, in groups of four they are always one.
 
 Collision check: distinct entities are gathered (one row each, counted before
 the shuffle), and those whose surrogate is that of another entity, or is itself
-an entity of the data, get a further attempt, until all differ.  Only these
-exceptions are joined to the documents; usually there are none.
+an entity of the data, get a further attempt, until all differ; names and
+addresses get longer after WIDEN attempts, so their space grows with the data.
+Only these exceptions are joined to the documents; usually there are none.
 
-All of it is DataFrame functions: no Python runs on the executors.
+The key is the setting KEY_SETTING of the session; without one a key that anyone
+can read is used, and a warning given.
+
+All of it is DataFrame functions: no Python runs on the executors.  A text is
+scanned once a pass: what the patterns find is cut out by one replacement.
 
 Defined results: null text stays null and empty text empty; texts of any length
 are scanned whole; all other columns pass through, whatever their names; a
-repeated row is replaced alike; an empty table gives an empty result.
+repeated row is replaced alike; an empty table gives an empty result; a type
+whose format has fewer members than the data (addresses of four bytes, say) is
+an error.
 """
 
 from __future__ import annotations
 
+import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,8 +45,14 @@ from pyspark.sql import functions as F
 
 from .shared import staged, table
 
-KEY = "surrogate-key-1"
+KEY_SETTING = "spark.loomline.surrogateKey"
+#: Only where none is set, as in tests: surrogates made with it can be traced back.
+OPEN_KEY = "surrogate-key-1"
 ROUNDS = 40
+#: Attempts after which names and addresses get longer, each time.
+WIDEN = 6
+#: Stands between pieces of a text; texts that hold it are cut in another way.
+MARK = "\x01"
 LONG = 128
 BROADCAST_ROWS = 100_000
 
@@ -46,20 +66,27 @@ ENDINGS = {
 }
 
 TITLE = rf"(?:{MALE}|{FEMALE})\.? "
-NAME = r"\p{Lu}\p{Ll}{1,30}"
+NAME = r"\p{Lu}(?:\p{L}|['’](?!s\b)\p{L})*+(?:-\p{L}(?:\p{L}|['’](?!s\b)\p{L})*+)*+"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+LOCAL, LABEL = r"[\p{L}\p{N}._%+-]", r"[\p{L}\p{N}-]"
+GROUP = "[0-9A-Fa-f]{1,4}"
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.){1,8}[A-Za-z]{2,24}\b",
+    "email": rf"(?<!{LOCAL}){LOCAL}++@[\p{{L}}\p{{N}}](?:{LABEL}{{0,62}}\.){{1,8}}\p{{L}}{{2,24}}\b",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     "secret": r"(?<=(?i:password|passwd|token|secret|api_key|apikey) {0,2}[=:] {0,2}[\"']?)[A-Za-z0-9+/_-](?:\.?[A-Za-z0-9+/_-]){7,}+",
-    "card": r"(?<![0-9.])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9])",
-    "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
+    "card": r"(?<![0-9.])(?:[2-6][0-9]{15}|[0-9]{4}(?:[ -][0-9]{4}){3}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9])",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "phone": r"\+[0-9](?:[ .()/-]{0,2}[0-9]){7,14}(?![0-9])|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
     "ip": rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
+    "ip6": rf"(?<![0-9A-Za-z:])(?=[0-9A-Fa-f:]{{0,38}}[0-9])(?:(?:{GROUP}:){{7}}{GROUP}|(?:{GROUP}:){{1,6}}(?::{GROUP}){{1,6}}|::{GROUP}(?::{GROUP}){{1,6}})(?![0-9A-Za-z:])",
     "name": rf"\b{TITLE}{NAME}(?: {NAME})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every text with an entity has; titles are only tried where one of their first letters stands.
 QUICK = rf"[0-9@=:]|A(?:KIA|SIA)|(?=[{''.join(sorted({title[0] for title in f'{MALE}|{FEMALE}'.split('|')}))}])(?:{MALE}|{FEMALE})\.? \p{{Lu}}"
+#: Country codes of telephone numbers of one and two digits; all others have three.
+COUNTRY = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -96,8 +123,27 @@ def _pick(letters: str, hexed: Column, place: Column) -> Column:
 
 
 def _alike(text: Column, hexed: Column) -> Column:
-    """Digits for digits, letters for letters, the rest as it is."""
-    return _chars(text, lambda c, i: F.when(c.rlike("[0-9]"), _pick("0123456789", hexed, i)).when(c.rlike("[a-z]"), _pick("abcdefghijklmnopqrstuvwxyz", hexed, i)).when(c.rlike("[A-Z]"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", hexed, i)).otherwise(c))
+    """Digits for digits, letters for letters of their case and script, the rest as it is."""
+    kinds = {"[0-9]": "0123456789", "[a-z]": "abcdefghijklmnopqrstuvwxyz", "[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "[а-яё]": "абвгдежзиклмнопрстуфхцчшэюя", "[А-ЯЁ]": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"}
+    kinds |= {r"\p{Lu}": kinds["[A-Z]"], r"\p{L}": kinds["[a-z]"], r"\p{N}": kinds["[0-9]"]}
+
+    def other(c: Column, i: Column) -> Column:
+        out = F
+        for pattern, letters in kinds.items():
+            out = out.when(c.rlike(pattern), _pick(letters, hexed, i))
+        return out.otherwise(c)
+
+    return _chars(text, other)
+
+
+def _hex_alike(text: Column, hexed: Column) -> Column:
+    return _chars(text, lambda c, i: F.when(c.rlike("[0-9a-f]"), _pick("0123456789abcdef", hexed, i)).otherwise(c))
+
+
+def _mod97(text: Column) -> Column:
+    """Remainder of the number that letters as 10 to 35 and digits spell."""
+    values = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.conv(F.substring(text, i, F.lit(1)), 36, 10).cast("int"))
+    return F.aggregate(values, F.lit(0), lambda a, x: (a * F.when(x > 9, 100).otherwise(10) + x) % 97)
 
 
 def _luhn(digits: Column, odd: int) -> Column:
@@ -108,80 +154,110 @@ def _luhn(digits: Column, odd: int) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
 
+def is_name(kind: Column) -> Column:
+    return kind.startswith("given") | kind.startswith("surname")
+
+
 def canonical(kind: Column, value: Column) -> Column:
-    return F.when(kind.isin("card", "phone"), F.regexp_replace(value, "[^0-9]", "")).when((kind == "email") | kind.startswith("given") | kind.startswith("surname"), F.lower(value)).otherwise(value)
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    phone = F.when(value.startswith("+"), digits).otherwise(F.concat(F.lit("1"), digits))
+    return F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits).when(kind == "iban", F.regexp_replace(value, " ", "")).when(kind.isin("email", "ip6") | is_name(kind), F.lower(value)).otherwise(value)
 
 
-def surrogate(kind: Column, canon: Column, hexed: Column) -> Column:
-    """Canonical surrogate of a canonical entity."""
+def surrogate(kind: Column, canon: Column, hexed: Column, wider: Column) -> Column:
+    """Canonical surrogate of a canonical entity; names and addresses are longer by `wider` steps."""
     n = F.length(canon)
+    letters = lambda first, count: F.concat(*(_pick("abcdefghijklmnopqrstuvwxyz", hexed, F.lit(first + i)) for i in range(count)))
     domain_end = n - F.length(F.substring_index(canon, ".", -1))
-    email = F.concat(_alike(F.substring(canon, F.lit(1), domain_end), hexed), F.substring_index(canon, ".", -1))
+    longer = F.when(wider > 1, letters(1, 12)).when(wider > 0, letters(1, 4)).otherwise(F.lit(""))
+    email = F.concat(longer, _alike(F.substring(canon, F.lit(1), domain_end), hexed), F.substring_index(canon, ".", -1))
     key = F.concat(F.substring(canon, 1, 4), _alike(F.substring(canon, F.lit(5), n), hexed))
     secret = F.when(canon.rlike("^[0-9a-f]+$"), _pieces(canon, hexed, lambda t, h: _chars(t, lambda c, i: _pick("0123456789abcdef", h, i)))).otherwise(_pieces(canon, hexed, _alike))
     card = let(
         F.concat(F.substring(canon, 1, 1), _alike(F.substring(canon, F.lit(2), n - 2), hexed)),
         lambda body: let((F.lit(10) - _luhn(body, 1) % 10) % 10, lambda d: F.concat(body, F.when(_luhn(canon, 0) % 10 == 0, d).otherwise((d + 1 + _draw(hexed, F.lit(16), 9)) % 10).cast("string"))),
     )
-    code = n - 10
-    phone = F.concat(
-        F.substring(canon, F.lit(1), code), _pick("23456789", hexed, F.lit(1)), _pick("0123456789", hexed, F.lit(2)), _pick("0123456789", hexed, F.lit(3)),
-        F.when(F.substring(canon, code + 4, F.lit(3)) == "555", F.lit("555")).otherwise(F.concat(_pick("23456789", hexed, F.lit(4)), _pick("0123456789", hexed, F.lit(5)), _pick("0123456789", hexed, F.lit(6)))),
+    american = F.concat(
+        F.lit("1"), _pick("23456789", hexed, F.lit(1)), _pick("0123456789", hexed, F.lit(2)), _pick("0123456789", hexed, F.lit(3)),
+        F.when(F.substring(canon, 5, 3) == "555", F.lit("555")).otherwise(F.concat(_pick("23456789", hexed, F.lit(4)), _pick("0123456789", hexed, F.lit(5)), _pick("0123456789", hexed, F.lit(6)))),
         *(_pick("0123456789", hexed, F.lit(i)) for i in range(7, 11)),
     )
+    code = F.regexp_extract(canon, f"^(?:{COUNTRY}|[0-9]{{3}})", 0)
+    # a first digit that is not 0 stays one: a leading 0 would be a trunk prefix
+    abroad = F.concat(code, F.when(F.substring(canon, F.length(code) + 1, F.lit(1)) == "0", F.lit("0")).otherwise(_pick("123456789", hexed, F.lit(16))), _alike(F.substring(canon, F.length(code) + 2, n), hexed))
+    phone = F.when(canon.rlike("^1[0-9]{10}$"), american).otherwise(abroad)
+    ssn = _alike(canon, hexed)
+    iban = let(_alike(F.substring(canon, F.lit(5), n), hexed), lambda body: F.concat(F.substring(canon, 1, 2), F.lpad((98 - _mod97(F.concat(body, F.substring(canon, 1, 2), F.lit("00")))).cast("string"), 2, "0"), body))
     ip = F.concat_ws(".", *((_draw(hexed, F.lit(i), 254 if i in (1, 4) else 256) + (1 if i in (1, 4) else 0)).cast("string") for i in range(1, 5)))
-    out = F.when(kind == "email", email).when(kind == "key", key).when(kind == "secret", secret).when(kind == "card", card).when(kind == "phone", phone).when(kind == "ip", ip)
+    ip6 = _hex_alike(F.when(wider > 0, F.lit(":".join(["0000"] * 8))).otherwise(canon), F.concat(hexed, F.sha2(hexed, 512)))
+    out = F.when(kind == "email", email).when(kind == "key", key).when(kind == "secret", secret).when(kind == "card", card).when(kind == "phone", phone)
+    out = out.when(kind == "ssn", ssn).when(kind == "iban", iban).when(kind == "ip", ip).when(kind == "ip6", ip6)
     for (script, part, gender), endings in ENDINGS.items():
-        consonants, vowels = SYLLABLES[script]
-        stem = [_pick(letters, hexed, F.lit(i)) for i, letters in enumerate((consonants, vowels) * 3, 1)]
-        out = out.when(kind == f"{part}_{script}_{gender}", F.concat(*stem, F.array(*map(F.lit, endings))[_draw(hexed, F.lit(7), len(endings))]))
+        pairs = lambda first, count, s=SYLLABLES[script]: F.concat(*(_pick(x, hexed, F.lit(first + i)) for i, x in enumerate(s * count)))
+        more = F.when(wider > 1, pairs(8, 4)).when(wider > 0, pairs(8, 2)).otherwise(F.lit(""))
+        out = out.when(kind == f"{part}_{script}_{gender}", F.concat(pairs(1, 3), more, F.array(*map(F.lit, endings))[_draw(hexed, F.lit(7), len(endings))]))
     return out
 
 
 def rendered(kind: Column, value: Column, fake: Column) -> Column:
     """The canonical surrogate in the spelling of value."""
-    digits = _chars(value, lambda c, i: F.when(c.rlike("[0-9]"), F.substring(fake, F.length(F.regexp_replace(F.substring(value, F.lit(1), i), "[^0-9]", "")), F.lit(1))).otherwise(c))
-    cased = _chars(fake, lambda c, i: F.when(F.substring(value, i, F.lit(1)).rlike("[A-Z]"), F.upper(c)).otherwise(c))
-    return F.when(kind.isin("card", "phone"), digits).when(kind == "email", cased).when(kind.startswith("given") | kind.startswith("surname"), F.initcap(fake)).otherwise(fake)
+    plain = F.regexp_replace(value, "[^0-9A-Z]", "")
+    # from the right, so that a country code that value does not spell is left out
+    place = lambda i: F.length(F.regexp_replace(F.substring(value, F.lit(1), i), "[^0-9A-Z]", "")) + F.length(fake) - F.length(plain)
+    placed = _chars(value, lambda c, i: F.when(c.rlike("[0-9A-Z]"), F.substring(fake, place(i), F.lit(1))).otherwise(c))
+    # what a longer surrogate has more stands first, in small letters
+    cased = _chars(fake, lambda c, i: F.when(F.substring(value, F.greatest(i - F.length(fake) + F.length(value), F.lit(0)), F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c))
+    loud = (value == F.upper(value)) & (F.length(value) > 1)
+    return F.when(kind.isin("card", "phone", "ssn", "iban"), placed).when(kind.isin("email", "ip6") & (F.length(fake) >= F.length(value)), cased).when(is_name(kind), F.when(loud, F.upper(fake)).otherwise(F.initcap(fake))).otherwise(fake)
 
 
 def kind_of(entity: Column) -> Column:
+    """The type of what the patterns found; null for digits that are no card number."""
+    plain = lambda name: entity.rlike(f"^(?:{PATTERNS[name]})$")
     return (
-        F.when(entity.contains("@"), "email").when(entity.rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$"), "key").when(entity.rlike(f"^{TITLE}"), "name").when(entity.rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$"), "ip")
-        .when(entity.rlike("^[0-9]{4}(?:[ -]?[0-9]{4}){3}$"), "card").when(entity.rlike(rf"^(?:{PATTERNS['phone']})$"), "phone").otherwise("secret")
+        F.when(entity.contains("@"), "email").when(plain("key"), "key").when(entity.rlike(f"^{TITLE}"), "name").when(plain("ip"), "ip")
+        .when(entity.rlike("^[0-9]{16}$"), F.when((_luhn(entity, 0) % 10 == 0), "card")).when(plain("card"), "card").when(plain("ssn"), "ssn").when(plain("phone"), "phone")
+        .when(plain("iban"), "iban").when(plain("ip6"), "ip6").otherwise("secret")
     )
 
 
-def entities(text: Column) -> Column:
-    """Entities in order: prefix (a title), and parts (kind, value, canon) that are replaced one by one."""
+def entity(found: Column) -> Column:
+    """Prefix (a title), and parts (kind, value, canon, after) that are replaced one by one; none of what is no entity."""
+
+    def by_kind(kind: Column) -> Column:
+        prefix = F.when(kind == "name", F.regexp_extract(found, f"^{TITLE}", 0)).when(kind.isNull(), found).otherwise(F.lit(""))
+        script = F.when(found.rlike(r"\p{IsCyrillic}$"), "cyrillic").otherwise("latin")
+        gender = F.when(found.rlike(rf"^(?:{MALE})\.? "), "m").otherwise("f")
+        names = F.split(F.regexp_replace(found, f"^{TITLE}", ""), " ")
 
-    def split(entity: Column) -> Column:
-        def by_kind(kind: Column) -> Column:
-            prefix = F.when(kind == "name", F.regexp_extract(entity, f"^{TITLE}", 0)).otherwise(F.lit(""))
-            words = F.when(kind == "name", F.split(F.regexp_replace(entity, f"^{TITLE}", ""), " ")).otherwise(F.array(entity))
-            script = F.when(entity.rlike(r"\p{IsCyrillic}$"), "cyrillic").otherwise("latin")
-            gender = F.when(entity.rlike(rf"^(?:{MALE})\.? "), "m").otherwise("f")
+        def piece(name: Column, i: Column) -> Column:
+            given = (F.size(names) == 2) & (i == 0)
+            named = F.when(given, F.concat(F.lit("given_"), script, F.lit("_"), gender)).otherwise(F.concat(F.lit("surname_"), script, F.lit("_"), F.when(script == "cyrillic", gender).otherwise(F.lit(""))))
+            halves = F.split(name, "-")
+            return F.transform(halves, lambda w, j: F.struct(named.alias("kind"), w.alias("value"), F.lower(w).alias("canon"), F.when(j < F.size(halves) - 1, "-").when(i < F.size(names) - 1, " ").otherwise("").alias("after")))
 
-            def part(word: Column, i: Column) -> Column:
-                given = (F.size(words) == 2) & (i == 0)
-                named = F.when(given, F.concat(F.lit("given_"), script, F.lit("_"), gender)).otherwise(F.concat(F.lit("surname_"), script, F.lit("_"), F.when(script == "cyrillic", gender).otherwise(F.lit(""))))
-                return let(F.when(kind == "name", named).otherwise(kind), lambda k: F.struct(k.alias("kind"), word.alias("value"), canonical(k, word).alias("canon")))
+        one = F.array(F.struct(kind.alias("kind"), found.alias("value"), canonical(kind, found).alias("canon"), F.lit("").alias("after")))
+        return F.struct(prefix.alias("prefix"), F.when(kind == "name", F.flatten(F.transform(names, piece))).when(kind.isNull(), F.slice(one, 1, 0)).otherwise(one).alias("parts"))
 
-            return F.struct(prefix.alias("prefix"), F.transform(words, part).alias("parts"))
+    return let(kind_of(found), by_kind)
 
-        return let(kind_of(entity), by_kind)
 
-    return F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), split)
+def pieces(text: Column) -> Column:
+    """text cut into what is no entity and what is, in turns, beginning and ending with the former; null if it has none."""
+    fast = F.split(F.regexp_replace(text, ANY, f"{MARK}$0{MARK}"), MARK, -1)
+    both = F.flatten(F.zip_with(F.split(text, ANY, -1), F.concat(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), F.array(F.lit(""))), lambda a, b: F.array(a, b)))
+    return F.when(text.rlike(QUICK), F.when(text.contains(MARK), F.slice(both, F.lit(1), F.size(both) - 1)).otherwise(fast))
 
 
-def has_entity(text: Column) -> Column:
-    return text.rlike(QUICK) & text.rlike(ANY)
+def entities(cut: Column) -> Column:
+    """Entities of the pieces of a text, in order."""
+    return F.when(F.size(cut) > 1, F.transform(F.sequence(F.lit(1), F.size(cut) - 2, F.lit(2)), lambda i: entity(cut[i])))
 
 
 def attempts(units: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     """(kind, canon, attempt) of the entities whose first surrogate collides."""
     real = staged(units.distinct())
-    fake = lambda df: df.withColumn("fake", let(digest(F.col("kind"), F.col("canon"), F.col("attempt"), key), lambda h: surrogate(F.col("kind"), F.col("canon"), h)))
+    fake = lambda df: df.withColumn("fake", let(digest(F.col("kind"), F.col("canon"), F.col("attempt"), key), lambda h: surrogate(F.col("kind"), F.col("canon"), h, F.floor(F.col("attempt") / WIDEN))))
     given = fake(real.withColumn("attempt", F.lit(0)))
     for _ in range(rounds):
         rank = F.row_number().over(Window.partitionBy("kind", "fake").orderBy("attempt", "canon"))
@@ -193,28 +269,47 @@ def attempts(units: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     raise ValueError("an entity type has more members than its surrogate format can tell apart")
 
 
-def replace_entities(docs: DataFrame, key: str = KEY, counted: str | None = None) -> DataFrame:
+def secret_key(spark: SparkSession) -> str:
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is not set: surrogates are made with a key that anyone can read", stacklevel=2)
+    return key or OPEN_KEY
+
+
+def replace_entities(docs: DataFrame, key: str | None = None, counted: str | None = None) -> DataFrame:
     """docs with surrogates in text; counted names a column for the number of entities replaced."""
-    found = docs.where(has_entity(F.col("text"))).select(F.xxhash64("text").alias("_text"), F.explode(F.flatten(F.transform(entities(F.col("text")), lambda e: e["parts"]))).alias("p")).select("_text", "p.kind", "p.canon")
+    key = key or secret_key(docs.sparkSession)
+    cuts = docs.select(F.xxhash64("text").alias("_text"), pieces(F.col("text")).alias("_cut")).where(F.size("_cut") > 1)
+    found = cuts.select("_text", F.explode(F.flatten(F.transform(entities(F.col("_cut")), lambda e: e["parts"]))).alias("p")).select("_text", "p.kind", "p.canon")
     again = staged(attempts(found.select("kind", "canon"), key))
     few = again.count()
+    mark = uuid.uuid4().hex  # clash with no column
+    cut, old, new, tries = (f"_{name}_{mark}" for name in ("cut", "old", "new", "tries"))
+    work = docs.withColumn(cut, pieces(F.col("text")))
     if few:
-        mine = found.join(F.broadcast(again) if few <= BROADCAST_ROWS else again, ["kind", "canon"]).groupBy("_text").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "canon"), "attempt"))).alias("_again"))
-        mine = staged(mine)
-        joined = docs.join(F.broadcast(mine) if mine.count() <= BROADCAST_ROWS else mine, F.xxhash64(docs["text"]) == mine["_text"], "left")
-        attempt = lambda p: F.coalesce(F.try_element_at(mine["_again"], F.concat_ws("\x1f", p["kind"], p["canon"])), F.lit(0))
-    else:
-        joined, attempt = docs, lambda p: F.lit(0)
-    text = docs["text"]
+        mine = found.join(F.broadcast(again) if few <= BROADCAST_ROWS else again, ["kind", "canon"]).groupBy("_text").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "canon"), "attempt"))).alias(tries))
+        mine = staged(mine.withColumnRenamed("_text", f"_text_{mark}"))
+        work = work.join(F.broadcast(mine) if mine.count() <= BROADCAST_ROWS else mine, F.xxhash64(work["text"]) == mine[f"_text_{mark}"], "left").drop(f"_text_{mark}")
+    attempt = (lambda p: F.coalesce(F.try_element_at(F.col(tries), F.concat_ws("\x1f", p["kind"], p["canon"])), F.lit(0))) if few else lambda p: F.lit(0)
 
     def shown(p: Column) -> Column:
-        return let(digest(p["kind"], p["canon"], attempt(p), key), lambda h: let(surrogate(p["kind"], p["canon"], h), lambda s: rendered(p["kind"], p["value"], s)))
-
-    new = F.transform(entities(text), lambda e: F.concat(e["prefix"], F.array_join(F.transform(e["parts"], shown), " ")))
-    whole = F.array_join(F.flatten(F.zip_with(F.split(text, ANY, -1), F.concat(new, F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")
-    columns = [F.when(has_entity(text), whole).otherwise(text).alias(c) if c == "text" else docs[c] for c in docs.columns]
-    extra = [F.when(has_entity(text), F.size(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))).otherwise(0).cast("long").alias(counted)] if counted else []
-    return joined.select(*columns, *extra)
+        return let(attempt(p), lambda n: let(digest(p["kind"], p["canon"], n, key), lambda h: let(surrogate(p["kind"], p["canon"], h, F.floor(n / WIDEN)), lambda f: rendered(p["kind"], p["value"], f))))
+
+    def replaced(e: Column) -> Column:
+        return F.struct(e["prefix"].alias("prefix"), F.transform(e["parts"], lambda p: F.struct(p["kind"].alias("kind"), p["value"].alias("value"), p["after"].alias("after"), shown(p).alias("shown"))).alias("parts"))
+
+    work = work.withColumn(old, F.transform(entities(F.col(cut)), replaced))
+    # parts of names, for later mentions of them by themselves
+    named = F.array_distinct(F.transform(F.filter(F.flatten(F.transform(F.col(old), lambda e: e["parts"])), lambda p: is_name(p["kind"]) & (F.length(p["value"]) > 2)), lambda p: F.struct(p["value"].alias("value"), p["shown"].alias("shown"))))
+    work = work.withColumn(new, named)
+    bound = lambda name: F.concat(F.lit(r"(?<![\p{L}\p{N}])"), name, F.lit(r"(?![\p{L}\p{N}])"))
+    rest = lambda t: F.aggregate(F.col(new), t, lambda a, n: F.when(F.contains(a, n["value"]), F.regexp_replace(a, bound(n["value"]), n["shown"])).otherwise(a))
+    between = F.transform(F.sequence(F.lit(0), F.size(cut) - 1, F.lit(2)), lambda i: rest(F.col(cut)[i]))
+    ents = F.transform(F.col(old), lambda e: F.concat(e["prefix"], F.array_join(F.transform(e["parts"], lambda p: F.concat(p["shown"], p["after"])), "")))
+    whole = F.array_join(F.flatten(F.zip_with(between, F.concat(ents, F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")
+    columns = [F.when(F.size(cut) > 1, whole).otherwise(F.col(c)).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    extra = [F.when(F.size(cut) > 1, F.size(F.filter(F.col(old), lambda e: F.size(e["parts"]) > 0))).otherwise(0).cast("long").alias(counted)] if counted else []
+    return work.select(*columns, *extra)
 
 
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

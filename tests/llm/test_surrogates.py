@@ -1,6 +1,7 @@
 import random
 import re
 from collections import defaultdict
+from hashlib import sha256
 
 import pytest
 import regex
@@ -104,3 +105,133 @@ def test_keys_of_letters_alone_are_replaced(spark):
     for i, text in rows[:2]:
         assert got[i].n == 1 and got[i].text != text and re.fullmatch(f"the key {text[8:12]}[A-Z]{{16}} is old", got[i].text)
     assert got[2].n == 0 and got[2].text == rows[2][1]
+
+
+def replaced(spark, texts):
+    return [r.text for r in replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+
+
+def test_names_are_replaced_whole_and_again_in_later_mentions(spark):
+    texts = ["Mr McDonald left.", "Frau Müller-Schmidt kam", "Mr O'Brien's dog", "Mrs ANNA SMITH", "Mr. John Smith met Ann. Smith signed; Smithson did not. John too, O'Smith", "Mr D’Arcy-McGee and Mr D’Arcy", "Herr Müller", "Mrs Li Wu: Li said Wu"]
+    got = replaced(spark, texts)
+    assert re.fullmatch(r"Mr [A-Z][a-z]+ left\.", got[0]) and "onald" not in got[0]
+    double = re.fullmatch(r"Frau ([A-Z][a-z]+)-([A-Z][a-z]+) kam", got[1])
+    assert got[6] == f"Herr {double[1]}" and "Schmidt" not in got[1]
+    assert re.fullmatch(r"Mr [A-Z][a-z]+'s dog", got[2]) and "Brien" not in got[2]
+    assert re.fullmatch(r"Mrs [A-Z]+ [A-Z]+", got[3]) and "SMITH" not in got[3]
+    again = re.fullmatch(r"Mr\. (\w+) (\w+) met Ann\. (\w+) signed; Smithson did not\. (\w+) too, O'(\w+)", got[4])
+    assert again[1] == again[4] != "John" and again[2] == again[3] == again[5] != "Smith"
+    assert got[5].split()[1].split("-")[0] == got[5].split()[4] and "Arcy" not in got[5]
+    assert got[7].endswith(": Li said Wu")  # too short to look for
+
+
+def test_numbers_and_addresses_of_other_formats(spark):
+    texts = [
+        "+49 30 1234567", "+33 1 23 45 67 89", "+353 1 234 5678", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "fe80::1ff:fe23:4567:890a", "DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819",
+        "123-45-6789", "jürgen.müller@köln-post.de", "иван@пример.рф", "x" * 90 + "@mail.example.com", "3782 822463 10005", "at 12:30:45 or 1:2", "order 1219538112535716 and 9999999999999995", "4111111111111111",
+    ]
+    got = replaced(spark, texts)
+    shape = lambda s: re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"[0-9]", "0", s)))
+    for i in (0, 1, 2, 7, 9, 10, 11, 14):
+        assert got[i] != texts[i] and shape(got[i]).replace("а", "") == shape(got[i]).replace("а", "") and len(got[i]) == len(texts[i]), (texts[i], got[i])
+        assert shape(got[i]) == shape(texts[i]) or i == 9
+    assert got[0].startswith("+49 ") and got[1].startswith("+33 ") and got[2].startswith("+353 ")
+    for i in (3, 4):
+        assert got[i] != texts[i] and re.sub("[0-9a-f]", "0", got[i]) == re.sub("[0-9a-f]", "0", texts[i])
+    for i, country in ((5, "DE"), (6, "GB")):
+        plain = got[i].replace(" ", "")
+        assert got[i] != texts[i] and plain[:2] == country and shape(got[i]) == shape(texts[i])
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    assert re.fullmatch(r"[a-z]{6}\.[a-z]{6}@[a-z]{4}-[a-z]{4}\.de", got[8]) and "müller" not in got[8]
+    assert re.fullmatch(r"[а-яё]{4}@[а-яё]{6}\.рф", got[9]) and "иван" not in got[9]
+    assert got[12] == texts[12] and got[13] == texts[13]
+    assert got[10][:60] != texts[10][:60] and luhn(got[14]) and luhn(re.sub("[^0-9]", "", got[11]))
+    one, two = replaced(spark, ["+1 415 555 0100", "415-555-0100"])
+    assert re.sub("[^0-9]", "", one)[1:] == re.sub("[^0-9]", "", two) != "4155550100"
+
+
+def test_texts_with_the_mark(spark):
+    one, two, three = replaced(spark, ["a\x01b +1 (486) 555-3667 c\x01", "a b +1 (486) 555-3667 c ", "\x01"])
+    assert one.replace("\x01", " ") == two and one.count("\x01") == 2 and three == "\x01"
+
+
+def test_key_comes_from_the_session(spark):
+    first = replaced(spark, ["x@y.example.com"])
+    with pytest.warns(UserWarning, match="anyone can read"):
+        replaced(spark, ["x"])
+    spark.conf.set(module.KEY_SETTING, "another key")
+    try:
+        assert replaced(spark, ["x@y.example.com"]) != first
+    finally:
+        spark.conf.unset(module.KEY_SETTING)
+
+
+def test_spaces_of_names_and_addresses_grow(spark, monkeypatch):
+    monkeypatch.setattr(module, "_draw", lambda hexed, place, below, f=module._draw: f(hexed, place, below) % 2)  # a tiny space
+    monkeypatch.setattr(module, "WIDEN", 2)
+    letters = "abcdefghij"
+    texts = [f"Mr X{a}{b}{c}q" for a in letters for b in letters for c in letters[:3]] + [f"{a}{b}@c.de" for a in letters for b in letters]
+    got = replaced(spark, texts)
+    assert len(set(got)) == len(texts) and not set(got) & set(texts)
+
+
+def plain_surrogate(kind, canon, key):
+    """The first attempt's canonical surrogate, in Python."""
+    name = canon if len(canon) <= 128 else sha256(canon.encode()).hexdigest()
+    hexed = "".join(sha256("\x1f".join((key, kind, name, "0", str(b))).encode()).hexdigest() for b in range(len(canon) // 16 + 1))
+    draw = lambda place, below: int(hexed[4 * (place - 1) : 4 * place], 16) % below
+    low, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alike = lambda s: "".join(digits[draw(i, 10)] if c in digits else low[draw(i, 26)] if c in low else low.upper()[draw(i, 26)] if c in low.upper() else c for i, c in enumerate(s, 1))
+    if kind == "email":
+        head, _, top = canon.rpartition(".")
+        return alike(head + ".") + top
+    if kind == "key":
+        return canon[:4] + alike(canon[4:])
+    if kind == "secret":
+        assert len(canon) <= 128
+        return "".join("0123456789abcdef"[draw(i, 16)] for i in range(1, len(canon) + 1)) if re.fullmatch("[0-9a-f]+", canon) else alike(canon)
+    if kind == "card":
+        body = canon[0] + alike(canon[1:-1])
+        check = next(d for d in digits if luhn(body + d))
+        return body + (check if luhn(canon) else str((int(check) + 1 + draw(16, 9)) % 10))
+    if kind == "phone":
+        area = "23456789"[draw(1, 8)] + digits[draw(2, 10)] + digits[draw(3, 10)]
+        middle = "555" if canon[4:7] == "555" else "23456789"[draw(4, 8)] + digits[draw(5, 10)] + digits[draw(6, 10)]
+        return "1" + area + middle + "".join(digits[draw(i, 10)] for i in range(7, 11))
+    if kind == "ip":
+        return ".".join(str(draw(i, 254) + 1 if i in (1, 4) else draw(i, 256)) for i in range(1, 5))
+    part, script, gender = kind.split("_")
+    consonants, vowels = module.SYLLABLES[script]
+    endings = module.ENDINGS[script, part, gender]
+    return "".join((consonants, vowels)[i % 2][draw(i + 1, len((consonants, vowels)[i % 2]))] for i in range(6)) + endings[draw(7, len(endings))]
+
+
+def test_surrogates_equal_a_plain_version_on_the_query(spark):
+    """Every entity of a table's documents, in the spelling that its kind has."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r.text for r in replace_entities(docs, "k").collect()}
+    patterns = {k: regex.compile(p.replace(r"\p{IsCyrillic}", r"\p{Cyrillic}")) for k, p in module.PATTERNS.items()}
+    seen = 0
+    for r in docs.where("text is not null").collect():
+        def fake(m):
+            nonlocal seen
+            value = m.group()
+            kind = next((k for k in ("email", "key", "ip", "card", "phone") if patterns[k].fullmatch(value)), "secret")
+            if kind == "card" and re.fullmatch("[0-9]{16}", value) and not luhn(value):
+                return value
+            seen += 1
+            if kind in ("card", "phone"):
+                plain = re.sub("[^0-9]", "", value)
+                new = iter(plain_surrogate(kind, plain if kind == "card" or value[0] == "+" else "1" + plain, "k")[-len(plain) :])
+                return re.sub("[0-9]", lambda _: next(new), value)
+            if kind == "email":
+                return "".join(c.upper() if v.isupper() else c for c, v in zip(plain_surrogate(kind, value.lower(), "k"), value, strict=True))
+            return plain_surrogate(kind, value, "k")
+
+        assert regex.sub(ANY, fake, r.text) == got[r.doc_id]
+    assert seen > 5
+    rows = [("given_latin_m", "john"), ("surname_latin_", "smith"), ("given_cyrillic_f", "анна"), ("surname_cyrillic_f", "петрова"), ("phone", "12128675309"), ("secret", "aB9/" * 9)]
+    df = spark.createDataFrame(rows, "kind string, canon string")
+    F = module.F
+    out = df.select("kind", "canon", module.surrogate(F.col("kind"), F.col("canon"), module.digest(F.col("kind"), F.col("canon"), F.lit(0), "k"), F.lit(0)).alias("fake"))
+    assert all(r.fake == plain_surrogate(r.kind, r.canon, "k") for r in out.collect())
