@@ -2,7 +2,9 @@ import hashlib
 import json
 import random
 
-from loomline.llm.toolcalls import TURN_TOOLS, as_tool_turns, breaks, canonical, levels, link_tool_calls, op2_tool_call_linking
+import pytest
+
+from loomline.llm.toolcalls import TURN_TOOLS, as_tool_turns, breaks, canonical, check_schema, levels, link_tool_calls, op2_tool_call_linking
 
 SCHEMAS = {
     "add": {"type": "object", "required": ["a"], "additionalProperties": False, "properties": {"a": {"type": "integer", "minimum": 0}, "b": {"type": ["number", "string"]}, "c": {"enum": ["x", "y"]}}},
@@ -34,7 +36,11 @@ def test_links(spark):
         (4, 0, call({"id": "a", "name": "add", "arguments": {"a": 1}})), (4, 0, call({"id": "a", "name": "add", "arguments": {"a": 1}})), (4, 1, json.dumps({"tool_call_id": "a", "content": 1})), (4, 2, json.dumps({"tool_call_id": "a", "content": 2})),
         (5, 0, call({"id": "self", "name": "add", "arguments": {"a": 1}, "depends_on": ["self"]})), (6, 0, call(*({"id": f"k{i}", "name": "add", "arguments": {"a": i}, "depends_on": [f"k{i - 1}"]} for i in range(6)))),
     ]
-    got = {(r.conv_id, r.call_id): r for r in link_tool_calls(spark.createDataFrame([(*r, "x", 1) for r in rows], TURNS), SCHEMAS).collect()}
+    out = link_tool_calls(spark.createDataFrame([(*r, "x", 1) for r in rows], TURNS), SCHEMAS).collect()
+    more = [r for r in out if r.status.startswith("duplicate")]
+    assert [(r.conv_id, r.call_id, r.status, r.result_turn, r.copies, r.linked_json) for r in more] == [(4, "a", "duplicate_result", 2, 1, '{"arguments":null,"id":"a","name":null,"result":2}')]
+    got = {(r.conv_id, r.call_id): r for r in out if r not in more}
+    assert got[4, "a"].copies == 2 and got[1, "a"].copies == 1
     status = {k: (r.status, r.level) for k, r in got.items()}
     assert status == {
         (1, "a"): ("linked", 0), (1, "b"): ("linked", 1), (1, "c"): ("unanswered", 2), (2, "a"): ("cyclic", None), (2, "b"): ("cyclic", None), (2, "d"): ("cyclic", None), (2, "zz"): ("orphan", None),
@@ -68,6 +74,80 @@ def test_levels_of_long_chains_and_random_graphs(spark):
     assert got == want
 
 
+def brute_levels(graph):
+    level, changed = {}, True
+    while changed:
+        changed = False
+        for i, on in graph.items():
+            real = [j for j in on if j in graph]
+            if i not in level and all(j in level for j in real):
+                level[i], changed = max((1 + level[j] for j in real), default=0), True
+    return level
+
+
+def test_levels_with_any_identifier(spark):
+    names = ["", "\x1fcycle", "a", "b", " ", "null", "0", "\x1f"]
+    rng, rows, want = random.Random(4), [], {}
+    for g in range(40):
+        graph = {i: rng.sample([*names, "absent"], rng.randrange(3)) for i in rng.sample(names, rng.randrange(1, 9))}
+        rows += [(str(g), i, on) for i, on in graph.items()]
+        want |= {(str(g), i): n for i, n in brute_levels(graph).items()}
+    got = {(r.conv, r.id): r.level for r in levels(spark.createDataFrame(rows, "conv string, id string, depends array<string>")).collect()}
+    assert got == want
+
+
+def test_numbers_and_characters_that_json_cannot_hold(spark):
+    rows = [
+        (1, 0, '{"tool_calls": [{"id": "big", "name": "add", "arguments": {"a": 1e999}}, {"id": "deep", "name": "add", "arguments": "{\\"a\\": NaN}"}]}'), (1, 1, '{"tool_call_id": "big", "content": [-1e999]}'),
+        (1, 2, '{"tool_calls": [{"id": "nan", "name": "add", "arguments": {"a": NaN}}]}'), (1, 3, '{"tool_calls": [{"id": "h\\ud800", "name": "list", "arguments": {"v": ["\\udc00", "\\ud83d\\ude00"]}, "depends_on": ["\\ud800"]}]}'),
+        (1, 4, '{"tool_call_id": "h\\ud800", "content": "\\ud800"}'), (1, 5, call({"id": "long", "name": "list", "arguments": {"v": ["x" * 3_000_000]}})), (1, 6, call({"id": True, "name": "add", "arguments": {"a": 2}})),
+        (1, 7, '{"tool_calls": [{"id": "nest", "name": "add", "arguments": ' + "[" * 900 + "]" * 900 + "}]}"), (1, 8, "[" * 200_000),
+    ]
+    got = {r.call_id: r for r in link_tool_calls(spark.createDataFrame([(*r, "x", 1) for r in rows], TURNS), SCHEMAS).collect()}
+    assert {k: r.status for k, r in got.items()} == {"big": "invalid", "deep": "invalid", "h\ufffd": "linked", "long": "unanswered", "6.0": "unanswered", "nest": "invalid"}
+    assert json.loads(got["big"].linked_json)["result"] == "[-inf]" and json.loads(got["h\ufffd"].linked_json)["arguments"] == {"v": ["\ufffd", "\U0001f600"]}
+    assert len(got["long"].linked_json) > 3_000_000
+    assert all(hashlib.sha256(r.linked_json.encode()).hexdigest() == r.linked_sha256 for r in got.values())
+
+
+def test_every_call_and_result_is_a_row(spark):
+    rng, rows = random.Random(3), []
+    for i in range(400):
+        ident = rng.choice(["a", "", "b", f"u{i % 40}"]) if i % 3 else "hot"
+        turn = rng.choice([None, *range(9)])
+        rows.append((i % 2, turn, call({"id": ident, "name": "add", "arguments": {"a": rng.randrange(4)}}) if rng.random() < 0.5 else json.dumps({"tool_call_id": ident, "content": rng.randrange(4)})))
+    out = link_tool_calls(spark.createDataFrame([(*r, "x", 1) for r in rows], TURNS).repartition(5), SCHEMAS).collect()
+    calls = {(c, t, x) for c, t, x in rows if "tool_calls" in x}
+    results = {(c, t, x) for c, t, x in rows if "tool_calls" not in x}
+    first = [r for r in out if not r.status.startswith("duplicate")]
+    called = [r for r in out if r.name is not None]
+    assert len(called) == len(calls) and sum(r.copies for r in called) == sum("tool_calls" in x for _, _, x in rows)
+    assert len([r for r in out if "result" in r.status]) + sum(json.loads(r.linked_json)["result"] is not None for r in first) == len(results)
+    assert len({(r.conv_id, r.call_id) for r in first}) == len(first)
+    assert sum(1 + r.duplicates + (r.status == "linked") for r in first) == len(rows)
+
+
+def test_schema_keywords():
+    tree = {"type": "object", "$defs": {"n": {"type": "object", "properties": {"next": {"$ref": "#/$defs/n"}, "v": {"exclusiveMinimum": 0, "exclusiveMaximum": 9, "multipleOf": 2}}}}, "properties": {"root": {"$ref": "#/$defs/n"}}}
+    assert not breaks({"root": {"v": 2, "next": {"v": 4}}}, tree) and all(breaks({"root": {"next": {"v": v}}}, tree) for v in (0, 9, 3, 10))
+    for schema, good, bad in [
+        ({"pattern": "^a+$"}, ["a", 1], ["b"]), ({"anyOf": [{"type": "string"}, {"minimum": 3}]}, ["x", 3], [2]), ({"oneOf": [{"minimum": 1}, {"maximum": 3}]}, [0, 4], [2]), ({"allOf": [{"minimum": 1}, {"maximum": 3}]}, [2], [0, 4]),
+        ({"not": {"type": "null"}}, [1], [None]), ({"uniqueItems": True}, [[1, True], []], [[1, 1.0]]), ({"enum": [1, "x"]}, [1, 1.0, "x"], [True]), ({"const": False}, [False], [0]),
+        ({"additionalProperties": {"type": "string"}, "minProperties": 1}, [{"a": "b"}], [{}, {"a": 1}]), ({"type": "number"}, [1], [float("inf"), float("nan"), True]), ({"type": "integer"}, [1e300], [float("inf"), 1.5]),
+    ]:
+        check_schema(schema)
+        assert not any(breaks(x, schema) for x in good) and all(breaks(x, schema) for x in bad), schema
+    for schema in ({"format": "email"}, {"properties": {"a": {"contains": {}}}}, {"$ref": "http://x"}, {"items": [1]}):
+        with pytest.raises(ValueError):
+            check_schema(schema)
+
+
+def test_turns_of_other_roles_are_kept(spark):
+    rows = [(1, 0, "tool", "hi"), (1, 1, None, "ho"), (1, 2, "user", "hi"), (1, 3, "assistant", None)]
+    got = link_tool_calls(as_tool_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")), TURN_TOOLS).collect()
+    assert sorted((r.call_id, r.name, r.status) for r in got) == [("t0", "tool", "unknown_tool"), ("t1", "unknown", "unknown_tool"), ("t2", "reply", "linked")]
+
+
 def test_empty(spark):
     assert link_tool_calls(spark.createDataFrame([], TURNS), SCHEMAS).count() == 0
 
