@@ -41,5 +41,5 @@ def spread(packed: DataFrame, schema: str, slots: int, ranges: int, resplit: Cal
         return resplit(group, slots, ranges)
 
     # rows of a coarse range are dealt by a hash of their content to `share` tasks
-    others = [c.split()[0] for c in schema.split(", ")][1:]
-    return packed.withColumn("share", F.pmod(F.xxhash64(*others), F.lit(share))).groupBy("range", "share").applyInArrow(lambda g: cut(g.drop_columns(["share"])), schema)
+    key, *others = [c.split()[0] for c in schema.split(", ")]
+    return packed.withColumn("share", F.pmod(F.xxhash64(*others), F.lit(share))).groupBy(key, "share").applyInArrow(lambda g: cut(g.drop_columns(["share"])), schema)

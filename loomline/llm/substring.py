@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .packing import coarse, ranges_for, spread
 from .shared import table
 from .textkernel import Words, flat, gather, slices, window_hash, window_starts
 
@@ -40,6 +41,7 @@ WINDOW = 35
 #: Hashes that a task holds before it packs and sends them.
 ENTRIES = 3_000_000
 PACKED = "range int, hash binary, owner binary, place binary, twice binary, hit_owner binary, hit_place binary"
+DEALT = "slot int, owner binary, place binary"
 FOUND = "owner long, places array<int>"
 Emit = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
 
@@ -94,9 +96,9 @@ def pack(hashes: np.ndarray, owner: np.ndarray, place: np.ndarray, ranges: int)
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], [x.split()[0] for x in PACKED.split(", ")])
 
 
-def dealt(owner: np.ndarray, place: np.ndarray, slots: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(slot, owners, places), dealt by owner."""
-    slot = owner % slots
+def dealt(by: np.ndarray, place: np.ndarray, slots: int, owner: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(slot, owners, places), dealt by owner, or by another number of each."""
+    slot, owner = by % slots, by if owner is None else owner
     order = np.argsort(slot, kind="stable")
     cut = np.searchsorted(slot[order], np.arange(slots + 1))
     for i in range(slots):
@@ -109,6 +111,31 @@ def _joined(group: pa.Table, name: str, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_py() for x in group.column(name)), kind)
 
 
+def _recut(group: pa.Table, slots: int, ranges: int) -> pa.Table:
+    """Rows of a coarse range of hashes, cut into the fine ranges inside it."""
+    hashes, owner, place, twice = (_joined(group, n, k) for n, k in (("hash", np.uint64), ("owner", np.int64), ("place", np.int32), ("twice", np.uint64)))
+    share = ranges // slots
+    first = int(group.column("range")[0].as_py()) * share
+    bound = np.array([(i << 64) // ranges for i in range(first, first + share)], np.uint64)
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner, place, twice = hashes[order], owner[order], place[order], np.sort(twice)
+    cut, cut2 = (np.append(np.searchsorted(x, bound), len(x)) for x in (hashes, twice))
+    rows = [(first + i, hashes[cut[i] : cut[i + 1]].tobytes(), owner[cut[i] : cut[i + 1]].tobytes(), place[cut[i] : cut[i + 1]].tobytes(), twice[cut2[i] : cut2[i + 1]].tobytes(), b"", b"") for i in range(share) if cut[i] < cut[i + 1] or cut2[i] < cut2[i + 1]]
+    rows += [(first + i, b"", b"", b"", b"", o.tobytes(), p.tobytes()) for i, o, p in dealt(_joined(group, "hit_owner", np.int64), _joined(group, "hit_place", np.int32), share)]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 7
+    return pa.Table.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], [x.split()[0] for x in PACKED.split(", ")])
+
+
+def _redeal(group: pa.Table, slots: int, ranges: int) -> pa.Table:
+    """Rows of a coarse slot of owners, dealt to the fine slots inside it."""
+    first = int(group.column("slot")[0].as_py())
+    share = ranges // slots
+    owner, place = _joined(group, "owner", np.int64), _joined(group, "place", np.int32)
+    rows = [(first + i * slots, o.tobytes(), p.tobytes()) for i, o, p in dealt(owner // slots, place, share, owner)]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 3
+    return pa.Table.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], ["slot", "owner", "place"])
+
+
 def _settle(slots: int) -> Callable[[pa.Table], pa.Table]:
     def run(group: pa.Table) -> pa.Table:
         """Owners and places of the hashes of one range that are repeated, packed by owner."""
@@ -134,6 +161,7 @@ def _unpack(group: pa.Table) -> pa.Table:
 
 def repeated(rows: DataFrame, emit: Emit, ranges: int) -> DataFrame:
     """(owner, places) of all hashes that emit() yields twice or more over all rows."""
+    slots = coarse(ranges)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -143,13 +171,14 @@ def repeated(rows: DataFrame, emit: Emit, ranges: int) -> DataFrame:
                 held.append(entry)
                 size += len(entry[0])
                 if size >= ENTRIES:
-                    yield from pack(*(np.concatenate(x) for x in zip(*held, strict=True)), ranges)
+                    yield from pack(*(np.concatenate(x) for x in zip(*held, strict=True)), slots)
                     held, size = [], 0
         if held:
-            yield from pack(*(np.concatenate(x) for x in zip(*held, strict=True)), ranges)
+            yield from pack(*(np.concatenate(x) for x in zip(*held, strict=True)), slots)
 
-    found = rows.mapInArrow(run, PACKED).groupBy("range").applyInArrow(_settle(ranges), "slot int, owner binary, place binary")
-    return found.groupBy("slot").applyInArrow(_unpack, FOUND)
+    packed = spread(rows.mapInArrow(run, PACKED), PACKED, slots, ranges, _recut)
+    found = packed.groupBy("range").applyInArrow(_settle(slots), DEALT)
+    return spread(found, DEALT, slots, ranges, _redeal).groupBy("slot").applyInArrow(_unpack, FOUND)
 
 
 def _word_slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Words]]:
@@ -162,9 +191,11 @@ def _marks(batch: pa.RecordBatch, a: int, b: int, words: Words) -> np.ndarray:
     """Words of the slice that the batch's list column names."""
     lists = batch.column(2).slice(a, b - a)
     count = np.diff(np.asarray(lists.offsets)) if not lists.null_count else np.array([len(x) if x.is_valid else 0 for x in lists])
-    named = np.repeat(words.first[:-1], count) + np.asarray(lists.flatten())
+    place = np.asarray(lists.flatten())
+    # two rows whose names clash have each other's places, which may lie outside
+    inside = place < np.repeat(words.counts, count)
     marks = np.zeros(len(words), bool)
-    marks[named] = True
+    marks[(np.repeat(words.first[:-1], count) + place)[inside]] = True
     return marks
 
 
@@ -173,7 +204,7 @@ def repeated_windows(docs: DataFrame, k: int = WINDOW) -> DataFrame:
 
     doc_id goes along unused, so that the shuffle of docs by _owner is the one
     that remove_repeats needs as well, and Spark makes it once."""
-    ranges = max(4, 2 * docs.rdd.getNumPartitions())
+    ranges = ranges_for(docs)
 
     def short_hashes(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         owner = batch.column(0).to_numpy()
@@ -207,8 +238,9 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, with_text: bool = False) ->
             for a, b, words in _word_slices(batch):
                 edge = np.zeros(len(words) + k + 1, np.int32)
                 starts = np.flatnonzero(_marks(batch, a, b, words))
+                stops = np.minimum(starts + k, words.first[1:][words.row()[starts]])
                 np.add.at(edge, starts, 1)
-                np.add.at(edge, starts + k, -1)
+                np.add.at(edge, stops, -1)
                 gone = np.cumsum(edge[: len(words)]) > 0
                 row = words.row()
                 n, removed = words.counts, np.bincount(row[gone], minlength=b - a)

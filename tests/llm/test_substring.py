@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 
+import loomline.llm.packing as packing
 from loomline.llm.substring import least_of, remove_repeats
 
 
@@ -52,5 +53,15 @@ def test_equals_brute_force(spark):
         check(spark, rows, k)
 
 
+def test_bounded_fan_out(spark, monkeypatch):
+    monkeypatch.setattr(packing, "FAN_OUT", 2)
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(40)]
+    passage = [rng.choice(vocab) for _ in range(14)]
+    rows = [(i, " ".join([rng.choice(vocab) for _ in range(rng.randrange(30))] + passage * (i % 3 == 0)), "x", 1) for i in range(50)] + [(7, "a " * 30, "x", 1)] * 2
+    check(spark, rows, 6, 5)
+    assert packing.coarse(10) == 2
+
+
 def test_empty(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
