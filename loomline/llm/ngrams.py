@@ -31,14 +31,20 @@ def word_grams(words: Words, bits: int = BITS) -> tuple[np.ndarray, np.ndarray,
 
 
 def char_grams(data: np.ndarray, offsets: np.ndarray, n: int, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of each run of n UTF-8 bytes inside one row."""
-    size = len(data) - n + 1
+    """(row, bucket) of each run of n characters (code points of UTF-8) inside one row."""
+    start = np.flatnonzero((data & 0xC0) != 0x80)
+    size = len(start) - n + 1
     if size <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    length = np.diff(np.append(start, len(data)))
+    point = data[start].astype(np.uint64)
+    for i in range(1, int(length.max())):
+        long = length > i
+        point[long] = point[long] << np.uint64(8) | data[start[long] + i]
     packed = np.zeros(size, np.uint64)
     for i in range(n):
-        packed = packed << np.uint64(8) | data[i : i + size]
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        packed = packed * np.uint64(0x9E3779B97F4A7C15) + point[i : i + size]
+    row = np.searchsorted(offsets, start, "right") - 1
     same = row[:size] == row[n - 1 :]
     return row[:size][same], bucket(mix64(packed[same]), bits)
 
@@ -83,7 +89,7 @@ def count_tables(docs: DataFrame, flag: str, text: str = "text", bits: int = BIT
         parts = parts.withColumn("part", F.col("part") % F.lit(tasks)).groupBy("chunk", "part").applyInArrow(_add_up, "chunk int, part long, at binary, n binary")
     out = np.zeros((TABLES, n), np.int64)
     width = min(CHUNK, n)
-    for r in parts.collect():
+    for r in parts.toLocalIterator():  # not all at once: the driver holds the tables and one partition
         out[:, r.chunk * width : (r.chunk + 1) * width] += _dense(r.at, r.n, width)
     return out
 

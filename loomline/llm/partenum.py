@@ -46,7 +46,7 @@ BLOCK = 200_000
 #: Nodes whose keys are broadcast to fetch their texts; with more, the join is shuffled.
 BROADCAST_ROWS = 200_000
 #: Signatures that a task holds before it packs and sends them.
-ENTRIES = 1_500_000
+ENTRIES = 1_000_000
 #: Columns with at least so many sets are compared as bits, others by their pairs.
 DENSE = 8
 #: Sets of fewer elements are allowed two differences a part, for signatures of more elements.
@@ -333,12 +333,13 @@ class Chunk:
         yield _rows(ranges, np.concatenate((sig[~common], marks)), np.concatenate((owner[~common], np.zeros(len(marks), np.int64))), ties, sig[common], owner[common])
 
 
-def _rows(ranges: int, sig: np.ndarray, node: np.ndarray, ties: list[np.ndarray], hot: np.ndarray, hot_node: np.ndarray) -> pa.RecordBatch:
-    """Entries by range of signature; ties and the entries of common signatures, which need no range, dealt evenly."""
+def _rows(ranges: int, sig: np.ndarray, node: np.ndarray, ties: list[np.ndarray], hot: np.ndarray, hot_node: np.ndarray, first: int = 0, last: int | None = None) -> pa.RecordBatch:
+    """Entries by range of signature (all of them in ranges first to last); ties and the entries of common signatures, which need no range, dealt evenly."""
+    mine = range(first, ranges if last is None else last)
     order = np.lexsort((node, sig))
     sig, node = sig[order], node[order]
-    cut = np.append(np.searchsorted(sig, np.array([(i << 64) // ranges for i in range(ranges)], np.uint64)), len(sig))
-    rows = [(i, sig[cut[i] : cut[i + 1]].tobytes(), node[cut[i] : cut[i + 1]].tobytes(), b"", b"", b"", b"") for i in range(ranges) if cut[i] < cut[i + 1]]
+    cut = np.append(np.searchsorted(sig, np.array([(i << 64) // ranges for i in mine], np.uint64)), len(sig))
+    rows = [(i, sig[a:b].tobytes(), node[a:b].tobytes(), b"", b"", b"", b"") for i, a, b in zip(mine, cut[:-1], cut[1:], strict=True) if a < b]
     tied = forest(*np.concatenate(ties, axis=1)) if ties else np.zeros((2, 0), np.int64)
     for x in np.array_split(np.arange(tied.shape[1]), -(-tied.shape[1] // HOT)) if tied.shape[1] else []:
         rows.append((int(tied[0, x[0]] % ranges), b"", b"", tied[0, x].tobytes(), tied[1, x].tobytes(), b"", b""))
@@ -381,7 +382,9 @@ def _resplit(group: pa.Table, slots: int, ranges: int) -> pa.Table:
     """Rows of a coarse range, cut into fine ones."""
     sig, node = _joined(group, "signature", np.uint64), _joined(group, "node", np.int64)
     ties = np.stack([_joined(group, "a", np.int64), _joined(group, "b", np.int64)])
-    return pa.Table.from_batches([_rows(ranges, sig, node, [ties], _joined(group, "hot", np.int64).view(np.uint64), _joined(group, "hot_node", np.int64))])
+    share = ranges // slots
+    first = int(group.column("range")[0].as_py()) * share
+    return pa.Table.from_batches([_rows(ranges, sig, node, [ties], _joined(group, "hot", np.int64).view(np.uint64), _joined(group, "hot_node", np.int64), first, first + share)])
 
 
 def _compare(similarity: int):
@@ -431,13 +434,14 @@ def candidate_ties(docs: DataFrame, rows: DataFrame, nodes: DataFrame, k: int, s
     entries = staged(shared.join(nodes.select("node", "rep", "n_shingles"), "node"))
     counted = entries.groupBy("g").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(F.sum("n_shingles") / GROUP_SHINGLES)).cast("int").alias("_blocks"))
     large = staged(counted.where("_blocks > 1").withColumnRenamed("g", "_g"))
-    side = F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
+    cut = large.count()
     count, shingles = entries.select(F.count(F.lit(1)), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     tasks = int(max(shingles // GROUPS_SHINGLES + 1, spark.sparkContext.defaultParallelism))
     # every pair of the blocks of a cut group is compared
     whole, others = F.xxhash64("g"), F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: o != F.col("mine"))
     parts = F.when(F.col("blocks") <= 1, F.array(whole)).otherwise(F.transform(others, lambda o: F.xxhash64("g", F.least("mine", o), F.greatest("mine", o))))
-    placed = entries.join(side, F.col("g") == F.col("_g"), "left").withColumn("blocks", F.coalesce("_blocks", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("node", "g"), F.col("blocks")).cast("int"))
+    sized = entries.join(F.broadcast(large) if cut <= BROADCAST_ROWS else large, F.col("g") == F.col("_g"), "left") if cut else entries.withColumn("_blocks", F.lit(1))
+    placed = sized.withColumn("blocks", F.coalesce("_blocks", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("node", "g"), F.col("blocks")).cast("int"))
     dealt = placed.select("node", "n_shingles", "blocks", F.explode(parts).alias("part"))
     wanted = entries.select(F.col("rep").alias("_rep"), F.col("node").alias("_node")).distinct()
     found = rows.select("_owner", "sketch").join(F.broadcast(wanted) if count <= BROADCAST_ROWS else wanted, F.col("_owner") == F.col("_rep")).select("_node", "sketch")
@@ -533,8 +537,9 @@ def verified_links(keyed: DataFrame, nodes: DataFrame, clusters: DataFrame, k: i
     # small clusters share a task; a cluster of more than BLOCK shingles is cut, and every pair of its blocks is a task
     sized = staged(clusters.join(nodes, "node"))
     large = staged(sized.groupBy("root").agg(F.sum("n_shingles").alias("total")).where(F.col("total") > BLOCK).select(F.col("root").alias("_root"), F.ceil(F.col("total") / BLOCK).cast("int").alias("_blocks")))
-    side = F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
-    placed = staged(sized.join(side, sized["root"] == large["_root"], "left").withColumn("blocks", F.coalesce("_blocks", F.lit(1))).drop("_root", "_blocks"))
+    cut = large.count()
+    side = F.broadcast(large) if cut <= BROADCAST_ROWS else large
+    placed = staged(sized.join(side, sized["root"] == large["_root"], "left").withColumn("blocks", F.coalesce("_blocks", F.lit(1))).drop("_root", "_blocks")) if cut else sized.withColumn("blocks", F.lit(1))
     weight = placed.select(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count(F.lit(1))).first()
     tasks = max(1, int(weight[0] // BLOCK) + 1, keyed.sparkSession.sparkContext.defaultParallelism)
     wanted = placed.select(F.col("rep").alias("_rep"), "node", F.col("root").alias("cluster"), F.col("copies").alias("weight"), "blocks")

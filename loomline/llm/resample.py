@@ -57,11 +57,13 @@ class Model(NamedTuple):
 
 def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log ratio of the models in each bucket, drawn towards 0 by one standard error."""
-    if not target.sum():
-        return np.zeros(len(raw), np.float32)
-    c, e = target + 1.0, raw * (target.sum() / raw.sum()) + 1.0
-    ratio = np.log(c) - np.log(e)
-    return (np.sign(ratio) * np.maximum(0, np.abs(ratio) - np.sqrt(1 / c + 1 / e))).astype(np.float32)
+    out = np.zeros(len(raw), np.float32)
+    share = target.sum() / max(1, raw.sum())
+    for at in range(0, len(raw) if share else 0, 1 << 16):  # small temporaries
+        c, e = target[at : at + (1 << 16)] + 1.0, raw[at : at + (1 << 16)] * share + 1.0
+        ratio = np.log(c) - np.log(e)
+        out[at : at + (1 << 16)] = np.sign(ratio) * np.maximum(0, np.abs(ratio) - np.sqrt(1 / c + 1 / e))
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:

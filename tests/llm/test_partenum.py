@@ -211,6 +211,7 @@ def test_components(spark, monkeypatch, hub):
     import loomline.llm.components as module
 
     monkeypatch.setattr(module, "HUB", hub)
+    monkeypatch.setattr(module, "SMALL", 0 if hub < 64 else 100)
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(100 + rng.randrange(50), 100 + rng.randrange(50)) for _ in range(40)] + [(-5, 300), (300, -5)] + [(1000, 1001 + i) for i in range(30)] + [(999 - i, 1000) for i in range(9)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
