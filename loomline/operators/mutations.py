@@ -27,20 +27,36 @@ def upsert_raw_pages(pages: DataFrame, rows: DataFrame, now: Column | None = Non
 
 
 def apply_transitions(urls: DataFrame, updates: DataFrame, now: Column) -> DataFrame:
-    """URLs after updates(url_id, status, error): attempts count when crawling begins, the crawl time is set
-    when it ends, the message changes only with an error that has one."""
-    u = updates.select(F.col("url_id").alias("_id"), F.col("status").alias("_status"), F.col("error").alias("_error"))
-    hit = F.col("_id").isNotNull()
-    ended = F.col("_status").isin("completed", "error", "crawled")
+    """URLs after updates(url_id, status, error, and seq for their order if a URL has several).
+
+    Each crawling counts as an attempt; the last status stays; the crawl time is
+    set if any of them ends a crawl; the message changes only with an error that
+    has one, the last of these.  The updates of a URL are reduced to one row
+    first, so a URL stays one row however often it is updated; updates of URLs
+    that are not there change nothing."""
+    at = F.col("seq") if "seq" in updates.columns else F.monotonically_increasing_id()
+    u = updates.select(F.col("url_id").alias("_id"), F.col("status").alias("_status"), F.col("error").alias("_error"), at.alias("_at"))
+    told = (F.col("_status") == "error") & (F.col("_error") != "")
+    u = u.groupBy("_id").agg(
+        F.max_by("_status", F.when(F.col("_status").isNotNull(), F.col("_at"))).alias("_status"), F.max_by("_error", F.when(told, F.col("_at"))).alias("_error"),
+        F.count(F.when(F.col("_status") == "crawling", 1)).cast("int").alias("_tries"), F.max(F.coalesce(F.col("_status").isin("completed", "error", "crawled"), F.lit(False))).alias("_ended"), F.max(F.coalesce(told, F.lit(False))).alias("_told"),
+    )
     new = {
-        "crawl_status": F.coalesce("_status", "crawl_status"), "crawl_attempts": F.col("crawl_attempts") + F.when(F.col("_status") == "crawling", 1).otherwise(0),
-        "last_crawl_at": F.when(ended, now).otherwise(F.col("last_crawl_at")), "updated_at": F.when(hit, now).otherwise(F.col("updated_at")),
-        "error_message": F.when((F.col("_status") == "error") & (F.col("_error") != ""), F.col("_error")).otherwise(F.col("error_message")),
+        "crawl_status": F.coalesce("_status", "crawl_status"), "crawl_attempts": F.col("crawl_attempts") + F.coalesce("_tries", F.lit(0)),
+        "last_crawl_at": F.when(F.col("_ended"), now).otherwise(F.col("last_crawl_at")), "updated_at": F.when(F.col("_id").isNotNull(), now).otherwise(F.col("updated_at")),
+        "error_message": F.when(F.col("_told"), F.col("_error")).otherwise(F.col("error_message")),
     }
     joined = urls.join(u, urls["id"] == u["_id"], "left")
     return joined.select(*(new[c].alias(c) if c in new else urls[c] for c in urls.columns))
 
 
+def applied_updates(urls: DataFrame, updates: DataFrame) -> DataFrame:
+    """One row: updates, and how many of them find their URL."""
+    known = urls.select(F.col("id").alias("_id")).where("_id is not null").distinct()
+    found = updates.groupBy(F.col("url_id").alias("_url")).agg(F.count(F.lit(1)).alias("n")).join(known, F.col("_url") == F.col("_id"), "left")
+    return found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("updates"), F.coalesce(F.sum(F.when(F.col("_id").isNotNull(), F.col("n"))), F.lit(0)).alias("applied"))
+
+
 def requeue_failed(urls: DataFrame, max_attempts: int | None = None) -> DataFrame:
     """Failed URLs pending again, below max_attempts if given."""
     again = F.col("crawl_status") == "error"
@@ -63,7 +79,7 @@ def delete_articles(articles: DataFrame, chunks: DataFrame, victims: DataFrame)
 
 def delete_urls(urls: DataFrame, articles: DataFrame, victims: DataFrame) -> tuple[DataFrame, DataFrame]:
     """URLs after deleting victims(id), and articles, whose reference to them becomes null."""
-    v = victims.select(F.col("id").alias("_gone"))
+    v = victims.select(F.col("id").alias("_gone")).distinct()
     kept = articles.join(v, F.col("crawled_from_url_id") == F.col("_gone"), "left")
     return urls.join(v, F.col("id") == F.col("_gone"), "left_anti"), kept.withColumn("crawled_from_url_id", F.when(F.col("_gone").isNull(), F.col("crawled_from_url_id"))).drop("_gone")
 

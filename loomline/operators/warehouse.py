@@ -22,29 +22,35 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.round(part * F.lit(100.0) / whole, 2)).otherwise(0.0)
 
 
-def _joined(urls: DataFrame, articles: DataFrame, chunks: DataFrame) -> DataFrame:
-    """URLs with their articles with their chunks, fan-out kept, only the columns that statistics need."""
-    u = urls.select("id", "domain", "crawl_status", "created_at", "updated_at")
-    a = articles.select(F.col("id").alias("a_id"), "crawled_from_url_id", "word_count")
-    c = chunks.select(F.col("id").alias("c_id"), "article_id")
-    return u.join(a, u["id"] == a["crawled_from_url_id"], "left").join(c, a["a_id"] == c["article_id"], "left")
+def _fanned(urls: DataFrame, articles: DataFrame, chunks: DataFrame) -> DataFrame:
+    """URLs with what the left join with articles and chunks would give for each, without making its rows:
+    n_rows of it, its articles and chunks, rows with an article, and words summed over these rows.
+
+    Chunks are counted by article and these by URL before they are joined; ids
+    are primary keys."""
+    c = chunks.groupBy("article_id").agg(F.count(F.lit(1)).alias("fan"), F.count("id").alias("n_chunks"))
+    a = articles.select(F.col("id").alias("a_id"), "crawled_from_url_id", "word_count").join(c, F.col("a_id") == F.col("article_id"), "left")
+    fan = F.coalesce("fan", F.lit(1))
+    by_url = a.groupBy("crawled_from_url_id").agg(F.count("a_id").alias("n_articles"), F.sum(fan).alias("a_rows"), F.sum("n_chunks").alias("n_chunks"), F.sum(F.col("word_count") * fan).alias("words"))
+    u = urls.select("id", "domain", "crawl_status", "created_at", "updated_at").join(by_url, F.col("id") == F.col("crawled_from_url_id"), "left")
+    zero = lambda name: F.coalesce(name, F.lit(0))
+    return u.withColumns({"n_rows": F.when(F.col("id").isNull(), 0).otherwise(F.coalesce("a_rows", F.lit(1))), "n_articles": zero("n_articles"), "a_rows": zero("a_rows"), "n_chunks": zero("n_chunks")})
 
 
 def domain_stats(urls: DataFrame, articles: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Counts by domain after the fan-out of both joins (so a URL counts once a chunk)."""
-    status = F.col("crawl_status")
-    return _joined(urls, articles, chunks).groupBy("domain").agg(
-        F.count("id").alias("total_urls"), _when(status == "completed").alias("crawled_urls"), _when(status == "pending").alias("pending_urls"), _when(status == "error").alias("error_urls"),
-        F.count("a_id").alias("total_articles"), F.count("c_id").alias("total_chunks"), _percent(_when(status == "completed"), F.count("id")).alias("crawl_success_rate"),
+    """Counts by domain as after the fan-out of both joins (so a URL counts once a chunk)."""
+    of = lambda status: F.sum(F.when(F.col("crawl_status") == status, F.col("n_rows")).otherwise(0))
+    return _fanned(urls, articles, chunks).groupBy("domain").agg(
+        F.sum("n_rows").alias("total_urls"), of("completed").alias("crawled_urls"), of("pending").alias("pending_urls"), of("error").alias("error_urls"),
+        F.sum("a_rows").alias("total_articles"), F.sum("n_chunks").alias("total_chunks"), _percent(of("completed"), F.sum("n_rows")).alias("crawl_success_rate"),
     )
 
 
 def domain_summary(urls: DataFrame, articles: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Distinct counts by domain; total_words is summed after the fan-out."""
-    status, ids = F.col("crawl_status"), F.col("id")
-    return _joined(urls, articles, chunks).groupBy("domain").agg(
-        F.count_distinct("id").alias("total_urls"), *(F.count_distinct(F.when(status == s, ids)).alias(f"{s}_urls") for s in ("completed", "pending", "error")),
-        F.count_distinct("a_id").alias("total_articles"), F.sum("word_count").alias("total_words"), F.count_distinct("c_id").alias("total_chunks"),
+    """Counts by domain; total_words is summed as after the fan-out."""
+    return _fanned(urls, articles, chunks).groupBy("domain").agg(
+        F.count("id").alias("total_urls"), *(F.count(F.when(F.col("crawl_status") == s, F.col("id"))).alias(f"{s}_urls") for s in ("completed", "pending", "error")),
+        F.sum("n_articles").alias("total_articles"), F.sum("words").alias("total_words"), F.sum("n_chunks").alias("total_chunks"),
         F.min("created_at").alias("first_discovered"), F.max("updated_at").alias("last_updated"),
     )
 
@@ -165,16 +171,20 @@ def cleanup_duplicates(articles: DataFrame, chunks: DataFrame) -> tuple[DataFram
 def vector_search(chunks: DataFrame, articles: DataFrame, query: list[float] | Column, limit: int = 10, threshold: float | None = 0.7) -> DataFrame:
     """Chunks most similar to a query vector, with their articles.
 
-    Chunks without article are dropped by a semi join on ids; the k best are
-    then taken (TakeOrderedAndProject keeps k rows a task) and only these are
-    joined to article columns."""
+    Only ids are scored, joined (a semi join drops chunks without article) and
+    ordered (TakeOrderedAndProject keeps k rows a task); contents and article
+    columns are fetched for the k best alone."""
     score = cosine_to(F.col("embedding"), query) if isinstance(query, list) else cosine(F.col("embedding"), query)
-    scored = chunks.where("embedding is not null").select(F.col("id").alias("chunk_id"), "article_id", F.col("content").alias("chunk_content"), score.alias("similarity_score")).where("similarity_score is not null")
+    size = F.size("embedding") == (F.lit(len(query)) if isinstance(query, list) else F.size(query))
+    # generated, so that the filter on the score does not compute it again
+    scored = chunks.where(F.col("embedding").isNotNull() & size).select(F.col("id").alias("chunk_id"), "article_id", F.explode(F.array(score)).alias("similarity_score"))
     if threshold is not None:
         scored = scored.where(F.col("similarity_score") >= threshold)
     a = articles.select(F.col("id").alias("_id"), F.col("url").alias("article_url"), F.col("title").alias("article_title"))
     best = scored.join(a.select("_id"), F.col("article_id") == F.col("_id"), "left_semi").orderBy(F.desc("similarity_score"), "chunk_id").limit(limit)
-    return best.join(a, F.col("article_id") == F.col("_id")).drop("_id").select("chunk_id", "article_id", "article_url", "article_title", "chunk_content", "similarity_score")
+    # `limit` rows: safe to broadcast
+    found = chunks.select(F.col("id").alias("_chunk"), F.col("content").alias("chunk_content")).join(F.broadcast(best), F.col("_chunk") == F.col("chunk_id"))
+    return found.join(a, F.col("article_id") == F.col("_id")).select("chunk_id", "article_id", "article_url", "article_title", "chunk_content", "similarity_score")
 
 
 def rag_prompt(found: DataFrame, question: str) -> DataFrame:
@@ -193,3 +203,39 @@ def chunk_statistics(chunks: DataFrame) -> DataFrame:
 def request_stats(log: DataFrame, key: str, ok: Column, duration: Column) -> DataFrame:
     """Requests, successes, success rate and mean duration by key."""
     return log.groupBy(key).agg(F.count(F.lit(1)).alias("requests"), _when(ok).alias("successes"), _percent(_when(ok), F.count(F.lit(1))).alias("success_rate"), F.avg(duration).alias("avg_duration"))
+
+
+def urls_in_range(urls: DataFrame, start: Column, stop: Column) -> DataFrame:
+    """URLs discovered from start up to stop, by domain."""
+    found = urls.where((F.col("created_at") >= start) & (F.col("created_at") < stop))
+    return found.groupBy("domain").agg(F.count(F.lit(1)).alias("urls"), _when(F.col("crawl_status") == "completed").alias("completed"), F.min("created_at").alias("first_seen"))
+
+
+def expired(rows: DataFrame, now: Column, days: int, also: Column | None = None) -> DataFrame:
+    """Rows that retention removes: untouched for more than `days`, and as `also` says."""
+    old = F.coalesce("updated_at", "created_at") < now - F.expr(f"interval {int(days)} days")
+    return rows.where(old if also is None else old & also)
+
+
+def load_summary(log: DataFrame, at: Column, ok: Column, duration: Column) -> DataFrame:
+    """One row over a request log: requests, successes and their rate, requests a second, mean duration."""
+    seconds = F.unix_micros(F.max(at).cast("timestamp")) - F.unix_micros(F.min(at).cast("timestamp"))
+    total = F.count(F.lit(1))
+    return log.agg(total.alias("total"), _when(ok).alias("succeeded"), _percent(_when(ok), total).alias("success_rate"), F.when(seconds > 0, total * 1e6 / seconds).alias("per_second"), F.avg(duration).alias("mean_seconds"))
+
+
+def errors_by_type(log: DataFrame, kind: str) -> DataFrame:
+    """Errors of a log by kind, and each kind's share of all."""
+    counts = log.groupBy(kind).agg(F.count(F.lit(1)).alias("errors"))
+    total = log.agg(F.count(F.lit(1)).alias("_all"))
+    return counts.crossJoin(F.broadcast(total)).select(kind, "errors", _percent(F.col("errors"), F.col("_all")).alias("share"))  # total is one row
+
+
+def table_sizes(sizes: dict[str, int], **tables: DataFrame) -> DataFrame:
+    """db_stats with the bytes of each table, as text with a unit and as a number."""
+    from loomline.functions.text import pretty_size
+
+    stats = db_stats(**tables)
+    held = F.create_map(*(F.lit(x) for name, n in sizes.items() for x in (name, n))) if sizes else F.create_map().cast("map<string,long>")
+    size = F.coalesce(F.try_element_at(held, F.col("table_name")).cast("long"), F.lit(0))
+    return stats.select("table_name", "row_count", size.alias("size_bytes"), pretty_size(size).alias("table_size"))

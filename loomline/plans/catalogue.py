@@ -212,6 +212,69 @@ def status_transition(spark, sf_dir):
     return _shown(mutations.apply_transitions(urls, even, F.expr(NOW)), "last_crawl_at").select("id", "crawl_status", "crawl_attempts", "last_crawl_at", "error_message")
 
 
+_BATCH = """SELECT url_id, status, error, seq FROM (
+    SELECT id AS url_id, 'crawling' AS status, CAST(NULL AS VARCHAR) AS error, 0 AS seq FROM discovered_urls WHERE id % 2 = 0
+    UNION ALL SELECT id, CASE id % 3 WHEN 0 THEN 'completed' WHEN 1 THEN 'error' ELSE 'crawling' END, CASE WHEN id % 6 = 4 THEN 'HTTP 503' END, 1 FROM discovered_urls WHERE id % 2 = 0
+    UNION ALL SELECT id, 'pending', NULL, 2 FROM discovered_urls WHERE id % 10 = 0 UNION ALL SELECT -1 - id, 'error', 'gone', 3 FROM discovered_urls WHERE id % 7 = 0)"""
+
+
+def _batch(urls: DataFrame) -> DataFrame:
+    """Several updates of one URL, and some of URLs that are not there."""
+    ident, text = F.col("id"), lambda v: F.lit(v).cast("string")
+    step = lambda where, key, status, error, seq: urls.where(where).select(key.alias("url_id"), status.alias("status"), error.alias("error"), F.lit(seq).alias("seq"))
+    second = F.when(ident % 3 == 0, "completed").when(ident % 3 == 1, "error").otherwise("crawling")
+    return (
+        step("id % 2 = 0", ident, F.lit("crawling"), text(None), 0).union(step("id % 2 = 0", ident, second, F.when(ident % 6 == 4, "HTTP 503"), 1))
+        .union(step("id % 10 = 0", ident, F.lit("pending"), text(None), 2)).union(step("id % 7 = 0", -1 - ident, F.lit("error"), F.lit("gone"), 3))
+    )
+
+
+@query(
+    f"""WITH b AS ({_BATCH}), u AS (SELECT url_id, arg_max(status, seq) AS status, arg_max(error, seq) FILTER (status = 'error' AND error <> '') AS error, count(*) FILTER (status = 'crawling') AS tries, bool_or(status IN ('completed', 'error')) AS ended FROM b GROUP BY url_id)
+    SELECT d.id, coalesce(u.status, d.crawl_status) AS crawl_status, CAST(d.crawl_attempts + coalesce(u.tries, 0) AS INT) AS crawl_attempts,
+    CAST(CASE WHEN u.ended THEN TIMESTAMP '2024-02-01 00:00:00' ELSE d.last_crawl_at END AS VARCHAR) AS last_crawl_at, coalesce(u.error, d.error_message) AS error_message FROM discovered_urls d LEFT JOIN u ON d.id = u.url_id""",
+    "discovered_urls",
+)
+def batch_transitions(spark, sf_dir):
+    (urls,) = warehouse(spark, sf_dir, "discovered_urls")
+    return _shown(mutations.apply_transitions(urls, _batch(urls), F.expr(NOW)), "last_crawl_at").select("id", "crawl_status", "crawl_attempts", "last_crawl_at", "error_message")
+
+
+@query(f"SELECT count(*) AS updates, count(*) FILTER (url_id IN (SELECT id FROM discovered_urls)) AS applied FROM ({_BATCH})", "discovered_urls")
+def batch_counts(spark, sf_dir):
+    (urls,) = warehouse(spark, sf_dir, "discovered_urls")
+    return mutations.applied_updates(urls, _batch(urls))
+
+
+@query(
+    """SELECT domain, count(*) AS urls, count(*) FILTER (crawl_status = 'completed') AS completed, CAST(min(created_at) AS VARCHAR) AS first_seen FROM discovered_urls
+    WHERE created_at >= TIMESTAMP '2024-01-01 00:01:00' AND created_at < TIMESTAMP '2024-01-01 12:00:00' GROUP BY domain""",
+    "discovered_urls",
+)
+def urls_in_range(spark, sf_dir):
+    (urls,) = warehouse(spark, sf_dir, "discovered_urls")
+    return _shown(W.urls_in_range(urls, F.expr("timestamp'2024-01-01 00:01:00'"), F.expr("timestamp'2024-01-01 12:00:00'")), "first_seen")
+
+
+@query("SELECT id, url FROM discovered_urls WHERE crawl_status = 'error' AND coalesce(updated_at, created_at) < TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 25 DAY", "discovered_urls")
+def expired_urls(spark, sf_dir):
+    (urls,) = warehouse(spark, sf_dir, "discovered_urls")
+    return W.expired(urls, F.expr(NOW), 25, F.col("crawl_status") == "error").select("id", "url")
+
+
+@query(
+    """SELECT count(*) AS total, count(*) FILTER (event_type <> 'error') AS succeeded, round(count(*) FILTER (event_type <> 'error') * 100.0 / count(*), 2) AS success_rate,
+    round(count(*) / nullif(epoch(max(ts)) - epoch(min(ts)), 0), 6) AS per_second, round(avg(value), 6) AS mean_seconds FROM events"""
+)
+def load_summary(spark, sf_dir):
+    return _rounded(W.load_summary(_read(spark, sf_dir, "events"), F.col("ts"), F.col("event_type") != "error", F.col("value")), "per_second", "mean_seconds")
+
+
+@query("SELECT event_type, count(*) AS errors, round(count(*) * 100.0 / (SELECT count(*) FROM events WHERE event_type IN ('error', 'view')), 2) AS share FROM events WHERE event_type IN ('error', 'view') GROUP BY event_type")
+def errors_by_type(spark, sf_dir):
+    return W.errors_by_type(_read(spark, sf_dir, "events").where("event_type in ('error', 'view')"), "event_type")
+
+
 @query("SELECT url FROM (SELECT 'https://articles.example.com/' || doc_id % 1500 AS url FROM documents UNION SELECT url FROM discovered_urls) WHERE url NOT IN (SELECT url FROM articles)", "articles", "discovered_urls")
 def insert_new_urls(spark, sf_dir):
     articles, urls = warehouse(spark, sf_dir, "articles", "discovered_urls")

@@ -8,7 +8,7 @@ from loomline.operators import mutations as M
 from loomline.operators import warehouse as W
 from loomline.plans.retrieval import answer, chunk_and_embed, lsh_index, lsh_search
 from loomline.schemas import TABLES, model, violations
-from loomline.sources.store import Store, function_exists, load_config, query, run_script, save_report, split_script, table_exists
+from loomline.sources.store import Conflict, Store, function_exists, load_config, query, run_script, save_report, split_script, table_exists
 from loomline.streaming import control as C
 from loomline.streaming import queue as Q
 from pyspark.sql import functions as F
@@ -62,6 +62,40 @@ def test_mutations(spark):
     assert (row.title, row.word_count, row.crawled_from_url_id) == ("T", 1, "7")
 
 
+def test_appends_add_files_and_writers_do_not_lose_each_other(spark, tmp_path):
+    one, two = (Store(spark, f"file://{tmp_path}/w") for _ in range(2))
+    rows = lambda *ids: spark.createDataFrame([(i, f"http://{i}") for i in ids], "id string, url string")
+    one.write("articles", rows("a"))
+    before = {p.name for p in (tmp_path / "w" / "articles").glob("data-*")}
+    assert two.append("articles", rows("b")) == 1 and before < {p.name for p in (tmp_path / "w" / "articles").glob("data-*")}
+    number = one._next("articles")
+    assert one._publish("articles", number, one._versions("articles")[-1][1]) and not two._publish("articles", number, [])
+    two._next = lambda table, f=two._next, seen=[]: (seen.append(1), number if len(seen) == 1 else f(table))[1]  # a stale look
+    assert two.append("articles", rows("c")) == 1
+    assert sorted(r.id for r in one.read("articles").collect()) == ["a", "b", "c"]
+    two._next = lambda table: number
+    with pytest.raises(Conflict):
+        two.write("articles", rows("z"))
+    assert one.count("articles") == 3
+    one.compact("articles")
+    assert one.count("articles") == 3 and len(one._versions("articles")[-1][1]) == 1
+    (tmp_path / "w" / "articles" / f"v{one._next('articles'):08d}.json").write_text("[")  # a writer that failed
+    assert one.count("articles") == 3 and one.append("articles", rows("d")) == 1 and one.count("articles") == 4
+    sizes = W.table_sizes({"articles": one.size("articles")}, articles=one.read("articles"), none=rows()).collect()
+    assert [(r.table_name, r.row_count, r.size_bytes > 0) for r in sizes] == [("articles", 4, True), ("none", 0, False)]
+
+
+def test_repeated_updates_and_victims(spark):
+    urls = spark.createDataFrame([("1", "pending", 0, None, None, None), ("2", "pending", 1, None, None, "old")], "id string, crawl_status string, crawl_attempts int, last_crawl_at timestamp, updated_at timestamp, error_message string")
+    updates = spark.createDataFrame([("1", "crawling", None, 1), ("1", "completed", None, 2), ("2", "error", "x", 2), ("2", "error", "", 3), ("2", "crawling", None, 1), ("9", "error", "y", 1)], "url_id string, status string, error string, seq int")
+    got = {r.id: r for r in M.apply_transitions(urls, updates, F.expr("timestamp'2024-02-01 00:00:00'")).collect()}
+    assert {i: (r.crawl_status, r.crawl_attempts, r.error_message, r.last_crawl_at is not None) for i, r in got.items()} == {"1": ("completed", 1, None, True), "2": ("error", 2, "x", True)}
+    assert M.applied_updates(urls, updates).first().asDict() == {"updates": 6, "applied": 5}
+    articles = spark.createDataFrame([("a", "1"), ("b", "2")], "id string, crawled_from_url_id string")
+    left, kept = M.delete_urls(urls, articles, spark.createDataFrame([("1",), ("1",)], "id string"))
+    assert left.count() == 1 and sorted((r.id, r.crawled_from_url_id) for r in kept.collect()) == [("a", None), ("b", "2")]
+
+
 def test_retrieval(spark):
     articles = spark.createDataFrame([(1, "http://a", "A", "Cats sit on mats."), (2, "http://b", "B", "Dogs run in parks."), (3, "http://c", "C", None)], "id int, url string, title string, content string")
     chunks = chunk_and_embed(articles, "sentence", dimensions=64)
