@@ -279,13 +279,15 @@ def secret_key(spark: SparkSession) -> str:
 def replace_entities(docs: DataFrame, key: str | None = None, counted: str | None = None) -> DataFrame:
     """docs with surrogates in text; counted names a column for the number of entities replaced."""
     key = key or secret_key(docs.sparkSession)
-    cuts = docs.select(F.xxhash64("text").alias("_text"), pieces(F.col("text")).alias("_cut")).where(F.size("_cut") > 1)
-    found = cuts.select("_text", F.explode(F.flatten(F.transform(entities(F.col("_cut")), lambda e: e["parts"]))).alias("p")).select("_text", "p.kind", "p.canon")
+    # generated, so that no filter or projection has the texts cut again
+    cuts = docs.select(F.xxhash64("text").alias("_text"), F.explode(F.array(pieces(F.col("text")))).alias("_cut")).where(F.size("_cut") > 1)
+    parts = F.flatten(F.transform(entities(F.col("_cut")), lambda e: e["parts"]))
+    found = staged(cuts.select("_text", F.explode(F.array(parts)).alias("_parts")).select("_text", F.explode("_parts").alias("p")).select("_text", "p.kind", "p.canon"))
     again = staged(attempts(found.select("kind", "canon"), key))
     few = again.count()
     mark = uuid.uuid4().hex  # clash with no column
     cut, old, new, tries = (f"_{name}_{mark}" for name in ("cut", "old", "new", "tries"))
-    work = docs.withColumn(cut, pieces(F.col("text")))
+    work = docs.select("*", F.explode(F.array(pieces(F.col("text")))).alias(cut))
     if few:
         mine = found.join(F.broadcast(again) if few <= BROADCAST_ROWS else again, ["kind", "canon"]).groupBy("_text").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "canon"), "attempt"))).alias(tries))
         mine = staged(mine.withColumnRenamed("_text", f"_text_{mark}"))
@@ -298,7 +300,7 @@ def replace_entities(docs: DataFrame, key: str | None = None, counted: str | Non
     def replaced(e: Column) -> Column:
         return F.struct(e["prefix"].alias("prefix"), F.transform(e["parts"], lambda p: F.struct(p["kind"].alias("kind"), p["value"].alias("value"), p["after"].alias("after"), shown(p).alias("shown"))).alias("parts"))
 
-    work = work.withColumn(old, F.transform(entities(F.col(cut)), replaced))
+    work = work.select("*", F.explode(F.array(F.transform(entities(F.col(cut)), replaced))).alias(old))
     # parts of names, for later mentions of them by themselves
     named = F.array_distinct(F.transform(F.filter(F.flatten(F.transform(F.col(old), lambda e: e["parts"])), lambda p: is_name(p["kind"]) & (F.length(p["value"]) > 2)), lambda p: F.struct(p["value"].alias("value"), p["shown"].alias("shown"))))
     work = work.withColumn(new, named)
