@@ -2,14 +2,15 @@
 
 Rules count, for every whole text, words, code points in words, symbols,
 repeated lines and words in repeated three-word windows.  What passes them is
-scored by logistic regression over hashed words, word pairs and byte
+scored by logistic regression over hashed words, word pairs and character
 four-grams (2^20 buckets a kind, averaged over the text, so length does not
 count), trained on labelled rows and calibrated by Platt's method on rows that
 training did not see.  Scoring runs in Arrow batches; the threshold is fixed.
 
-Training takes at most TRAIN_ROWS labelled ids (those of smallest hash) and
-TRAIN_FEATURES features, which reach the driver; everything else covers all
-documents.
+Training takes at most TRAIN_ROWS labelled ids, those of smallest hash, and
+fewer only if their texts have more than TRAIN_FEATURES features together: then
+the first in hash order, whatever their lengths.  These reach the driver;
+everything else covers all documents.
 
 Defined results: a null or empty text has no words and fails the rules; a null
 doc_id is kept as null; repeated rows are each scored; an id with several
@@ -35,7 +36,7 @@ from .textkernel import Words, mix64, window_hash, window_starts
 
 #: Labelled ids that the classifier is trained and calibrated on, at most.
 TRAIN_ROWS = 2000
-#: Distinct features of all training texts together, at most; texts are taken in hash order until it is reached.
+#: Distinct features of all training texts together, at most, but for a single text.
 TRAIN_FEATURES = 4_000_000
 CHAR_GRAM = 4
 THRESHOLD = 0.5
@@ -126,9 +127,10 @@ def fit(docs: DataFrame, labels: DataFrame, epochs: int = 60) -> Model | None:
     # sizes first (TRAIN_ROWS pairs at most), so that what is fetched is bounded however long texts are
     chosen, total = [], 0
     for r in made.select("id", (F.octet_length("name") / 4).cast("long").alias("n")).orderBy(F.xxhash64("id")).collect():
-        if total + r.n <= TRAIN_FEATURES:
-            chosen.append(r.id)
-            total += r.n
+        total += r.n
+        if total > TRAIN_FEATURES and chosen:
+            break
+        chosen.append(r.id)
     found = made.where(F.col("id").isin(chosen)).orderBy(F.xxhash64("id")).collect()
     y = np.array([r.label for r in found], np.float32)
     held = np.arange(len(found)) % 5 == 4

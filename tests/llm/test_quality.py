@@ -1,10 +1,14 @@
+import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
 
-from loomline.llm.quality import fit, judge, op3_ngram_logistic_quality
+import loomline.llm.quality as module
+from loomline.llm.ngrams import char_grams
+from loomline.llm.quality import features, fit, judge, op3_ngram_logistic_quality
+from loomline.llm.textkernel import Words
 
 
 def brute(text):
@@ -40,6 +44,50 @@ def test_held_out_accuracy_and_calibration(spark):
     assert abs(p.mean() - y.mean()) < 0.05
 
 
+def test_char_grams_are_of_characters():
+    texts = ["aé€😀b", "", "äöüß", "abc", "x" * 9]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+    row, name = char_grams(np.frombuffer(b"".join(raw), np.uint8), offsets, 4)
+    assert np.bincount(row, minlength=5).tolist() == [2, 0, 1, 0, 6]
+    alone = [char_grams(np.frombuffer(t[i : i + 4].encode(), np.uint8), np.array([0, len(t[i : i + 4].encode())]), 4)[1][0] for t in texts for i in range(len(t) - 3)]
+    assert alone == name.tolist() and len(set(alone)) == 4
+
+
+def test_verdicts_equal_a_plain_version(spark):
+    """Each n-gram looked up by itself, in Python."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = fit(docs, labels)
+    weights, cache = model.weights.value, {}
+
+    def names(kind, gram):
+        if (kind, gram) not in cache:
+            raw = gram.encode()
+            data, offsets = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
+            found = [x for x in features(data, offsets, Words(data, offsets))][kind][1]
+            assert len(found) == 1
+            cache[kind, gram] = float(weights[found[0]])
+        return cache[kind, gram]
+
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in judge(docs, model).collect():
+        text = texts[r.doc_id]
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        grams = [words, [f"{a} {b}" for a, b in zip(words, words[1:])], [text[i : i + 4] for i in range(len(text) - 3)]]
+        z = sum(sum(names(k, g) for g in found) / max(1, len(found)) for k, found in enumerate(grams))
+        p = 1 / (1 + math.exp(-max(-60, min(60, model.slope * z + model.offset))))
+        assert abs(p - r.p_good) < 1e-6 and (abs(p - 0.5) < 1e-6 or r.kept == (not r.base_failed and p >= 0.5))
+
+
+def test_training_takes_rows_in_hash_order_whatever_their_length(spark, monkeypatch):
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{j % 50}" for j in range(3000 if i % 3 == 0 else 60)), i % 2, 0) for i in range(120)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2], 0) for r in rows], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(module, "TRAIN_FEATURES", 9000)
+    assert fit(docs, labels) is not None
+    monkeypatch.setattr(module, "TRAIN_FEATURES", 1)
+    assert fit(docs, labels) is None  # a single text has no two classes
+
+
 def test_no_labels_or_rows(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
