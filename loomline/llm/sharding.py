@@ -18,13 +18,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import staged, table
 from .textkernel import mix64
 
 SHARDS = 16
 #: Rows that one slot bucket is meant to hold; the bucket count follows the data.
 ROWS_PER_BUCKET = 200_000
 MAX_BUCKETS = 4096
+#: Copies of one row in one deal, and deals of a task.
+COPIES, DEALS = 10_000, 100
 
 
 def jump_hash(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -42,14 +44,15 @@ def jump_hash(keys: np.ndarray, shards: int) -> np.ndarray:
     return out
 
 
-def shard_of(key: Column, shards: int) -> Column:
-    """jump_hash as a column over a long key."""
+def shards_of(key: Column, shards: int) -> Column:
+    """jump_hash of a long key as columns: shard, and grown_shard with one more."""
 
-    @F.pandas_udf("int")
-    def assign(k: pd.Series) -> pd.Series:
+    @F.pandas_udf("shard int, grown_shard int")
+    def assign(k: pd.Series) -> pd.DataFrame:
         null = k.isna().to_numpy()
         raw = k.fillna(0).to_numpy().astype(np.int64).view(np.uint64)
-        return pd.Series(jump_hash(mix64(raw + null.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), shards))
+        mixed = mix64(raw + null.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return pd.DataFrame({"shard": jump_hash(mixed, shards), "grown_shard": jump_hash(mixed, shards + 1)})
 
     return assign(key)
 
@@ -61,8 +64,8 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", te
     a sixteenth of all rows into one task, so shards are cut into hash buckets
     whose number follows the row count; bucket totals (at most shards x
     MAX_BUCKETS rows) give each bucket its first slot.  Equal rows are counted
-    first and expanded last, so a key that holds a third of all rows is one row
-    until then.
+    first and expanded last, COPIES a deal, so a key that holds a third of all
+    rows is one row until then and many tasks' work after.
     """
     base = docs.select(
         F.col(key).cast("long").alias("doc_id"),
@@ -71,10 +74,10 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", te
     )
     rows = docs.count()
     buckets = int(min(MAX_BUCKETS, max(8, rows // (shards * ROWS_PER_BUCKET) + 1)))
-    unique = (
+    unique = staged(
         base.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("shard", shard_of(F.col("doc_id"), shards))
-        .withColumn("grown_shard", shard_of(F.col("doc_id"), shards + 1))
+        .withColumn("to", shards_of(F.col("doc_id"), shards))
+        .select("*", "to.shard", "to.grown_shard").drop("to")
         .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(buckets)).cast("int"))
     )
     order = ["doc_id", "text_crc32", "size"]
@@ -84,9 +87,15 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", te
     totals = unique.groupBy("shard", "bucket").agg(F.sum("copies").alias("total"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     firsts = totals.select("shard", "bucket", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("first"))
+    placed = numbered.join(F.broadcast(firsts), ["shard", "bucket"])
+    few = placed.where(F.col("copies") <= COPIES).withColumn("from", F.lit(0).cast("long"))
+    many = placed.where(F.col("copies") > COPIES).withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))))
+    deals = unique.where(F.col("copies") > COPIES).agg(F.coalesce(F.sum(F.ceil(F.col("copies") / COPIES)), F.lit(0))).first()[0]
+    if deals:
+        # a number of its own: by size, many deals would be put in one task
+        few = few.unionByName(many.repartition(max(int(deals) // DEALS, docs.sparkSession.sparkContext.defaultParallelism), F.xxhash64("doc_id", "text_crc32", "from")))
     return (
-        numbered.join(F.broadcast(firsts), ["shard", "bucket"])
-        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+        few.withColumn("copy", F.explode(F.sequence("from", F.least(F.col("from") + COPIES, "copies") - 1)))
         .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("first") + F.col("local") + F.col("copy")).cast("long").alias("slot"), "grown_shard")
     )
 

@@ -3,7 +3,8 @@ from collections import defaultdict
 
 import numpy as np
 
-from loomline.llm.sharding import assign_shards, jump_hash
+import loomline.llm.sharding as module
+from loomline.llm.sharding import assign_shards, jump_hash, op5_jump_hash_sharding
 from loomline.llm.textkernel import mix64
 
 
@@ -26,6 +27,29 @@ def test_jump_hash_equals_plain_form_and_moves_only_into_new_shard():
     assert np.bincount(before).min() > 140
 
 
+def test_query_equals_plain_jump_hash(spark):
+    out = op5_jump_hash_sharding(spark, "/root/testdata/sf0.01").collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    assert len(out) == 1000 and {r.doc_id for r in out} == set(docs)
+    taken = defaultdict(list)
+    for r in out:
+        key = int(mix64(np.array([r.doc_id], np.int64).view(np.uint64))[0])
+        raw = (docs[r.doc_id] or "").encode()
+        assert (r.shard, r.grown_shard, r.size, r.text_crc32) == (plain_jump(key, 16), plain_jump(key, 17), len(raw) + 1, zlib.crc32(raw))
+        taken[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in taken.values())
+
+
+def test_many_copies_are_made_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(module, "COPIES", 7)
+    rows = [(i % 5, "same") for i in range(600)] + [(9, "x"), (None, None)]
+    out = assign_shards(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = out.collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+    assert sorted((r.shard, r.slot) for r in got) == [(s, n) for s in sorted({r.shard for r in got}) for n in range(sum(r.shard == s for r in got))]
+    assert out.select(module.F.spark_partition_id().alias("p"), "doc_id").where("doc_id = 3").select("p").distinct().count() > 1
+
+
 def test_slots_are_gapless_and_all_rows_kept(spark):
     rows = [(i, f"text {i}", 0, 0) for i in range(500)] + [(7, "text 7", 0, 0)] * 300 + [(None, None, 0, 0), (None, "", 0, 0), (1, None, 0, 0), (2, "é" * 50_000, 0, 0)]
     out = assign_shards(spark.createDataFrame(rows, "doc_id long, text string, shard int, slot int")).collect()
