@@ -15,7 +15,10 @@ Defined results: null html is an empty payload; payloads under MIN_REVISIT
 bytes are never revisits; of equal payloads those rows that carry the smallest
 page_id are responses (all of them, if a row is repeated), others revisit it;
 a null page_id is never smallest unless all are null, and then all are
-responses; a null url has an empty key; line breaks in a url become %0D/%0A;
+responses; a null url has an empty key; line breaks in a url become %0D/%0A,
+blanks at its ends are kept; every record has an identifier of its own, and a
+revisit refers to all records of its page; record_offset counts bytes of the
+archive without compression, as an archive is one gzip stream;
 an empty table gives an empty result; other columns are ignored.
 """
 
@@ -28,7 +31,7 @@ import math
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import staged, table, work_dir
@@ -84,7 +87,7 @@ def record(stored: Column) -> Column:
     ident = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
     return F.concat(
-        F.lit(f"WARC/1.1{CRLF}"), line("WARC-Type", F.col("record_type")), line("WARC-Record-ID", ident(F.col("page_id"))),
+        F.lit(f"WARC/1.1{CRLF}"), line("WARC-Type", F.col("record_type")), line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(":"), F.monotonically_increasing_id().cast("string"), F.lit(">"))),
         line("WARC-Date", F.col("captured")), line("WARC-Target-URI", F.col("url")), line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "payload_digest")),
         line("X-Payload-Length", F.col("payload_bytes").cast("string")), line("Content-Type", F.lit("text/html; charset=utf-8")),
         F.when(stored, F.lit("")).otherwise(F.concat(line("WARC-Refers-To", ident(F.col("refers_to"))), line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")))),
@@ -113,7 +116,8 @@ def read_records(stream: io.BufferedIOBase) -> Iterator[tuple[int, dict[str, str
         headers = {}
         while (line := stream.readline()) not in (b"\r\n", b""):
             name, _, value = line.decode("utf-8", "replace").partition(":")
-            headers[name.lower()] = value.strip()
+            # one space after the colon and the line's end are the format's, all other blanks the value's
+            headers[name.lower()] = value.removesuffix("\n").removesuffix("\r").removeprefix(" ")
         block = stream.read(int(headers["content-length"]))
         if stream.read(4) != b"\r\n\r\n":
             raise ValueError(f"record at {at} does not end where its length says")
@@ -122,7 +126,7 @@ def read_records(stream: io.BufferedIOBase) -> Iterator[tuple[int, dict[str, str
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in ENTRY.split(", ")]
-    ident = lambda text: int(text[10:-1]) if text and text[10:-1] else None
+    ident = lambda text: int(page) if text and (page := text[10:-1].partition(":")[0]) else None
     for batch in batches:
         for path, content in zip(batch.column(0), batch.column(1), strict=True):
             archive, rows = path.as_py().rsplit("/", 1)[-1], []
@@ -211,9 +215,20 @@ def archive_and_index(pages: DataFrame, captured: Column | None = None) -> DataF
     return merge_index(staged(read_index(spark, path)))
 
 
+def with_global_rank(merged: DataFrame) -> DataFrame:
+    """merged with capture_rank, its place in the order of all histories."""
+    merged = staged(merged)
+    # a row for each merging task, that is for ENTRIES_PER_TASK entries
+    parts = merged.groupBy("merge_partition").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("merge_partition").rowsBetween(Window.unboundedPreceding, -1))
+    firsts = staged(parts.select("merge_partition", F.coalesce(before, F.lit(0)).alias("_first")))
+    side = F.broadcast(firsts) if firsts.count() <= BROADCAST_ROWS else firsts
+    return merged.join(side, "merge_partition").withColumn("capture_rank", F.col("_first") + F.col("merge_rank")).drop("_first")
+
+
 def op1_external_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = archive_and_index(table(spark, sf_dir, "pages"))
-    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
+    ranked = with_global_rank(archive_and_index(table(spark, sf_dir, "pages")))
+    return ranked.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "capture_rank")
 
 
 OP1_SQL = r"""
@@ -229,11 +244,13 @@ keyed AS (
   SELECT *, payload_bytes >= 100 AND first_id IS NOT NULL AND first_id IS DISTINCT FROM page_id AS revisit,
          lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^#]*)', 1)) AS host,
          regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^#]*)', 2) AS rest
-  FROM sized)
+  FROM sized),
+named AS (
 SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN revisit THEN first_id END AS refers_to,
        CASE WHEN host <> '' THEN array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || rest ELSE url END AS url_key,
        strftime(to_timestamp(1704067200 + (coalesce(page_id, 0) % 1000000000)) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') AS captured
-FROM keyed
+FROM keyed)
+SELECT *, row_number() OVER (ORDER BY url_key, captured, page_id NULLS FIRST) - 1 AS capture_rank FROM named
 """
