@@ -3,8 +3,9 @@
 A seed is the hash of the words that a fixed mask selects out of SPAN
 consecutive words, so words at ignored positions may differ.  Seeds of every
 position of every document meet the benchmark's seeds in one hash join, whose
-build side is the benchmark (broadcast up to BROADCAST_SEEDS seeds; a larger
-benchmark is cut into parts of that size, each joined in a pass of its own).
+build side is the benchmark, broadcast up to BROADCAST_SEEDS seeds.  Beyond that
+positions and seeds are shuffled by seed, in one pass over the documents however
+large the benchmark is; what meets is joined to the words of its document again.
 Around each hit the aligned words of document and item are compared: FLANK
 words on both sides, as far as the item goes.  The overlap counts if at least
 AGREE percent of the item's words there are equal, so substitutions are
@@ -16,7 +17,8 @@ first rule finds keep its figures, so every row of OP4_SQL is a row of the query
 
 Everything is DataFrame functions: words are hashed once a document; positions
 are exploded, hashed and probed inside one code-generated stage, in which the
-document's words stay a reference, and nothing is shuffled but verified hits.
+document's words stay a reference, and (up to that bound) nothing is shuffled
+but verified hits.
 
 Defined results: text is lower-cased and words are runs of letters and digits;
 null or empty texts match nothing; an item under SPAN words (SQL: not searched
@@ -68,9 +70,18 @@ def item_seeds(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _hits(docs: DataFrame, seeds: DataFrame, passages: bool) -> DataFrame:
+def _met(words: DataFrame, at: DataFrame, seeds: DataFrame, few: bool) -> DataFrame:
+    """Rows of at (words' columns, at, seed) with those of seeds of the same seed."""
+    if few:
+        return at.join(F.broadcast(seeds), "seed")
+    # the words of a document are not shuffled with each of its positions
+    places = at.select("_owner", "at", "seed").join(seeds.select("seed").distinct().hint("shuffle_merge"), "seed").distinct()
+    return places.join(words.dropDuplicates(["_owner"]), "_owner").join(seeds, "seed")
+
+
+def _hits(docs: DataFrame, seeds: DataFrame, passages: bool, few: bool) -> DataFrame:
     words = docs.select("_owner", "doc_id", word_hashes(F.col("text")).alias("h"))
-    met = positions(words).join(F.broadcast(seeds), "seed")
+    met = _met(words, positions(words), seeds, few)
     # the document may begin or end inside the item's surroundings: what is missing does not agree
     left = F.least("left_words", "at")
     there = F.slice("h", F.col("at") - left + 1, left + F.size("near") - F.col("left_words"))
@@ -111,11 +122,11 @@ def short_items(benchmark: DataFrame) -> DataFrame:
     return items.withColumn("n", F.size("near")).where((F.col("n") > 0) & (F.col("n") < SPAN)).withColumn("seed", F.xxhash64("n", "near"))
 
 
-def _short_hits(docs: DataFrame, items: DataFrame, n: int) -> DataFrame:
+def _short_hits(docs: DataFrame, items: DataFrame, n: int, few: bool) -> DataFrame:
     words = docs.select("_owner", "doc_id", word_hashes(F.col("text")).alias("h"))
     at = words.withColumn("at", F.explode(F.when(F.size("h") >= n, F.sequence(F.lit(0), F.size("h") - n))))
     window = F.array(*(F.col("h")[F.col("at") + i] for i in range(n)))
-    met = at.withColumn("seed", F.xxhash64(F.lit(n), window)).join(F.broadcast(items), "seed").where(window == F.col("near"))
+    met = _met(words, at.withColumn("seed", F.xxhash64(F.lit(n), window)), items, few).where(window == F.col("near"))
     return met.select("_owner", "doc_id", "item_id", F.col("at").alias("start"), (F.col("at") + n).alias("stop"), F.lit(n).alias("agreeing"), F.lit(True).alias("around"))
 
 
@@ -125,13 +136,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, passages: bool = False) -> D
     passages: also those that hold a part of the surroundings only, and items under SPAN words; without, the rule of OP4_SQL."""
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("_owner"), "doc_id", "text")
     seeds = staged(item_seeds(benchmark))
-    parts = max(1, -(-seeds.count() // BROADCAST_SEEDS))
-    passes = [_hits(keyed, seeds if parts == 1 else seeds.where(F.pmod(F.xxhash64("seed"), F.lit(parts)) == i), passages) for i in range(parts)]
+    passes = [_hits(keyed, seeds, passages, seeds.count() <= BROADCAST_SEEDS)]
     if passages:
         short = staged(short_items(benchmark))
         for n, count in sorted((x["n"], x["count"]) for x in short.groupBy("n").count().collect()):  # SPAN - 1 rows at most
-            parts = -(-count // BROADCAST_SEEDS)
-            passes += [_short_hits(keyed, short.where((F.col("n") == n) & (F.pmod("seed", F.lit(parts)) == i)).drop("n"), n) for i in range(parts)]
+            passes.append(_short_hits(keyed, short.where(F.col("n") == n).drop("n"), n, count <= BROADCAST_SEEDS))
     # passages count only where nothing agrees over all of the surroundings
     of = lambda how, name: F.coalesce(how(F.when(F.col("around"), F.col(name))), how(name)).cast("long")
     return reduce(DataFrame.union, passes).groupBy("_owner", "doc_id", "item_id").agg(
