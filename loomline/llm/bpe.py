@@ -20,10 +20,12 @@ empty result; of the input only the id and text columns are used.
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import heapq
 import json
 import os
+import shutil
 import tempfile
 import uuid
 from collections import Counter
@@ -65,12 +67,25 @@ def byte_alphabet() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+def refuse_other_kinds(spec: dict) -> None:
+    """Raises ValueError for a file that asks for what is not done here."""
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+    odd += ["normalizer"] * bool(spec.get("normalizer")) + ["model"] * (model.get("type", "BPE") != "BPE")
+    if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
+        odd.append("pre_tokenizer")
+    odd += [f"added token {t['content']!r}" for t in spec["added_tokens"] if t.get("single_word") or t.get("lstrip") or t.get("rstrip")]
+    if odd:
+        raise ValueError(f"not a plain byte-level BPE vocabulary: {', '.join(odd)}")
+
+
 class ByteBpe:
     """A byte-level BPE vocabulary read from a tokenizers JSON file."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        refuse_other_kinds(spec)
         alphabet = byte_alphabet()
         back = {c: b for b, c in enumerate(alphabet)}
         vocab = spec["model"]["vocab"]
@@ -366,7 +381,9 @@ def frequent_words(texts: DataFrame, words: int = LEXICON_WORDS) -> list[str]:
 def publish_lexicon(spark: SparkSession, bpe: ByteBpe, words: Iterable[str]) -> str:
     """Compile, save, and hand to all executors; returns the file's name."""
     arrays = compile_lexicon((w, bpe.merge(w)) for w in sorted({w.encode() for w in words}))
+    # the driver's own copy, which executors fetch from it as long as it runs
     folder = tempfile.mkdtemp()
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     name = f"lexicon-{uuid.uuid4().hex}.npy"  # added files are known by name, for good
     # one flat int32 file, so that it can be mapped: a table of lengths, then the arrays
     parts = [arrays[k].astype(np.int32) for k in sorted(arrays)]

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Only where the session names no folder, as in local tests.
+#: Only where the session names no folder and driver and executors are one process, as in tests.
 LOCAL_FALLBACK = "/tmp/checkpoints"
 
 
@@ -16,7 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def work_dir(spark: SparkSession) -> str:
     """A fresh path under spark.checkpoint.dir, which every executor can reach."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or LOCAL_FALLBACK
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = LOCAL_FALLBACK
     return f"{root.rstrip('/')}/work-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
