@@ -56,8 +56,13 @@ def lsh_index(chunks: DataFrame, bits: int = 12, tables: int = 8, dimensions: in
 
 
 def lsh_search(index: DataFrame, queries: DataFrame, limit: int = 10, bits: int = 12, tables: int = 8, dimensions: int = 64, seed: int = 7) -> DataFrame:
-    """(query_id, id, similarity): best `limit` among vectors that share a bucket with queries(id, embedding)."""
-    q = lsh_index(queries, bits, tables, dimensions, seed).select("table", "bucket", F.col("id").alias("query_id"), F.col("embedding").alias("q"))
-    near = index.join(q, ["table", "bucket"]).select("query_id", "id", cosine(F.col("embedding"), F.col("q")).alias("similarity")).distinct()
+    """(query_id, id, similarity): best `limit` among vectors that share a bucket with queries(id, embedding).
+
+    Ids meet by bucket; each pair then fetches its vectors once, whatever the number of tables."""
+    q = lsh_index(queries, bits, tables, dimensions, seed)
+    pairs = index.select("table", "bucket", "id").join(q.select("table", "bucket", F.col("id").alias("query_id")), ["table", "bucket"]).select("query_id", "id").distinct()
+    wanted = q.where(F.col("table") == 0).select(F.col("id").alias("query_id"), F.col("embedding").alias("q"))
+    vectors = index.where(F.col("table") == 0).select("id", "embedding")
+    near = pairs.join(wanted, "query_id").join(vectors, "id").select("query_id", "id", cosine(F.col("embedding"), F.col("q")).alias("similarity")).distinct()
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= limit)
