@@ -254,6 +254,11 @@ def entities(cut: Column) -> Column:
     return F.when(F.size(cut) > 1, F.transform(F.sequence(F.lit(1), F.size(cut) - 2, F.lit(2)), lambda i: entity(cut[i])))
 
 
+def has_entity(text: Column) -> Column:
+    """Whether anything of text would be replaced."""
+    return F.coalesce(F.exists(entities(pieces(text)), lambda e: F.size(e["parts"]) > 0), F.lit(False))
+
+
 def attempts(units: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     """(kind, canon, attempt) of the entities whose first surrogate collides."""
     real = staged(units.distinct())
