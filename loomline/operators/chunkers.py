@@ -8,17 +8,20 @@ word and paragraph windows also exist as plain expressions (`word_windows`,
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.text import ENDS, let
 
+log = logging.getLogger(__name__)
+
 SCHEMA = "chunk_index int, content string, start_pos int, end_pos int, metadata map<string,string>"
 
 
@@ -131,6 +134,7 @@ def sliding_sentences(text: str, config: Config) -> list[Chunk]:
 
 
 def sliding_window(text: str, config: Config) -> list[Chunk]:
+    """Windows of words, or of whole sentences."""
     return (sliding_sentences if config.use_sentences else sliding_words)(text, config)
 
 
@@ -181,6 +185,7 @@ def _paragraphs(texts: list[str], config: Config) -> Iterator[tuple[str, str, di
 
 
 def by_sentences(text: str, config: Config) -> list[Chunk]:
+    """Runs of whole sentences, within paragraphs if asked."""
     texts = [p.strip() for p in text.split("\n\n") if p.strip()] if config.paragraphs else []
     if not texts:
         return sentence_runs(text, config)
@@ -211,29 +216,50 @@ def _lexical_groups(parts: list[str], config: Config) -> Iterator[list[int]]:
 
 
 def _vector_groups(parts: list[str], config: Config, encode: Callable[[list[str]], np.ndarray]) -> Iterator[list[int]]:
-    """As _lexical_groups, by the mean inner product with the members."""
-    vectors = np.vstack([encode(parts[i : i + config.batch]) for i in range(0, len(parts), config.batch)])
-    likeness, free = vectors @ vectors.T, dict.fromkeys(range(len(parts)))
-    while free:
-        group = [next(iter(free))]
-        del free[group[0]]
-        for j in list(free):
-            if likeness[group, j].mean() >= config.similarity:
-                del free[j]
-                group.append(j)
-                if 50 * len(group) > config.chunk_size:
-                    break
+    """As _lexical_groups, by the mean inner product with the members.
+
+    That mean is the product with the sum of the members over their number, so no
+    matrix of sentence pairs is held."""
+    vectors = np.vstack([np.asarray(encode(parts[i : i + config.batch]), np.float64) for i in range(0, len(parts), config.batch)])
+    if len(vectors) != len(parts):
+        raise ValueError(f"{len(vectors)} vectors of {len(parts)} sentences")
+    free = np.arange(len(parts))
+    while len(free):
+        group, total, at = [int(free[0])], vectors[free[0]].copy(), 1
+        likeness = vectors[free] @ total  # of all that are free with the group
+        taken = np.zeros(len(free), bool)
+        taken[0] = True
+        while 50 * len(group) <= config.chunk_size or len(group) == 1:
+            near = np.flatnonzero(likeness[at:] >= config.similarity * len(group))
+            if not len(near):
+                break
+            at += int(near[0])
+            taken[at] = True
+            group.append(int(free[at]))
+            total += vectors[free[at]]
+            at += 1
+            likeness[at:] = vectors[free[at:]] @ total
+        free = free[~taken]
         yield group
 
 
+def _groups(parts: list[str], config: Config, encode: Callable[[list[str]], np.ndarray] | None) -> list[list[int]]:
+    """Groups by vectors; by words where there is no encoder or it fails."""
+    if encode:
+        try:
+            return list(_vector_groups(parts, config, encode))
+        except Exception:  # noqa: BLE001 - whatever a model raises
+            log.warning("encoder failed, grouping by words", exc_info=True)
+    return list(_lexical_groups(parts, config))
+
+
 def semantic(text: str, config: Config, encode: Callable[[list[str]], np.ndarray] | None = None) -> list[Chunk]:
-    """Groups of similar sentences, which need not be neighbours."""
+    """Groups of similar sentences, which need not be neighbours; an encoder that fails gives way to words."""
     parts = split_sentences(text, config.language)
     if len(parts) <= config.min_similarity_sentences:
         return _whole(text, "semantic_complete", sentence_count=len(parts), similarity_score=1.0)
-    groups = _vector_groups(parts, config, encode) if encode else _lexical_groups(parts, config)
     chunks = []
-    for i, group in enumerate(map(sorted, groups)):
+    for i, group in enumerate(map(sorted, _groups(parts, config, encode))):
         content = " ".join(f"句子{j}" if config.placeholder else parts[j] for j in group)
         likeness = 1.0 if len(group) == 1 else max(0.5, 1.0 - (len(group) - 1) * 0.1)
         chunks.append(Chunk.of(content, i, "semantic_similarity", sentence_count=len(group), sentence_indices=group, avg_similarity=likeness, similarity_threshold=config.similarity, word_count=len(content.split())))
@@ -248,6 +274,24 @@ def register(name: str, chunker: Callable[..., list[Chunk]]) -> None:
     CHUNKERS[name.lower()] = chunker
 
 
+def described() -> dict[str, str]:
+    """Chunkers by name, with what they do."""
+    return {name: (chunker.__doc__ or "").strip().split("\n")[0] for name, chunker in sorted(CHUNKERS.items())}
+
+
+def numbered(docs: DataFrame, order: str, key: str = "document_id") -> DataFrame:
+    """docs with document_index, gapless from 0 by `order`, and `key`: its own, or doc_ and the index where it is missing.
+
+    One sorted pass and one count of each partition; no row leaves its partition for the numbering."""
+    placed = docs.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+    first = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("_first"))
+    earlier = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a partition
+    index = F.col("_row") - F.col("_first") + F.col("_before")
+    found = placed.join(F.broadcast(first.withColumn("_before", earlier)), "_part").withColumn("document_index", index)
+    default = F.concat(F.lit("doc_"), F.col("document_index").cast("string"))
+    return found.withColumn(key, F.coalesce(F.col(key).cast("string"), default) if key in docs.columns else default).drop("_part", "_row", "_first", "_before", "n")
+
+
 def chunk_text(text: str | None, kind: str, config: Config | None = None, **extra: object) -> list[Chunk]:
     return CHUNKERS[kind.lower()](text, config or Config(), **extra) if text and text.strip() else []
 

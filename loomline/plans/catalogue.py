@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from loomline.fixtures import oracle, warehouse
 from loomline.functions import text as X
-from loomline.functions.vectors import cosine
+from loomline.functions.vectors import cosine, hash_embed
 from loomline.operators import chunkers, frontier, mutations
 from loomline.operators import warehouse as W
-from loomline.plans import retrieval
+from loomline.plans import chunk_sql, retrieval
 from loomline.schemas import violations
 from loomline.streaming import control, queue
 
@@ -430,16 +430,34 @@ def chunk_report(spark, sf_dir):
     return _rounded(chunkers.chunk_report(_read(spark, sf_dir, "documents"), chunkers.Config(language="en"), "doc_id", "text").drop("paragraphs"), "words_per_sentence").withColumns({c: F.col(c).cast("long") for c in ("characters", "words", "sentences", "full_windows")})
 
 
-def _chunker(name: str, kind: str, config: chunkers.Config):
-    @query(name=name)
+def _chunker(name: str, kind: str, config: chunkers.Config, sql: str | None = None, columns: dict[str, str] | None = None, text=lambda t: t, **extra):
+    """Chunks of all documents, with metadata in columns of their own where these are named."""
+
+    @query(sql, name=name)
     def run(spark, sf_dir):
-        return chunkers.chunk_documents(_read(spark, sf_dir, "documents"), kind, config, "doc_id", "text").withColumn("metadata", F.to_json("metadata"))
+        docs = _read(spark, sf_dir, "documents").select("doc_id", text(F.col("text")).alias("text"))
+        chunks = chunkers.chunk_documents(docs, kind, config, "doc_id", "text", **extra)
+        if not columns:
+            return chunks.withColumn("metadata", F.to_json("metadata"))
+        kinds = {"VARCHAR": "string", "BIGINT": "long", "BOOLEAN": "boolean", "DOUBLE": "double"}
+        return chunks.select("doc_id", "chunk_index", "content", "start_pos", "end_pos", *(F.col("metadata")[k].cast(kinds[t]).alias(k) for k, t in columns.items()))
+
+
+def _with_paragraphs(text):
+    pattern, blank = chunk_sql.PARAGRAPH_START
+    return F.regexp_replace(text, pattern, f"$1{blank}$2")
 
 
-_chunker("sliding_sentences", "sliding_window", chunkers.Config())
-_chunker("sentence_chunks", "sentence", chunkers.Config(language="en", paragraphs=False))
-_chunker("paragraph_chunks", "sentence", chunkers.Config(language="en"))
-_chunker("semantic_chunks", "semantic", chunkers.Config(language="en", similarity=0.2))
+_chunker("sliding_sentences", "sliding_window", chunkers.Config(), chunk_sql.SLIDING_SQL, chunk_sql.SLIDING_COLUMNS)
+_chunker("sentence_chunks", "sentence", chunkers.Config(language="en", paragraphs=False), chunk_sql.SENTENCE_SQL, chunk_sql.SENTENCE_COLUMNS)
+_chunker("paragraph_chunks", "sentence", chunkers.Config(language="en"), chunk_sql.PARAGRAPH_SQL, chunk_sql.PARAGRAPH_COLUMNS, _with_paragraphs)
+_chunker("semantic_chunks", "semantic", chunkers.Config(language="en", similarity=0.2), None, chunk_sql.SEMANTIC_COLUMNS)  # SEMANTIC_SQL takes minutes on whole tables; tests use it
+_chunker("semantic_vector_chunks", "semantic", chunkers.Config(language="en", similarity=0.2), None, chunk_sql.SEMANTIC_COLUMNS, load=lambda: lambda texts: hash_embed(texts, 256))
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS document_index, 'doc_' || (row_number() OVER (ORDER BY doc_id) - 1) AS document_id FROM documents")
+def numbered_documents(spark, sf_dir):
+    return chunkers.numbered(_read(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+
 
 # Frontier
 
@@ -529,7 +547,7 @@ def event_rates(spark, sf_dir):
     return _rounded(_shown(queue.event_rates(log), "start"), "success_share")
 
 
-@query()
+@query(chunk_sql.TOKEN_SQL)
 def token_bucket(spark, sf_dir):
     log = _read(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("host"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("request_id"))
-    return control.limit_requests(log)
+    return _rounded(control.limit_requests(log), "wait")

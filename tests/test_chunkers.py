@@ -105,3 +105,65 @@ def test_text_functions(spark):
     assert [tuple(r) for r in got] == [(["a", "b", "c"], 4, "u:p@H.example:8", "/x/y", rows[0][1]), ([], 1, "h", "/", "http://h"), ([], 2, "", "/", "https://nourl")]
     zh = spark.createDataFrame([(ZH + "！a b",)], "t string").select(X.sentences(F.col("t"), "zh").alias("s")).first().s
     assert zh == [x for x in re.split("[。！？；]+", ZH + "！a b") if x]
+
+
+def test_semantic_equals_sql_on_short_texts(spark):
+    import duckdb
+    from loomline.operators.chunkers import chunk_documents
+    from loomline.plans import chunk_sql
+
+    texts = ["a b c. a b d! x y. a b. y x z? q", "a. b. c", "One two. One two. One two. Three", " ", None, "aa " * 40 + ". " + "aa bb " * 20 + ". bb cc. cc dd. aa cc " * 6]
+    texts.append(". ".join(" ".join(f"{'abcde'[k % 5]}{(k * j) % 37}" for j in range(40)) for k in range(1, 16)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [list(x) for x in enumerate(texts)])
+    want = con.sql(f"SELECT doc_id, chunk_index, content, end_pos, sentence_indices FROM ({chunk_sql.SEMANTIC_SQL})").fetchall()
+    made = chunk_documents(docs, "semantic", Config(language="en", similarity=0.2), "doc_id", "text").collect()
+    assert sorted(want, key=str) == sorted([(r.doc_id, r.chunk_index, r.content, r.end_pos, r.metadata.get("sentence_indices")) for r in made], key=str) and len(made) > 6
+
+
+def test_vector_groups_equal_a_plain_loop():
+    import numpy as np
+    from loomline.functions.vectors import hash_embed
+    from loomline.operators.chunkers import _vector_groups
+
+    rng = np.random.default_rng(5)
+    parts = [" ".join(rng.choice(list("abcdefghij"), 4)) for _ in range(80)]
+    encode = lambda texts: hash_embed(texts, 32)
+    for size, bound in ((1000, 0.4), (100, 0.2), (1000, -1.0), (20, 0.1)):
+        v, free, want = hash_embed(parts, 32).astype(float), list(range(80)), []
+        while free:
+            group = [free.pop(0)]
+            for j in list(free):
+                if sum(v[i] @ v[j] for i in group) >= bound * len(group):
+                    group.append(j)
+                    free.remove(j)
+                    if 50 * len(group) > size:
+                        break
+            want.append(group)
+        assert list(_vector_groups(parts, Config(similarity=bound, chunk_size=size, overlap_size=0), encode)) == want
+
+
+def test_failing_encoder_gives_way_to_words():
+    def fails(texts):
+        raise RuntimeError("no model")
+
+    text, config = "a b. a b c. x y. a b d. q", Config(language="en", similarity=0.5)
+    assert chunk_text(text, "semantic", config, encode=fails) == chunk_text(text, "semantic", config)
+    assert chunk_text(text, "semantic", config, encode=lambda texts: [[1.0]]) == chunk_text(text, "semantic", config)
+
+
+def test_chunkers_are_described():
+    from loomline.operators.chunkers import described
+
+    assert set(described()) >= {"semantic", "sentence", "sliding_window"} and all(described().values())
+
+
+def test_numbered(spark):
+    from loomline.operators.chunkers import numbered
+
+    docs = spark.createDataFrame([(i, None if i % 2 else f"own{i}") for i in range(50)], "n int, document_id string").repartition(4)
+    got = sorted((r.n, r.document_index, r.document_id) for r in numbered(docs, "n").collect())
+    assert got == [(i, i, f"doc_{i}" if i % 2 else f"own{i}") for i in range(50)]
+    assert numbered(docs.limit(0), "n").count() == 0
