@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.text import ENDS, let
+from loomline.sources.work import checkpointed
 
 log = logging.getLogger(__name__)
 
@@ -282,14 +283,15 @@ def described() -> dict[str, str]:
 def numbered(docs: DataFrame, order: str, key: str = "document_id") -> DataFrame:
     """docs with document_index, gapless from 0 by `order`, and `key`: its own, or doc_ and the index where it is missing.
 
-    One sorted pass and one count of each partition; no row leaves its partition for the numbering."""
-    placed = docs.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
-    first = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("_first"))
-    earlier = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a partition
+    One sorted pass, whose rows are checkpointed since a second pass could cut other
+    ranges, and one count of each partition."""
+    placed = checkpointed(docs.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}))
+    first = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    earlier = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a partition
     index = F.col("_row") - F.col("_first") + F.col("_before")
     found = placed.join(F.broadcast(first.withColumn("_before", earlier)), "_part").withColumn("document_index", index)
     default = F.concat(F.lit("doc_"), F.col("document_index").cast("string"))
-    return found.withColumn(key, F.coalesce(F.col(key).cast("string"), default) if key in docs.columns else default).drop("_part", "_row", "_first", "_before", "n")
+    return found.withColumn(key, F.coalesce(F.col(key).cast("string"), default) if key in docs.columns else default).drop("_part", "_row", "_first", "_before", "_n")
 
 
 def chunk_text(text: str | None, kind: str, config: Config | None = None, **extra: object) -> list[Chunk]:

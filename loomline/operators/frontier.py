@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.text import domain, is_sitemap, strip, url_path
+from loomline.sources.work import checkpointed
 
 #: A longer wanted delay refuses the domain.
 MAX_CRAWL_DELAY = 30.0
@@ -67,32 +68,21 @@ def sitemap_entries(sitemaps: DataFrame) -> DataFrame:
     )
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """df, written to the checkpoint folder of the session."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        context.setCheckpointDir(folder or "/tmp/checkpoints")
-    return df.checkpoint()
-
-
 def sitemap_closure(links: DataFrame, roots: DataFrame) -> DataFrame:
     """(url, depth): sitemaps reachable over links(source, loc), each at its least depth; ends when a level brings nothing new.
 
     One join a level, with what the level before found; it and all that is known
     are written to the checkpoint folder, so the plan stays short however deep
     the sitemaps are."""
-    step = seen = _checkpointed(roots.select("url").distinct().withColumn("depth", F.lit(0)))
+    step = seen = checkpointed(roots.select("url").distinct().withColumn("depth", F.lit(0)))
     depth = 0
     while True:
         depth += 1
         reached = step.join(links, F.col("url") == F.col("source")).select(F.col("loc").alias("url")).distinct()
-        step = _checkpointed(reached.join(seen.select("url"), "url", "left_anti").withColumn("depth", F.lit(depth)))
+        step = checkpointed(reached.join(seen.select("url"), "url", "left_anti").withColumn("depth", F.lit(depth)))
         if not step.limit(1).count():
             return seen
-        seen = _checkpointed(seen.union(step))
+        seen = checkpointed(seen.union(step))
 
 
 def discovered(entries: DataFrame, now: Column) -> DataFrame:

@@ -16,7 +16,7 @@ from loomline.functions import text as X
 from loomline.functions.vectors import cosine, hash_embed
 from loomline.operators import chunkers, frontier, mutations
 from loomline.operators import warehouse as W
-from loomline.plans import chunk_sql, retrieval
+from loomline.plans import chunk_sql, retrieval, table_functions
 from loomline.schemas import violations
 from loomline.streaming import control, queue
 
@@ -377,6 +377,23 @@ def process_new_articles(spark, sf_dir):
     return retrieval.process_new(articles.select("id", "content"), chunks, None, kind="sliding_window", dimensions=64)
 
 
+def _called(name: str, call: str, *times: str, rounded: tuple[str, ...] = ()):
+    """The query `name`, as a call of a table function in SQL text."""
+
+    @query(ORACLE_SQL[name], name=f"sql_{name}")
+    def run(spark, sf_dir):
+        names = (*_THREE, "sitemaps")
+        table_functions.register(spark, "BIGINT", **dict(zip(names, warehouse(spark, sf_dir, *names), strict=True)))
+        return _rounded(_shown(spark.sql(f"SELECT * FROM {call}"), *times), *rounded)
+
+
+_called("db_stats", "get_db_stats()")
+_called("domain_stats", "get_domain_stats()")
+_called("crawl_progress", "get_crawl_progress()")
+_called("data_integrity", "check_data_integrity()")
+_called("recent_errors", "get_recent_errors(50)", "error_time")
+_called("vector_topk_threshold", f"search_similar_content(array({', '.join(f'{x}D' for x in VECTOR)}), 0.1D, 10)", rounded=("similarity_score",))
+
 # Text
 
 _SENTENCES = r"list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '[.!?]+'), lambda s: trim(regexp_replace(s, '\s+', ' ', 'g'))), lambda s: s <> '')"
