@@ -7,6 +7,7 @@ from .decontaminate import OP4_SQL, op4_spaced_seed_decontamination
 from .partenum import OP6_SQL, op6_partenum_jaccard
 from .quality import op3_ngram_logistic_quality
 from .resample import op10_importance_resampling
+from .scanbpe import op11_scan_byte_bpe
 from .sharding import op5_jump_hash_sharding
 from .substring import OP7_SQL, op7_rabin_karp_repeats
 from .surrogates import op9_pii_surrogates
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_transducer_bpe": op8_transducer_bpe,
     "op9_pii_surrogates": op9_pii_surrogates,
     "op10_importance_resampling": op10_importance_resampling,
+    "op11_scan_byte_bpe": op11_scan_byte_bpe,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_external_index_merge": OP1_SQL,
