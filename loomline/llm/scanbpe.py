@@ -13,9 +13,10 @@ function, so that all rows of an Arrow column are scanned as one; a window ends
 with a state that the next one starts from, so that a very long text needs no
 more temporaries than a short one.
 
-The slices between boundaries are made distinct; each distinct one is looked up
-in a bounded memory of merged slices, else taken whole if the vocabulary has it
-and merged by the lowest rank otherwise (operator 8's pair merging, over ranks).
+The slices between boundaries are made distinct; each distinct one is taken whole
+if the vocabulary has it, else looked up in a bounded memory of merged slices,
+else merged by the lowest rank: slices of one length are merged together, one
+merge of each in a step, long ones by operator 8's heap.
 Token and row offsets are kept: decoding is one gather of the tokens' bytes, cut
 at these offsets, and `with_ids` hands out, for each id, the byte at which its
 text begins.
@@ -44,13 +45,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import LONGEST_WORD, REMEMBERED, ByteBpe
+from .bpe import LONGEST_WORD, NEVER, REMEMBERED, ByteBpe
 from .shared import table
 from .textkernel import flat, gather, slices, strings
 
 SLICE_BYTES = 4 << 20
 #: Code points that are scanned at a time; temporaries are about 20 bytes for each.
 WINDOW = 1 << 20
+#: Slices of one length that are merged together.
+TOGETHER = 1 << 14
 #: Characters of one block of the scan.
 BLOCK = 64
 
@@ -186,6 +189,9 @@ class RankBpe(ByteBpe):
         self.made = range(len(self.token_bytes))
         # every way to make a token of two others; a pair's rank is that of what it makes
         self.rank = {(self.ranks[t[:k]], self.ranks[t[k:]]): i for t, i in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks}
+        pairs = np.array([[a << 32 | b, i] for (a, b), i in self.rank.items()], np.int64)
+        self.pair_keys, self.pair_ranks = pairs[order := np.argsort(pairs[:, 0]), 0], pairs[order, 1]
+        self.id_of_byte = np.array(self.byte_id, np.int64)
         self.byte_len = np.array([len(b) for b in self.token_bytes], np.int64)
         self.byte_at = np.concatenate(([0], np.cumsum(self.byte_len)[:-1]))
         self.bytes = np.frombuffer(b"".join(self.token_bytes), np.uint8)
@@ -195,6 +201,51 @@ class RankBpe(ByteBpe):
         self.shown = np.frombuffer(b"".join(shown), np.uint8)
 
 
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What pairs of tokens make, NEVER where they make none."""
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NEVER)
+
+    def merge_alike(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of words of one length: every word is merged once a step, the leftmost of its lowest ranks, until none is left."""
+        out: list[list[int]] = [[]] * len(words)
+        ids, rows = self.id_of_byte[np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)], np.arange(len(words))
+        ranks = self.ranks_of(ids[:, :-1], ids[:, 1:])
+        while ids.shape[1] > 1 and len(rows):
+            best = ranks.argmin(axis=1)
+            made = ranks[np.arange(len(rows)), best]
+            more = made < NEVER
+            for row, found in zip(rows[~more].tolist(), ids[~more].tolist(), strict=True):
+                out[row] = found
+            ids, ranks, rows, best, made = ids[more], ranks[more], rows[more], best[more], made[more]
+            at, place = np.arange(len(rows)), np.arange(ids.shape[1] - 1)
+            ids = np.where(place <= best[:, None], ids[:, :-1], ids[:, 1:])
+            ids[at, best] = made
+            ranks = np.where(place[:-1] < best[:, None], ranks[:, :-1], ranks[:, 1:])
+            inner = best > 0
+            ranks[at[inner], best[inner] - 1] = self.ranks_of(ids[at[inner], best[inner] - 1], made[inner])
+            inner = best < ids.shape[1] - 1
+            ranks[at[inner], best[inner]] = self.ranks_of(made[inner], ids[at[inner], best[inner] + 1])
+        for row, found in zip(rows.tolist(), ids.tolist(), strict=True):
+            out[row] = found
+        return out
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of words that are no tokens: those of a length together, long or lone ones by themselves."""
+        out: list[list[int]] = [[]] * len(words)
+        by_length: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            by_length.setdefault(len(word), []).append(i)
+        for length, which in by_length.items():
+            for k in range(0, len(which), TOGETHER):
+                part = which[k : k + TOGETHER]
+                some = [words[i] for i in part]
+                for i, ids in zip(part, self.merge_alike(some) if length <= LONGEST_WORD and len(part) > 8 else map(self.merge, some), strict=True):
+                    out[i] = ids
+        return out
+
+
 class ScanEncoder:
     """Encodes flat text columns; remembers a bounded number of merged slices."""
 
@@ -202,25 +253,21 @@ class ScanEncoder:
         self.bpe = bpe
         self.merged: dict[bytes, list[int]] = {}
 
-    def ids_of(self, word: bytes) -> list[int]:
-        known = self.bpe.ranks.get(word)
-        return self.bpe.merge(word) if known is None else [known]
-
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all rows, and n + 1 offsets into them."""
         starts = boundaries(data, offsets)
         if not len(starts):
             return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
         column = strings(data, np.append(starts, len(data))).dictionary_encode()
-        distinct, merged = [], self.merged
-        for word in column.dictionary.to_pylist():
-            if (ids := merged.get(word)) is None:
-                ids = self.ids_of(word)
-                if len(word) <= LONGEST_WORD:
-                    if len(merged) >= REMEMBERED:
-                        merged.clear()
-                    merged[word] = ids
-            distinct.append(ids)
+        words, merged, ranks = column.dictionary.to_pylist(), self.merged, self.bpe.ranks
+        distinct = [[rank] if (rank := ranks.get(w)) is not None else merged.get(w) for w in words]
+        unseen = [i for i, ids in enumerate(distinct) if ids is None]
+        for i, ids in zip(unseen, self.bpe.merge_all([words[i] for i in unseen]), strict=True):
+            distinct[i] = ids
+            if len(words[i]) <= LONGEST_WORD:
+                if len(merged) >= REMEMBERED:
+                    merged.clear()
+                merged[words[i]] = ids
         count = np.fromiter(map(len, distinct), np.int64, len(distinct))
         pool = np.fromiter(chain.from_iterable(distinct), np.int64, int(count.sum()))
         begin = np.concatenate(([0], np.cumsum(count)[:-1]))
