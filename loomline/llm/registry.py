@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op8_transducer_bpe
 from .decontaminate import OP4_SQL, op4_spaced_seed_decontamination
 from .partenum import OP6_SQL, op6_partenum_jaccard
+from .periodic import op12_periodic_runs
 from .quality import op3_ngram_logistic_quality
 from .resample import op10_importance_resampling
 from .scanbpe import op11_scan_byte_bpe
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_pii_surrogates": op9_pii_surrogates,
     "op10_importance_resampling": op10_importance_resampling,
     "op11_scan_byte_bpe": op11_scan_byte_bpe,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_external_index_merge": OP1_SQL,
