@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op8_transducer_bpe
 from .decontaminate import OP4_SQL, op4_spaced_seed_decontamination
+from .exponion import OP13_SQL, op13_exponion_kmeans
 from .partenum import OP6_SQL, op6_partenum_jaccard
 from .periodic import op12_periodic_runs
 from .quality import op3_ngram_logistic_quality
@@ -28,10 +29,12 @@ QUERIES = {
     "op10_importance_resampling": op10_importance_resampling,
     "op11_scan_byte_bpe": op11_scan_byte_bpe,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_exponion_kmeans": op13_exponion_kmeans,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_external_index_merge": OP1_SQL,
     "op4_spaced_seed_decontamination": OP4_SQL,
     "op6_partenum_jaccard": OP6_SQL,
     "op7_rabin_karp_repeats": OP7_SQL,
+    "op13_exponion_kmeans": OP13_SQL,
 }

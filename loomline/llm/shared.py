@@ -33,6 +33,14 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that staged() has written, once nothing reads it any more."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete what staged() and the archive writers of this application wrote."""
     jvm = spark.sparkContext._jvm
