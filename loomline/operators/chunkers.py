@@ -1,27 +1,26 @@
 """Text chunkers: rows of documents to rows of chunks.
 
 A chunker is sequential inside one document and independent between documents,
-so it runs in Arrow batches where the documents are, without a shuffle.  The
-word and paragraph windows also exist as plain expressions (`word_windows`,
-`sentence_windows`), which stay in the JVM.
+so it runs where the documents are, without a shuffle.  Windows of words and
+sentences, runs of sentences and paragraphs are expressions (folds over arrays,
+see `packing`) and stay in the JVM; groups of similar sentences are found in Arrow
+batches (`grouping`) and made chunks in the JVM.
 """
 
 from __future__ import annotations
 
-import logging
-import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomline.functions.text import ENDS, let
-from loomline.sources.work import checkpointed
-
-log = logging.getLogger(__name__)
+from loomline.functions.text import join_sentences, let, paragraphs, sentences, word_count_ws, words
+from loomline.operators.grouping import groups
+from loomline.operators.packing import CHUNKS, chunk, filled, merged, noted, shown, spans, sums_before
+from loomline.sources.work import checkpointed, spread
 
 SCHEMA = "chunk_index int, content string, start_pos int, end_pos int, metadata map<string,string>"
 
@@ -54,8 +53,204 @@ class Config:
             raise ValueError("windows must advance")
 
 
+SENTENCE_KEYS = ("chunk_method", "is_complete_text", "sentence_count", "word_count", "sentence_start_index", "sentence_end_index", "has_overlap", "overlap_sentences")
+PARAGRAPH_KEYS = (*SENTENCE_KEYS, "paragraph_index", "is_complete_paragraph", "is_paragraph_part", "paragraph_count", "paragraph_start_index", "paragraph_end_index")
+WINDOW_KEYS = ("chunk_method", "is_complete_text", "word_count", "sentence_count", "sentence_start_index", "sentence_end_index", "word_start_index", "word_end_index", "overlap_with_previous", "overlap_with_next", "is_final_chunk")
+SEMANTIC_KEYS = ("chunk_method", "is_complete_text", "sentence_count", "sentence_indices", "avg_similarity", "similarity_threshold", "similarity_score", "word_count")
+
+
+def _whole(text: Column, keys: tuple[str, ...], method: str, **notes: object) -> Column:
+    return F.array(chunk(F.lit(0), text, noted(keys, chunk_method=method, is_complete_text=True, **notes)))
+
+
+def _merged(chunks: Column, keys: tuple[str, ...], config: Config) -> Column:
+    return merged(chunks, keys, config.min_chunk_size, 1.5 * config.chunk_size, config.remove_empty_chunks)
+
+
+def sliding_words(text: Column, config: Config) -> Column:
+    """Windows of words, and a last one where steps leave words over."""
+    size, step, keys = config.window_size, config.step_size, WINDOW_KEYS
+
+    def windows(w: Column, before: Column) -> Column:
+        n = F.size(w)
+
+        def window(number: Column, first: Column, **notes: Column) -> Column:
+            content = F.array_join(F.slice(w, first + 1, size), " ")
+            at = F.get(before, first)
+            end = F.length(text) if "is_final_chunk" in notes else at + F.length(content)
+            return chunk(number, content, noted(keys, chunk_method="sliding_window_words", word_count=F.lit(size), word_start_index=first, word_end_index=first + size, **notes), at, end)
+
+        def with_last(steps: Column) -> Column:
+            last = window(F.size(steps), n - size, is_final_chunk=F.lit(True))
+            return let(last, lambda t: F.when((n % step != 0) & (F.get(steps, F.size(steps) - 1)["content"] != t["content"]), F.concat(steps, F.array(t))).otherwise(steps))
+
+        starts = F.sequence(F.lit(0), n - size, F.lit(step))
+        return let(F.transform(starts, lambda first, i: window(i, first, overlap_with_previous=first > 0, overlap_with_next=first + size < n)), with_last)
+
+    def over(w: Column) -> Column:
+        many = let(sums_before(F.transform(w, lambda x: F.length(x) + 1)), lambda before: windows(w, before))
+        return F.when(F.size(w) > size, _merged(many, keys, config)).otherwise(_whole(text, keys, "sliding_window_words", word_count=F.size(w)))
+
+    return let(words(text), over)
+
+
+def sliding_sentences(text: Column, config: Config) -> Column:
+    """Whole sentences until a window has its words."""
+    keys, size, step = WINDOW_KEYS, config.window_size, config.step_size
+
+    def over(parts: Column, counts: Column) -> Column:
+        def made(s: Column) -> Column:
+            content = F.array_join(F.slice(parts, s["start"] + 1, s["stop"] - s["start"]), ". ")
+            total = F.aggregate(F.slice(counts, s["start"] + 1, s["stop"] - s["start"]), F.lit(0), lambda a, x: a + x)
+            notes = noted(
+                keys, chunk_method="sliding_window_sentences", sentence_count=s["stop"] - s["start"], word_count=total, sentence_start_index=s["start"], sentence_end_index=s["stop"],
+                overlap_with_previous=s["i"] > 0, overlap_with_next=s["follow"] < F.size(parts),
+            )
+            return let(content, lambda c: let(F.when(c.endswith("."), c).otherwise(F.concat(c, F.lit("."))), lambda c: chunk(s["i"], c, notes)))
+
+        found = spans(F.size(parts), lambda start: start + filled(counts, start, size, size), lambda i, start, stop: F.when((i > 0) & (stop - start > step), start + step).otherwise(stop))
+        return _merged(F.transform(found, made), keys, config)
+
+    return let(sentences(text, "mixed", collapse=False), lambda parts: let(F.transform(parts, word_count_ws), lambda counts: over(parts, counts)))
+
+
+def sliding_window(text: Column, config: Config) -> Column:
+    """Windows of words, or of whole sentences."""
+    return (sliding_sentences if config.use_sentences else sliding_words)(text, config)
+
+
+def _join(parts: Column, config: Config) -> Column:
+    return join_sentences(parts, config.language)
+
+
+def sentence_runs(text: Column, config: Config, keys: tuple[str, ...] = SENTENCE_KEYS) -> Column:
+    """Sentences until a chunk has its number or its size, the last ones repeated in the next."""
+    c = config
+
+    def over(parts: Column) -> Column:
+        n = F.size(parts)
+
+        def made(s: Column) -> Column:
+            count, back = s["stop"] - s["start"], F.when(s["i"] > 0, c.sentence_overlap).otherwise(0)
+            return let(
+                _join(F.slice(parts, s["start"] + 1, count), c),
+                lambda content: chunk(s["i"], content, noted(
+                    keys, chunk_method="sentence_based", sentence_count=count, word_count=word_count_ws(content), sentence_start_index=s["start"], sentence_end_index=s["stop"],
+                    has_overlap=back > 0, overlap_sentences=back,
+                )),
+            )
+
+        def runs(lengths: Column) -> Column:
+            stop = lambda start: F.greatest(start + filled(lengths, start, c.max_sentences, c.chunk_size), F.least(n, start + c.min_sentences))
+            follow = lambda i, start, stop: stop - F.when(i > 0, F.least(F.lit(c.sentence_overlap), stop - start - 1)).otherwise(0)
+            return _merged(F.transform(spans(n, stop, follow), made), keys, c)
+
+        one = F.when(n > 0, _whole(text, keys, "sentence_complete", sentence_count=n)).otherwise(F.array().cast(CHUNKS))
+        return F.when(n > c.max_sentences, let(F.transform(parts, F.length), runs)).otherwise(one)
+
+    return let(sentences(text, c.language), over)
+
+
+#: Paragraphs after a short one that are looked at first; few texts have more that fit.
+AHEAD = 32
+
+
+def paragraph_chunks(text: Column, config: Config) -> Column:
+    """Paragraphs; a long one in windows of sentences, a short one with those after it that fit, which then also stand for themselves."""
+    c, keys = config, PARAGRAPH_KEYS
+    kind = "array<struct<content string, notes array<string>>>"
+
+    def one(content: Column, **notes: object) -> Column:
+        return F.struct(content.alias("content"), noted(keys, **notes).alias("notes"))
+
+    def over(texts: Column, parts: Column, sizes: Column) -> Column:
+        def following(i: Column, own: Column) -> Column:
+            """(paragraphs after i that fit, their sentences)."""
+            zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("total"), F.lit(False).alias("full"))
+            more = lambda a, x: F.when(a["full"] | (own + a["total"] + x > c.max_sentences), F.struct(a["n"].alias("n"), a["total"].alias("total"), F.lit(True).alias("full"))).otherwise(F.struct((a["n"] + 1).alias("n"), (a["total"] + x).alias("total"), F.lit(False).alias("full")))
+            some = lambda most: F.aggregate(F.slice(sizes, i + 2, most), zero, more)
+            return let(some(F.lit(AHEAD)), lambda a: F.when(a["full"] | (i + 1 + AHEAD >= F.size(sizes)), a).otherwise(some(F.size(sizes))))
+
+        def alone(i: Column, own: Column) -> Column:
+            whole = F.array(one(F.get(texts, i), chunk_method="paragraph_complete", paragraph_index=i, sentence_count=own, is_complete_paragraph=True))
+
+            def window(first: Column) -> Column:
+                stop = F.least(own, first + c.max_sentences)
+                content = _join(F.slice(F.get(parts, i), first + 1, c.max_sentences), c)
+                return one(content, chunk_method="paragraph_sentence_split", paragraph_index=i, sentence_count=stop - first, sentence_start_index=first, sentence_end_index=stop, is_paragraph_part=True)
+
+            split = F.transform(F.sequence(F.lit(0), own - 1, F.lit(c.max_sentences - c.sentence_overlap)), window)
+            return F.when(own <= c.max_sentences, whole).otherwise(split)
+
+        def of(i: Column) -> Column:
+            def made(own: Column) -> Column:
+                def short(after: Column) -> Column:
+                    total, stop = own + after["total"], i + 1 + after["n"]
+                    both = one(F.array_join(F.slice(texts, i + 1, after["n"] + 1), "\n\n"), chunk_method="paragraph_combined", paragraph_count=after["n"] + 1, sentence_count=total, paragraph_start_index=i, paragraph_end_index=stop)
+                    return F.when(total >= c.min_sentences, F.array(both)).otherwise(alone(i, own))
+
+                return F.when(own == 0, F.array().cast(kind)).when(own < c.min_sentences, let(following(i, own), short)).otherwise(alone(i, own))
+
+            return let(F.get(sizes, i), made)
+
+        pieces = F.flatten(F.transform(F.sequence(F.lit(0), F.size(texts) - 1), of))
+        at = keys.index("word_count")
+        numbered = F.transform(pieces, lambda p, i: chunk(i, p["content"], F.transform(p["notes"], lambda v, k: F.when(k == at, word_count_ws(p["content"]).cast("string")).otherwise(v))))
+        return _merged(numbered, keys, c)
+
+    def split(texts: Column) -> Column:
+        many = let(F.transform(texts, lambda t: sentences(t, c.language)), lambda parts: let(F.transform(parts, F.size), lambda sizes: over(texts, parts, sizes)))
+        return F.when(F.size(texts) > 0, many).otherwise(sentence_runs(text, c, keys))
+
+    return let(paragraphs(text), split)
+
+
+def by_sentences(text: Column, config: Config) -> Column:
+    """Runs of whole sentences, within paragraphs if asked."""
+    return paragraph_chunks(text, config) if config.paragraphs else sentence_runs(text, config)
+
+
+def semantic_groups(config: Config, load: Callable[[], Callable[[list[str]], np.ndarray]] | None = None) -> Callable[[Column], Column]:
+    """Function of a column of sentences: the groups that belong together, as arrays of their numbers; load() makes an encoder once a task."""
+
+    @F.arrow_udf("array<array<int>>")
+    def grouped(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encode = load() if load else None
+        for column in batches:
+            found = [groups(parts, config.similarity, config.chunk_size, config.batch, encode) if parts else [] for parts in column.to_pylist()]
+            yield pa.array(found, pa.list_(pa.list_(pa.int32())))
+
+    return grouped
+
+
+def semantic(parts: Column, found: Column, text: Column, config: Config) -> Column:
+    """Chunks of groups of similar sentences, which need not be neighbours."""
+    keys = SEMANTIC_KEYS
+
+    def made(group: Column, i: Column) -> Column:
+        n = F.size(group)
+        content = F.array_join(F.transform(group, lambda j: F.concat(F.lit("句子"), j.cast("string")) if config.placeholder else F.get(parts, j)), " ")
+        likeness = F.when(n == 1, F.lit(1.0)).otherwise(F.greatest(F.lit(0.5), F.lit(1.0) - (n - 1) * F.lit(0.1)))
+        return let(content, lambda c: chunk(i, c, noted(
+            keys, chunk_method="semantic_similarity", sentence_count=n, sentence_indices=F.concat(F.lit("["), F.array_join(group.cast("array<string>"), ", "), F.lit("]")),
+            avg_similarity=likeness, similarity_threshold=F.lit(float(config.similarity)), word_count=word_count_ws(c),
+        )))
+
+    many = _merged(F.transform(F.transform(found, lambda g: F.array_sort(g)), made), keys, config)
+    return F.when(F.size(parts) > config.min_similarity_sentences, many).otherwise(_whole(text, keys, "semantic_complete", sentence_count=F.size(parts), similarity_score=F.lit(1.0)))
+
+
+#: Chunkers that are expressions of a text: (function of it and Config, names of notes by Config).
+EXPRESSIONS: dict[str, tuple[Callable[[Column, Config], Column], Callable[[Config], tuple[str, ...]]]] = {
+    "sliding_window": (sliding_window, lambda c: WINDOW_KEYS),
+    "sentence": (by_sentences, lambda c: PARAGRAPH_KEYS if c.paragraphs else SENTENCE_KEYS),
+}
+
+
 @dataclass
 class Chunk:
+    """What a registered chunker returns."""
+
     content: str
     index: int
     start: int
@@ -67,217 +262,19 @@ class Chunk:
         return cls(content, index, 0, len(content), {"chunk_method": method, **metadata})
 
 
-def split_sentences(text: str, language: str) -> list[str]:
-    parts = (" ".join(p.split()) for p in re.split(ENDS["zh" if language == "zh" else "en"], text))
-    return [p for p in parts if p]
-
-
-def _whole(text: str, method: str, **metadata: object) -> list[Chunk]:
-    return [Chunk.of(text, 0, method, is_complete_text=True, **metadata)]
-
-
-def merge_small(chunks: Iterable[Chunk], config: Config) -> list[Chunk]:
-    """Drops blank chunks; joins a small one to its predecessor if both stay within 1.5 chunk sizes. Indexes keep their gaps."""
-    out: list[Chunk] = []
-    for c in chunks:
-        if config.remove_empty_chunks and not c.content.strip():
-            continue
-        if out and len(c.content) < config.min_chunk_size and len(out[-1].content) + len(c.content) <= 1.5 * config.chunk_size:
-            out[-1] = Chunk(f"{out[-1].content} {c.content}", out[-1].index, out[-1].start, c.end, out[-1].metadata | c.metadata)
-        else:
-            out.append(c)
-    return out
-
-
-def _word_spans(n: int, window: int, step: int) -> list[tuple[int, bool]]:
-    """(first word, whether it is the added last window) of every window."""
-    spans = [(i, False) for i in range(0, n - window + 1, step)]
-    return spans + [(n - window, True)] * (n % step != 0)
-
-
-def sliding_words(text: str, config: Config) -> list[Chunk]:
-    words, size = text.split(), config.window_size
-    if len(words) <= size:
-        return _whole(text, "sliding_window_words", word_count=len(words))
-    at = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words]))).tolist()
-    chunks: list[Chunk] = []
-    for first, last in _word_spans(len(words), size, config.step_size):
-        content = " ".join(words[first : first + size])
-        if last and chunks and chunks[-1].content == content:
-            continue
-        flags = {"is_final_chunk": True} if last else {"overlap_with_previous": first > 0, "overlap_with_next": first + size < len(words)}
-        chunks.append(Chunk(content, len(chunks), at[first], len(text) if last else at[first] + len(content), {"chunk_method": "sliding_window_words", "word_count": size, "word_start_index": first, "word_end_index": first + size, **flags}))
-    return merge_small(chunks, config)
-
-
-def _filled(lengths: list[int], start: int, room: Callable[[int, int], bool]) -> int:
-    """End of the run from start that grows while room(items, total) allows another item."""
-    end, total = start, 0
-    while end < len(lengths) and room(end - start, total):
-        total += lengths[end]
-        end += 1
-    return end
-
-
-def sliding_sentences(text: str, config: Config) -> list[Chunk]:
-    parts = [p for p in (s.strip() for s in re.split(ENDS["mixed"], text)) if p]
-    counts, chunks, start = [len(p.split()) for p in parts], [], 0
-    while start < len(parts):
-        end = _filled(counts, start, lambda _, words: words < config.window_size)
-        content = ". ".join(parts[start:end])
-        follow = start + config.step_size if chunks and config.step_size < end - start else end
-        chunks.append(Chunk.of(
-            content if content.endswith(".") else content + ".", len(chunks), "sliding_window_sentences", sentence_count=end - start, word_count=sum(counts[start:end]),
-            sentence_start_index=start, sentence_end_index=end, overlap_with_previous=bool(chunks), overlap_with_next=follow < len(parts),
-        ))
-        start = follow
-    return merge_small(chunks, config)
-
-
-def sliding_window(text: str, config: Config) -> list[Chunk]:
-    """Windows of words, or of whole sentences."""
-    return (sliding_sentences if config.use_sentences else sliding_words)(text, config)
-
-
-def _join(parts: list[str], config: Config) -> str:
-    return ("" if config.language == "zh" else " ").join(parts)
-
-
-def sentence_runs(text: str, config: Config) -> list[Chunk]:
-    parts = split_sentences(text, config.language)
-    if len(parts) <= config.max_sentences:
-        return _whole(text, "sentence_complete", sentence_count=len(parts)) if parts else []
-    lengths, chunks, start = [len(p) for p in parts], [], 0
-    while start < len(parts):
-        end = _filled(lengths, start, lambda n, size: n < config.max_sentences and size < config.chunk_size)
-        end = max(end, min(len(parts), start + config.min_sentences))
-        content = _join(parts[start:end], config)
-        back = config.sentence_overlap if chunks else 0
-        chunks.append(Chunk.of(
-            content, len(chunks), "sentence_based", sentence_count=end - start, word_count=len(content.split()), sentence_start_index=start, sentence_end_index=end,
-            has_overlap=back > 0, overlap_sentences=back,
-        ))
-        start = end - min(back, end - start - 1)
-    return merge_small(chunks, config)
-
-
-def _paragraph(text: str, parts: list[str], number: int, config: Config) -> Iterator[tuple[str, str, dict]]:
-    if len(parts) <= config.max_sentences:
-        yield text, "paragraph_complete", {"paragraph_index": number, "sentence_count": len(parts), "is_complete_paragraph": True}
-        return
-    for first in range(0, len(parts), config.max_sentences - config.sentence_overlap):
-        window = parts[first : first + config.max_sentences]
-        yield _join(window, config), "paragraph_sentence_split", {"paragraph_index": number, "sentence_count": len(window), "sentence_start_index": first, "sentence_end_index": first + len(window), "is_paragraph_part": True}
-
-
-def _paragraphs(texts: list[str], config: Config) -> Iterator[tuple[str, str, dict]]:
-    """A short paragraph is shown with those after it that fit; these then also stand for themselves."""
-    parts = [split_sentences(t, config.language) for t in texts]
-    for i, own in enumerate(parts):
-        if not own:
-            continue
-        if len(own) < config.min_sentences:
-            end = i + 1 + _filled([len(p) for p in parts[i + 1 :]], 0, lambda n, total, i=i, own=own: i + 1 + n < len(parts) and len(own) + total + len(parts[i + 1 + n]) <= config.max_sentences)
-            total = sum(map(len, parts[i:end]))
-            if total >= config.min_sentences:
-                yield "\n\n".join(texts[i:end]), "paragraph_combined", {"paragraph_count": end - i, "sentence_count": total, "paragraph_start_index": i, "paragraph_end_index": end}
-                continue
-        yield from _paragraph(texts[i], own, i, config)
-
-
-def by_sentences(text: str, config: Config) -> list[Chunk]:
-    """Runs of whole sentences, within paragraphs if asked."""
-    texts = [p.strip() for p in text.split("\n\n") if p.strip()] if config.paragraphs else []
-    if not texts:
-        return sentence_runs(text, config)
-    made = enumerate(_paragraphs(texts, config))
-    return merge_small([Chunk.of(content, i, method, word_count=len(content.split()), **metadata) for i, (content, method, metadata) in made], config)
-
-
-def _lexical_groups(parts: list[str], config: Config) -> Iterator[list[int]]:
-    """Greedy groups around the first free sentence; a group's words grow with its members."""
-    words, free = [set(p.split()) for p in parts], dict.fromkeys(range(len(parts)))
-    while free:
-        leader = next(iter(free))
-        del free[leader]
-        group, seen, size = [leader], set(words[leader]), len(parts[leader])
-        for j in list(free):
-            low, high = sorted((len(seen), len(words[j])))
-            if low < config.similarity * high:
-                continue
-            both = len(seen & words[j])
-            if both >= config.similarity * (low + high - both):
-                del free[j]
-                group.append(j)
-                seen |= words[j]
-                size += len(parts[j])
-                if size > config.chunk_size:
-                    break
-        yield group
-
-
-def _vector_groups(parts: list[str], config: Config, encode: Callable[[list[str]], np.ndarray]) -> Iterator[list[int]]:
-    """As _lexical_groups, by the mean inner product with the members.
-
-    That mean is the product with the sum of the members over their number, so no
-    matrix of sentence pairs is held."""
-    vectors = np.vstack([np.asarray(encode(parts[i : i + config.batch]), np.float64) for i in range(0, len(parts), config.batch)])
-    if len(vectors) != len(parts):
-        raise ValueError(f"{len(vectors)} vectors of {len(parts)} sentences")
-    free = np.arange(len(parts))
-    while len(free):
-        group, total, at = [int(free[0])], vectors[free[0]].copy(), 1
-        likeness = vectors[free] @ total  # of all that are free with the group
-        taken = np.zeros(len(free), bool)
-        taken[0] = True
-        while 50 * len(group) <= config.chunk_size or len(group) == 1:
-            near = np.flatnonzero(likeness[at:] >= config.similarity * len(group))
-            if not len(near):
-                break
-            at += int(near[0])
-            taken[at] = True
-            group.append(int(free[at]))
-            total += vectors[free[at]]
-            at += 1
-            likeness[at:] = vectors[free[at:]] @ total
-        free = free[~taken]
-        yield group
-
-
-def _groups(parts: list[str], config: Config, encode: Callable[[list[str]], np.ndarray] | None) -> list[list[int]]:
-    """Groups by vectors; by words where there is no encoder or it fails."""
-    if encode:
-        try:
-            return list(_vector_groups(parts, config, encode))
-        except Exception:  # noqa: BLE001 - whatever a model raises
-            log.warning("encoder failed, grouping by words", exc_info=True)
-    return list(_lexical_groups(parts, config))
-
-
-def semantic(text: str, config: Config, encode: Callable[[list[str]], np.ndarray] | None = None) -> list[Chunk]:
-    """Groups of similar sentences, which need not be neighbours; an encoder that fails gives way to words."""
-    parts = split_sentences(text, config.language)
-    if len(parts) <= config.min_similarity_sentences:
-        return _whole(text, "semantic_complete", sentence_count=len(parts), similarity_score=1.0)
-    chunks = []
-    for i, group in enumerate(map(sorted, _groups(parts, config, encode))):
-        content = " ".join(f"句子{j}" if config.placeholder else parts[j] for j in group)
-        likeness = 1.0 if len(group) == 1 else max(0.5, 1.0 - (len(group) - 1) * 0.1)
-        chunks.append(Chunk.of(content, i, "semantic_similarity", sentence_count=len(group), sentence_indices=group, avg_similarity=likeness, similarity_threshold=config.similarity, word_count=len(content.split())))
-    return merge_small(chunks, config)
-
-
-CHUNKERS: dict[str, Callable[..., list[Chunk]]] = {"sliding_window": sliding_window, "sentence": by_sentences, "semantic": semantic}
+#: Chunkers that others have registered.
+CHUNKERS: dict[str, Callable[..., list[Chunk]]] = {}
 
 
 def register(name: str, chunker: Callable[..., list[Chunk]]) -> None:
-    """Make a chunker (text, config) -> chunks available by name."""
+    """Make a chunker (text, config) -> chunks available by name; it runs in Arrow batches."""
     CHUNKERS[name.lower()] = chunker
 
 
 def described() -> dict[str, str]:
     """Chunkers by name, with what they do."""
-    return {name: (chunker.__doc__ or "").strip().split("\n")[0] for name, chunker in sorted(CHUNKERS.items())}
+    known = {name: f for name, (f, _) in EXPRESSIONS.items()} | {"semantic": semantic} | CHUNKERS
+    return {name: (f.__doc__ or "").strip().split("\n")[0] for name, f in sorted(known.items())}
 
 
 def numbered(docs: DataFrame, order: str, key: str = "document_id") -> DataFrame:
@@ -294,20 +291,12 @@ def numbered(docs: DataFrame, order: str, key: str = "document_id") -> DataFrame
     return found.withColumn(key, F.coalesce(F.col(key).cast("string"), default) if key in docs.columns else default).drop("_part", "_row", "_first", "_before", "_n")
 
 
-def chunk_text(text: str | None, kind: str, config: Config | None = None, **extra: object) -> list[Chunk]:
-    return CHUNKERS[kind.lower()](text, config or Config(), **extra) if text and text.strip() else []
-
-
-def chunk_documents(docs: DataFrame, kind: str, config: Config | None = None, key: str = "id", text: str = "content", load: Callable[[], Callable[[list[str]], np.ndarray]] | None = None) -> DataFrame:
-    """Chunks of every document: key, then SCHEMA. load() makes a sentence encoder once a worker."""
-    config, chunker = config or Config(), CHUNKERS[kind.lower()]
-
+def _registered(docs: DataFrame, chunker: Callable[..., list[Chunk]], config: Config, key: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        extra = {"encode": load()} if load else {}
         for batch in batches:
             keys, chunks = [], []
             for i, value in enumerate(batch.column(1).to_pylist()):
-                made = chunker(value, config, **extra) if value and value.strip() else []
+                made = chunker(value, config) if value and value.strip() else []
                 keys += [i] * len(made)
                 chunks += made
             yield pa.RecordBatch.from_arrays([
@@ -315,7 +304,32 @@ def chunk_documents(docs: DataFrame, kind: str, config: Config | None = None, ke
                 pa.array([c.end for c in chunks], pa.int32()), pa.array([[(k, str(v)) for k, v in c.metadata.items()] for c in chunks], pa.map_(pa.string(), pa.string())),
             ], [key, "chunk_index", "content", "start_pos", "end_pos", "metadata"])
 
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, {SCHEMA}")
+    return spread(docs.select(F.col(key), F.col(text))).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, {SCHEMA}")
+
+
+def chunk_documents(docs: DataFrame, kind: str, config: Config | None = None, key: str = "id", text: str = "content", load: Callable[[], Callable[[list[str]], np.ndarray]] | None = None) -> DataFrame:
+    """Chunks of every document: key, then SCHEMA; a null or blank text has none. load() makes a sentence encoder."""
+    config, kind = config or Config(), kind.lower()
+    if kind in CHUNKERS:
+        return _registered(docs, CHUNKERS[kind], config, key, text)
+    t = F.col("_text")
+    some = spread(docs.select(F.col(key), F.col(text).alias("_text")).where(t.rlike(r"(?U)\S")))
+    if kind == "semantic":
+        # evaluated once, before and after the one Python node
+        parts = some.select("*", F.explode(F.array(sentences(t, config.language))).alias("_parts"))
+        few = F.size("_parts") <= config.min_similarity_sentences
+        found = semantic_groups(config, load)(F.when(few, F.array().cast("array<string>")).otherwise(F.col("_parts")))
+        grouped = parts.withColumn("_groups", found)
+        chunks, keys = semantic(F.col("_parts"), F.col("_groups"), t, config), SEMANTIC_KEYS
+        return grouped.select(F.col(key), F.inline(shown(chunks, keys)))
+    expression, keys = EXPRESSIONS[kind]
+    return some.select(F.col(key), F.inline(shown(expression(t, config), keys(config))))
+
+
+def chunk_text(spark: SparkSession, text: str | None, kind: str, config: Config | None = None, load: Callable | None = None) -> list[Row]:
+    """Chunks of one text, in order."""
+    one = spark.createDataFrame([(0, text)], "id int, content string")
+    return sorted(chunk_documents(one, kind, config, load=load).collect(), key=lambda r: r.chunk_index)
 
 
 def word_windows(words: Column, window: int, step: int) -> Column:
@@ -347,8 +361,6 @@ def sentence_windows(sentences: Column, size: int, overlap: int, separator: str
 
 def chunk_report(docs: DataFrame, config: Config | None = None, key: str = "id", text: str = "content") -> DataFrame:
     """What chunkers would find, without chunking: words, sentences, paragraphs, their ratio, windows of words."""
-    from loomline.functions.text import paragraphs, sentences, words
-
     c = config or Config()
     t = F.coalesce(F.col(text), F.lit(""))
     counted = docs.select(F.col(key), F.length(t).alias("characters"), F.size(words(t)).alias("words"), F.size(sentences(t, c.language)).alias("sentences"), F.size(paragraphs(t)).alias("paragraphs"))

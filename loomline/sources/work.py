@@ -1,4 +1,4 @@
-"""Cutting lineage at the checkpoint folder of the session."""
+"""Where work is done: lineage cut at the checkpoint folder, rows of few files spread over all cores."""
 
 from __future__ import annotations
 
@@ -14,3 +14,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(folder or "/tmp/checkpoints")
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt over all cores where it is read in fewer splits than there are cores; otherwise, and after any shuffle, as it is.
+
+    For work that costs much more than a shuffle of its rows: one large row group is one task."""
+    plan = df._jdf.queryExecution()
+    if "Exchange" in plan.executedPlan().toString():
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if plan.toRdd().getNumPartitions() < cores else df

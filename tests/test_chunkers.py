@@ -5,35 +5,38 @@ import numpy as np
 import pytest
 
 from loomline.functions import text as X
-from loomline.operators.chunkers import CHUNKERS, Chunk, Config, chunk_documents, chunk_text, merge_small, register, sentence_windows, split_sentences, word_windows
+from loomline.operators import grouping
+from loomline.operators.chunkers import CHUNKERS, Chunk, Config, chunk_documents, chunk_text, register, sentence_windows, word_windows
+from loomline.operators.packing import fold
+from plain_chunkers import _lexical_groups, plain_chunks
 from pyspark.sql import functions as F
 
 ZH = "第一句。第二句。第三句。第四句。"
 
 
-def contents(text, kind, **settings):
-    return [c.content for c in chunk_text(text, kind, Config(min_chunk_size=1, **settings))]
+def contents(spark, text, kind, **settings):
+    return [c.content for c in chunk_text(spark, text, kind, Config(min_chunk_size=1, **settings))]
 
 
 @pytest.mark.parametrize(("most", "want"), [(1, ["第一句", "第二句", "第三句", "第四句"]), (2, ["第一句第二句", "第三句第四句"])])
-def test_sentences(most, want):
-    assert contents(ZH, "sentence", max_sentences=most, min_sentences=1, sentence_overlap=0, paragraphs=False) == want
+def test_sentences(spark, most, want):
+    assert contents(spark, ZH, "sentence", max_sentences=most, min_sentences=1, sentence_overlap=0, paragraphs=False) == want
 
 
 @pytest.mark.parametrize(("step", "want"), [(1, ["w1 w2 w3", "w2 w3 w4", "w3 w4 w5"]), (2, ["w1 w2 w3", "w3 w4 w5"])])
-def test_sliding_words(step, want):
-    assert contents("w1 w2 w3 w4 w5", "sliding_window", window_size=3, step_size=step, use_sentences=False) == want
+def test_sliding_words(spark, step, want):
+    assert contents(spark, "w1 w2 w3 w4 w5", "sliding_window", window_size=3, step_size=step, use_sentences=False) == want
 
 
 @pytest.mark.parametrize(("threshold", "want"), [(0, ["句子0 句子1 句子2 句子3"]), (1, ["句子0", "句子1", "句子2", "句子3"])])
-def test_semantic(threshold, want):
-    assert contents(ZH, "semantic", similarity=threshold, placeholder=True, chunk_size=1000) == want
+def test_semantic(spark, threshold, want):
+    assert contents(spark, ZH, "semantic", similarity=threshold, placeholder=True, chunk_size=1000) == want
 
 
-def test_semantic_batches_give_equal_groups():
+def test_semantic_batches_give_equal_groups(spark):
     text = "今天天氣很好。我們去公園散步。接著去吃冰淇淋。回家後休息。"
-    encode = lambda texts: np.array([[float(len(t))] for t in texts])
-    small, large = (chunk_text(text, "semantic", Config(batch=b), encode=encode) for b in (2, 64))
+    load = lambda: lambda texts: np.array([[float(len(t))] for t in texts])
+    small, large = (chunk_text(spark, text, "semantic", Config(batch=b), load=load) for b in (2, 64))
     assert [c.metadata["sentence_indices"] for c in small] == [c.metadata["sentence_indices"] for c in large]
 
 
@@ -43,40 +46,102 @@ def test_configs_that_never_end_are_refused():
             Config(**bad)
 
 
-def test_small_chunks_join_the_one_before_and_leave_gaps():
-    made = merge_small([Chunk.of("a" * 120, 0, "m"), Chunk.of("b", 1, "m", extra=1), Chunk.of(" ", 2, "m"), Chunk.of("c" * 1500, 3, "m"), Chunk.of("d", 4, "m")], Config())
-    assert [(c.index, c.content[-1], c.metadata.get("extra")) for c in made] == [(0, "b", 1), (3, "c", None), (4, "d", None)]
+def test_fold_over_many_blocks(spark):
+    df = spark.range(3).select(F.sequence(F.lit(1), F.col("id") * 500).alias("xs"))
+    df = df.select(F.when(F.size("xs") == 2, F.array().cast("array<bigint>")).otherwise(F.col("xs")).alias("xs"))
+    got = df.select("xs", fold(F.col("xs"), F.lit(0).cast("long"), lambda s, x: F.struct((s * 31 % 1009 + x).alias("state"), s.alias("out")), "bigint").alias("o")).collect()
+    for r in got:
+        state, want = 0, []
+        for x in r.xs:
+            want.append(state)
+            state = state * 31 % 1009 + x
+        assert r.o == want
 
 
-def test_paragraphs_short_ones_are_combined_and_stand_again():
-    text = "One.\n\nTwo. Three.\n\n" + " ".join(f"S{i}." for i in range(25))
-    got = [(c.metadata["chunk_method"], c.content) for c in chunk_text(text, "sentence", Config(min_chunk_size=1, language="en"))]
-    assert got[0] == ("paragraph_combined", "One.\n\nTwo. Three.") and got[1] == ("paragraph_complete", "Two. Three.")
-    assert [m for m, _ in got[2:]] == ["paragraph_sentence_split"] * 3 and got[2][1].startswith("S0 S1") and got[3][1].startswith("S9 S10")
+def plain(v):
+    return {True: "true", False: "false"}.get(v, str(v)) if isinstance(v, bool) else str(v)
+
+
+def same_as_loops(spark, texts, kind, config, load=None):
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, content string").repartition(4)
+    got = {}
+    made = chunk_documents(docs, kind, config, load=load)
+    for r in made.collect():
+        got.setdefault(r.id, []).append((r.chunk_index, r.content, r.start_pos, r.end_pos, dict(r.metadata)))
+    for i, text in enumerate(texts):
+        want = [(c.index, c.content, c.start, c.end, {k: plain(v) for k, v in c.metadata.items()}) for c in plain_chunks(text, kind, config, **({"encode": load()} if load else {}))]
+        assert sorted(got.get(i, []), key=lambda c: c[0]) == want, (kind, config, text)
+    return made
+
+
+def some_texts(seed, zh=False):
+    rng = random.Random(seed)
+    ends, texts = ("。！？；" if zh else ".!?"), [None, "", " \n", "...", "。", "one", "One. Two", "a" * 200 + ". b", "\n\n . \n\n", "x.\n\n\n\ny. z."]
+    for _ in range(40):
+        parts = []
+        for _ in range(rng.choice((1, 3, 12, 60))):
+            parts.append(" ".join(rng.choice("abcdefgh") * rng.choice((1, 2, 9, 40)) for _ in range(rng.choice((0, 1, 3, 30)))) + rng.choice(ends) + rng.choice(("", "", ".", "\n\n", "\n", " \n\n ")))
+        texts.append(rng.choice(("", "  ")) + " ".join(parts))
+    return texts
+
+
+@pytest.mark.parametrize("settings", [
+    {"language": "en"}, {"language": "en", "paragraphs": False}, {}, {"language": "en", "paragraphs": False, "max_sentences": 4, "chunk_size": 60, "overlap_size": 10, "min_chunk_size": 20},
+    {"language": "en", "max_sentences": 3, "min_sentences": 3, "sentence_overlap": 2, "min_chunk_size": 1}, {"language": "en", "min_sentences": 5, "max_sentences": 6, "sentence_overlap": 0, "chunk_size": 100, "overlap_size": 1},
+])
+def test_sentence_chunks_equal_loops(spark, settings):
+    made = same_as_loops(spark, some_texts(7) + some_texts(8, zh=True), "sentence", Config(**settings))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan.replace("Exchange RoundRobin", "")
+
+
+@pytest.mark.parametrize("settings", [{}, {"window_size": 20, "step_size": 2}, {"use_sentences": False}, {"use_sentences": False, "window_size": 7, "step_size": 3, "min_chunk_size": 30, "chunk_size": 60, "overlap_size": 0}, {"use_sentences": False, "window_size": 4, "step_size": 9}])
+def test_windows_equal_loops(spark, settings):
+    made = same_as_loops(spark, some_texts(9), "sliding_window", Config(**settings))
+    assert "Python" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(("similarity", "room"), [(0.2, 1000), (0.7, 300), (1.0, 1000), (0.0, 100), (0.35, 40)])
+def test_semantic_chunks_equal_loops(spark, similarity, room):
+    config = Config(language="en", similarity=similarity, chunk_size=room, overlap_size=0)
+    same_as_loops(spark, some_texts(10), "semantic", config)
 
 
-def greedy(parts, config):
-    """A plain restatement of the sentence chunker's windows."""
-    i, out = 0, []
-    while i < len(parts):
-        taken, size = [], 0
-        while i + len(taken) < len(parts) and len(taken) < config.max_sentences and size < config.chunk_size:
-            size += len(parts[i + len(taken)])
-            taken.append(parts[i + len(taken)])
-        while len(taken) < config.min_sentences and i + len(taken) < len(parts):
-            taken.append(parts[i + len(taken)])
-        back = min(config.sentence_overlap, len(taken) - 1) if out and config.sentence_overlap else 0
-        out.append(" ".join(taken))
-        i += len(taken) - back
-    return out
+def test_token_groups_equal_all_comparisons():
+    rng = random.Random(4)
+    for seed in range(60):
+        vocabulary = [f"w{int(rng.paretovariate(0.7)) % 50}" for _ in range(40)]
+        parts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 12))) for _ in range(rng.randrange(1, 90))]
+        config = Config(similarity=rng.choice((0.1, 0.2, 0.5, 0.8, 1.0)), chunk_size=rng.choice((20, 100, 1000)), overlap_size=0)
+        assert list(grouping.token_groups(parts, config.similarity, config.chunk_size)) == list(_lexical_groups(parts, config)), seed
 
 
-def test_sentence_runs_equal_restatement():
-    rng = random.Random(1)
-    config = Config(min_chunk_size=1, language="en", paragraphs=False, max_sentences=4, chunk_size=60, overlap_size=10)
-    for _ in range(50):
-        text = " ".join("x" * rng.randrange(1, 40) + "." for _ in range(rng.randrange(5, 30)))
-        assert [c.content for c in chunk_text(text, "sentence", config)] == [c.content for c in merge_small([Chunk.of(t, 0, "") for t in greedy(split_sentences(text, "en"), config)], config)]
+def test_vector_chunks_equal_loops(spark):
+    from loomline.functions.vectors import hash_embed
+
+    same_as_loops(spark, some_texts(11), "semantic", Config(language="en", similarity=0.3), load=lambda: lambda texts: hash_embed(texts, 32))
+
+
+def test_a_long_text(spark):
+    text = " ".join(f"Sentence {i} has some words{'.' * (1 + i % 3)}" for i in range(4000))
+    for kind, config in (("sentence", Config(language="en", paragraphs=False)), ("sentence", Config(language="en")), ("sliding_window", Config()), ("sliding_window", Config(use_sentences=False))):
+        same_as_loops(spark, [text.replace(". S", ".\n\nS")], kind, config)
+
+
+def test_small_chunks_join_the_one_before_and_leave_gaps(spark):
+    from loomline.operators.packing import chunk, merged, noted
+
+    given = [("a" * 120, None), ("b", "1"), (" ", None), ("c" * 1500, None), ("d", None)]
+    column = F.array(*(chunk(F.lit(i), F.lit(t), noted(("method", "extra"), method="m", **({"extra": e} if e else {}))) for i, (t, e) in enumerate(given)))
+    got = spark.range(1).select(F.inline(merged(column, ("method", "extra"), 100, 1500))).collect()
+    assert [(c.chunk_index, c.content[-1], c.notes) for c in got] == [(0, "b", ["m", "1"]), (3, "c", ["m", None]), (4, "d", ["m", None])]
+
+
+def test_paragraphs_short_ones_are_combined_and_stand_again(spark):
+    text = "One.\n\nTwo. Three.\n\n" + " ".join(f"S{i}." for i in range(25))
+    got = [(c.metadata["chunk_method"], c.content) for c in chunk_text(spark, text, "sentence", Config(min_chunk_size=1, language="en"))]
+    assert got[0] == ("paragraph_combined", "One.\n\nTwo. Three.") and got[1] == ("paragraph_complete", "Two. Three.")
+    assert [m for m, _ in got[2:]] == ["paragraph_sentence_split"] * 3 and got[2][1].startswith("S0 S1") and got[3][1].startswith("S9 S10")
 
 
 def test_documents_and_registry(spark):
@@ -93,7 +158,7 @@ def test_expressions_equal_chunkers(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
     got = {r.id: [w.content for w in r.w] for r in df.select("id", word_windows(X.words(F.col("t")), 5, 3).alias("w")).collect()}
     for i, t in enumerate(texts):
-        want = [c.content for c in chunk_text(t, "sliding_window", Config(window_size=5, step_size=3, use_sentences=False, min_chunk_size=1))]
+        want = [c.content for c in plain_chunks(t, "sliding_window", Config(window_size=5, step_size=3, use_sentences=False, min_chunk_size=1))]
         assert got[i] == (want or [""])
     with pytest.raises(ValueError):
         sentence_windows(F.col("t"), 1, 1)
@@ -126,7 +191,7 @@ def test_semantic_equals_sql_on_short_texts(spark):
 def test_vector_groups_equal_a_plain_loop():
     import numpy as np
     from loomline.functions.vectors import hash_embed
-    from loomline.operators.chunkers import _vector_groups
+    from loomline.operators.grouping import vector_groups
 
     rng = np.random.default_rng(5)
     parts = [" ".join(rng.choice(list("abcdefghij"), 4)) for _ in range(80)]
@@ -142,16 +207,16 @@ def test_vector_groups_equal_a_plain_loop():
                     if 50 * len(group) > size:
                         break
             want.append(group)
-        assert list(_vector_groups(parts, Config(similarity=bound, chunk_size=size, overlap_size=0), encode)) == want
+        assert list(vector_groups(parts, bound, size, 64, encode)) == want
 
 
 def test_failing_encoder_gives_way_to_words():
     def fails(texts):
         raise RuntimeError("no model")
 
-    text, config = "a b. a b c. x y. a b d. q", Config(language="en", similarity=0.5)
-    assert chunk_text(text, "semantic", config, encode=fails) == chunk_text(text, "semantic", config)
-    assert chunk_text(text, "semantic", config, encode=lambda texts: [[1.0]]) == chunk_text(text, "semantic", config)
+    parts = ["a b", "a b c", "x y", "a b d", "q"]
+    want = grouping.groups(parts, 0.5, 1000)
+    assert grouping.groups(parts, 0.5, 1000, encode=fails) == grouping.groups(parts, 0.5, 1000, encode=lambda texts: [[1.0]]) == want
 
 
 def test_chunkers_are_described():
