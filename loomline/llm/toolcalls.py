@@ -26,7 +26,8 @@ have a null level and are `cyclic`; dependencies that name no call of the
 conversation are ignored; null conversations form one; null text carries
 nothing; an empty identifier is one like any other; an empty table gives an
 empty result; other columns are ignored; a schema with a keyword that the
-validator does not know is an error.
+validator does not know, a value that is not the keyword's, or a reference that
+leads nowhere or in a circle is an error, before any row is read.
 """
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from fractions import Fraction
 from functools import cache, reduce
 
 import pyarrow as pa
@@ -64,6 +67,8 @@ def canonical(value: object) -> str:
             return {k: plain(v[k]) for k in sorted(v)}
         if isinstance(v, list):
             return [plain(x) for x in v]
+        if isinstance(v, Beyond):
+            raise ValueError("no JSON number that a double holds")
         if isinstance(v, float):
             if not math.isfinite(v):
                 raise ValueError("no JSON number")
@@ -84,25 +89,105 @@ KEYWORDS = {
 NOTES = {"title", "description", "default", "examples", "$schema", "$id", "$comment"}
 
 
+LARGEST = int(sys.float_info.max)
+
+
+class Beyond(str):
+    """The digits of a whole number that no double holds."""
+
+    __slots__ = ()
+
+
+def _whole_number(digits: str) -> int | Beyond:
+    # longer ones are not even converted: that takes quadratic time, and is refused beyond some thousand digits
+    if len(digits) > 310 or abs(number := int(digits)) > LARGEST:
+        return Beyond(digits)
+    return number
+
+
+def _is_number(value: object) -> bool:
+    return isinstance(value, int | float) and not isinstance(value, bool)
+
+
+def _is_schema(value: object) -> bool:
+    return isinstance(value, dict | bool)
+
+
+def _is_count(value: object) -> bool:
+    return _is_number(value) and value == int(value) and value >= 0
+
+
+#: What the value of a keyword must be.
+VALUES: dict[str, Callable[[object], bool]] = {
+    **dict.fromkeys(("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum"), lambda v: _is_number(v) and abs(v) <= LARGEST), "multipleOf": lambda v: _is_number(v) and 0 < v <= LARGEST,
+    **dict.fromkeys(("minLength", "maxLength", "minItems", "maxItems", "minProperties", "maxProperties"), _is_count),
+    **dict.fromkeys(("anyOf", "allOf", "oneOf"), lambda v: isinstance(v, list) and bool(v)), **dict.fromkeys(("items", "not", "additionalProperties"), _is_schema),
+    **dict.fromkeys(("properties", "definitions", "$defs"), lambda v: isinstance(v, dict)), "enum": lambda v: isinstance(v, list), "const": lambda v: True, "uniqueItems": lambda v: isinstance(v, bool),
+    "required": lambda v: isinstance(v, list) and all(isinstance(x, str) for x in v), "pattern": lambda v: isinstance(v, str), "$ref": lambda v: isinstance(v, str) and v.startswith("#"),
+    "type": lambda v: bool(v) and all(isinstance(x, str) and (x in _TYPES or x in ("number", "integer")) for x in (v if isinstance(v, list) else [v])),
+}
+
+
+def _inner(schema: dict) -> Iterator[object]:
+    """Schemas inside this one."""
+    yield from (schema[k] for k in ("items", "not", "additionalProperties") if k in schema)
+    yield from (x for k in ("anyOf", "allOf", "oneOf") for x in schema.get(k, ()))
+    yield from (x for k in ("properties", "definitions", "$defs") for x in schema.get(k, {}).values())
+
+
 def check_schema(schema: object) -> None:
-    """Raises ValueError for a keyword that `breaks` does not follow."""
-    if not isinstance(schema, dict):
-        if not isinstance(schema, bool):
+    """Raises ValueError for what `breaks` cannot follow: unknown keywords, values of the wrong kind, references that lead nowhere or in a circle."""
+    todo = [schema]
+    every: list[dict] = []
+    while todo:
+        one = todo.pop()
+        if not _is_schema(one):
             raise ValueError("a schema is an object or a boolean")
-        return
-    if unknown := set(schema) - KEYWORDS - NOTES:
-        raise ValueError(f"schema keywords that are not supported: {sorted(unknown)}")
-    if not str(schema.get("$ref", "#")).startswith("#"):
-        raise ValueError("only references inside the schema are supported")
-    inner = [schema[k] for k in ("items", "not", "additionalProperties") if k in schema]
-    inner += [x for k in ("anyOf", "allOf", "oneOf") for x in schema.get(k, ())] + [x for k in ("properties", "definitions", "$defs") for x in schema.get(k, {}).values()]
-    for x in inner:
-        check_schema(x)
+        if isinstance(one, bool):
+            continue
+        if unknown := set(one) - KEYWORDS - NOTES:
+            raise ValueError(f"schema keywords that are not supported: {sorted(unknown)}")
+        if wrong := [k for k, v in one.items() if k in VALUES and not VALUES[k](v)]:
+            raise ValueError(f"schema keywords with a value that is not theirs: {wrong}")
+        if "pattern" in one:
+            try:
+                re.compile(one["pattern"])
+            except re.error as error:
+                raise ValueError(f"no pattern: {one['pattern']!r}") from error
+        if "$ref" in one and not _is_schema(_target(schema, one["$ref"])):
+            raise ValueError(f"a reference to no schema: {one['$ref']!r}")
+        every.append(one)
+        todo += _inner(one)
+    # schemas that look at the same value as the one that names them must not come back to it
+    done: set[int] = set()
+    for start in every:
+        path, open_ = [(start, iter(_same_value(start, schema)))], {id(start)}
+        while path and id(start) not in done:
+            one, rest = path[-1]
+            following = next(rest, None)
+            if following is None:
+                path.pop()
+                open_.discard(id(one))
+                done.add(id(one))
+            elif id(following) in open_:
+                raise ValueError("references in a circle")
+            elif id(following) not in done:
+                path.append((following, iter(_same_value(following, schema))))
+                open_.add(id(following))
+
+
+def _same_value(schema: dict, root: object) -> list[dict]:
+    found = [x for k in ("anyOf", "allOf", "oneOf") for x in schema.get(k, ())] + [schema[k] for k in ("not",) if k in schema] + [_target(root, schema[k]) for k in ("$ref",) if k in schema]
+    return [x for x in found if isinstance(x, dict)]
 
 
 def _target(root: object, ref: str) -> object:
-    for step in ref.lstrip("#").strip("/").split("/") if ref != "#" else ():
-        root = root[step.replace("~1", "/").replace("~0", "~")]
+    """What a reference leads to; ValueError if nothing."""
+    try:
+        for step in ref.lstrip("#").strip("/").split("/") if ref not in ("#", "#/") else ():
+            root = root[int(step)] if isinstance(root, list) else root[step.replace("~1", "/").replace("~0", "~")]
+    except (KeyError, IndexError, TypeError, ValueError) as error:
+        raise ValueError(f"a reference to nothing: {ref!r}") from error
     return root
 
 
@@ -123,8 +208,8 @@ def breaks(value: object, schema: dict | bool, root: object = None) -> bool:
     if "$ref" in schema and again(value, _target(root, schema["$ref"])):
         return True
     kind = schema.get("type")
-    number = isinstance(value, int | float) and not isinstance(value, bool)
-    if number and not math.isfinite(value):
+    number = _is_number(value)
+    if isinstance(value, Beyond) or number and not -LARGEST <= value <= LARGEST:
         return True
     if kind:
         kinds = kind if isinstance(kind, list) else [kind]
@@ -139,7 +224,8 @@ def breaks(value: object, schema: dict | bool, root: object = None) -> bool:
     if number:
         if value < schema.get("minimum", -math.inf) or value > schema.get("maximum", math.inf) or value <= schema.get("exclusiveMinimum", -math.inf) or value >= schema.get("exclusiveMaximum", math.inf):
             return True
-        return "multipleOf" in schema and math.fmod(value, schema["multipleOf"]) != 0
+        # as decimals: 0.3 is a multiple of 0.1
+        return "multipleOf" in schema and Fraction(repr(value)) % Fraction(repr(schema["multipleOf"])) != 0
     if isinstance(value, str):
         return not schema.get("minLength", 0) <= len(value) <= schema.get("maxLength", math.inf) or ("pattern" in schema and not re.search(schema["pattern"], value))
     if isinstance(value, list):
@@ -215,7 +301,7 @@ def _no_number(name: str) -> None:
 
 
 def _loads(text: str) -> object:
-    return json.loads(text, parse_constant=_no_number)
+    return json.loads(text, parse_constant=_no_number, parse_int=_whole_number)
 
 
 def _parsed(text: str | None) -> dict:

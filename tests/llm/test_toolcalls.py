@@ -137,7 +137,12 @@ def test_schema_keywords():
     ]:
         check_schema(schema)
         assert not any(breaks(x, schema) for x in good) and all(breaks(x, schema) for x in bad), schema
-    for schema in ({"format": "email"}, {"properties": {"a": {"contains": {}}}}, {"$ref": "http://x"}, {"items": [1]}):
+    assert breaks(0.35, {"multipleOf": 0.1}) and not breaks(0.3, {"multipleOf": 0.1}) and not breaks(10**300, {"multipleOf": 10}) and breaks(10**309, {})
+    check_schema({"anyOf": [{"$ref": "#/anyOf/1"}, {"type": ["string", "null"]}], "properties": {"next": {"$ref": "#"}}})
+    for schema in (
+        {"format": "email"}, {"properties": {"a": {"contains": {}}}}, {"$ref": "http://x"}, {"items": [1]}, {"$ref": "#/nope"}, {"$ref": "#"}, {"allOf": [{"$ref": "#"}]}, {"pattern": "("}, {"minimum": None}, {"minLength": -1}, {"required": "a"}, {"type": "text"},
+        {"$defs": {"a": {"$ref": "#/$defs/b"}, "b": {"not": {"$ref": "#/$defs/a"}}}}, {"multipleOf": 0}, {"anyOf": []}, {"enum": 1}, {"properties": {"a": {"$ref": "#/required"}}, "required": ["a"]},
+    ):
         with pytest.raises(ValueError):
             check_schema(schema)
 
@@ -152,23 +157,53 @@ def test_empty(spark):
     assert link_tool_calls(spark.createDataFrame([], TURNS), SCHEMAS).count() == 0
 
 
-def test_query(spark):
+def plain_query(turns):
+    """Every row of the query over turns with a number, one a (conversation, turn)."""
+    at = {(r.conv_id, r.turn): r for r in turns}
+    dumps = lambda v: json.dumps(v, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    out = []
+
+    def row(conv, ident, call, answer, name, level, status, arguments):
+        shown = dumps({"id": ident, "name": name, "arguments": arguments, "result": answer.text if answer else None})
+        out.append((conv, ident, call and call.turn, answer and answer.turn, name, level, status, int(call is not None), 0, shown, hashlib.sha256(shown.encode()).hexdigest()))
+
+    for (conv, turn), r in at.items():
+        after = at.get((conv, turn + 1))
+        answer = after if after and after.role == "assistant" else None
+        if r.role == "assistant":
+            before = at.get((conv, turn - 1))
+            if before is None or before.role == "assistant":
+                row(conv, f"t{turn - 1}", None, r, None, None, "orphan", None)
+        elif r.role == "user":
+            level = 0
+            while (x := at.get((conv, turn - 2 * level - 2))) and x.role == "user":
+                level += 1
+            arguments = {"prompt": r.text, "turn": turn} | ({"after": f"$t{turn - 2}"} if level else {})
+            row(conv, f"t{turn}", r, answer, "reply", level, "invalid" if not r.text or turn < 0 else "linked" if answer else "unanswered", arguments)
+        else:
+            known = r.role == "system"
+            row(conv, f"t{turn}", r, answer, "configure" if known else r.role, 0, "unknown_tool" if not known else "invalid" if not r.text else "linked" if answer else "unanswered", {"instructions" if known else "text": r.text})
+    return out
+
+
+def test_every_row_of_the_query(spark):
     turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
-    rows = {(r.conv_id, r.turn): r for r in turns.collect()}
-    got = op2_tool_call_linking(spark, "/root/testdata/sf0.01").collect()
-    assert len(got) == sum(r.role != "assistant" for r in rows.values()) + sum(r.role == "assistant" and (rows.get((c, t - 1)) or r).role == "assistant" for (c, t), r in rows.items())
-    for r in got:
-        call = rows.get((r.conv_id, r.call_turn))
-        if r.status == "linked":
-            shown = json.loads(r.linked_json)
-            assert shown["arguments"]["prompt"] == call.text and shown["result"] == rows[r.conv_id, r.result_turn].text and r.result_turn == r.call_turn + 1
-            depth = 0
-            while (before := rows.get((r.conv_id, r.call_turn - 2 * depth - 2))) and before.role == "user":
-                depth += 1
-            assert r.level == depth
+    rows = turns.collect()
+    assert len({(r.conv_id, r.turn) for r in rows}) == len(rows) and all(r.text is not None and r.turn is not None for r in rows)
+    got = op2_tool_call_linking(spark, "/root/testdata/sf0.01")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(plain_query(rows), key=str)
     assert as_tool_turns(turns.limit(0)).count() == 0
 
 
+def test_whole_numbers_of_any_length(spark):
+    sound = '{"id": "ok%d", "name": "add", "arguments": {"a": 2}}'
+    rows = [(1, i, '{"tool_calls": [{"id": "n%d", "name": "add", "arguments": {"a": %s}}, %s]}' % (i, "-" * (i % 2) + "9" * n, sound % i)) for i, n in enumerate((308, 309, 400, 5000, 100_000))]
+    rows.append((1, 9, '{"tool_call_id": "n2", "content": [%s]}' % ("7" * 5000)))
+    got = {r.call_id: r for r in link_tool_calls(spark.createDataFrame([(*r, "x", 1) for r in rows], TURNS), SCHEMAS).collect()}
+    assert {k: r.status for k, r in got.items() if k[0] == "o"} == {f"ok{i}": "unanswered" for i in range(5)}
+    assert [got[f"n{i}"].status for i in range(1, 5)] == ["invalid"] * 4 and "9" * 5000 in got["n3"].linked_json and "7" * 5000 in got["n2"].linked_json
+
+
 def test_turns_without_a_number_are_kept(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "ho"), (1, None, "user", "hi"), (1, None, "user", "hi"), (1, None, "user", "other"), (1, None, "assistant", "hi"), (1, None, "system", "be kind"), (None, None, "user", None)]
     got = link_tool_calls(as_tool_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")), TURN_TOOLS).collect()
