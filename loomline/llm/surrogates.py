@@ -10,8 +10,14 @@ script, digits stay digits, punctuation, lengths, top-level domains, country
 codes, card issuers, valid Luhn digits and IBAN check digits are kept, hex stays
 hex; names are made of syllables of their script with an ending that fits the
 gender of the title before them, a part for each part of a double name.  Names
-are found after a title; where the same document mentions a part of such a name
-again, by itself, it gets the same surrogate (parts of three letters or more).
+are found after a title and degrees: initials, any number of capitalised parts,
+particles between them (after a title in capitals, three parts, since all that
+follows may be in capitals).  Initials move on in their alphabet; particles stay.
+Where the same document mentions a part of such a name again, by itself, it gets
+the same surrogate (parts of three letters or more).
+Secrets are what stands after one of SECRET_WORDS and = (four characters or more)
+or : (eight, or four with a digit), bare or quoted, as in JSON, after Bearer or
+Basic, or begins as tokens of some services do, up to a blank, quote, comma or &.
 Sixteen digits in a row are a card number if an issuer's digit leads and the
 Luhn digit is valid, in groups of four they are always one.
 
@@ -39,6 +45,7 @@ from __future__ import annotations
 import uuid
 import warnings
 from collections.abc import Callable
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -55,6 +62,8 @@ WIDEN = 6
 MARK = "\x01"
 LONG = 128
 BROADCAST_ROWS = 100_000
+#: Parts of a name without a surrogate of their own: particles, which stay, and initials, which are moved on in the alphabet.
+UNTOLD = ["kept", "initial"]
 
 #: Titles before names, by gender, and what names are made of, by script.
 MALE = "Mr|Herr|Señor|Sr|Monsieur|господин"
@@ -65,26 +74,43 @@ ENDINGS = {
     ("cyrillic", "given", "m"): ["н", "р", "м", "л"], ("cyrillic", "given", "f"): ["на", "ра", "ла", "та"], ("cyrillic", "surname", "m"): ["ов", "ин", "ев", "ский"], ("cyrillic", "surname", "f"): ["ова", "ина", "ева", "ская"],
 }
 
-TITLE = rf"(?:{MALE}|{FEMALE})\.? "
+LOUD_MALE = "MR|HERR|SEÑOR|MONSIEUR|ГОСПОДИН"
+LOUD_FEMALE = "MRS|FRAU|SEÑORA|MADAME|MME|ГОСПОЖА"
+DEGREES = "Dr|Prof|Dipl|Ing|Mag|Lic|Rev|Hon"
+PARTICLES = "de|del|la|las|los|da|das|do|dos|di|du|des|van|der|den|von|zu|ten|ter|le|el|al|bin|ibn|y|e"
+#: Words before a secret, and what tokens of some services begin with.
+SECRET_WORDS = "passwords?|passwd|pwd|token|secret|api[_-]?key"
+SERVICES = "sk-|rk-|gh[opsu]_|github_pat_|glpat-|xox[abpr]-|AIza|hf_"
+
+TITLE = rf"(?:(?:{MALE}|{FEMALE})\.? (?:(?:{DEGREES})\.? )*+|(?:{LOUD_MALE}|{LOUD_FEMALE})\.? )"
+INITIAL = r"\p{Lu}\.(?= )"
 NAME = r"\p{Lu}(?:\p{L}|['’](?!s\b)\p{L})*+(?:-\p{L}(?:\p{L}|['’](?!s\b)\p{L})*+)*+"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 LOCAL, LABEL = r"[\p{L}\p{N}._%+-]", r"[\p{L}\p{N}-]"
 GROUP = "[0-9A-Fa-f]{1,4}"
+#: Characters of a secret, and those that end a sentence or a bracket rather than it.
+CHAR, AFTER = r"[^\s\"'<>,;&]", r"(?<![.!?:)\]}])"
 PATTERNS = {
     "email": rf"(?<!{LOCAL}){LOCAL}++@[\p{{L}}\p{{N}}](?:{LABEL}{{0,62}}\.){{1,8}}\p{{L}}{{2,24}}\b",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
-    "secret": r"(?<=(?i:password|passwd|token|secret|api_key|apikey) {0,2}[=:] {0,2}[\"']?)[A-Za-z0-9+/_-](?:\.?[A-Za-z0-9+/_-]){7,}+",
+    "secret": (
+        rf"""(?<=[= "'])(?<=(?i:{SECRET_WORDS})["']? {{0,2}}= {{0,2}}["']?)(?!=){CHAR}{{4,}}{AFTER}"""
+        rf"""|(?<=[: "'])(?<=(?i:{SECRET_WORDS})["']? {{0,2}}: {{0,2}}["']?)(?:(?=[^\s\"'<>,;&0-9]*+[0-9]){CHAR}{{4,}}|{CHAR}{{8,}}){AFTER}"""
+        rf"|(?<=(?i:bearer) {{1,2}})(?=[^\s0-9]*+[0-9])[A-Za-z0-9+/_.=~-]{{8,}}{AFTER}|(?<=(?i:authorization: {{0,2}}basic) {{1,2}})[A-Za-z0-9+/=]{{4,}}"
+        rf"|\b(?:{SERVICES})[A-Za-z0-9_-]{{16,}}"
+    ),
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
     "card": r"(?<![0-9.])(?:[2-6][0-9]{15}|[0-9]{4}(?:[ -][0-9]{4}){3}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![0-9])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"\+[0-9](?:[ .()/-]{0,2}[0-9]){7,14}(?![0-9])|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])|(?<=(?i:ssn)[:#]? {0,2})[0-9]{9}(?![0-9])",
+    "phone": r"\+[0-9](?:[ .()/-]{0,2}[0-9]){7,14}(?![0-9])|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])|(?<![0-9.,:/-])0[1-9][0-9]{1,3}[ /-][0-9]{3,4}[ -][0-9]{3,5}(?![0-9.:/-]?[0-9])",
     "ip": rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
-    "ip6": rf"(?<![0-9A-Za-z:])(?=[0-9A-Fa-f:]{{0,38}}[0-9])(?:(?:{GROUP}:){{7}}{GROUP}|(?:{GROUP}:){{1,6}}(?::{GROUP}){{1,6}}|::{GROUP}(?::{GROUP}){{1,6}})(?![0-9A-Za-z:])",
-    "name": rf"\b{TITLE}{NAME}(?: {NAME})?",
+    "ip6": rf"(?<![0-9A-Za-z:])(?=[0-9A-Fa-f:]{{0,38}}[0-9])(?:(?:{GROUP}:){{7}}{GROUP}|(?:{GROUP}:){{1,6}}(?::{GROUP}){{1,6}}|::{GROUP}(?::{GROUP}){{1,6}})(?![0-9A-Za-z:]|\.[0-9])",
+    "name": rf"\b(?:(?:{LOUD_MALE}|{LOUD_FEMALE})\.? {NAME}(?: {NAME}){{0,2}}|{TITLE}(?:{INITIAL} )*+{NAME}(?: (?:(?:{PARTICLES}) )*+(?:{INITIAL}|{NAME}))*+)",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every text with an entity has; titles are only tried where one of their first letters stands.
-QUICK = rf"[0-9@=:]|A(?:KIA|SIA)|(?=[{''.join(sorted({title[0] for title in f'{MALE}|{FEMALE}'.split('|')}))}])(?:{MALE}|{FEMALE})\.? \p{{Lu}}"
+TITLES = f"{MALE}|{FEMALE}|{LOUD_MALE}|{LOUD_FEMALE}"
+QUICK = rf"[0-9@=:]|A(?:KIA|SIA)|\b(?:{SERVICES})|(?=[{''.join(sorted({title[0] for title in TITLES.split('|')}))}])(?:{TITLES})\.? \p{{Lu}}"
 #: Country codes of telephone numbers of one and two digits; all others have three.
 COUNTRY = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 
@@ -113,7 +139,7 @@ def _pieces(text: Column, hexed: Column, body: Callable[[Column, Column], Column
     return F.array_join(F.transform(F.sequence(F.lit(0), F.floor((F.length(text) - 1) / LONG).cast("int")), piece), "")
 
 
-def _draw(hexed: Column, place: Column, below: int) -> Column:
+def _draw(hexed: Column, place: Column, below: int | Column) -> Column:
     """A number from 0 to below - 1 from the place-th (1-based) four hex digits."""
     return F.conv(F.substring(hexed, (place - 1) * 4 + 1, F.lit(4)), 16, 10).cast("int") % below
 
@@ -122,16 +148,22 @@ def _pick(letters: str, hexed: Column, place: Column) -> Column:
     return F.substring(F.lit(letters), _draw(hexed, place, len(letters)) + 1, F.lit(1))
 
 
+def _spelled(sets: tuple[str, ...], hexed: Column, first: int, count: int) -> Column:
+    """Letters drawn from the sets in turn, from this place of the digits on."""
+    drawn = lambda i, letters: F.substring(letters, _draw(hexed, i + first, F.length(letters)) + 1, F.lit(1))
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: let(F.get(F.array(*map(F.lit, sets)), i % len(sets)), lambda letters: drawn(i, letters))), "")
+
+
 def _alike(text: Column, hexed: Column) -> Column:
     """Digits for digits, letters for letters of their case and script, the rest as it is."""
     kinds = {"[0-9]": "0123456789", "[a-z]": "abcdefghijklmnopqrstuvwxyz", "[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "[а-яё]": "абвгдежзиклмнопрстуфхцчшэюя", "[А-ЯЁ]": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"}
     kinds |= {r"\p{Lu}": kinds["[A-Z]"], r"\p{L}": kinds["[a-z]"], r"\p{N}": kinds["[0-9]"]}
 
     def other(c: Column, i: Column) -> Column:
-        out = F
-        for pattern, letters in kinds.items():
-            out = out.when(c.rlike(pattern), _pick(letters, hexed, i))
-        return out.otherwise(c)
+        letters = F
+        for pattern, known in kinds.items():
+            letters = letters.when(c.rlike(pattern), F.lit(known))
+        return let(letters, lambda known: F.when(known.isNull(), c).otherwise(F.substring(known, _draw(hexed, i, F.length(known)) + 1, F.lit(1))))
 
     return _chars(text, other)
 
@@ -160,42 +192,58 @@ def is_name(kind: Column) -> Column:
 
 def canonical(kind: Column, value: Column) -> Column:
     digits = F.regexp_replace(value, "[^0-9]", "")
-    phone = F.when(value.startswith("+"), digits).otherwise(F.concat(F.lit("1"), digits))
+    phone = F.when(value.startswith("+") | value.startswith("0"), digits).otherwise(F.concat(F.lit("1"), digits))
     return F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits).when(kind == "iban", F.regexp_replace(value, " ", "")).when(kind.isin("email", "ip6") | is_name(kind), F.lower(value)).otherwise(value)
 
 
 def surrogate(kind: Column, canon: Column, hexed: Column, wider: Column) -> Column:
     """Canonical surrogate of a canonical entity; names and addresses are longer by `wider` steps."""
     n = F.length(canon)
-    letters = lambda first, count: F.concat(*(_pick("abcdefghijklmnopqrstuvwxyz", hexed, F.lit(first + i)) for i in range(count)))
-    domain_end = n - F.length(F.substring_index(canon, ".", -1))
+    letters = lambda first, count: _spelled(("abcdefghijklmnopqrstuvwxyz",), hexed, first, count)
+    numbers = lambda first, count: _spelled(("0123456789",), hexed, first, count)
+    from_second = lambda first: F.substring(canon, first, n)
+    head = F.substring(canon, F.lit(1), n - F.length(F.substring_index(canon, ".", -1)))
+    code = F.regexp_extract(canon, f"^(?:{COUNTRY}|[0-9]{{3}})", 0)
+    # what changes letter by letter, of all kinds at once
+    varied = (
+        F.when(kind == "email", head).when(kind.isin("key", "iban"), from_second(F.lit(5))).when(kind == "card", F.substring(canon, F.lit(2), n - 2))
+        .when(kind == "phone", from_second(F.length(code) + 2)).when(kind == "ssn", canon).otherwise("")
+    )
+    return let(_alike(varied, hexed), lambda body: _surrogate(kind, canon, hexed, wider, code, body, letters, numbers))
+
+
+def _surrogate(kind: Column, canon: Column, hexed: Column, wider: Column, code: Column, varied: Column, letters: Callable, numbers: Callable) -> Column:
+    """As surrogate(); varied is what changes letter by letter, already changed."""
     longer = F.when(wider > 1, letters(1, 12)).when(wider > 0, letters(1, 4)).otherwise(F.lit(""))
-    email = F.concat(longer, _alike(F.substring(canon, F.lit(1), domain_end), hexed), F.substring_index(canon, ".", -1))
-    key = F.concat(F.substring(canon, 1, 4), _alike(F.substring(canon, F.lit(5), n), hexed))
-    secret = F.when(canon.rlike("^[0-9a-f]+$"), _pieces(canon, hexed, lambda t, h: _chars(t, lambda c, i: _pick("0123456789abcdef", h, i)))).otherwise(_pieces(canon, hexed, _alike))
+    email = F.concat(longer, varied, F.substring_index(canon, ".", -1))
+    hexadecimal = lambda t, h: _chars(t, lambda c, i: _pick("0123456789abcdef", h, i))
+    secret = _pieces(canon, hexed, lambda t, h: F.when(canon.rlike("^[0-9a-f]+$"), hexadecimal(t, h)).otherwise(_alike(t, h)))
     card = let(
-        F.concat(F.substring(canon, 1, 1), _alike(F.substring(canon, F.lit(2), n - 2), hexed)),
+        F.concat(F.substring(canon, 1, 1), varied),
         lambda body: let((F.lit(10) - _luhn(body, 1) % 10) % 10, lambda d: F.concat(body, F.when(_luhn(canon, 0) % 10 == 0, d).otherwise((d + 1 + _draw(hexed, F.lit(16), 9)) % 10).cast("string"))),
     )
-    american = F.concat(
-        F.lit("1"), _pick("23456789", hexed, F.lit(1)), _pick("0123456789", hexed, F.lit(2)), _pick("0123456789", hexed, F.lit(3)),
-        F.when(F.substring(canon, 5, 3) == "555", F.lit("555")).otherwise(F.concat(_pick("23456789", hexed, F.lit(4)), _pick("0123456789", hexed, F.lit(5)), _pick("0123456789", hexed, F.lit(6)))),
-        *(_pick("0123456789", hexed, F.lit(i)) for i in range(7, 11)),
-    )
-    code = F.regexp_extract(canon, f"^(?:{COUNTRY}|[0-9]{{3}})", 0)
+    first = lambda place: _pick("23456789", hexed, F.lit(place))
+    american = F.concat(F.lit("1"), first(1), numbers(2, 2), F.when(F.substring(canon, 5, 3) == "555", F.lit("555")).otherwise(F.concat(first(4), numbers(5, 2))), numbers(7, 4))
     # a first digit that is not 0 stays one: a leading 0 would be a trunk prefix
-    abroad = F.concat(code, F.when(F.substring(canon, F.length(code) + 1, F.lit(1)) == "0", F.lit("0")).otherwise(_pick("123456789", hexed, F.lit(16))), _alike(F.substring(canon, F.length(code) + 2, n), hexed))
+    abroad = F.concat(code, F.when(F.substring(canon, F.length(code) + 1, F.lit(1)) == "0", F.lit("0")).otherwise(_pick("123456789", hexed, F.lit(16))), varied)
     phone = F.when(canon.rlike("^1[0-9]{10}$"), american).otherwise(abroad)
-    ssn = _alike(canon, hexed)
-    iban = let(_alike(F.substring(canon, F.lit(5), n), hexed), lambda body: F.concat(F.substring(canon, 1, 2), F.lpad((98 - _mod97(F.concat(body, F.substring(canon, 1, 2), F.lit("00")))).cast("string"), 2, "0"), body))
-    ip = F.concat_ws(".", *((_draw(hexed, F.lit(i), 254 if i in (1, 4) else 256) + (1 if i in (1, 4) else 0)).cast("string") for i in range(1, 5)))
+    iban = F.concat(F.substring(canon, 1, 2), F.lpad((98 - _mod97(F.concat(varied, F.substring(canon, 1, 2), F.lit("00")))).cast("string"), 2, "0"), varied)
+    octets = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: let(F.when(i.isin(1, 4), 254).otherwise(256), lambda below: (_draw(hexed, i, below) + F.when(below == 254, 1).otherwise(0)).cast("string")))
     ip6 = _hex_alike(F.when(wider > 0, F.lit(":".join(["0000"] * 8))).otherwise(canon), F.concat(hexed, F.sha2(hexed, 512)))
-    out = F.when(kind == "email", email).when(kind == "key", key).when(kind == "secret", secret).when(kind == "card", card).when(kind == "phone", phone)
-    out = out.when(kind == "ssn", ssn).when(kind == "iban", iban).when(kind == "ip", ip).when(kind == "ip6", ip6)
-    for (script, part, gender), endings in ENDINGS.items():
-        pairs = lambda first, count, s=SYLLABLES[script]: F.concat(*(_pick(x, hexed, F.lit(first + i)) for i, x in enumerate(s * count)))
+    out = F.when(kind == "email", email).when(kind == "key", F.concat(F.substring(canon, 1, 4), varied)).when(kind == "secret", secret).when(kind == "card", card).when(kind == "phone", phone)
+    out = out.when(kind == "ssn", varied).when(kind == "iban", iban).when(kind == "ip", F.array_join(octets, ".")).when(kind == "ip6", ip6)
+
+    def name(script: str) -> Column:
+        pairs = lambda first, count: _spelled(SYLLABLES[script], hexed, first, 2 * count)
         more = F.when(wider > 1, pairs(8, 4)).when(wider > 0, pairs(8, 2)).otherwise(F.lit(""))
-        out = out.when(kind == f"{part}_{script}_{gender}", F.concat(pairs(1, 3), more, F.array(*map(F.lit, endings))[_draw(hexed, F.lit(7), len(endings))]))
+        ending = F
+        for (of, part, gender), endings in ENDINGS.items():
+            if of == script:
+                ending = ending.when(kind == f"{part}_{script}_{gender}", F.array(*map(F.lit, endings)))
+        return F.concat(pairs(1, 3), more, let(ending, lambda e: F.get(e, _draw(hexed, F.lit(7), F.size(e)))))
+
+    for script in SYLLABLES:
+        out = out.when(kind.contains(f"_{script}_"), name(script))
     return out
 
 
@@ -215,8 +263,8 @@ def kind_of(entity: Column) -> Column:
     """The type of what the patterns found; null for digits that are no card number."""
     plain = lambda name: entity.rlike(f"^(?:{PATTERNS[name]})$")
     return (
-        F.when(entity.contains("@"), "email").when(plain("key"), "key").when(entity.rlike(f"^{TITLE}"), "name").when(plain("ip"), "ip")
-        .when(entity.rlike("^[0-9]{16}$"), F.when((_luhn(entity, 0) % 10 == 0), "card")).when(plain("card"), "card").when(plain("ssn"), "ssn").when(plain("phone"), "phone")
+        F.when(entity.contains("@") & plain("email"), "email").when(plain("key"), "key").when(entity.rlike(f"^{TITLE}"), "name").when(plain("ip"), "ip")
+        .when(entity.rlike("^[0-9]{16}$"), F.when((_luhn(entity, 0) % 10 == 0), "card")).when(plain("card"), "card").when(entity.rlike("^(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{9})$"), "ssn").when(plain("phone"), "phone")
         .when(plain("iban"), "iban").when(plain("ip6"), "ip6").otherwise("secret")
     )
 
@@ -225,19 +273,26 @@ def entity(found: Column) -> Column:
     """Prefix (a title), and parts (kind, value, canon, after) that are replaced one by one; none of what is no entity."""
 
     def by_kind(kind: Column) -> Column:
-        prefix = F.when(kind == "name", F.regexp_extract(found, f"^{TITLE}", 0)).when(kind.isNull(), found).otherwise(F.lit(""))
+        prefix = F.when(kind == "name", F.regexp_extract(found, f"^{TITLE}", 0)).when(kind == "secret", F.regexp_extract(found, f"^(?:{SERVICES})", 0)).when(kind.isNull(), found).otherwise(F.lit(""))
         script = F.when(found.rlike(r"\p{IsCyrillic}$"), "cyrillic").otherwise("latin")
-        gender = F.when(found.rlike(rf"^(?:{MALE})\.? "), "m").otherwise("f")
+        gender = F.when(found.rlike(rf"^(?:{MALE}|{LOUD_MALE})\.? "), "m").otherwise("f")
         names = F.split(F.regexp_replace(found, f"^{TITLE}", ""), " ")
 
-        def piece(name: Column, i: Column) -> Column:
-            given = (F.size(names) == 2) & (i == 0)
-            named = F.when(given, F.concat(F.lit("given_"), script, F.lit("_"), gender)).otherwise(F.concat(F.lit("surname_"), script, F.lit("_"), F.when(script == "cyrillic", gender).otherwise(F.lit(""))))
-            halves = F.split(name, "-")
-            return F.transform(halves, lambda w, j: F.struct(named.alias("kind"), w.alias("value"), F.lower(w).alias("canon"), F.when(j < F.size(halves) - 1, "-").when(i < F.size(names) - 1, " ").otherwise("").alias("after")))
+        def pieces_of(words: Column) -> Column:
+            proper = F.filter(F.transform(words, lambda w, i: F.when(w.rlike(rf"^\p{{Lu}}(?!\.$)") & ~w.rlike(rf"^(?:{PARTICLES})$"), i)), lambda i: i.isNotNull())
+
+            def piece(name: Column, i: Column, first: Column) -> Column:
+                given = (F.size(first) > 1) & (i == first[0])
+                named = F.when(given, F.concat(F.lit("given_"), script, F.lit("_"), gender)).otherwise(F.concat(F.lit("surname_"), script, F.lit("_"), F.when(script == "cyrillic", gender).otherwise(F.lit(""))))
+                kind_ = F.when(name.rlike(r"^\p{Lu}\.$"), "initial").when(~name.rlike(r"^\p{Lu}"), "kept").otherwise(named)
+                halves = F.when(kind_ == "initial", F.array(name)).otherwise(F.split(name, "-"))
+                return let(kind_, lambda k: F.transform(halves, lambda w, j: F.struct(k.alias("kind"), w.alias("value"), F.lower(w).alias("canon"), F.when(j < F.size(halves) - 1, "-").when(i < F.size(words) - 1, " ").otherwise("").alias("after"))))
+
+            return let(proper, lambda first: F.flatten(F.transform(words, lambda name, i: piece(name, i, first))))
 
-        one = F.array(F.struct(kind.alias("kind"), found.alias("value"), canonical(kind, found).alias("canon"), F.lit("").alias("after")))
-        return F.struct(prefix.alias("prefix"), F.when(kind == "name", F.flatten(F.transform(names, piece))).when(kind.isNull(), F.slice(one, 1, 0)).otherwise(one).alias("parts"))
+        body = F.substring(found, F.length(prefix) + 1, F.length(found))
+        one = F.array(F.struct(kind.alias("kind"), body.alias("value"), canonical(kind, body).alias("canon"), F.lit("").alias("after")))
+        return F.struct(prefix.alias("prefix"), F.when(kind == "name", let(names, pieces_of)).when(kind.isNull(), F.slice(one, 1, 0)).otherwise(one).alias("parts"))
 
     return let(kind_of(found), by_kind)
 
@@ -274,6 +329,15 @@ def attempts(units: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     raise ValueError("an entity type has more members than its surrogate format can tell apart")
 
 
+def rotated(value: Column, key: str) -> Column:
+    """An initial moved on in its alphabet, by a number of steps that the key gives: never itself, no two alike."""
+    out = value
+    for name, letters in (("latin", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("cyrillic", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ")):
+        by = 1 + int(sha256(f"{key}\x1finitial\x1f{name}".encode()).hexdigest(), 16) % (len(letters) - 1)
+        out = F.translate(out, letters, letters[by:] + letters[:by])
+    return out
+
+
 def secret_key(spark: SparkSession) -> str:
     key = spark.conf.get(KEY_SETTING, None)
     if not key:
@@ -287,7 +351,7 @@ def replace_entities(docs: DataFrame, key: str | None = None, counted: str | Non
     # generated, so that no filter or projection has the texts cut again
     cuts = docs.select(F.xxhash64("text").alias("_text"), F.explode(F.array(pieces(F.col("text")))).alias("_cut")).where(F.size("_cut") > 1)
     parts = F.flatten(F.transform(entities(F.col("_cut")), lambda e: e["parts"]))
-    found = staged(cuts.select("_text", F.explode(F.array(parts)).alias("_parts")).select("_text", F.explode("_parts").alias("p")).select("_text", "p.kind", "p.canon"))
+    found = staged(cuts.select("_text", F.explode(F.array(parts)).alias("_parts")).select("_text", F.explode("_parts").alias("p")).select("_text", "p.kind", "p.canon").where(~F.col("kind").isin(UNTOLD)))
     again = staged(attempts(found.select("kind", "canon"), key))
     few = again.count()
     mark = uuid.uuid4().hex  # clash with no column
@@ -300,7 +364,8 @@ def replace_entities(docs: DataFrame, key: str | None = None, counted: str | Non
     attempt = (lambda p: F.coalesce(F.try_element_at(F.col(tries), F.concat_ws("\x1f", p["kind"], p["canon"])), F.lit(0))) if few else lambda p: F.lit(0)
 
     def shown(p: Column) -> Column:
-        return let(attempt(p), lambda n: let(digest(p["kind"], p["canon"], n, key), lambda h: let(surrogate(p["kind"], p["canon"], h, F.floor(n / WIDEN)), lambda f: rendered(p["kind"], p["value"], f))))
+        told = let(attempt(p), lambda n: let(digest(p["kind"], p["canon"], n, key), lambda h: let(surrogate(p["kind"], p["canon"], h, F.floor(n / WIDEN)), lambda f: rendered(p["kind"], p["value"], f))))
+        return F.when(p["kind"] == "kept", p["value"]).when(p["kind"] == "initial", rotated(p["value"], key)).otherwise(told)
 
     def replaced(e: Column) -> Column:
         return F.struct(e["prefix"].alias("prefix"), F.transform(e["parts"], lambda p: F.struct(p["kind"].alias("kind"), p["value"].alias("value"), p["after"].alias("after"), shown(p).alias("shown"))).alias("parts"))
