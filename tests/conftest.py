@@ -13,7 +13,8 @@ def spark():
     session = (
         SparkSession.builder.master("local[4]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "3g").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "3g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
