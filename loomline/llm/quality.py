@@ -7,10 +7,11 @@ four-grams (2^20 buckets a kind, averaged over the text, so length does not
 count), trained on labelled rows and calibrated by Platt's method on rows that
 training did not see.  Scoring runs in Arrow batches; the threshold is fixed.
 
-Training takes at most TRAIN_ROWS labelled ids, those of smallest hash, and
-fewer only if their texts have more than TRAIN_FEATURES features together: then
-the first in hash order, whatever their lengths.  These reach the driver;
-everything else covers all documents.
+Training takes at most TRAIN_ROWS labelled ids, those of smallest hash, whatever
+the lengths of their texts.  Each of them reaches the driver as a vector of at most
+TEXT_FEATURES features: of a text with more, those of smallest hash (the same ones in
+all texts), scaled to the sum of all.  Everything else, scoring too, covers all
+documents and all features.
 
 Defined results: a null or empty text has no words and fails the rules; a null
 doc_id is kept as null; repeated rows are each scored; an id with several
@@ -36,8 +37,8 @@ from .textkernel import Words, mix64, window_hash, window_starts
 
 #: Labelled ids that the classifier is trained and calibrated on, at most.
 TRAIN_ROWS = 2000
-#: Distinct features of all training texts together, at most, but for a single text.
-TRAIN_FEATURES = 4_000_000
+#: Distinct features of one training text that the fit sees, at most.
+TEXT_FEATURES = 3072
 CHAR_GRAM = 4
 THRESHOLD = 0.5
 MIN_WORDS = 50
@@ -98,10 +99,20 @@ def features(data: np.ndarray, offsets: np.ndarray, words: Words) -> Iterator[tu
         yield where, what + (kind << BITS), np.maximum(1, np.bincount(where, minlength=rows))
 
 
+def sketch(name: np.ndarray, value: np.ndarray, most: int = TEXT_FEATURES) -> tuple[bytes, bytes]:
+    """At most `most` of one text's features, those of smallest hash, with the sum of all."""
+    if len(name) > most:
+        keep = np.sort(np.argpartition(mix64(name.astype(np.uint64)), most)[:most])
+        name, value = name[keep], value[keep] * np.float32(value.sum() / value[keep].sum())
+    return name.tobytes(), value.astype(np.float32).tobytes()
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """label, feature numbers and values of the sample; one row an id."""
     sample = staged(labelled_sample(labels.where("quality is not null"), rows).select(F.col("doc_id").alias("_id"), F.col("quality").alias("_label")))
 
+    most = TEXT_FEATURES
+
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def of(data: np.ndarray, offsets: np.ndarray) -> list[list[bytes]]:
             found = [(w, b, (1 / n)[w]) for w, b, n in features(data, offsets, Words(data, offsets))]
@@ -110,7 +121,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
             total = np.bincount(inverse, value, minlength=len(key)).astype(np.float32)
             cut = np.searchsorted(key // SIZE, np.arange(len(offsets)))
             name = (key % SIZE).astype(np.uint32)
-            return [[x[cut[i] : cut[i + 1]].tobytes() for i in range(len(offsets) - 1)] for x in (name, total)]
+            return [list(x) for x in zip(*(sketch(name[a:b], total[a:b], most) for a, b in zip(cut[:-1], cut[1:], strict=True)), strict=True)] or [[], []]
 
         for batch, (name, value) in by_slice(of, 0)(batches):
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(name, pa.binary()), pa.array(value, pa.binary())], ["id", "label", "name", "value"])
@@ -124,14 +135,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
 def fit(docs: DataFrame, labels: DataFrame, epochs: int = 60) -> Model | None:
     """Full-batch logistic regression with Adam; a fifth of the sample calibrates it."""
     made = staged(training_rows(docs, labels))
-    # sizes first (TRAIN_ROWS pairs at most), so that what is fetched is bounded however long texts are
-    chosen, total = [], 0
-    for r in made.select("id", (F.octet_length("name") / 4).cast("long").alias("n")).orderBy(F.xxhash64("id")).collect():
-        total += r.n
-        if total > TRAIN_FEATURES and chosen:
-            break
-        chosen.append(r.id)
-    found = made.where(F.col("id").isin(chosen)).orderBy(F.xxhash64("id")).collect()
+    # TRAIN_ROWS rows of bounded size
+    found = made.orderBy(F.xxhash64("id")).collect()
     y = np.array([r.label for r in found], np.float32)
     held = np.arange(len(found)) % 5 == 4
     if not len(found) or any(len(set(y[m].tolist())) < 2 for m in (held, ~held)):

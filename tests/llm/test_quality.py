@@ -79,13 +79,20 @@ def test_verdicts_equal_a_plain_version(spark):
         assert abs(p - r.p_good) < 1e-6 and (abs(p - 0.5) < 1e-6 or r.kept == (not r.base_failed and p >= 0.5))
 
 
-def test_training_takes_rows_in_hash_order_whatever_their_length(spark, monkeypatch):
-    rows = [(i, " ".join(f"{'ab'[i % 2]}{j % 50}" for j in range(3000 if i % 3 == 0 else 60)), i % 2, 0) for i in range(120)]
+def test_training_takes_all_rows_whatever_their_length(spark, monkeypatch):
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{j % 900}" for j in range(3000 if i % 3 == 0 else 60)), i % 2) for i in range(120)]
     docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2], 0) for r in rows], "doc_id long, quality int, toxic int")
-    monkeypatch.setattr(module, "TRAIN_FEATURES", 9000)
+    whole = {r.id: r for r in module.training_rows(docs, labels).collect()}
+    monkeypatch.setattr(module, "TEXT_FEATURES", 500)
+    some = {r.id: r for r in module.training_rows(docs, labels).collect()}
+    assert len(some) == len(whole) == 120 and fit(docs, labels) is not None
+    for i, r in some.items():
+        name, value = np.frombuffer(r.name, np.uint32), np.frombuffer(r.value, np.float32)
+        every, all_values = np.frombuffer(whole[i].name, np.uint32), np.frombuffer(whole[i].value, np.float32)
+        order = np.argsort(module.mix64(every.astype(np.uint64)))[:500]
+        assert set(name.tolist()) == set(every[order].tolist()) and abs(value.sum() - all_values.sum()) < 1e-3
+    monkeypatch.setattr(module, "TEXT_FEATURES", 1)
     assert fit(docs, labels) is not None
-    monkeypatch.setattr(module, "TRAIN_FEATURES", 1)
-    assert fit(docs, labels) is None  # a single text has no two classes
 
 
 def test_no_labels_or_rows(spark):
