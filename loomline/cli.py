@@ -57,12 +57,13 @@ def crawl(store: Store, load: Callable[[], Callable[[str], dict]], limit: int =
     got = checkpointed(fetch_pages(batch, load).join(batch, "url").withColumn("created_at", now))
     ok = F.col("success") & F.col("content").isNotNull()
     pages = got.where(ok).select(F.col("id").alias("url_id"), "url", "content", "created_at")
-    store.write("raw_pages", mutations.upsert_raw_pages(store.read("raw_pages"), pages, now))
+    store.update("raw_pages", lambda rows: mutations.upsert_raw_pages(rows, pages, now))
     articles = mutations.articles_from_pages(pages, title(F.col("content")), F.col("content"))
     store.append("articles", mutations.insert_new(store.read("articles"), articles))
     ended = got.select(F.col("id").alias("url_id"), F.when(ok, "completed").otherwise("error").alias("status"), F.when(~ok, F.coalesce("error", F.lit("no content"))).alias("error"), F.lit(1).alias("seq"))
     begun = batch.select(F.col("id").alias("url_id"), F.lit("crawling").alias("status"), F.lit(None).cast("string").alias("error"), F.lit(0).alias("seq"))
-    store.write("discovered_urls", mutations.apply_transitions(urls, begun.unionByName(ended), now))
+    # what was queued during the fetch stays: states are put on the table as it then is
+    store.update("discovered_urls", lambda rows: mutations.apply_transitions(rows, begun.unionByName(ended), now))
     return tried
 
 
@@ -88,7 +89,7 @@ def client(name: str) -> Callable[[], Callable[[str], dict]]:
 def rebuild(store: Store) -> dict[str, bool]:
     """Empty all tables, make those that are missing, and tell of each whether it is there, empty and of its schema."""
     for table in TABLES:
-        store.write(table, store.spark.createDataFrame([], TABLES[table]))
+        store.update(table, lambda _, table=table: store.spark.createDataFrame([], TABLES[table]))
     found = {table: store.read(table) for table in TABLES}
     return {table: store.exists(table) and rows.columns == TABLES[table].names and not rows.limit(1).count() for table, rows in found.items()}
 

@@ -40,13 +40,19 @@ def robots_summary(files: DataFrame, agent: str = "*") -> DataFrame:
 def robots_allowed(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """urls with `allowed`: the longest rule that begins the path decides, allow on a tie, else allowed.
 
-    Rules are gathered by domain (a robots file has few), and each URL looks
-    through its domain's list: one join on domain and no pair is emitted."""
-    listed = rules.groupBy(F.col("domain").alias("_domain")).agg(F.collect_set(F.struct("path", "allow")).alias("_rules"))
-    joined = urls.join(listed, domain(F.col(url)) == F.col("_domain"), "left")
-    hits = F.filter("_rules", lambda r: url_path(F.col(url)).startswith(r["path"]))
-    best = F.array_max(F.transform(hits, lambda r: F.struct(F.length(r["path"]).alias("n"), r["allow"].alias("allow"))))
-    return joined.withColumn("allowed", F.coalesce(best["allow"], F.lit(True))).drop("_domain", "_rules")
+    Each path is cut at the lengths that rules of its domain have, and these prefixes
+    meet the rules in one equal join on (domain, prefix): no URL looks through a list
+    of rules, however many a host has, and a host's rules and prefixes are spread over
+    tasks.  A path is looked up once however many URLs have it."""
+    path, host = url_path(F.col(url)), domain(F.col(url))
+    known = rules.groupBy(F.col("domain").alias("_domain"), F.col("path").alias("_prefix")).agg(F.max("allow").alias("_allow"))
+    lengths = known.groupBy("_domain").agg(F.collect_set(F.length("_prefix")).alias("_lengths"))  # as many as the longest path has characters, at most
+    cut = F.transform(F.filter("_lengths", lambda n: n <= F.length("_path")), lambda n: F.substring(F.col("_path"), F.lit(1), n))
+    asked = urls.select(host.alias("_domain"), path.alias("_path")).distinct().join(lengths, "_domain")
+    met = asked.select("_domain", "_path", F.explode(cut).alias("_prefix")).join(known, ["_domain", "_prefix"])
+    best = met.groupBy("_domain", "_path").agg(F.max_by("_allow", F.length("_prefix")).alias("_best"))
+    joined = urls.join(best, (host == F.col("_domain")) & (path == F.col("_path")), "left")
+    return joined.withColumn("allowed", F.coalesce("_best", F.lit(True))).drop("_domain", "_path", "_best")
 
 
 def delay_gate(summary: DataFrame, min_delay: float = 0.5) -> DataFrame:

@@ -16,8 +16,9 @@ from loomline.functions import text as X
 from loomline.functions.vectors import cosine, hash_embed
 from loomline.operators import chunkers, frontier, mutations
 from loomline.operators import warehouse as W
-from loomline.plans import chunk_sql, retrieval, table_functions
+from loomline.plans import chunk_sql, ivf, retrieval, table_functions
 from loomline.schemas import violations
+from loomline.sources.work import fresh_path
 from loomline.streaming import control, queue
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -366,6 +367,13 @@ def lsh_search(spark, sf_dir):
     return retrieval.lsh_search(retrieval.lsh_index(e, bits=4, tables=24), e.where("id % 100 = 0"), 10, bits=4, tables=24)
 
 
+@query()
+def ivf_search(spark, sf_dir):
+    e = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    ivf.build(e, path := fresh_path(spark), 64)
+    return _rounded(ivf.Index(spark, path).search(e.where("id % 100 = 0")), "similarity")
+
+
 @query()
 def chunk_and_embed(spark, sf_dir):
     return retrieval.chunk_and_embed(warehouse(spark, sf_dir, "articles")[0], "sentence", chunkers.Config(language="en"), 64)
@@ -377,17 +385,17 @@ def process_new_articles(spark, sf_dir):
     return retrieval.process_new(articles.select("id", "content"), chunks, None, kind="sliding_window", dimensions=64)
 
 
-def _called(name: str, call: str, *times: str, rounded: tuple[str, ...] = ()):
+def _called(name: str, call: str, *times: str, rounded: tuple[str, ...] = (), sql: str = "{}"):
     """The query `name`, as a call of a table function in SQL text."""
 
-    @query(ORACLE_SQL[name], name=f"sql_{name}")
+    @query(sql.format(ORACLE_SQL[name]), name=f"sql_{name}")
     def run(spark, sf_dir):
         names = (*_THREE, "sitemaps")
         table_functions.register(spark, "BIGINT", **dict(zip(names, warehouse(spark, sf_dir, *names), strict=True)))
         return _rounded(_shown(spark.sql(f"SELECT * FROM {call}"), *times), *rounded)
 
 
-_called("db_stats", "get_db_stats()")
+_called("db_stats", "get_db_stats()", sql="SELECT *, NULL::VARCHAR AS table_size FROM ({})")  # the fixtures are plans, without files of their own
 _called("domain_stats", "get_domain_stats()")
 _called("crawl_progress", "get_crawl_progress()")
 _called("data_integrity", "check_data_integrity()")
@@ -478,33 +486,39 @@ def numbered_documents(spark, sf_dir):
 
 # Frontier
 
-_ROBOTS = """User-agent: other
-Disallow: /
-User-agent: *
-Disallow: /en
-Allow: /en/1
-Disallow: /fr/2
-Disallow:
-Crawl-delay: soon
-Crawl-delay: 3
-Sitemap: https://x.example/sitemap.xml"""
+#: A robots file of each host, with rules for the paths of its own pages: directories of odd pages are closed but
+#: for pages of numbers that end in 7; every third host wants a delay of 1 to 40 seconds.
+_DIRECTORY = r"^(.*/)[^/]*$"
 
 
 def _robots_files(spark, sf_dir):
-    hosts = _read(spark, sf_dir, "pages").select(X.domain(F.col("url")).alias("domain")).distinct()
-    return hosts.withColumn("text", F.lit(_ROBOTS))
+    pages = _read(spark, sf_dir, "pages").select("page_id", X.domain(F.col("url")).alias("domain"), X.url_path(F.col("url")).alias("path"))
+    closed = F.when(F.col("page_id") % 2 == 1, F.concat(F.lit("Disallow: "), F.regexp_extract("path", _DIRECTORY, 1)))
+    opened = F.when(F.col("page_id") % 10 == 7, F.concat(F.lit("allow : "), "path"))
+    number = F.pmod(F.min("page_id"), F.lit(40))
+    rules = F.concat(F.array(F.lit("User-agent: other"), F.lit("Disallow: /"), F.lit("User-agent: *"), F.lit("Disallow:"), F.lit("Crawl-delay: soon")), F.array_distinct(F.concat(F.collect_list(closed), F.collect_list(opened))))
+    delay = F.when(number % 3 == 0, F.concat(F.lit("Crawl-delay: "), (number + 1).cast("string"))).otherwise("# none")
+    lines = F.concat(rules, F.array(delay, F.concat(F.lit("Sitemap: https://"), "domain", F.lit("/sitemap.xml"))))
+    return pages.groupBy("domain").agg(F.array_join(lines, "\n").alias("text"))
+
+
+_PATHS = r"""p AS (SELECT page_id, url, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1) AS domain, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS raw FROM pages),
+    u AS (SELECT page_id, url, domain, CASE WHEN raw = '' THEN '/' ELSE raw END AS path FROM p)"""
 
 
 @query(
-    r"""WITH p AS (SELECT page_id, url, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path FROM pages), r(rule, allow) AS (VALUES ('/en', false), ('/en/1', true), ('/fr/2', false)),
-    best AS (SELECT page_id, max_by(allow, len(rule) * 2 + allow::INT) AS allow FROM p JOIN r ON starts_with(CASE WHEN path = '' THEN '/' ELSE path END, rule) GROUP BY page_id)
-    SELECT p.page_id, p.url, coalesce(allow, true) AS allowed FROM p LEFT JOIN best USING (page_id)"""
+    f"""WITH {_PATHS}, r AS (SELECT DISTINCT domain, trim(regexp_extract(path, '^(.*/)[^/]*$', 1)) AS rule, false AS allow FROM u WHERE page_id % 2 = 1 UNION SELECT DISTINCT domain, trim(path), true FROM u WHERE page_id % 10 = 7),
+    best AS (SELECT page_id, max_by(allow, len(rule) * 2 + allow::INT) AS allow FROM u JOIN r USING (domain) WHERE rule <> '' AND starts_with(path, rule) GROUP BY page_id)
+    SELECT u.page_id, u.url, coalesce(allow, true) AS allowed FROM u LEFT JOIN best USING (page_id)"""
 )
 def robots_allowed(spark, sf_dir):
     return frontier.robots_allowed(_read(spark, sf_dir, "pages").select("page_id", "url"), frontier.robots_rules(_robots_files(spark, sf_dir)))
 
 
-@query("SELECT DISTINCT regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1) AS domain, true AS accepted, 3.0::DOUBLE AS min_delay, 1::BIGINT AS n_sitemaps FROM pages")
+@query(
+    f"""WITH {_PATHS}, d AS (SELECT domain, min(page_id) % 40 AS k FROM u GROUP BY domain), w AS (SELECT domain, CASE WHEN k % 3 = 0 THEN k + 1 ELSE 0 END AS wanted FROM d)
+    SELECT domain, wanted <= 30 AS accepted, greatest(wanted, 0.5)::DOUBLE AS min_delay, 1::BIGINT AS n_sitemaps FROM w"""
+)
 def robots_delays(spark, sf_dir):
     summary = frontier.robots_summary(_robots_files(spark, sf_dir))
     return frontier.delay_gate(summary).join(summary.select("domain", F.size("sitemaps").cast("long").alias("n_sitemaps")), "domain")
@@ -522,12 +536,22 @@ def sitemap_closure(spark, sf_dir):
     return frontier.sitemap_closure(links, spark.sql("SELECT 'https://s.example/0' AS url"))
 
 
-@query("SELECT 'https://m.example/' || page_id // 100 AS source, url AS loc, CASE WHEN page_id % 3 = 0 THEN 0.5::DOUBLE END AS priority, false AS nested FROM pages WHERE lower(url) NOT LIKE '%.xml' AND lower(url) NOT LIKE '%sitemap%'")
+@query(
+    """SELECT 'https://m.example/' || page_id // 100 AS source, url AS loc, CASE WHEN page_id % 3 = 0 THEN 0.5::DOUBLE END AS priority, (page_id // 100) % 4 = 3 OR lower(url) LIKE '%.xml' OR lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)) LIKE '%sitemap%' AS nested FROM pages
+    UNION ALL SELECT 'https://m.example/' || page_id // 100, 'https://m.example/part-' || page_id || '.XML', NULL, true FROM pages WHERE page_id % 7 = 0"""
+)
 def sitemap_entries(spark, sf_dir):
-    pages = _read(spark, sf_dir, "pages").select("page_id", F.regexp_replace(F.regexp_replace("url", "&", "&amp;"), "<", "&lt;").alias("u"))
-    item = F.concat(F.lit("<url><loc> "), "u", F.lit(" </loc>"), F.when(F.col("page_id") % 3 == 0, "<priority>0.5</priority>").otherwise(""), F.lit("</url>"))
-    files = pages.groupBy(F.concat(F.lit("https://m.example/"), F.floor(F.col("page_id") / 100).cast("string")).alias("url")).agg(F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), F.array_join(F.collect_list(item), ""), F.lit("</urlset>")).alias("xml"))
-    return frontier.sitemap_entries(files).where("not nested").select("source", "loc", "priority", "nested")
+    """Files of a hundred pages each, every fourth an index; some list a file of their own beside the pages."""
+    pages = _read(spark, sf_dir, "pages").select("page_id", F.floor(F.col("page_id") / 100).alias("file"), F.regexp_replace(F.regexp_replace("url", "&", "&amp;"), "<", "&lt;").alias("u"))
+    index = F.col("file") % 4 == 3
+    tag = F.when(index, "sitemap").otherwise("url")
+    entry = lambda loc, more: F.concat(F.lit("<"), tag, F.lit("><loc> "), loc, F.lit(" </loc>"), more, F.lit("</"), tag, F.lit(">"))
+    own = F.when(F.col("page_id") % 7 == 0, entry(F.concat(F.lit("https://m.example/part-"), F.col("page_id").cast("string"), F.lit(".XML")), F.lit(""))).otherwise("")
+    item = F.concat(entry(F.col("u"), F.when(F.col("page_id") % 3 == 0, "<priority>0.5</priority>").otherwise("")), own)
+    root = F.when(F.first("file") % 4 == 3, "sitemapindex").otherwise("urlset")
+    xml = F.concat(F.lit("<"), root, F.lit(' xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), F.array_join(F.collect_list(item), ""), F.lit("</"), root, F.lit(">"))
+    files = pages.groupBy("file").agg(xml.alias("xml")).select(F.concat(F.lit("https://m.example/"), F.col("file").cast("string")).alias("url"), "xml")
+    return frontier.sitemap_entries(files).select("source", "loc", "priority", "nested")
 
 
 # Control and events
@@ -568,3 +592,13 @@ def event_rates(spark, sf_dir):
 def token_bucket(spark, sf_dir):
     log = _read(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("host"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("request_id"))
     return _rounded(control.limit_requests(log), "wait")
+
+
+@query(
+    """WITH RECURSIVE e AS MATERIALIZED (SELECT user_id AS host, event_id AS request_id, epoch_us(ts) AS asked, (1 + user_id % 5) * 60000000 AS gap, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+    walk AS (SELECT host, request_id, i, asked, asked AS release FROM e WHERE i = 1 UNION ALL SELECT e.host, e.request_id, e.i, e.asked, greatest(e.asked, w.release + e.gap) FROM walk w JOIN e ON e.host = w.host AND e.i = w.i + 1)
+    SELECT host, request_id, asked, release FROM walk"""
+)
+def release_times(spark, sf_dir):
+    log = _read(spark, sf_dir, "events").select(F.col("user_id").alias("host"), F.col("event_id").alias("request_id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("asked"))
+    return control.release_times(log, (1 + F.col("host") % 5) * 60_000_000)

@@ -7,10 +7,12 @@ inlined into its query, so filters and pruning reach the scans."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loomline.functions.text import pretty_size
 from loomline.operators.warehouse import CHECKS
 
-_SHARE = "CAST(round(count_if(crawl_status = 'completed') * 100.0D / count(*), 2) AS DOUBLE)"
+_SHARE = "CAST(if(count(*) > 0, round(count_if(crawl_status = 'completed') * 100.0D / if(count(*) > 0, count(*), 1), 2), 0) AS DOUBLE)"
 
 #: Articles and chunks are counted before they are joined; a URL without article or chunk still is one row.
 _DOMAINS = """
@@ -35,11 +37,11 @@ _LIKENESS = (
 
 #: Name: (parameters, columns, body).
 FUNCTIONS: dict[str, tuple[str, str, str]] = {
-    "get_db_stats": ("", "table_name STRING, row_count BIGINT", " UNION ALL ".join(f"SELECT '{t}', count(*) FROM {t}" for t in ("article_chunks", "articles", "discovered_urls", "sitemaps"))),
+    "get_db_stats": ("", "table_name STRING, row_count BIGINT, table_size STRING", " UNION ALL ".join(f"SELECT '{t}', count(*), {{{t}}} FROM {t}" for t in ("article_chunks", "articles", "discovered_urls", "sitemaps"))),
     "get_domain_stats": ("", "domain STRING, total_urls BIGINT, crawled_urls BIGINT, pending_urls BIGINT, error_urls BIGINT, total_articles BIGINT, total_chunks BIGINT, crawl_success_rate DOUBLE", _DOMAINS),
     "get_crawl_progress": (
         "", "total_discovered BIGINT, total_crawled BIGINT, total_pending BIGINT, total_errors BIGINT, total_articles BIGINT, total_chunks BIGINT, avg_chunks_per_article DOUBLE, progress_percentage DOUBLE",
-        f"""SELECT d.*, a.n, c.n, round(CAST(c.n AS DOUBLE) / nullif(a.n, 0), 2), share
+        f"""SELECT d.*, a.n, c.n, coalesce(round(CAST(c.n AS DOUBLE) / nullif(a.n, 0), 2), 0.0D), share
         FROM (SELECT count(*), count_if(crawl_status = 'completed'), count_if(crawl_status = 'pending'), count_if(crawl_status = 'error') FROM discovered_urls) d,
         (SELECT count(*) AS n FROM articles) a, (SELECT count(*) AS n FROM article_chunks) c, (SELECT {_SHARE} AS share FROM discovered_urls)""",
     ),
@@ -59,10 +61,15 @@ FUNCTIONS: dict[str, tuple[str, str, str]] = {
 }
 
 
-def register(spark: SparkSession, ids: str = "STRING", **tables: DataFrame) -> None:
-    """Make the table functions callable from SQL, after the given tables have become views. `ids` is the type of ids."""
+def register(spark: SparkSession, ids: str = "STRING", sizes: dict[str, int] | None = None, **tables: DataFrame) -> None:
+    """Make the table functions callable from SQL, after the given tables have become views.
+
+    `ids` is the type of ids; sizes are the tables' bytes (`Store.sizes`) when the functions are made, unknown ones null."""
     for name, rows in tables.items():
         rows.createOrReplaceTempView(name)
+    held = spark.range(1).select(*(pretty_size(F.lit(n)).alias(t) for t, n in (sizes or {}).items())).first().asDict() if sizes else {}
     for name, (parameters, columns, body) in FUNCTIONS.items():
+        if name == "get_db_stats":
+            body = body.format(**{t: f"'{held[t]}'" if t in held else "CAST(NULL AS STRING)" for t in ("article_chunks", "articles", "discovered_urls", "sitemaps")})
         typed = columns.replace("chunk_id BIGINT, article_id BIGINT", f"chunk_id {ids}, article_id {ids}")
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS TABLE({typed}) RETURN {body}")

@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, which driver and executors share."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return (folder or "/tmp/checkpoints").rstrip("/")
+
+
+def fresh_path(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df, written to the checkpoint folder that driver and executors share."""
+    """df, written to the checkpoint folder."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        context.setCheckpointDir(folder or "/tmp/checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -25,3 +38,15 @@ def spread(df: DataFrame) -> DataFrame:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if plan.toRdd().getNumPartitions() < cores else df
+
+
+def footers(spark: SparkSession, *paths: str) -> DataFrame:
+    """One row, the number of rows of Parquet files: the count is pushed down to their footers, no column is read."""
+    session = spark.newSession()  # these settings are its own
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(*paths).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def footer_count(spark: SparkSession, *paths: str) -> int:
+    return (footers(spark, *paths).first().row_count or 0) if paths else 0  # null for files without row groups

@@ -6,14 +6,17 @@ object drives the streaming operator in `streaming.queue`.
 
 from __future__ import annotations
 
+import uuid
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomline.sources.work import checkpointed
+
 #: Parts of host names that are asked less often, and how much.
 CAREFUL = ((("google", "amazon", "microsoft"), 2.0), (("news", "blog", "wiki"), 1.5))
 
@@ -129,6 +132,26 @@ def limit_requests(log: DataFrame, rate: Rate | None = None) -> DataFrame:
     return spread.mapInPandas(run, f"host {kinds['host']}, request_id {kinds['request_id']}, wait double")
 
 
+def release_times(requests: DataFrame, gap: Column, host: str = "host", at: str = "at", order: str = "request_id") -> DataFrame:
+    """requests with `release`: when each may be sent, `gap` after the one before it of its host, in order of (at, order).
+
+    at and gap are whole numbers of one unit, gap one a host.  release(i) = max(at(i), release(i - 1) + gap)
+    = i * gap + max over j <= i of (at(j) - j * gap), and maxima and counts of consecutive parts add up.  So
+    rows are ranged by (host, at, order), a host with a third of all rows over many tasks; each part is
+    scanned by itself, and only a row for each part of a host is brought together to carry on from."""
+    n, best, part = (f"_{x}_{uuid.uuid4().hex}" for x in ("n", "best", "part"))
+    ranged = checkpointed(requests.withColumn("_gap", gap.cast("long")).repartitionByRange(F.col(host), F.col(at), F.col(order)).withColumn(part, F.spark_partition_id()))
+    inside = Window.partitionBy(part, host).orderBy(at, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = ranged.withColumn(n, F.count(F.lit(1)).over(inside)).withColumn(best, F.max(F.col(at) - F.col(n) * F.col("_gap")).over(inside))
+    parts = ranged.select(part, host, at, order, "_gap").withColumn(n, F.count(F.lit(1)).over(inside)).groupBy(part, host, "_gap").agg(F.max(n).alias("_rows"), F.max(F.col(at) - F.col(n) * F.col("_gap")).alias("_most"))
+    earlier = Window.partitionBy(host).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # a row a part
+    placed = parts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    carried = placed.withColumn("_carry", F.max(F.col("_most") - F.col("_before") * F.col("_gap")).over(earlier)).select(F.col(part), F.col(host).alias("_host"), "_before", "_carry")
+    joined = scanned.join(carried, (scanned[part] == carried[part]) & scanned[host].eqNullSafe(F.col("_host"))).drop(carried[part])
+    release = (F.col("_before") + F.col(n)) * F.col("_gap") + F.greatest(F.col("_carry"), F.col(best) - F.col("_before") * F.col("_gap"))
+    return joined.withColumn("release", release).drop(n, best, part, "_gap", "_host", "_before", "_carry")
+
+
 def host_stats(log: DataFrame, now: Column, window: int = 60) -> DataFrame:
     """log(host, ts, ok): requests, failures, seconds since the last one, rate over the last `window` seconds."""
     age = now.cast("double") - F.col("ts").cast("double")

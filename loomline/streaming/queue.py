@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from loomline.sources.store import Store
+
 URL = T.StructType([T.StructField("url", T.StringType()), T.StructField("priority", T.DoubleType()), T.StructField("seen_at", T.TimestampType())])
 STATE = "crawl_status string, crawl_attempts int, last_at timestamp, error_message string"
 STATUS = f"url_id string, {STATE}"
@@ -67,6 +69,11 @@ def consume(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoin
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+def stored(store: Store, table: str, name: str, change: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> Callable[[DataFrame, int], None]:
+    """A sink for `consume` that appends each micro-batch of the stream `name` to a table exactly once: one that is run again adds nothing."""
+    return lambda rows, batch: (store.append(table, change(rows), batch=(name, batch)), None)[1]
+
+
 def event_rates(events: DataFrame, window: str = "1 hour", slide: str | None = None, delay: str = "10 minutes") -> DataFrame:
     """events(at, kind, ok): counts and success share by time window; the same plan runs on tables and streams."""
     timed = events.withWatermark("at", delay) if events.isStreaming else events

@@ -66,3 +66,26 @@ def test_closure_of_deep_sitemaps(spark):
     links = spark.createDataFrame([(f"s{i}", f"s{i + 1}") for i in range(60)] + [("s60", "s0")], "source string, loc string")
     got = {r.url: r.depth for r in sitemap_closure(links, spark.sql("SELECT 's0' AS url")).collect()}
     assert got == {f"s{i}": i for i in range(61)}
+
+
+def test_a_host_with_many_rules(spark):
+    import random
+
+    from loomline.operators.frontier import robots_allowed
+
+    rng = random.Random(6)
+    rules = [("h", rng.random() < 0.5, "/" + "".join(rng.choice("ab/") for _ in range(rng.randrange(13)))) for _ in range(10_000)] + [("g", False, "/")]
+    urls = [(i, f"https://{rng.choice('hhhhg')}/" + "".join(rng.choice("ab/") for _ in range(rng.randrange(16))) + rng.choice(("", "?q", "#f"))) for i in range(400)] + [(400, "https://k/x"), (401, None), (0, "https://h")]
+    best = {}
+    for host, allow, path in rules:
+        best[host, path] = best.get((host, path), False) or allow
+
+    def plain(url):
+        if url is None:
+            return True
+        host, _, path = url.removeprefix("https://").partition("/")
+        path = "/" + path.split("?")[0].split("#")[0]
+        return next((best[host, path[:n]] for n in range(len(path), 0, -1) if (host, path[:n]) in best), True)
+
+    out = robots_allowed(spark.createDataFrame(urls, "id int, url string"), spark.createDataFrame(rules, "domain string, allow boolean, path string"))
+    assert sorted(((r.id, r.url, r.allowed) for r in out.collect()), key=str) == sorted(((i, u, plain(u)) for i, u in urls), key=str)

@@ -2,6 +2,7 @@ import json
 import os
 import time
 
+import numpy as np
 import pytest
 
 from loomline.operators import mutations as M
@@ -68,19 +69,37 @@ def test_appends_add_files_and_writers_do_not_lose_each_other(spark, tmp_path):
     one.write("articles", rows("a"))
     before = {p.name for p in (tmp_path / "w" / "articles").glob("data-*")}
     assert two.append("articles", rows("b")) == 1 and before < {p.name for p in (tmp_path / "w" / "articles").glob("data-*")}
-    number = one._next("articles")
-    assert one._publish("articles", number, one._versions("articles")[-1][1]) and not two._publish("articles", number, [])
-    two._next = lambda table, f=two._next, seen=[]: (seen.append(1), number if len(seen) == 1 else f(table))[1]  # a stale look
+    with pytest.raises(Conflict):  # two's row came after what `one` last knew
+        one.write("articles", rows("z"))
+    assert sorted(r.id for r in one.read("articles").collect()) == ["a", "b"]
     assert two.append("articles", rows("c")) == 1
-    assert sorted(r.id for r in one.read("articles").collect()) == ["a", "b", "c"]
-    two._next = lambda table: number
-    with pytest.raises(Conflict):
-        two.write("articles", rows("z"))
-    assert one.count("articles") == 3
+    stale = one.read("articles")
+    assert one.append("articles", rows("x")) == 1
+    with pytest.raises(Conflict):  # its own append too
+        one.write("articles", stale)
+    one.update("articles", lambda t: t.where("id <> 'x'"))
+    seen = []
+
+    def meanwhile(t):
+        if not seen:
+            seen.append(two.append("articles", rows("d")))
+        return t
+
+    one.update("articles", meanwhile)  # goes round once more
+    assert sorted(r.id for r in one.read("articles").collect()) == ["a", "b", "c", "d"]
     one.compact("articles")
-    assert one.count("articles") == 3 and len(one._versions("articles")[-1][1]) == 1
-    (tmp_path / "w" / "articles" / f"v{one._next('articles'):08d}.json").write_text("[")  # a writer that failed
-    assert one.count("articles") == 3 and one.append("articles", rows("d")) == 1 and one.count("articles") == 4
+    assert one.count("articles") == 4 and len(one._newest("articles")[1]["folders"]) == 1
+    number = one._newest("articles")[0] + 1
+    assert one._claim("articles", number) and not two._claim("articles", number)  # a writer between its claim and its manifest
+    two.patience = 0.2
+    for attempt in (lambda: two.append("articles", rows("e")), lambda: two.write("articles", rows("e"))):
+        with pytest.raises(Conflict):
+            attempt()
+    assert one.count("articles") == 4
+    two.recover("articles")
+    two.read("articles")
+    assert two.append("articles", rows("e")) == 1
+    one.update("articles", lambda t: t.where("id <> 'e'"))
     sizes = W.table_sizes({"articles": one.size("articles")}, articles=one.read("articles"), none=rows()).collect()
     assert [(r.table_name, r.row_count, r.size_bytes > 0) for r in sizes] == [("articles", 4, True), ("none", 0, False)]
 
@@ -220,3 +239,113 @@ def test_cosine_forms_agree(spark):
     got = {r.id: (r.a, r.b) for r in df.where("id < 6").select("id", cosine(F.col("e"), literal([2.0, 4.0])).alias("a"), cosine_to(F.col("e"), [2.0, 4.0]).alias("b")).collect()}
     assert got[2] == (0.0, 0.0) and got[3] == (None, None) and got[4] == (None, None)
     assert all(abs(got[i][0] - got[i][1]) < 1e-12 for i in (1, 5)) and abs(got[1][1] - 1) < 1e-12
+
+
+def test_batches_are_appended_once(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/w")
+    rows = lambda *ids: spark.createDataFrame([(i, f"http://{i}") for i in ids], "id string, url string")
+    assert store.append("articles", rows("a"), batch=("q", 0)) == 1 and store.append("articles", rows("a"), batch=("q", 0)) == 0
+    assert store.append("articles", rows("b"), batch=("other", 0)) == 1
+    assert store.append("articles", rows("a").limit(0), batch=("q", 1)) == 0 and store.append("articles", rows("c"), batch=("q", 1)) == 0
+    store.compact("articles")
+    assert store.append("articles", rows("a"), batch=("q", 0)) == 0 and store.append("articles", rows("d"), batch=("q", 2)) == 1
+    assert sorted(r.id for r in store.read("articles").collect()) == ["a", "b", "d"]
+
+
+def test_a_stream_that_dies_between_write_and_commit_adds_nothing_twice(spark, tmp_path):
+    source, store = tmp_path / "in", Store(spark, f"file://{tmp_path}/w")
+    source.mkdir()
+    for i in range(3):
+        (source / f"{i}.json").write_text("".join(f'{{"url": "http://h/{i}/{j}"}}\n' for j in range(5)))
+    sink, died = Q.stored(store, "discovered_urls", "urls", lambda df: df.select(F.md5("url").alias("id"), "url")), []
+
+    def dies(df, batch):
+        sink(df, batch)
+        if batch == 1 and not died:
+            died.append(batch)
+            raise RuntimeError("killed after the write, before the commit")
+
+    for _ in range(2):
+        stream = Q.consume(Q.url_stream(spark, str(source), files_per_batch=1), dies, str(tmp_path / "ck"))
+        try:
+            stream.awaitTermination()
+        except Exception:  # noqa: BLE001
+            assert died
+    assert died and store.count("discovered_urls") == 15
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    from loomline.sources.work import footers
+
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    rows = footers(spark, str(tmp_path / "t"))
+    assert rows.first().row_count == 1000 and "PushedAggregation: [COUNT(*)]" in rows._jdf.queryExecution().executedPlan().toString()
+    store = Store(spark, f"file://{tmp_path}/w")
+    store.append("articles", spark.createDataFrame([("1", "x")], "id string, content string"))
+    assert store.count("articles") == 1 and store.count("sitemaps") == -1
+
+
+def test_table_functions_on_empty_tables(spark, tmp_path):
+    from loomline.plans import table_functions
+
+    empty = {t: spark.createDataFrame([], TABLES[t]) for t in ("articles", "article_chunks", "discovered_urls", "sitemaps")}
+    table_functions.register(spark, sizes={"articles": 20_000}, **empty)
+    call = lambda f: [tuple(r) for r in spark.sql(f"SELECT * FROM {f}").collect()]
+    assert call("get_crawl_progress()") == [(0, 0, 0, 0, 0, 0, 0.0, 0.0)] == [tuple(r) for r in W.crawl_progress(empty["discovered_urls"], empty["articles"], empty["article_chunks"]).collect()]
+    assert sorted(call("get_db_stats()")) == [("article_chunks", 0, None), ("articles", 0, "20 kB"), ("discovered_urls", 0, None), ("sitemaps", 0, None)]
+    assert call("get_domain_stats()") == call("get_recent_errors(5)") == call("search_similar_content(array(1D))") == []
+    assert [r[1:3] for r in call("check_data_integrity()")] == [("OK", 0)] * 4
+
+
+def test_release_times_of_a_hot_host(spark):
+    import random
+
+    rng = random.Random(8)
+    rows = [("hot" if i % 3 == 0 else f"h{i % 50}", rng.randrange(3000) * (1 + (i % 7 == 0)), i) for i in range(6000)] + [(None, 5, 1), (None, 5, 2), (None, 9, 3)]
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(rows, "host string, at long, request_id long").repartition(8)
+        got = {(r.host, r.request_id): r.release for r in C.release_times(df, F.when(F.col("host") == "hot", 3).otherwise(20)).collect()}
+        ranged = df.repartitionByRange(F.col("host"), F.col("at"), F.col("request_id")).withColumn("p", F.spark_partition_id())
+        assert ranged.where("host = 'hot'").select("p").distinct().count() >= 5  # one host, many tasks
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    last, want = {}, {}
+    for host, at, i in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
+        last[host] = max(at, last[host] + (3 if host == "hot" else 20)) if host in last else at
+        want[host, i] = last[host]
+    assert got == want
+
+
+def test_inverted_file(spark, tmp_path):
+    from loomline.plans import ivf
+
+    e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
+    odd = spark.createDataFrame([(-1, None), (-2, [1.0]), (-3, [0.0] * 64)], "id long, embedding array<float>")
+    ivf.build(e.union(odd), str(tmp_path / "i"), 64)
+    index = ivf.Index(spark, str(tmp_path / "i"))
+    total = e.count()
+    assert index.vectors.count() == total
+    queries = e.where("id % 100 = 0")
+    found = index.search(queries.union(odd)).collect()
+    vectors = {r.id: np.array(r.embedding) for r in e.collect()}
+    ids, m = list(vectors), np.array(list(vectors.values()))
+    hits = compared = 0
+    asked = [r.id for r in queries.collect()]
+    for q in asked:
+        best = {ids[j] for j in np.argsort(-(m @ vectors[q]) / np.linalg.norm(m, axis=1))[:10]}
+        mine = [r for r in found if r.query_id == q]
+        hits += len(best & {r.id for r in mine})
+        compared += mine[0].compared
+        assert all(abs(r.similarity - vectors[q] @ vectors[r.id]) < 1e-5 for r in mine) and sorted(r.rank for r in mine) == list(range(1, 11))
+    assert hits / len(asked) / 10 >= 0.9 and compared / len(asked) / total < 0.15
+    near = index.nearest([float(x) for x in vectors[asked[0]]], probe=3)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert near.first().id == asked[0] and "PartitionFilters: [cell" in plan.replace("isnotnull(cell#", "cell#") and near.where("id is not null").count() == 10
+    read = index.vectors.where(F.col("cell").isin(index.cells_of(np.array([vectors[asked[0]]], np.float32), 3)[0].tolist())).count()
+    assert read < total / 2
+    ivf.build(odd, str(tmp_path / "none"), 64)
+    empty = ivf.Index(spark, str(tmp_path / "none"))
+    assert empty.search(queries).count() == 0 and empty.nearest([1.0] * 64).count() == 0
