@@ -601,4 +601,4 @@ def token_bucket(spark, sf_dir):
 )
 def release_times(spark, sf_dir):
     log = _read(spark, sf_dir, "events").select(F.col("user_id").alias("host"), F.col("event_id").alias("request_id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("asked"))
-    return control.release_times(log, (1 + F.col("host") % 5) * 60_000_000)
+    return control.release_times(log, (1 + F.col("host") % 5) * 60_000_000, at="asked")
