@@ -93,3 +93,14 @@ def pretty_size(size: Column) -> Column:
     for n, unit in enumerate(("kB", "MB", "GB", "TB"), 1):
         out = F.when(size >= 10240 * 1024 ** (n - 1), F.concat(F.round(size / 1024**n).cast("long").cast("string"), F.lit(f" {unit}"))).otherwise(out)
     return out
+
+
+def quote_ident(name: Column) -> Column:
+    """A name as it stands in SQL: bare if it is lower-case letters, digits and underscores, else in double quotes."""
+    return F.when(name.rlike("^[a-z_][a-z0-9_]*$"), name).otherwise(F.concat(F.lit('"'), F.replace(name, F.lit('"'), F.lit('""')), F.lit('"')))
+
+
+def iso_format(at: Column) -> Column:
+    """A time in UTC as ISO 8601 text with its offset; microseconds only where there are any."""
+    micros = F.date_format(at, "SSSSSS")
+    return F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)), F.lit("+00:00"))

@@ -367,3 +367,26 @@ def chunk_report(docs: DataFrame, config: Config | None = None, key: str = "id",
     n = F.col("words")
     windows = F.when(n == 0, 0).when(n <= c.window_size, 1).otherwise(F.floor((n - c.window_size) / c.step_size) + 1)
     return counted.withColumns({"words_per_sentence": F.when(F.col("sentences") > 0, n / F.col("sentences")), "full_windows": windows.cast("int")})
+
+
+def sentence_report(docs: DataFrame, config: Config | None = None, key: str = "id", text: str = "content") -> DataFrame:
+    """What the sentence chunker would find, without chunking: sentences, paragraphs, words a sentence, chunks at a guess, and its settings."""
+    c, t = config or Config(), F.coalesce(F.col(text), F.lit(""))
+    counted = spread(docs.select(F.col(key), t.alias("_text"))).select(key, sentences(F.col("_text"), c.language).alias("_parts"), F.size(paragraphs(F.col("_text"))).alias("paragraphs"))
+    n = F.size("_parts")
+    words_ = F.aggregate(F.transform("_parts", word_count_ws), F.lit(0), lambda a, x: a + x)
+    return counted.select(
+        key, n.alias("sentences"), "paragraphs", F.round(F.when(n > 0, words_ / n).otherwise(0.0), 2).alias("mean_sentence_words"), F.when(n > 0, F.greatest(F.lit(1), F.floor(n / c.max_sentences).cast("int"))).otherwise(0).alias("estimated_chunks"),
+        F.lit(c.max_sentences).alias("max_sentences"), F.lit(c.min_sentences).alias("min_sentences"), F.lit(c.sentence_overlap).alias("sentence_overlap"), F.lit(c.language).alias("language"),
+    )
+
+
+def semantic_report(docs: DataFrame, config: Config | None = None, key: str = "id", text: str = "content", encoder: str | None = None) -> DataFrame:
+    """What the semantic chunker would go by, without chunking: sentences, threshold, the encoder's name or words, groups at a guess (null without sentences)."""
+    c, t = config or Config(), F.coalesce(F.col(text), F.lit(""))
+    n = F.size(sentences(t, c.language))
+    counted = docs.select(F.col(key), n.alias("sentences"))
+    return counted.select(
+        key, "sentences", F.lit(float(c.similarity)).alias("similarity_threshold"), F.lit(encoder is not None).alias("uses_encoder"), F.lit(encoder or "words").alias("compared_by"), F.lit(c.min_similarity_sentences).alias("min_similarity_sentences"),
+        F.when(F.col("sentences") > 0, F.greatest(F.lit(1), F.floor(F.col("sentences") / c.min_similarity_sentences).cast("int"))).alias("estimated_groups"),
+    )

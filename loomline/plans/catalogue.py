@@ -17,9 +17,9 @@ from loomline.functions.vectors import cosine, hash_embed
 from loomline.operators import chunkers, frontier, mutations
 from loomline.operators import warehouse as W
 from loomline.plans import chunk_sql, ivf, retrieval, table_functions
-from loomline.schemas import violations
+from loomline.schemas import serialized, validity, violations
 from loomline.sources.work import fresh_path
-from loomline.streaming import control, queue
+from loomline.streaming import adaptive, control, queue
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -374,15 +374,20 @@ def ivf_search(spark, sf_dir):
     return _rounded(ivf.Index(spark, path).search(e.where("id % 100 = 0")), "similarity")
 
 
-@query()
+def _embedded(chunks: DataFrame) -> DataFrame:
+    """Chunks with the size of their vectors, which no SQL makes, in place of these."""
+    return chunks.select("id", "article_id", "content", "content_hash", "chunk_index", "chunk_size", F.size("embedding").alias("dimensions"))
+
+
+@query(chunk_sql.EMBEDDED_SQL)
 def chunk_and_embed(spark, sf_dir):
-    return retrieval.chunk_and_embed(warehouse(spark, sf_dir, "articles")[0], "sentence", chunkers.Config(language="en"), 64)
+    return _embedded(retrieval.chunk_and_embed(warehouse(spark, sf_dir, "articles")[0], "sentence", chunkers.Config(language="en"), 64))
 
 
-@query()
+@query(chunk_sql.NEW_SQL)
 def process_new_articles(spark, sf_dir):
     articles, chunks = warehouse(spark, sf_dir, "articles", "article_chunks")
-    return retrieval.process_new(articles.select("id", "content"), chunks, None, kind="sliding_window", dimensions=64)
+    return _embedded(retrieval.process_new(articles.select("id", "content"), chunks, None, kind="sliding_window", dimensions=64))
 
 
 def _called(name: str, call: str, *times: str, rounded: tuple[str, ...] = (), sql: str = "{}"):
@@ -602,3 +607,55 @@ def token_bucket(spark, sf_dir):
 def release_times(spark, sf_dir):
     log = _read(spark, sf_dir, "events").select(F.col("user_id").alias("host"), F.col("event_id").alias("request_id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("asked"))
     return control.release_times(log, (1 + F.col("host") % 5) * 60_000_000, at="asked")
+
+
+@query(f"""SELECT doc_id, len({_SENTENCES})::INT AS sentences, len(list_filter(string_split(coalesce(text, ''), chr(10) || chr(10)), lambda p: p ~ '(?s).*\\S.*'))::INT AS paragraphs,
+    round(coalesce(list_avg(list_transform({_SENTENCES}, lambda s: len(string_split(s, ' ')))), 0), 2) AS mean_sentence_words, CASE WHEN len({_SENTENCES}) > 0 THEN greatest(1, len({_SENTENCES}) // 10) ELSE 0 END::INT AS estimated_chunks,
+    10 AS max_sentences, 2 AS min_sentences, 1 AS sentence_overlap, 'en' AS language FROM documents""")
+def sentence_report(spark, sf_dir):
+    return chunkers.sentence_report(_read(spark, sf_dir, "documents"), chunkers.Config(language="en"), "doc_id", "text")
+
+
+@query(f"""SELECT doc_id, len({_SENTENCES})::INT AS sentences, 0.7::DOUBLE AS similarity_threshold, false AS uses_encoder, 'words' AS compared_by, 3 AS min_similarity_sentences,
+    CASE WHEN len({_SENTENCES}) > 0 THEN greatest(1, len({_SENTENCES}) // 3)::INT END AS estimated_groups FROM documents""")
+def semantic_report(spark, sf_dir):
+    return chunkers.semantic_report(_read(spark, sf_dir, "documents"), chunkers.Config(language="en"), "doc_id", "text")
+
+
+@query(
+    """SELECT to_json({id: id, url: url, crawl_status: crawl_status, crawl_attempts: crawl_attempts, last_crawl_at: strftime(last_crawl_at, '%Y-%m-%dT%H:%M:%S+00:00'), error_message: error_message, created_at: strftime(created_at, '%Y-%m-%dT%H:%M:%S+00:00')})::VARCHAR AS record FROM discovered_urls""",
+    "discovered_urls",
+)
+def serialized_urls(spark, sf_dir):
+    (urls,) = warehouse(spark, sf_dir, "discovered_urls")
+    return serialized(urls.select("id", "url", "crawl_status", "crawl_attempts", "last_crawl_at", "error_message", "created_at"))
+
+
+@query(
+    """SELECT 'articles' AS table_name, count(*) AS rows, count(CASE WHEN content IS NULL OR trim(content) = '' OR NOT starts_with(url, 'http') THEN 1 END) AS broken, count(CASE WHEN content IS NULL OR trim(content) = '' OR NOT starts_with(url, 'http') THEN 1 END) = 0 AS valid FROM articles
+    UNION ALL SELECT 'discovered_urls', count(*), count(CASE WHEN NOT regexp_matches(url, '^https?://') OR priority > 1 THEN 1 END), count(CASE WHEN NOT regexp_matches(url, '^https?://') OR priority > 1 THEN 1 END) = 0 FROM discovered_urls""",
+    "discovered_urls", "articles",
+)
+def model_validity(spark, sf_dir):
+    urls, articles = warehouse(spark, sf_dir, "discovered_urls", "articles")
+    return validity(discovered_url=urls, article=articles)
+
+
+_SIZED = "length(html) * page_id"
+
+
+@query(
+    f"""SELECT page_id, CASE WHEN regexp_matches(d, '^[a-z_][a-z0-9_]*$') THEN d ELSE '"' || replace(d, '"', '""') || '"' END AS quoted,
+    CASE WHEN n < 10240 THEN n || ' bytes' WHEN n < 10485760 THEN round(n / 1024)::BIGINT || ' kB' WHEN n < 10737418240 THEN round(n / 1048576)::BIGINT || ' MB' ELSE round(n / 1073741824)::BIGINT || ' GB' END AS size
+    FROM (SELECT page_id, {_SIZED} AS n, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1) AS d FROM pages)"""
+)
+def catalog_scalars(spark, sf_dir):
+    pages = _read(spark, sf_dir, "pages")
+    return pages.select("page_id", X.quote_ident(X.domain(F.col("url"))).alias("quoted"), X.pretty_size((F.length("html") * F.col("page_id")).cast("long")).alias("size"))
+
+
+@query()
+def host_limits(spark, sf_dir):
+    """Rates and penalties of every host after its log of responses."""
+    log = _read(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("host"), F.col("ts").cast("timestamp").alias("at"), (F.coalesce("value", F.lit(0.0)) / 10).alias("seconds"), (F.col("event_type") != "error").alias("ok"))
+    return adaptive.limits_of(log)

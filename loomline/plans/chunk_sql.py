@@ -89,7 +89,7 @@ SLIDING_SQL = f"""WITH RECURSIVE s AS (SELECT doc_id, {_sentences("text", "mixed
 PARAGRAPH_START = (r"([.!?]) ([A-M])", "\n\n")
 _PARAGRAPHED = rf"regexp_replace(text, '{PARAGRAPH_START[0]}', '\1' || chr(10) || chr(10) || '\2', 'g')"
 
-PARAGRAPH_SQL = rf"""WITH RECURSIVE t AS (SELECT doc_id, list_filter(list_transform(string_split({_PARAGRAPHED}, chr(10) || chr(10)), lambda s: {_strip("s")}), lambda s: s <> '') AS t FROM documents WHERE text IS NOT NULL),
+_PARAGRAPH_CHUNKS = rf"""WITH RECURSIVE t AS (SELECT doc_id, list_filter(list_transform(string_split(THE_TEXT, chr(10) || chr(10)), lambda s: {_strip("s")}), lambda s: s <> '') AS t FROM documents WHERE text IS NOT NULL),
     d AS MATERIALIZED (SELECT doc_id, t, list_transform(t, lambda p: {_sentences("p")}) AS parts FROM t),
     p AS (SELECT doc_id, t, parts, {_sums("list_transform(parts, lambda q: len(q))")} AS sums, unnest(range(0, len(t))) AS i FROM d),
     e AS (SELECT *, t[i + 1] AS own, parts[i + 1] AS q, len(parts[i + 1]) AS n, i + 1 + len(list_filter(range(i + 1, len(t)), lambda x: sums[x + 2] - sums[i + 1] <= 10)) AS stop FROM p),
@@ -104,6 +104,13 @@ PARAGRAPH_SQL = rf"""WITH RECURSIVE t AS (SELECT doc_id, list_filter(list_transf
     chunks AS MATERIALIZED (SELECT * REPLACE (row_number() OVER (PARTITION BY doc_id ORDER BY i, a) - 1 AS i, {_COUNT.format("content")} AS word_count), false AS whole FROM cut),
     {_fold(PARAGRAPH_COLUMNS)}"""
 
+PARAGRAPH_SQL = _PARAGRAPH_CHUNKS.replace("THE_TEXT", _PARAGRAPHED)
+_EMBEDDED = "sha256(doc_id || '/' || chunk_index) AS id, doc_id AS article_id, content, md5(content) AS content_hash, chunk_index, length(content)::INT AS chunk_size, 64 AS dimensions"
+#: Chunks of documents as they are, with what stands beside their vectors.
+EMBEDDED_SQL = f"SELECT {_EMBEDDED} FROM ({_PARAGRAPH_CHUNKS.replace('THE_TEXT', 'text')})"
+#: The same by windows of sentences, of documents that no embedding row names.
+NEW_SQL = f"""SELECT {_EMBEDDED} FROM ({SLIDING_SQL}) WHERE doc_id NOT IN (SELECT CASE WHEN vec_id % 50 = 49 THEN vec_id + 1000000000 ELSE vec_id % (SELECT count(*) FROM documents) END FROM embeddings)"""
+
 _SET = "list_distinct(string_split(s, ' '))"
 _STATE = "{{'seen': {}, 'size': {}, 'members': {}, 'full': false}}"
 _JOINS = "NOT a.full AND len(list_intersect(a.seen, x.seen)) >= 0.2::DOUBLE * (len(a.seen) + len(x.seen) - len(list_intersect(a.seen, x.seen)))"

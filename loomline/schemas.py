@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomline.functions.text import iso_format
+
 S, L, I, D, TS = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.TimestampType()
 
 #: States of a URL, change frequencies, kinds of URL and sitemap.
@@ -61,7 +65,28 @@ def violations(df: DataFrame, table: str, key: str = "id", dimensions: int = EMB
     return df.select(F.col(key), F.explode(broken).alias("violation"))
 
 
+def table_of(name: str) -> str:
+    """Table name of a table or of a model, its singular."""
+    singular = {"discovered_url": "discovered_urls", "article": "articles", "chunk": "article_chunks", "article_chunk": "article_chunks", "sitemap": "sitemaps"}
+    return singular.get(name.lower(), name.lower())
+
+
 def model(name: str) -> T.StructType:
     """Schema by table name or by its singular model name."""
-    singular = {"discovered_url": "discovered_urls", "article": "articles", "chunk": "article_chunks", "article_chunk": "article_chunks", "sitemap": "sitemaps"}
-    return TABLES[singular.get(name.lower(), name.lower())]
+    return TABLES[table_of(name)]
+
+
+def validity(dimensions: int = EMBEDDING_DIMENSIONS, **tables: DataFrame) -> DataFrame:
+    """Of each table (by model or table name): its rows, those that break a rule, and whether all are valid."""
+    found = []
+    for name, df in sorted(tables.items()):
+        table = table_of(name)
+        fine = reduce(lambda a, b: a & b, rules(table, dimensions).values())
+        found.append(df.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(~fine, 1)).alias("broken")).select(F.lit(table).alias("table_name"), "rows", "broken", (F.col("broken") == 0).alias("valid")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def serialized(df: DataFrame) -> DataFrame:
+    """Each row as one JSON object, `record`: times in ISO 8601, nulls kept, columns in their order."""
+    shown = [iso_format(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.TimestampType | T.TimestampNTZType) else F.col(f"`{f.name}`") for f in df.schema.fields]
+    return df.select(F.to_json(F.struct(*shown), {"ignoreNullFields": "false"}).alias("record"))
