@@ -404,6 +404,7 @@ _called("db_stats", "get_db_stats()", sql="SELECT *, NULL::VARCHAR AS table_size
 _called("domain_stats", "get_domain_stats()")
 _called("crawl_progress", "get_crawl_progress()")
 _called("data_integrity", "check_data_integrity()")
+_called("cleanup_duplicate_articles", "cleanup_duplicate_articles()")
 _called("recent_errors", "get_recent_errors(50)", "error_time")
 _called("vector_topk_threshold", f"search_similar_content(array({', '.join(f'{x}D' for x in VECTOR)}), 0.1D, 10)", rounded=("similarity_score",))
 
@@ -654,6 +655,19 @@ def catalog_scalars(spark, sf_dir):
     return pages.select("page_id", X.quote_ident(X.domain(F.col("url"))).alias("quoted"), X.pretty_size((F.length("html") * F.col("page_id")).cast("long")).alias("size"))
 
 
+def _chunked(name: str, first: str, call: str):
+    """The query `name`, as a call of the table function chunk over all documents."""
+
+    @query(ORACLE_SQL[name], name=f"sql_{name}")
+    def run(spark, sf_dir):
+        table_functions.chunk_function.register(spark)
+        return spark.sql(f"SELECT doc_id, CAST(first AS BIGINT) AS {first}, md5(content) AS content_hash FROM chunk(TABLE(SELECT doc_id, text FROM {{docs}}), {call})", docs=_read(spark, sf_dir, "documents"))
+
+
+_chunked("sliding_words", "word_start", "'words', 100, 50")
+_chunked("sentence_windows", "sentence_start", "'sentences', 10, 9")
+
+
 @query()
 def host_limits(spark, sf_dir):
     """Rates and penalties of every host after its log of responses."""

@@ -1,6 +1,9 @@
 """The warehouse's table functions for SQL text: SELECT * FROM get_domain_stats().
 
-They are functions of the session over the views articles, article_chunks,
+`chunk` takes any table (see `chunk_function`).  cleanup_duplicate_articles tells what a cleanup
+deletes; `warehouse.cleanup_duplicates` also gives what stays.
+
+The others are functions of the session over the views articles, article_chunks,
 discovered_urls and sitemaps (`Store.views`, or any DataFrames); a call is
 inlined into its query, so filters and pruning reach the scans."""
 
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 
 from loomline.functions.text import pretty_size
 from loomline.operators.warehouse import CHECKS
+from loomline.plans import chunk_function
 
 _SHARE = "CAST(if(count(*) > 0, round(count_if(crawl_status = 'completed') * 100.0D / if(count(*) > 0, count(*), 1), 2), 0) AS DOUBLE)"
 
@@ -57,6 +61,12 @@ FUNCTIONS: dict[str, tuple[str, str, str]] = {
           SELECT 'url_crawl' AS error_type, url, error_message, updated_at AS at, crawl_attempts AS tries FROM discovered_urls WHERE crawl_status = 'error' AND error_message IS NOT NULL
           UNION ALL SELECT 'sitemap_parse', url, error_message, updated_at, 0 FROM sitemaps WHERE status = 'error' AND error_message IS NOT NULL)) WHERE place <= most""",
     ),
+    "cleanup_duplicate_articles": (
+        "", "deleted_articles BIGINT, deleted_chunks BIGINT",
+        """WITH k AS (SELECT content_hash, min(struct(created_at, id)).id AS kept FROM articles WHERE content_hash <> '' GROUP BY content_hash HAVING count(*) > 1),
+        gone AS (SELECT id FROM articles JOIN k USING (content_hash) WHERE id <> kept)
+        SELECT (SELECT count(*) FROM gone), (SELECT count(*) FROM article_chunks LEFT SEMI JOIN gone ON article_id = gone.id)""",
+    ),
     "check_data_integrity": ("", "check_name STRING, status STRING, issue_count BIGINT, description STRING", _CHECKED),
 }
 
@@ -67,6 +77,7 @@ def register(spark: SparkSession, ids: str = "STRING", sizes: dict[str, int] | N
     `ids` is the type of ids; sizes are the tables' bytes (`Store.sizes`) when the functions are made, unknown ones null."""
     for name, rows in tables.items():
         rows.createOrReplaceTempView(name)
+    chunk_function.register(spark)
     held = spark.range(1).select(*(pretty_size(F.lit(n)).alias(t) for t, n in (sizes or {}).items())).first().asDict() if sizes else {}
     for name, (parameters, columns, body) in FUNCTIONS.items():
         if name == "get_db_stats":

@@ -232,3 +232,21 @@ def test_numbered(spark):
     got = sorted((r.n, r.document_index, r.document_id) for r in numbered(docs, "n").collect())
     assert got == [(i, i, f"doc_{i}" if i % 2 else f"own{i}") for i in range(50)]
     assert numbered(docs.limit(0), "n").count() == 0
+
+
+def test_table_function(spark):
+    from loomline.plans import chunk_function
+
+    chunk_function.register(spark)
+    texts = [" ".join(random.Random(n).choice("ab") for _ in range(n)) for n in (0, 1, 5, 9, 10, 11, 14, 23)] + [None, "a. b! c? d. e", "a a a a a a a a a a a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    call = lambda kind, size, step: {(r.id, r.first, r.content) for r in spark.sql(f"SELECT * FROM chunk(TABLE(SELECT * FROM {{df}}), '{kind}', {size}, {step})", df=df).collect()}
+    text = F.coalesce("t", F.lit(""))
+    shown = lambda w: {(r.id, r[1], r.content) for r in df.select("id", F.inline(w)).collect()}
+    assert call("words", 5, 3) == shown(word_windows(X.words(text), 5, 3))
+    assert call("sentences", 2, 1) == shown(sentence_windows(X.sentences(text), 2, 1))
+    for bad in ("'words', 0, 1", "'lines', 1, 1", "'words', 1, 0"):
+        with pytest.raises(Exception, match="windows of"):
+            spark.sql(f"SELECT * FROM chunk(TABLE(SELECT * FROM {{df}}), {bad})", df=df)
+    with pytest.raises(Exception, match="a key and a text"):
+        spark.sql("SELECT * FROM chunk(TABLE(SELECT id FROM {df}), 'words', 1, 1)", df=df)
