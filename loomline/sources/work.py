@@ -33,6 +33,8 @@ def spread(df: DataFrame) -> DataFrame:
     """df, dealt over all cores where it is read in fewer splits than there are cores; otherwise, and after any shuffle, as it is.
 
     For work that costs much more than a shuffle of its rows: one large row group is one task."""
+    if df.isStreaming:
+        return df
     plan = df._jdf.queryExecution()
     if "Exchange" in plan.executedPlan().toString():
         return df
