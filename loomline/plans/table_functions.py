@@ -34,6 +34,7 @@ _ORPHANS = {
     "chunks_without_embeddings": "article_chunks WHERE embedding IS NULL",
 }
 _CHECKED = " UNION ALL ".join(f"SELECT '{name}', if(count(*) = 0, 'OK', '{CHECKS[name][0]}'), count(*), '{CHECKS[name][1]}' FROM {rows}" for name, rows in _ORPHANS.items())
+#: Exploded from an array of one where it is used: so it is computed once a row, not in the filter and again in the projection.
 _LIKENESS = (
     "aggregate(zip_with(c.embedding, query, (x, y) -> CAST(x AS DOUBLE) * y), 0.0D, (s, x) -> s + x) / "
     "sqrt(aggregate(c.embedding, 0.0D, (s, x) -> s + CAST(x AS DOUBLE) * x) * aggregate(query, 0.0D, (s, x) -> s + x * x))"
@@ -51,7 +52,7 @@ FUNCTIONS: dict[str, tuple[str, str, str]] = {
     ),
     "search_similar_content": (
         "query ARRAY<DOUBLE>, threshold DOUBLE DEFAULT 0.7D, most INT DEFAULT 10", "chunk_id BIGINT, article_id BIGINT, article_url STRING, article_title STRING, chunk_content STRING, similarity_score DOUBLE",
-        f"""WITH scored AS (SELECT c.id, c.article_id, {_LIKENESS} AS score FROM article_chunks c LEFT SEMI JOIN articles a ON c.article_id = a.id WHERE size(c.embedding) = size(query)),
+        f"""WITH scored AS (SELECT c.id, c.article_id, explode(array({_LIKENESS})) AS score FROM article_chunks c LEFT SEMI JOIN articles a ON c.article_id = a.id WHERE size(c.embedding) = size(query)),
         best AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY score DESC, id) AS place FROM scored WHERE score >= threshold) WHERE place <= most)
         SELECT b.id, b.article_id, a.url, a.title, c.content, b.score FROM best b JOIN article_chunks c ON b.id = c.id JOIN articles a ON b.article_id = a.id""",
     ),
