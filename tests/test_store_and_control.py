@@ -137,6 +137,37 @@ def test_lsh_recall(spark):
     assert len(found & exact) / len(exact) >= 0.9
 
 
+def test_lsh_pairs_are_no_rows(spark, monkeypatch):
+    """The same as comparing all pairs that share a bucket, in cells: copies, multiples, zero, null, NaN and infinite components, repeated ids."""
+    from loomline.functions.vectors import cosine
+    from loomline.plans import retrieval
+    from pyspark.sql import Window
+
+    monkeypatch.setattr(retrieval, "ROWS", 100)
+    monkeypatch.setattr(retrieval, "QUERIES", 7)
+    rng = np.random.default_rng(3)
+    vectors = [[float(x) for x in v] for v in np.round(rng.normal(size=(1500, 8)), 2).astype(np.float32)]
+    for i in range(0, 1500, 3):
+        vectors[i] = vectors[i % 30]
+    for i in range(1, 200, 20):
+        vectors[i] = [x * (i + 2) for x in vectors[0]]
+    vectors[4], vectors[5], vectors[7], vectors[8], vectors[10], vectors[11] = [0.0] * 8, [None, *vectors[5][1:]], [float("nan")] * 8, None, [1.0], [float("inf"), *vectors[11][1:]]
+    rows = [(i, v) for i, v in enumerate(vectors)] + [(3, vectors[3]), (3, vectors[13]), (None, vectors[3])]
+    e = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(3)
+    queries = e.where("id % 50 = 0 or id between 3 and 11")
+    index, q = lsh_index(e, 3, 4, 8), lsh_index(queries, 3, 4, 8)
+    made = lsh_search(index, queries, 6, 3, 4, 8)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Generate posexplode" not in plan
+    share = F.exists(F.zip_with("buckets", "mine", lambda x, y: x == y), lambda x: x)
+    pairs = index.crossJoin(q.select(F.col("id").alias("query_id"), F.col("embedding").alias("q"), F.col("buckets").alias("mine"))).where(share)
+    near = pairs.select("query_id", "id", cosine(F.col("embedding"), F.col("q")).alias("similarity")).distinct()
+    want = near.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id"))).where("rank <= 6")
+    got, want = (sorted(map(str, x.collect())) for x in (made, want))
+    assert got == want and len(got) > 200
+    assert lsh_search(lsh_index(e.limit(0), 3, 4, 8), queries, 6, 3, 4, 8).count() == lsh_search(index, queries.limit(0), 6, 3, 4, 8).count() == 0
+
+
 def test_token_bucket_and_adaptation():
     one = C.Limiter(C.Rate(per_second=1, burst=1))
     assert one.acquire(0) == 0 and one.acquire(0) >= 0.99
