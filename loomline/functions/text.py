@@ -40,9 +40,11 @@ def strip(text: Column) -> Column:
 
 def sentences(text: Column, language: str = "en", collapse: bool = True) -> Column:
     """Stripped non-empty sentences without their ends; white space collapsed unless told otherwise."""
-    parts = F.transform(F.split(text, ENDS["zh" if language == "zh" else language if language in ENDS else "en"]), strip)
-    if collapse:
-        parts = F.transform(parts, lambda s: F.regexp_replace(s, r"(?U)\s+", " "))
+    ends = ENDS["zh" if language == "zh" else language if language in ENDS else "en"]
+    if collapse:  # in the whole text, at once; single blanks stay as they are
+        parts = F.transform(F.split(F.regexp_replace(text, r"(?U)[\s&&[^ ]]\s*| \s+", " "), ends), lambda s: F.trim(s))
+    else:
+        parts = F.transform(F.split(text, ends), strip)
     return F.filter(parts, lambda s: s != "")
 
 

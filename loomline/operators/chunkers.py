@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from loomline.functions.text import join_sentences, let, paragraphs, sentences, word_count_ws, words
 from loomline.operators.grouping import groups
-from loomline.operators.packing import CHUNKS, chunk, filled, merged, noted, shown, spans, sums_before
+from loomline.operators.packing import CHUNKS, chunk, filled, joins, merged, noted, shown, spans, sums_before
 from loomline.sources.work import checkpointed, spread
 
 SCHEMA = "chunk_index int, content string, start_pos int, end_pos int, metadata map<string,string>"
@@ -227,16 +227,29 @@ def semantic(parts: Column, found: Column, text: Column, config: Config) -> Colu
     """Chunks of groups of similar sentences, which need not be neighbours."""
     keys = SEMANTIC_KEYS
 
-    def made(group: Column, i: Column) -> Column:
-        n = F.size(group)
-        content = F.array_join(F.transform(group, lambda j: F.concat(F.lit("句子"), j.cast("string")) if config.placeholder else F.get(parts, j)), " ")
-        likeness = F.when(n == 1, F.lit(1.0)).otherwise(F.greatest(F.lit(0.5), F.lit(1.0) - (n - 1) * F.lit(0.1)))
-        return let(content, lambda c: chunk(i, c, noted(
-            keys, chunk_method="semantic_similarity", sentence_count=n, sentence_indices=F.concat(F.lit("["), F.array_join(group.cast("array<string>"), ", "), F.lit("]")),
-            avg_similarity=likeness, similarity_threshold=F.lit(float(config.similarity)), word_count=word_count_ws(c),
-        )))
+    def made(parts: Column, groups_: Column, c: Column) -> Column:
+        """A chunk of some groups: content of all, notes of the last one, as `merged` has them."""
+        last = F.get(groups_, c["at"] + c["n"] - 1)
+        joined = lambda g: F.array_join(F.transform(g, lambda j: F.get(parts, j)), " ")
 
-    many = _merged(F.transform(F.transform(found, lambda g: F.array_sort(g)), made), keys, config)
+        def noted_(group: Column, own: Column) -> Column:
+            n = F.size(group)
+            likeness = F.when(n == 1, F.lit(1.0)).otherwise(F.greatest(F.lit(0.5), F.lit(1.0) - (n - 1) * F.lit(0.1)))
+            notes = noted(
+                keys, chunk_method="semantic_similarity", sentence_count=n, sentence_indices=F.concat(F.lit("["), F.array_join(group.cast("array<string>"), ", "), F.lit("]")),
+                avg_similarity=likeness, similarity_threshold=F.lit(float(config.similarity)), word_count=F.length(own) - F.length(F.replace(own, F.lit(" "), F.lit(""))) + 1,  # sentences have single blanks
+            )
+            content = F.when(c["n"] == 1, own).otherwise(joined(F.flatten(F.slice(groups_, c["at"] + 1, c["n"]))))
+            return chunk(c["at"], content, notes, end=F.length(own))
+
+        return let(last, lambda group: let(joined(group), lambda own: noted_(group, own)))
+
+    def over(parts: Column, groups_: Column) -> Column:
+        sizes = F.transform(groups_, lambda g: F.aggregate(g, F.size(g) - 1, lambda a, j: a + F.length(F.get(parts, j))))
+        return F.transform(joins(sizes, config.min_chunk_size, 1.5 * config.chunk_size), lambda c: made(parts, groups_, c))
+
+    shown_ = F.transform(parts, lambda _, j: F.concat(F.lit("句子"), j.cast("string"))) if config.placeholder else parts
+    many = let(F.transform(found, lambda g: F.array_sort(g)), lambda g: let(shown_, lambda p: over(p, g)) if config.placeholder else over(parts, g))
     return F.when(F.size(parts) > config.min_similarity_sentences, many).otherwise(_whole(text, keys, "semantic_complete", sentence_count=F.size(parts), similarity_score=F.lit(1.0)))
 
 

@@ -81,25 +81,33 @@ def noted(keys: tuple[str, ...], **values: object) -> Column:
     return F.array(*((values[k] if isinstance(values[k], Column) else F.lit(values[k])).cast("string") if k in values else none for k in keys))
 
 
+def joins(lengths: Column, least: int, most: float) -> Column:
+    """Array of (at, n): chunks of these lengths that become one, from the chunk at on; one shorter than `least` joins its predecessor by a space if both have `most` characters at most."""
+
+    def step(state: Column, n: Column) -> Column:
+        small = (state >= 0) & (n < least) & (state + n <= most)
+        return F.struct(F.when(small, state + 1 + n).otherwise(n).alias("state"), (~small).alias("out"))
+
+    def over(all_: Column) -> Column:
+        heads = F.filter(F.transform(fold(all_, F.lit(-1), step, "boolean"), lambda b, i: F.when(b, i)), lambda i: i.isNotNull())
+        return let(heads, lambda h: F.transform(h, lambda at, i: F.struct(at.alias("at"), (F.coalesce(F.get(h, i + 1), F.size(all_)) - at).alias("n"))))
+
+    return let(lengths, over)
+
+
 def merged(chunks: Column, keys: tuple[str, ...], least: int, most: float, drop_blank: bool = True) -> Column:
     """Blank chunks dropped; one shorter than `least` joined to its predecessor by a space if both have `most` characters at most.
 
     Indexes keep their gaps; a note of the later chunk wins."""
 
-    def step(state: Column, c: Column) -> Column:
-        n = F.length(c["content"])
-        small = (state >= 0) & (n < least) & (state + n <= most)
-        return F.struct(F.when(small, state + 1 + n).otherwise(n).alias("state"), (~small).alias("out"))
-
     def joined(many: Column) -> Column:
         last = lambda k: let(F.filter(F.transform(many, lambda c: c["notes"][k]), lambda v: v.isNotNull()), lambda v: F.get(v, F.size(v) - 1))
         notes = F.transform(F.sequence(F.lit(0), F.lit(len(keys) - 1)), last)
         return chunk(many[0]["chunk_index"], F.array_join(F.transform(many, lambda c: c["content"]), " "), notes, many[0]["start_pos"], F.get(many, F.size(many) - 1)["end_pos"])
 
     def over(kept: Column) -> Column:
-        begins = fold(kept, F.lit(-1), step, "boolean")
-        heads = F.filter(F.transform(begins, lambda b, i: F.when(b, i)), lambda i: i.isNotNull())
-        return let(heads, lambda h: F.transform(h, lambda at, i: let(F.coalesce(F.get(h, i + 1), F.size(kept)) - at, lambda n: F.when(n == 1, F.get(kept, at)).otherwise(let(F.slice(kept, at + 1, n), joined)))))
+        found = joins(F.transform(kept, lambda c: F.length(c["content"])), least, most)
+        return F.transform(found, lambda c: F.when(c["n"] == 1, F.get(kept, c["at"])).otherwise(let(F.slice(kept, c["at"] + 1, c["n"]), joined)))
 
     return let(F.filter(chunks, lambda c: c["content"].rlike(r"(?U)\S")) if drop_blank else chunks, over)
 

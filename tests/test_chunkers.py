@@ -250,3 +250,44 @@ def test_table_function(spark):
             spark.sql(f"SELECT * FROM chunk(TABLE(SELECT * FROM {{df}}), {bad})", df=df)
     with pytest.raises(Exception, match="a key and a text"):
         spark.sql("SELECT * FROM chunk(TABLE(SELECT id FROM {df}), 'words', 1, 1)", df=df)
+
+
+def c_calls(run):
+    """Calls of built-in functions while run() is under way."""
+    import sys
+
+    found = 0
+
+    def seen(frame, event, arg):
+        nonlocal found
+        found += event == "c_call"
+
+    sys.setprofile(seen)
+    try:
+        run()
+    finally:
+        sys.setprofile(None)
+    return found
+
+
+def test_sentences_unlike_all_others_cost_no_search_each():
+    parts = [f"a{i} b{i} c{i}" for i in range(600)]
+    assert list(grouping.token_groups(parts, 0.2, 1000)) == [[i] for i in range(600)]
+    assert c_calls(lambda: list(grouping.token_groups(parts, 0.2, 1000))) < 3 * 600
+
+
+def test_token_groups_in_small_blocks_equal_all_comparisons(monkeypatch):
+    rng = random.Random(5)
+    monkeypatch.setattr(grouping, "CELLS", 60)
+    for seed in range(60):
+        vocabulary = [f"w{int(rng.paretovariate(0.7)) % 50}" for _ in range(40)]
+        parts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 12))) for _ in range(rng.randrange(1, 90))]
+        config = Config(similarity=rng.choice((0.0, 0.1, 0.2, 0.5, 0.8, 1.0)), chunk_size=rng.choice((20, 100, 1000)), overlap_size=0)
+        assert list(grouping.token_groups(parts, config.similarity, config.chunk_size)) == list(_lexical_groups(parts, config)), seed
+
+
+def test_sentences_collapse_all_white_space(spark):
+    texts = ["", None, " . ", "a\tb.\u3000c \n d  e!\u00a0?f\u2028", "\ta. \tb\r\n", "a\u0085 b . c\u0085", "  x   y  .", "a\x1cb"]
+    got = [r.s for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(X.sentences(F.col("t"), "en").alias("s")).collect()]
+    space = "[ \t\n\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+    assert got == [None if t is None else [p for p in (re.sub(space, " ", x).strip(" ") for x in re.split("[.!?]+", t)) if p] for t in texts]
