@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -69,10 +70,12 @@ def hash_embed(texts: list[str], dimensions: int) -> np.ndarray:
     import zlib
 
     out = np.zeros((len(texts), dimensions), np.float32)
-    for i, text in enumerate(texts):
-        for word in (text or "").lower().split():
-            h = zlib.crc32(word.encode())
-            out[i, h % dimensions] += 1 if h >> 31 else -1
+    for at in range(0, len(texts), 256):
+        words = [(text or "").lower().split() for text in texts[at : at + 256]]
+        hashes = {word: zlib.crc32(word.encode()) for word in set().union(*words)}
+        h = np.fromiter(map(hashes.__getitem__, chain.from_iterable(words)), np.int64)
+        cell = np.repeat(np.arange(len(words)), [len(some) for some in words]) * dimensions + h % dimensions
+        out[at : at + 256] = np.bincount(cell, np.where(h >> 31, 1.0, -1.0), len(words) * dimensions).reshape(len(words), dimensions)
     norm = np.linalg.norm(out, axis=1, keepdims=True)
     return np.divide(out, norm, out=out, where=norm > 0)
 

@@ -291,3 +291,27 @@ def test_sentences_collapse_all_white_space(spark):
     got = [r.s for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(X.sentences(F.col("t"), "en").alias("s")).collect()]
     space = "[ \t\n\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
     assert got == [None if t is None else [p for p in (re.sub(space, " ", x).strip(" ") for x in re.split("[.!?]+", t)) if p] for t in texts]
+
+
+def test_vectors_unlike_all_others_cost_no_search_each(monkeypatch):
+    parts = [str(i) for i in range(300)]
+    encode = lambda texts: np.eye(300)[[int(t) for t in texts]]
+    for small in (512, 4):
+        monkeypatch.setattr(grouping, "SMALL", small)
+        assert list(grouping.vector_groups(parts, 0.2, 1000, 64, encode)) == [[i] for i in range(300)]
+        assert c_calls(lambda: list(grouping.vector_groups(parts, 0.2, 1000, 64, encode))) < 300
+
+
+def test_vector_groups_in_small_blocks_equal_large_ones(monkeypatch):
+    rng = np.random.default_rng(6)
+    for dense in (False, True):
+        vectors = rng.normal(size=(200, 12)) * (dense or rng.random((200, 12)) < 0.3)
+        vectors[::7] = vectors[0]
+        vectors[50] = np.nan
+        encode = lambda texts: vectors[[int(t) for t in texts]]
+        parts = [str(i) for i in range(200)]
+        want = list(grouping.vector_groups(parts, 0.5, 1000, 64, encode))
+        with monkeypatch.context() as m:
+            m.setattr(grouping, "CELLS", 900)
+            m.setattr(grouping, "SMALL", 4)
+            assert list(grouping.vector_groups(parts, 0.5, 1000, 64, encode)) == want and [50] in want and max(map(len, want)) > 5
